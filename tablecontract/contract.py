@@ -149,6 +149,10 @@ class Contract:
             raise ContractError("a dynamic contract converts maps, not typed rows")
         return [b.value(_column_at).alias(b.column.name) for b in self.bindings]
 
+    def encoded_json(self) -> frozenset[str]:
+        """JSON columns whose text is written here, so that it needs no check."""
+        return frozenset(b.column.name for b in self.bindings if b.mapping.encoded)
+
     def written_columns(self) -> tuple[ct.TableColumn, ...]:
         """The declared side of the columns a row writes."""
         if self.is_dynamic:

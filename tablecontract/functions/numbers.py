@@ -33,8 +33,10 @@ def whole_float_to_integer(value: Column) -> Column:
 
 def decimal_text(value: Column) -> Column:
     """A whole value without a fraction, any other with every digit of the column's scale."""
-    whole = F.floor(value)
-    return F.when(value == whole, whole.cast("string")).otherwise(value.cast("string"))
+    # A remainder keeps its exact type, where comparing with floor() would round
+    # a decimal of 38 digits to find a common one.
+    whole = value % F.lit(1).cast("decimal(1,0)") == 0
+    return F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
 
 
 def is_not_finite(value: Column) -> Column:

@@ -57,13 +57,14 @@ class Overrides:
 
 @dataclass(frozen=True)
 class Mapping:
-    """What one value of a field becomes."""
+    """What one value of a field becomes; ``encoded`` JSON text is written here, so it needs no check."""
 
     type: str
     convert: Convert
     fields: tuple["Binding", ...] = ()
     precision: int | None = None
     scale: int | None = None
+    encoded: bool = False
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,11 @@ class Binding:
     element: T.DataType
     mapping: Mapping
 
+    @property
+    def is_plain(self) -> bool:
+        """Carried over as it is, apart from a cast or an empty text becoming NULL."""
+        return self.mapping.convert in (_identity, _raw_json) and not self.column.fields
+
     def value(self, at: Callable[[tuple[str, ...]], Column]) -> Column:
         """The column's value; ``at`` reads a path of the row or of an enclosing struct."""
         source = at(self.candidate.path)
@@ -183,7 +189,7 @@ def _record(bindings) -> Mapping:
 def _by_type(dtype, options) -> Mapping:
     if isinstance(dtype, T.StringType):
         if options.type == ct.JSON:
-            return Mapping(ct.JSON, lambda c: F.nullif(c, F.lit("")))
+            return Mapping(ct.JSON, _raw_json)
         return Mapping(options.type or ct.STRING, _identity)
     if isinstance(dtype, T.DecimalType):
         return _decimal(dtype, options)
@@ -206,9 +212,9 @@ def _json(dtype) -> Mapping:
     if isinstance(dtype, T.MapType) and not isinstance(dtype.keyType, T.StringType):
         raise ContractError(f"a map needs string keys to become JSON, but the key is {dtype.keyType.simpleString()}")
     if isinstance(dtype, T.VariantType):
-        return Mapping(ct.JSON, F.to_json)
+        return Mapping(ct.JSON, F.to_json, encoded=True)
     if isinstance(dtype, (T.StructType, T.MapType)):
-        return Mapping(ct.JSON, lambda c: jsontext.to_json(jsontext.ready_for_json(c, dtype)))
+        return Mapping(ct.JSON, lambda c: jsontext.to_json(jsontext.ready_for_json(c, dtype)), encoded=True)
     raise ContractError(f"unsupported type {dtype.simpleString()}")
 
 
@@ -221,6 +227,10 @@ def _identity(value: Column) -> Column:
     return value
 
 
+def _raw_json(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
+
 def _keep_null(convert: Convert) -> Convert:
     return lambda c: F.when(c.isNotNull(), convert(c))
 

@@ -22,12 +22,22 @@ def conform(
     check_row_type(df, contract)
     out = df.select(*keep, *contract.expressions())
     if gated:
-        out = enforce(out, contract.written_columns(), row_id=row_id)
+        out = enforce(
+            out,
+            contract.written_columns(),
+            row_id=row_id,
+            trusted=contract.encoded_json(),
+            costly=not all(b.is_plain for b in contract.bindings if _is_gated(b.column)),
+        )
     if wide:
         out = out.select(*keep, *[_declared(c, out.columns) for c in contract.columns])
     return out
 
 
+def _is_gated(column: ct.TableColumn) -> bool:
+    return column.required or column.repeated or bool(column.fields)
+
+
 def check_row_type(df: DataFrame, contract: Contract) -> None:
     """The rows have to be of the contract's own type; names and types, not nullability."""
     if contract.is_dynamic:

@@ -31,7 +31,6 @@ ACCEPTED = {
     ct.DATETIME: ("TIMESTAMP_NTZ",),
     ct.TIME: ("STRING",),
     ct.JSON: ("STRING", "BINARY"),
-    ct.RECORD: ("OBJECT",),
 }
 # A number in JSON text has no type of its own, so it may be whole or not.
 _JSON_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
@@ -55,6 +54,44 @@ _OVERRIDE_TYPES = {
 }
 
 
+@dataclass(frozen=True)
+class _Cell:
+    """A variant taken apart once, so that nothing below asks it the same thing twice.
+
+    ``parts`` holds the elements of a list or the map of a record when the column
+    wants one, ``kind`` the variant's type otherwise.
+    """
+
+    value: Column
+    here: Column
+    kind: Column | None = None
+    parts: Column | None = None
+
+    NAMES = ("value", "here", "kind", "parts")
+
+    @classmethod
+    def open(cls, column, value: Column, *, element: bool = False) -> "_Cell":
+        here = value.isNotNull() & ~F.is_variant_null(value)
+        if column.repeated and not element:
+            return cls(value, here, parts=F.try_variant_get(value, "$", "array<variant>"))
+        if column.type == ct.RECORD:
+            return cls(value, here, parts=F.try_variant_get(value, "$", VARIANT_MAP))
+        return cls(value, here, kind=F.schema_of_variant(value))
+
+    def columns(self, prefix: str = "") -> list[Column]:
+        return [getattr(self, n).alias(prefix + n) for n in self.NAMES if getattr(self, n) is not None]
+
+    def read(self, at) -> "_Cell":
+        """The same cell where its parts have been computed."""
+        return _Cell(**{n: at(n) for n in self.NAMES if getattr(self, n) is not None})
+
+
+def _with_cell(cell: _Cell, use) -> Column:
+    """Compute a cell's parts once inside an expression and use them."""
+    bound = F.transform(F.array(F.struct(*cell.columns())), lambda x: use(cell.read(x.getField)))
+    return F.get(bound, F.lit(0))
+
+
 @dataclass(frozen=True)
 class _Reader:
     """Builds the value of a column from a variant, and what is wrong with it."""
@@ -68,133 +105,122 @@ class _Reader:
 
     # -- one object -----------------------------------------------------------------
 
-    def object_problems(self, row: Column, columns, path: str) -> list[Column]:
-        declared = F.array(*[F.lit(c.name) for c in columns])
-        extra = F.array_except(F.map_keys(row), declared)
-        found = [
-            F.when(
-                F.size(extra) > 0,
-                F.concat(F.lit(f"undeclared column {path}"), F.array_join(F.array_sort(extra), f", {path}")),
-            )
-        ]
+    def undeclared(self, entries: Column, columns, path: str) -> Column:
+        extra = F.array_except(F.map_keys(entries), F.array(*[F.lit(c.name) for c in columns]))
+        text = F.concat(F.lit(f"undeclared column {path}"), F.array_join(F.array_sort(extra), f", {path}"))
+        return F.when(F.size(extra) > 0, text)
+
+    def record_problems(self, entries: Column, columns, path: str) -> list[Column]:
+        found = [self.undeclared(entries, columns, path)]
         for column in columns:
-            found += self.column_problems(column, F.try_element_at(row, F.lit(column.name)), path + column.name)
+            cell = _Cell.open(column, F.try_element_at(entries, F.lit(column.name)))
+            label = path + column.name
+            found.append(_with_cell(cell, lambda c, col=column, at=label: _text(self.problems(col, c, at))))
         return found
 
-    def object_values(self, row: Column, columns) -> list[Column]:
-        return [self.column_value(c, F.try_element_at(row, F.lit(c.name))).alias(c.name) for c in columns]
+    def record_value(self, entries: Column, columns) -> Column:
+        fields = []
+        for column in columns:
+            cell = _Cell.open(column, F.try_element_at(entries, F.lit(column.name)))
+            fields.append(_with_cell(cell, lambda c, col=column: self.value(col, c)).alias(column.name))
+        return F.struct(*fields)
 
     # -- one column -----------------------------------------------------------------
 
-    def column_problems(self, column, value: Column, label: str) -> list[Column]:
-        here = _present(value)
+    def problems(self, column, cell: _Cell, label: str) -> list[Column]:
         found = []
         if column.required:
-            found.append(F.when(~here, f"column {label}: a REQUIRED column cannot be NULL"))
+            found.append(F.when(~cell.here, f"column {label}: a REQUIRED column cannot be NULL"))
         if not column.repeated:
-            return found + [F.when(here, p) for p in self.element_problems(column, value, label)]
-        is_list = F.schema_of_variant(value).startswith("ARRAY")
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        inner = F.transform(elements, lambda x: self._list_element_problem(column, x, label))
-        found.append(F.when(here & ~is_list, f"column {label}: a REPEATED column needs a list"))
-        found.append(
-            F.when(
-                here & is_list,
-                F.nullif(F.array_join(F.array_distinct(F.filter(inner, lambda t: t != "")), "; "), F.lit("")),
-            )
-        )
+            return found + [F.when(cell.here, p) for p in self.element_problems(column, cell, label)]
+        found.append(F.when(cell.here & cell.parts.isNull(), f"column {label}: a REPEATED column needs a list"))
+        inner = F.transform(cell.parts, lambda x: _with_cell(_Cell.open(column, x, element=True), self._list_check(column, label)))
+        found.append(F.nullif(F.array_join(F.array_distinct(inner), "; "), F.lit("")))
         return found
 
-    def _list_element_problem(self, column, element, label):
+    def _list_check(self, column, label):
         null = F.lit(f"column {label}: a repeated column cannot hold a NULL element")
-        return F.when(_present(element), gates.one_text(self.element_problems(column, element, label + "[]"))).otherwise(null)
+        return lambda cell: F.when(cell.here, _text(self.element_problems(column, cell, label + "[]"))).otherwise(null)
 
-    def element_problems(self, column, value: Column, label: str) -> list[Column]:
-        kind = F.schema_of_variant(value)
-        overridden = F.lit(False)
-        found = []
+    def element_problems(self, column, cell: _Cell, label: str) -> list[Column]:
+        if column.type == ct.RECORD:
+            kind = F.regexp_extract(F.schema_of_variant(cell.value), "^[A-Z_]+", 0)
+            wrong = F.concat(F.lit(f"column {label}: RECORD does not take "), kind)
+            inner = self.record_problems(cell.parts, column.fields, label + ".")
+            return [F.when(cell.parts.isNull(), wrong)] + [F.when(cell.parts.isNotNull(), p) for p in inner]
+        overridden, found = F.lit(False), []
         for name, override in self._overrides():
-            overridden = overridden | (kind == name)
+            overridden = overridden | (cell.kind == name)
             if override.target != column.type:
-                text = f"column {label}: the override of {override.source.simpleString()} declares {override.target}, but the column is {column.type}"
-                found.append(F.when(kind == name, text))
-        plain = F.lit(True) if not self._overrides() else ~overridden
-        wrong = ~self._is_accepted(column, kind)
-        found.append(
-            F.when(
-                plain & wrong,
-                F.concat(F.lit(f"column {label}: {column.type} does not take "), F.regexp_extract(kind, "^[A-Z_]+", 0)),
-            )
-        )
-        return found + [F.when(plain & ~wrong, p) for p in self._value_problems(column, value, kind, label)]
+                text = (
+                    f"column {label}: the override of {override.source.simpleString()} declares {override.target}, "
+                    f"but the column is {column.type}"
+                )
+                found.append(F.when(cell.kind == name, text))
+        accepted = self._is_accepted(column, cell.kind)
+        refused = F.concat(F.lit(f"column {label}: {column.type} does not take "), F.regexp_extract(cell.kind, "^[A-Z_]+", 0))
+        problem = F.when(~accepted, refused)
+        for p in self._value_problems(column, cell, label):
+            problem = problem.otherwise(p)
+        return found + [F.when(~overridden, problem) if self._overrides() else problem]
 
     def _is_accepted(self, column, kind: Column) -> Column:
         names = self.accepted[column.type]
-        exact = [n for n in names if n not in ("DECIMAL", "OBJECT")]
-        ok = kind.isin(exact) if exact else F.lit(False)
+        ok = kind.isin([n for n in names if n != "DECIMAL"])
         if "DECIMAL" in names:
             # A strict INTEGER takes a decimal without a scale: an unsigned number.
             whole_only = column.type == ct.INTEGER and self.source != "json"
-            ok = ok | (kind.rlike(r"^DECIMAL\(\d+,0\)$") if whole_only else kind.startswith("DECIMAL"))
-        return ok | kind.startswith("OBJECT") if "OBJECT" in names else ok
+            ok = ok | kind.startswith("DECIMAL") & (kind.endswith(",0)") if whole_only else F.lit(True))
+        return ok
 
-    def _value_problems(self, column, value, kind, label) -> list[Column]:
+    def _value_problems(self, column, cell: _Cell, label) -> list[Column]:
+        """At most one, for values of an accepted type."""
         if column.type == ct.INTEGER:
-            as_float = whole_float_problem(F.try_variant_get(value, "$", "double"))
-            exact = F.try_variant_get(value, "$", "decimal(38,0)")
+            as_float = whole_float_problem(F.try_variant_get(cell.value, "$", "double"))
+            exact = F.try_variant_get(cell.value, "$", "decimal(38,0)")
             too_big = F.when(
                 exact.isNull() | (exact > (1 << 63) - 1) | (exact < -(1 << 63)), F.lit("a whole number overflows INTEGER")
             )
-            decimal = F.when(kind.endswith(",0)"), too_big).otherwise(as_float)
-            problem = F.when(kind.isin("DOUBLE", "FLOAT"), as_float).when(kind.startswith("DECIMAL"), decimal)
+            problem = F.when(cell.kind == "BIGINT", None).when(cell.kind.endswith(",0)"), too_big).otherwise(as_float)
             return [F.concat(F.lit(f"column {label}: "), problem)]
         if column.type in (ct.NUMERIC, ct.BIGNUMERIC):
-            lost = F.try_variant_get(value, "$", column.element_type().simpleString()).isNull()
+            lost = F.try_variant_get(cell.value, "$", column.element_type().simpleString()).isNull()
             return [F.when(lost, f"column {label}: a number does not fit in {column.type}")]
         if column.type == ct.TIME:
-            return [
-                F.when(
-                    ~F.try_variant_get(value, "$", "string").rlike(TIME_PATTERN), f"column {label}: TIME does not take STRING"
-                )
-            ]
-        if column.type == ct.RECORD:
-            return self.object_problems(F.try_variant_get(value, "$", VARIANT_MAP), column.fields, label + ".")
+            malformed = ~F.try_variant_get(cell.value, "$", "string").rlike(TIME_PATTERN)
+            return [F.when(malformed, f"column {label}: TIME does not take STRING")]
         return []
 
-    def column_value(self, column, value: Column) -> Column:
+    def value(self, column, cell: _Cell) -> Column:
         if not column.repeated:
-            return self.element_value(column, value)
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        return F.transform(elements, lambda x: self.element_value(column, x))
+            return self.element_value(column, cell)
+        return F.transform(
+            cell.parts,
+            lambda x: _with_cell(_Cell.open(column, x, element=True), lambda c: self.element_value(column, c)),
+        )
 
-    def element_value(self, column, value: Column) -> Column:
-        plain = self._plain_value(column, value)
-        kind = F.schema_of_variant(value)
+    def element_value(self, column, cell: _Cell) -> Column:
+        if column.type == ct.RECORD:
+            return F.when(cell.parts.isNotNull(), self.record_value(cell.parts, column.fields))
+        plain = F.try_variant_get(cell.value, "$", column.element_type().simpleString())
+        if column.type == ct.JSON:
+            binary = F.try_variant_get(cell.value, "$", "binary").cast("string")
+            plain = F.nullif(F.when(cell.kind == "BINARY", binary).otherwise(plain), F.lit(""))
         for name, override in self._overrides():
             if override.target == column.type:
-                typed = F.try_variant_get(value, "$", override.source.simpleString())
+                typed = F.try_variant_get(cell.value, "$", override.source.simpleString())
                 converted = override.convert(typed).cast(column.element_type())
-                plain = F.when(kind == name, F.when(typed.isNotNull(), converted)).otherwise(plain)
+                plain = F.when(cell.kind == name, F.when(typed.isNotNull(), converted)).otherwise(plain)
         return plain
 
-    def _plain_value(self, column, value: Column) -> Column:
-        if column.type == ct.RECORD:
-            row = F.try_variant_get(value, "$", VARIANT_MAP)
-            return F.when(_present(value) & row.isNotNull(), F.struct(*self.object_values(row, column.fields)))
-        if column.type == ct.JSON:
-            binary = F.schema_of_variant(value) == "BINARY"
-            text = F.when(binary, F.try_variant_get(value, "$", "binary").cast("string"))
-            return F.nullif(text.otherwise(F.try_variant_get(value, "$", "string")), F.lit(""))
-        return F.try_variant_get(value, "$", column.element_type().simpleString())
-
     def _overrides(self):
         pairs = ((name, self.contract.overrides.lookup(dtype)) for name, dtype in _OVERRIDE_TYPES.items())
         return [(name, override) for name, override in pairs if override]
 
 
-def _present(value: Column) -> Column:
-    """A missing key and a JSON null are both NULL; ``isNull`` alone does not see the latter."""
-    return value.isNotNull() & ~F.is_variant_null(value)
+def _text(found: list[Column]) -> Column:
+    """What is wrong as one text, or NULL."""
+    return F.nullif(gates.one_text(found), F.lit(""))
 
 
 def conform_dynamic(
@@ -207,24 +233,51 @@ def conform_dynamic(
     ``source="json"``. ``mode`` is ``fail`` (a bad row fails the job), ``reasons``
     (an array of reasons per row) or ``values`` (conversion alone).
     ``row_id`` names the column a bad row is reported by.
+
+    Three projections, no shuffle: the entries of a row, its cells, and what is
+    made of them. Each step is used several times by the next, so Spark keeps
+    them apart and parses a row once. The verdict is part of the last projection
+    rather than a filter, which Spark would move below the others and so repeat
+    their work.
     """
     if not contract.is_dynamic:
         raise ContractError("a contract of a row type converts typed rows, not maps")
     if source not in ("variant", "json") or mode not in ("fail", "reasons", "values"):
         raise ContractError(f"unknown source {source!r} or mode {mode!r}")
-    reader = _Reader(contract, source)
-    column = F.col(f"`{row}`")
-    entries = F.try_variant_get(F.try_parse_json(column), "$", VARIANT_MAP) if source == "json" else column
+    reader, columns = _Reader(contract, source), contract.columns
+    given = F.col(f"`{row}`")
+    entries = F.try_variant_get(F.try_parse_json(given), "$", VARIANT_MAP) if source == "json" else given
     who = [F.col(f"`{row_id}`").alias("_row_id")] if row_id else []
-    df = df.select(*keep, *who, entries.alias("_entries"), column.isNull().alias("_null"))
+    carried = [*keep, *(["_row_id"] if row_id else [])]
+    rows = df.select(*keep, *who, entries.alias("_entries"), given.isNull().alias("_null"))
+
     entries = F.col("_entries")
+    cells = [_Cell.open(c, F.try_element_at(entries, F.lit(c.name))) for c in columns]
+    opened = [part for i, cell in enumerate(cells) for part in cell.columns(f"_{i}_")]
+    rows = rows.select(*carried, "_null", "_entries", *opened)
+    cells = [cell.read(lambda name, i=i: F.col(f"_{i}_{name}")) for i, cell in enumerate(cells)]
+
+    values = [reader.value(c, cell).alias(c.name) for c, cell in zip(columns, cells)]
+    if mode == "values":
+        return rows.select(*keep, *values)
     found = [
-        F.when(F.col("_null"), F.lit("the row is NULL")).when(entries.isNull(), F.lit("the row is not a JSON object"))
+        F.when(F.col("_null"), F.lit("the row is NULL")).when(entries.isNull(), F.lit("the row is not a JSON object")),
+        reader.undeclared(entries, columns, ""),
     ]
-    found += [F.when(entries.isNotNull(), p) for p in reader.object_problems(entries, contract.columns, "")]
-    values = reader.object_values(entries, contract.columns)
-    if mode == "fail":
-        who = F.col("_row_id") if row_id else None
-        return df.filter(gates.gate(found, who)).select(*keep, *values)
-    extra = [gates.reasons_array(found).alias(gates.REASONS)] if mode == "reasons" else []
-    return df.select(*keep, *values, *extra)
+    for column, cell in zip(columns, cells):
+        found += [F.when(entries.isNotNull(), p) for p in reader.problems(column, cell, column.name)]
+    if mode == "reasons":
+        return rows.select(*keep, *values, gates.once(gates.reasons_array(found)).alias(gates.REASONS))
+    refuse = gates.refusal(gates.one_text(found), F.col("_row_id") if row_id else None)
+    schema = contract.spark_schema()
+    good = F.when(gates.one_text(found) == "", F.struct(*values)).otherwise(refuse.cast(schema_without_modes(schema)))
+    return rows.select(*keep, good.alias("_out")).select(*keep, *[F.col("_out").getField(c.name).alias(c.name) for c in columns])
+
+
+def schema_without_modes(dtype: T.DataType) -> T.DataType:
+    """The same type with everything nullable."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, schema_without_modes(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(schema_without_modes(dtype.elementType), True)
+    return dtype

@@ -11,23 +11,33 @@ from ..functions.numbers import is_not_finite
 REASONS = "_reasons"
 
 
-def problems(columns, at=None, path: str = "", *, finite: bool = False, json: bool = True) -> list[Column]:
+def once(value: Column) -> Column:
+    """The value, kept where it is computed.
+
+    A filter on it would otherwise move below the projection and compute it, and
+    everything it is made of, once more per mention. An expression that looks
+    non-deterministic stays in place; the condition here always holds.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
+def problems(columns, at=None, path: str = "", *, finite: bool = False, json: bool = True, trusted=()) -> list[Column]:
     """One nullable text per condition; NULL where the row meets it.
 
     ``columns`` are the contract's and ``at`` reads one by name. ``finite`` also
     refuses NaN and infinity, which have no place in rendered JSON, and ``json``
-    checks the text of JSON columns.
+    checks the text of JSON columns, ``trusted`` ones aside.
     """
     at = at or (lambda name: F.col(f"`{name}`"))
     found: list[Column] = []
     for column in columns:
         value, label = at(column.name), path + column.name
         if column.repeated:
-            found += _repeated(column, value, label, finite, json)
+            found += _repeated(column, value, label, finite, json and label not in trusted)
             continue
         if column.required:
             found.append(F.when(value.isNull(), f"column {label}: a REQUIRED column cannot be NULL"))
-        found += _element(column, value, label, finite, json)
+        found += _element(column, value, label, finite, json and label not in trusted)
     return found
 
 
@@ -60,17 +70,31 @@ def one_text(found: list[Column]) -> Column:
 def gate(found: list[Column], row_id: Column | None = None) -> Column:
     """A filter condition that fails the task with the row's reasons instead of dropping the row."""
     text = one_text(found)
+    return F.when(text == "", F.lit(True)).otherwise(refusal(text, row_id).cast("boolean"))
+
+
+def refusal(text: Column, row_id: Column | None = None) -> Column:
+    """Fails the task when it is evaluated, naming the row where it can."""
     who = F.lit("") if row_id is None else F.concat(F.lit("row "), F.coalesce(row_id.cast("string"), F.lit("?")), F.lit(": "))
-    return F.when(text == "", F.lit(True)).otherwise(F.raise_error(F.concat(who, text)).cast("boolean"))
+    return F.raise_error(F.concat(who, text))
 
 
-def enforce(df: DataFrame, columns, *, row_id: str | None = None, finite: bool = False, json: bool = True) -> DataFrame:
+def enforce(
+    df: DataFrame, columns, *, row_id: str | None = None, finite: bool = False, json: bool = True, trusted=(),
+    costly: bool = False,
+) -> DataFrame:
     """Fail the job on a row that breaks the contract.
 
     It is a filter rather than a column, so pruning columns cannot remove it.
+    ``costly`` columns are computed before the filter, and once.
     """
-    found = problems(columns, finite=finite, json=json)
-    return df.filter(gate(found, F.col(f"`{row_id}`") if row_id else None)) if found else df
+    found = problems(columns, finite=finite, json=json, trusted=trusted)
+    if not found:
+        return df
+    who = F.col(f"`{row_id}`") if row_id else None
+    if not costly:
+        return df.filter(gate(found, who))
+    return df.withColumn(REASONS, once(one_text(found))).filter(gate([F.col(REASONS)], who)).drop(REASONS)
 
 
 def reasons_array(found: list[Column]) -> Column:
@@ -80,7 +104,7 @@ def reasons_array(found: list[Column]) -> Column:
 
 def with_reasons(df: DataFrame, columns, *, finite: bool = False, json: bool = True) -> DataFrame:
     """The rows with an array of what is wrong with each; empty when nothing is."""
-    return df.withColumn(REASONS, reasons_array(problems(columns, finite=finite, json=json)))
+    return df.withColumn(REASONS, once(reasons_array(problems(columns, finite=finite, json=json))))
 
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
