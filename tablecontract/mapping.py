@@ -49,10 +49,11 @@ class Overrides:
     """Registered mappings by source type; the last registration of a type wins."""
 
     def __init__(self, overrides=()):
-        self._by_type = {o.source: o for o in overrides}
+        self._latest_first = tuple(reversed(tuple(overrides)))
 
     def lookup(self, dtype: T.DataType) -> Override | None:
-        return self._by_type.get(dtype)
+        same = (o for o in self._latest_first if type(o.source) is type(dtype) and ct.same_type(o.source, dtype))
+        return next(same, None)
 
 
 @dataclass(frozen=True)

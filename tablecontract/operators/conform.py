@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .. import types as ct
 from ..contract import Contract
@@ -47,7 +47,7 @@ def check_row_type(df: DataFrame, contract: Contract) -> None:
     for field in contract.row_type.fields:
         if field.name not in have:
             problems.append(f"{field.name} is missing")
-        elif not same_type(have[field.name], field.dataType):
+        elif not ct.same_type(have[field.name], field.dataType):
             problems.append(
                 f"{field.name} is {have[field.name].simpleString()}, the contract reads {field.dataType.simpleString()}"
             )
@@ -55,23 +55,6 @@ def check_row_type(df: DataFrame, contract: Contract) -> None:
         raise BatchTypeError("the batch is not what the contract describes: " + "; ".join(problems))
 
 
-def same_type(left, right) -> bool:
-    """Equal Spark types, nullability and metadata aside."""
-    return _plain(left) == _plain(right)
-
-
-def _plain(dtype):
-    if isinstance(dtype, T.UserDefinedType):
-        return _plain(dtype.sqlType())
-    if isinstance(dtype, T.ArrayType):
-        return ("array", _plain(dtype.elementType))
-    if isinstance(dtype, T.MapType):
-        return ("map", _plain(dtype.keyType), _plain(dtype.valueType))
-    if isinstance(dtype, T.StructType):
-        return ("struct", tuple((f.name, _plain(f.dataType)) for f in dtype.fields))
-    return dtype.simpleString()
-
-
 def _declared(column: ct.TableColumn, present):
     if column.name in present:
         return F.col(f"`{column.name}`")

@@ -378,20 +378,23 @@ def q_override(t):
 
 
 @query(
-    """SELECT CAST(NULL AS VARCHAR) AS note, r_regionkey AS id, r_name AS name, CAST(NULL AS VARCHAR) AS amount, n_name AS nation
-       FROM (SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+    """SELECT CAST(NULL AS VARCHAR) AS note, CAST(c_nationkey AS BIGINT) AS nation, c_name AS name,
+              CAST(NULL AS VARCHAR) AS amount, c_custkey AS id FROM customer"""
 )
 def q_wide_read(t):
     """A table may be wider than the rows written to it."""
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     contract = Contract.of(
-        row(column("r_regionkey", INT, name="id"), column("r_name", TEXT, name="name"), column("n_name", TEXT, name="nation")),
+        row(
+            column("c_custkey", LONG, name="id"),
+            column("c_name", TEXT, name="name"),
+            column("c_nationkey", INT, name="nation"),
+        ),
         columns=[
             TableColumn("note", "STRING"),
-            TableColumn("id", "INTEGER"),
+            TableColumn("nation", "INTEGER"),
             TableColumn("name", "STRING"),
             TableColumn("amount", "NUMERIC"),
-            TableColumn("nation", "STRING"),
+            TableColumn("id", "INTEGER"),
         ],
     )
-    return conform(rows.select("r_regionkey", "r_name", "n_name"), contract, wide=True)
+    return conform(t.customer, contract, wide=True)

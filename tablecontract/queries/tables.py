@@ -168,7 +168,7 @@ def q_clustered_write(t):
 
 
 @query(
-    """SELECT event_type, count(*) AS rows, count(*) AS ids, 1 AS sinks FROM events GROUP BY event_type"""
+    """SELECT event_type, count(*) AS rows, count(*) AS ids, CAST(1 AS BIGINT) AS sinks FROM events GROUP BY event_type"""
 )
 def q_keyless_row_ids(t):
     """Rows without a key get ids from their place in staged files."""
@@ -178,7 +178,7 @@ def q_keyless_row_ids(t):
     return once.groupBy("event_type").agg(
         F.sum("n").alias("rows"),
         F.count(F.lit(1)).alias("ids"),
-        F.when(F.min("sink") == F.max("sink"), 1).otherwise(2).alias("sinks"),
+        F.when(F.min("sink") == F.max("sink"), 1).otherwise(2).cast("bigint").alias("sinks"),
     )
 
 

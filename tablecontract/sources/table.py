@@ -15,7 +15,7 @@ from ..contract import ROW_ID, Contract
 from ..errors import BatchTypeError, ContractError, SchemaConflictError, ShortWriteError
 from ..functions import ids
 from ..layout import PARTITION_COLUMN
-from ..operators.conform import conform, same_type
+from ..operators.conform import conform
 from ..operators.dynamic import conform_dynamic
 from ..operators.enrich import (
     PLACE,
@@ -173,7 +173,7 @@ class GovernedTable:
             return AppendResult(0)
         first = batches[0]
         for i, other in enumerate(batches[1:], 1):
-            if not same_type(first.schema, other.schema):
+            if not ct.same_type(first.schema, other.schema):
                 raise BatchTypeError(f"batch {i} is not of the type of batch 0; every row has to be of one type")
         for other in batches[1:]:
             first = first.unionByName(other)

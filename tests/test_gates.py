@@ -1,0 +1,136 @@
+"""Rows that break their contract: failing the batch, or split off with reasons."""
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tablecontract import Contract, TableColumn as Col, column, conform, enforce, split, violation_report, with_reasons
+from tablecontract.functions.jsontext import compact, is_json
+from tablecontract.functions.numbers import whole_float_problem, whole_float_to_integer
+from tablecontract.operators.gates import REASONS
+
+COLUMNS = [
+    Col("id", "INTEGER", required=True),
+    Col("doc", "JSON"),
+    Col("tags", "STRING", repeated=True),
+    Col("docs", "JSON", repeated=True),
+    Col("inner", "RECORD", fields=[Col("a", "STRING", required=True), Col("f", "FLOAT")]),
+    Col("items", "RECORD", repeated=True, fields=[Col("n", "INTEGER", required=True)]),
+]
+GOOD = {
+    "id": "1L", "doc": "'{\"a\":1}'", "tags": "array('x')", "docs": "array('1')",
+    "inner": "named_struct('a','x','f',1.5D)", "items": "array(named_struct('n',1L))",
+}
+
+
+def row(spark, **changes):
+    return spark.range(1).select(*[F.expr(v).alias(k) for k, v in {**GOOD, **changes}.items()])
+
+
+def reasons(df, **options):
+    return with_reasons(df, COLUMNS, **options).first()[REASONS]
+
+
+REQUIRED = "a REQUIRED column cannot be NULL"
+
+
+@pytest.mark.parametrize(
+    "changes, expected",
+    [
+        ({}, []),
+        ({"id": "cast(null as bigint)"}, [f"column id: {REQUIRED}"]),
+        ({"doc": "'{\"a\":1}x'"}, ["column doc: not valid JSON"]),
+        ({"doc": "''"}, []),
+        ({"tags": "array('x', null)"}, ["column tags: a repeated column cannot hold a NULL element"]),
+        ({"docs": "array('1', 'x', 'y')"}, ["column docs[]: not valid JSON"]),
+        ({"inner": "named_struct('a',cast(null as string),'f',1D)"}, [f"column inner.a: {REQUIRED}"]),
+        ({"inner": "cast(null as struct<a:string,f:double>)"}, []),
+        ({"items": "array(named_struct('n',1L), named_struct('n',cast(null as bigint)))"}, [f"column items[].n: {REQUIRED}"]),
+        ({"items": "cast(null as array<struct<n:bigint>>)", "tags": "cast(null as array<string>)"}, []),
+        (
+            {"id": "cast(null as bigint)", "doc": "'['"},
+            [f"column id: {REQUIRED}", "column doc: not valid JSON"],
+        ),
+    ],
+)
+def test_reasons(spark, changes, expected):
+    assert reasons(row(spark, **changes)) == expected
+
+
+def test_only_rendering_asks_for_finite_floats(spark):
+    nan = row(spark, inner="named_struct('a','x','f',double('NaN'))")
+    assert reasons(nan) == []
+    assert reasons(nan, finite=True) == ["column inner.f: NaN and infinity have no JSON form"]
+
+
+def test_fail_names_the_row_and_survives_pruning(spark):
+    bad = row(spark, id="cast(null as bigint)").withColumn("who", F.lit("row-7"))
+    for costly in (False, True):
+        with pytest.raises(Exception, match="row row-7: column id"):
+            enforce(bad, COLUMNS, row_id="who", costly=costly).select("tags").collect()
+        assert enforce(row(spark), COLUMNS, costly=costly).count() == 1
+
+
+def test_split_and_report(spark):
+    rows = spark.range(100).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("id"), F.when(F.col("id") % 4 == 0, "{").otherwise("{}").alias("doc")
+    )
+    marked = with_reasons(rows, COLUMNS[:2])
+    accepted, rejected = split(marked)
+    assert (accepted.count(), rejected.count()) == (70, 30)
+    assert REASONS not in accepted.columns
+    counts = {r.reason: r.rows for r in violation_report(marked).collect()}
+    assert counts == {f"column id: {REQUIRED}": 10, "column doc: not valid JSON": 25}
+
+
+def test_the_report_counts_before_it_shuffles(spark):
+    plan = violation_report(with_reasons(row(spark), COLUMNS))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_count") == 1 and plan.count("Exchange") == 1
+
+
+def test_a_filter_on_reasons_does_not_repeat_the_work(spark):
+    rows = spark.range(10).select(F.concat(F.lit("{"), F.col("id"), F.lit("}")).alias("doc"))
+    _, rejected = split(with_reasons(rows, [Col("doc", "JSON")]))
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2
+
+
+def test_json_written_here_is_not_parsed_again(spark):
+    contract = Contract.of(T.StructType([column("m", T.MapType(T.StringType(), T.LongType()))]))
+    out = conform(spark.range(1).select(F.create_map(F.lit("a"), F.col("id")).alias("m")), contract)
+    assert "parseJson" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+# -- V6 and V5 --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("text", ['{"a":1}', "[1,2]", '"x"', "null", " 1 ", "1e5", '{"a":{"b":[]}}', "true"])
+def test_valid_json(spark, text):
+    assert spark.range(1).select(is_json(F.lit(text))).first()[0] is True
+
+
+@pytest.mark.parametrize("text", ["", " ", '{"a":1}x', "1 2", "1}", '1,"b":2', "1]", "],[", "1],[2", "{", "'x'", "{a:1}", "01", '1}, {'])
+def test_invalid_json(spark, text):
+    assert spark.range(1).select(is_json(F.lit(text))).first()[0] is False
+
+
+def test_compact_keeps_strings_numbers_and_order(spark):
+    text = '{ "b c" : [ 1.50 , 2E3 ] ,\n"a\\" " : " x  y\\\\" }'
+    got = spark.range(1).select(compact(F.lit(text))).first()[0]
+    assert got == '{"b c":[1.50,2E3],"a\\" ":" x  y\\\\"}'
+    long = '{"k": "' + "a\\n b" * 200_000 + '"}'
+    assert spark.createDataFrame([(long,)], "t string").select(F.length(compact(F.col("t")))).first()[0] == len(long) - 1
+
+
+@pytest.mark.parametrize(
+    "sql, expected",
+    [
+        ("7.0D", 7), ("-3D", -3), ("1.5D", None), ("double('NaN')", None), ("double('Infinity')", None), ("double('-Infinity')", None),
+        ("9223372036854775808D", None), ("9223372036854775807D", None), ("-9223372036854775808D", -(2**63)), ("1e30D", None),
+        ("-1e30D", None), ("-0.0D", 0), ("cast(null as double)", None),
+    ],
+)
+def test_whole_floats(spark, sql, expected):
+    value = F.expr(sql)
+    got, problem = spark.range(1).select(whole_float_to_integer(value), whole_float_problem(value)).first()
+    assert got == expected
+    assert (problem is None) == (expected is not None or "null" in sql)
