@@ -63,6 +63,14 @@ class Files:
         finally:
             fs.delete(aside, False)
 
+    def move_folder(self, source: str, target: str) -> None:
+        """Make a finished folder appear under another name, all of it at once."""
+        fs, src = self._at(source)
+        dst = self._jvm.org.apache.hadoop.fs.Path(target)
+        fs.mkdirs(dst.getParent())
+        if fs.exists(dst) or not fs.rename(src, dst):
+            raise OSError(f"cannot move {source} to {target}")
+
     def _move_new(self, fs, source, target) -> bool:
         if fs.getUri().getScheme() == "file":
             try:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import threading
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -38,6 +39,9 @@ LOGGER = logging.getLogger("tablecontract")
 # Bytes of staged data per task of a clustered write.
 CLUSTER_TASK_BYTES = 128 * 1024 * 1024
 
+# A batch id names a folder.
+_BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
+
 # A user's own sink: given the prepared rows, says how many it delivered.
 Writer = Callable[[DataFrame, AppendInfo], int]
 
@@ -150,8 +154,8 @@ class GovernedTable:
         """Append one batch; a row that breaks the contract fails all of it.
 
         ``staged`` writes the batch beside the table first and loads it from
-        there; ``keep`` leaves the staged files. An empty batch does not start
-        anything.
+        there; ``keep`` leaves the staged files. A ``batch_id`` that landed before
+        is not appended again. An empty batch does not start anything.
         """
         if self._outcome is None and df.isEmpty():
             return AppendResult(0)
@@ -162,7 +166,7 @@ class GovernedTable:
             return self._append_by_writer(df, info)
         if self.needs_staging(version) or staged:
             return self._append_staged(df, info, version, keep)
-        rows = self._write(self.prepare(df, info), version)
+        rows = self._write(self.prepare(df, info), version, info.batch_id)
         self.log.info("appended %d rows as batch %s", rows, info.batch_id)
         return AppendResult(rows, info.batch_id)
 
@@ -193,6 +197,8 @@ class GovernedTable:
 
     def info(self, batch_id: str | None = None, id_millis: int | None = None) -> AppendInfo:
         now = self.clock()
+        if batch_id is not None and not _BATCH_ID.fullmatch(batch_id):
+            raise ContractError(f"the batch id {batch_id!r} has other characters than letters, digits, _ and -")
         with self._lock:
             # No two batches of a sink share the time in their row ids.
             millis = id_millis if id_millis is not None else max(_millis(now), self._last_millis + 1)
@@ -256,13 +262,13 @@ class GovernedTable:
         """Write rows aside and count them in the same job."""
         counter = Observation()
         rows = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-        _writer(rows, mode).option("maxRecordsPerFile", ids.ROWS_PER_FILE).parquet(path)
+        rows.write.mode(mode).option("maxRecordsPerFile", ids.ROWS_PER_FILE).parquet(path)
         return counter.get["rows"]
 
     def load(self, staged: DataFrame, info: AppendInfo, version: TableVersion, *, raw: bool, size: int) -> int:
         """Append ``size`` bytes read back from staging; ``raw`` rows are still to be prepared."""
         rows = self.prepare(staged, info, keep=(PLACE,)) if raw else staged
-        return self._write(rows, version, size)
+        return self._write(rows, version, info.batch_id, size)
 
     def remove(self, path: str) -> None:
         """Rows that landed stay landed when their staged copy cannot be removed."""
@@ -271,16 +277,38 @@ class GovernedTable:
         except Exception as err:
             self.log.warning("could not remove the staged rows in %s: %s", path, err)
 
-    def _write(self, rows: DataFrame, version: TableVersion, size: int = 0) -> int:
+    def _write(self, rows: DataFrame, version: TableVersion, batch_id: str, size: int = 0) -> int:
+        """One job into a folder of its own, which then becomes part of the table.
+
+        Jobs that append to one folder share their temporary files and undo each
+        other; with a folder per batch, batches may be appended side by side,
+        readers see all of a batch or none, and one that already landed under
+        its id is not written again.
+        """
         counter = Observation()
-        out = self._stored(rows, version)
-        out = self._distribute(out, version, size).observe(counter, F.count(F.lit(1)).alias("rows"))
-        writer = _writer(out.drop(PLACE), "append")
-        if version.layout.partition_by:
-            writer = writer.partitionBy(PARTITION_COLUMN)
-        writer.parquet(self.data_path(version))
+        out = self._distribute(self._stored(rows, version), version, size)
+        out = out.observe(counter, F.count(F.lit(1)).alias("rows")).drop(PLACE)
+        if not self.managed:
+            self._writer(out, version, "append").parquet(self.location)
+            return counter.get["rows"]
+        target = f"{self.data_path(version)}/batch={batch_id}"
+        if self.store.files.exists(target):
+            self.log.info("batch %s has landed before", batch_id)
+            return self.spark.read.parquet(target).count()
+        aside = f"{self.location}/_staging/load-{batch_id}"
+        try:
+            self._writer(out, version, "overwrite").parquet(aside)
+            if counter.get["rows"]:
+                self.store.files.move_folder(aside, target)
+        finally:
+            if self.store.files.exists(aside):
+                self.remove(aside)
         return counter.get["rows"]
 
+    def _writer(self, df: DataFrame, version: TableVersion, mode: str):
+        writer = df.write.mode(mode)
+        return writer.partitionBy(PARTITION_COLUMN) if version.layout.partition_by else writer
+
     def data_path(self, version: TableVersion) -> str:
         return self.store.data(version.generation) if self.managed else self.location
 
@@ -390,10 +418,8 @@ class GovernedTable:
         kept = self.spark.read.schema(T.StructType(fields)).parquet(old)
         before = set(kept.inputFiles())
         counter = Observation()
-        writer = _writer(kept.observe(counter, F.count(F.lit(1)).alias("rows")), "overwrite")
-        if version.layout.partition_by:
-            writer = writer.partitionBy(PARTITION_COLUMN)
-        writer.parquet(new)
+        counted = kept.select(*T.StructType(fields).names).observe(counter, F.count(F.lit(1)).alias("rows"))
+        self._writer(counted, version, "overwrite").parquet(f"{new}/batch=rewrite-{version.version}")
         if set(self.spark.read.schema(T.StructType(fields)).parquet(old).inputFiles()) != before:
             raise ShortWriteError("rows arrived during the rewrite; the old generation stays in place")
         plain = tuple(version.columns)
@@ -405,10 +431,5 @@ class GovernedTable:
         return published
 
 
-def _writer(df: DataFrame, mode: str):
-    # Files appear only when the whole job commits.
-    return df.write.mode(mode).option("mapreduce.fileoutputcommitter.algorithm.version", "1")
-
-
 def _millis(moment: datetime) -> int:
     return int(moment.timestamp() * 1000)

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from ..errors import ClosedError, ContractError
+from ..errors import ClosedError, ConcurrentChangeError, ContractError
 from ..operators.enrich import with_place
 from ..sources.files import Files
 from ..sources.table import AppendResult, GovernedTable
@@ -21,9 +21,9 @@ class TableSink:
     Held rows are parquet files below the table, already prepared and with their
     ids, so a restart finds them and a repeated micro-batch replaces its own.
     When the threshold is reached everything held becomes one append: a batch is
-    never cut, so an append may be larger than the threshold. A crash between an
-    append and the removal of what was held repeats those rows under the same
-    ids.
+    never cut, so an append may be larger than the threshold. What an append
+    takes is noted first: after a crash it is finished under the same batch id,
+    which a table does not take twice.
     """
 
     def __init__(self, table: GovernedTable, *, flush_rows: int = 0, name: str = "sink"):
@@ -31,6 +31,7 @@ class TableSink:
             raise ContractError(f"flush_rows is {flush_rows}, which is not a number of rows")
         self.table, self.flush_rows = table, flush_rows
         self._pending = f"{table.location}/_pending/{name}"
+        self._intent = f"{table.location}/_pending/{name}.json"
         self._files = Files(table.spark)
         self._held: dict[str, int] | None = None
         self._errors: list[Exception] = []
@@ -135,20 +136,35 @@ class TableSink:
                 path = f"{self._pending}/{name}"
                 if self._files.exists(f"{path}/_SUCCESS"):
                     self._held[name] = self.table.spark.read.parquet(path).count()
+            if self._files.exists(self._intent):
+                self._finish_append()
         return self._held
 
     def _append_held(self) -> int:
-        table, names = self.table, sorted(self._held_rows())
-        paths = [f"{self._pending}/{name}" for name in names]
-        version = table.start()
-        written = table.contract.written_columns()
-        held = with_place(table.spark.read.schema(spark_schema(written)).parquet(*paths))
-        size = sum(self._files.size(path) for path in paths)
-        rows = table.load(held, table.info(), version, raw=False, size=size)
-        for name, path in zip(names, paths):
-            table.remove(path)
-            self._held.pop(name)
-        table.log.info("appended %d held rows of %d batches", rows, len(names))
+        held = self._held_rows()
+        rows = self._finish_append() if self._files.exists(self._intent) else 0
+        if not held:
+            return rows
+        note = json.dumps({"batch_id": self.table.info().batch_id, "held": sorted(held)})
+        if not self._files.create_new(self._intent, note):
+            raise ConcurrentChangeError(f"{self._pending} is being appended by someone else")
+        return rows + self._finish_append()
+
+    def _finish_append(self) -> int:
+        """Append what the note says, unless that batch is in the table already, and let go of it."""
+        table, note = self.table, json.loads(self._files.read_text(self._intent))
+        info, version = table.info(note["batch_id"]), table.start()
+        paths = [p for p in (f"{self._pending}/{name}" for name in note["held"]) if self._files.exists(p)]
+        rows = 0
+        if paths:
+            schema = spark_schema(table.contract.written_columns())
+            held = with_place(table.spark.read.schema(schema).parquet(*paths))
+            rows = table.load(held, info, version, raw=False, size=sum(map(self._files.size, paths)))
+        for name in note["held"]:
+            table.remove(f"{self._pending}/{name}")
+            self._held.pop(name, None)
+        self._files.delete(self._intent)
+        table.log.info("appended %d held rows of %d batches", rows, len(paths))
         return rows
 
 
