@@ -30,7 +30,7 @@ def new_uuid7(millis: int | None = None) -> str:
 def uuid7_from_hash(millis: int | Column, digest: Column) -> Column:
     """``digest`` is hexadecimal text of at least 20 digits."""
     stamp = _stamp(millis)
-    variant = F.substring(F.lit("89ab"), F.conv(F.substr(digest, F.lit(4), F.lit(1)), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    variant = F.translate(F.substr(digest, F.lit(4), F.lit(1)), "0123456789abcdef", "89ab" * 4)
     return F.concat_ws(
         "-",
         F.substr(stamp, F.lit(1), F.lit(8)),

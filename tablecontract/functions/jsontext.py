@@ -13,21 +13,33 @@ KEEP_NULLS = {"ignoreNullFields": "false"}
 _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+'
 
 
+# Follows a text to show that parsing got past its end. A text that holds it
+# itself takes the longer way.
+_END = "~end of text~"
+
+
 def is_json(text: Column) -> Column:
     """True when the text is exactly one JSON value.
 
-    ``try_parse_json`` ignores what follows the first value, so the text has to
-    parse both as a member of an object and as the only element of an array.
+    ``try_parse_json`` ignores what follows the first value. As the first of two
+    elements, with a known second one, the text has to be one value to its end.
     """
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    reached = F.try_variant_get(pair, "$[1]", "string") == _END
+    return F.coalesce(F.when(text.contains(_END), _is_json_two_ways(text)).otherwise(reached), F.lit(False))
+
+
+def _is_json_two_ways(text: Column) -> Column:
+    """Both as a member of an object and as the only element of an array."""
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    one = F.size(F.try_variant_get(in_array, "$", "array<variant>")) == 1
-    return F.coalesce(in_object.isNotNull() & one, F.lit(False))
+    return in_object.isNotNull() & (F.size(F.try_variant_get(in_array, "$", "array<variant>")) == 1)
 
 
 def compact(text: Column) -> Column:
     """The same JSON without white space between tokens; numbers, keys and their order are kept."""
-    return F.regexp_replace(text, _STRING_OR_SPACE, "$1")
+    spaced = text.contains(" ") | text.contains("\n") | text.contains("\t") | text.contains("\r")
+    return F.when(spaced, F.regexp_replace(text, _STRING_OR_SPACE, "$1")).otherwise(text)
 
 
 def to_json(value: Column) -> Column:
@@ -50,7 +62,7 @@ def ready_for_json(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampNTZType):
         return civil_datetime_text(value)
     if isinstance(dtype, T.DecimalType):
-        return decimal_text(value)
+        return decimal_text(value, dtype.scale)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         refuse = F.raise_error(F.lit("NaN and infinity have no JSON form")).cast(dtype)
         return F.when(is_not_finite(value), refuse).otherwise(value)

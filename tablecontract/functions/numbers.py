@@ -31,12 +31,19 @@ def whole_float_to_integer(value: Column) -> Column:
     return F.when(is_whole_float(value), value.cast("bigint"))
 
 
-def decimal_text(value: Column) -> Column:
+def decimal_text(value: Column, scale: int) -> Column:
     """A whole value without a fraction, any other with every digit of the column's scale."""
-    # A remainder keeps its exact type, where comparing with floor() would round
-    # a decimal of 38 digits to find a common one.
-    whole = value % F.lit(1).cast("decimal(1,0)") == 0
-    return F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
+    if scale == 0:
+        return value.cast("string")
+    text = value.cast("string")
+    # Outside ANSI mode Spark writes very small decimals with an exponent.
+    digits = (F.abs(value) * F.lit(10**scale).cast(f"decimal({scale + 1},0)")).cast("decimal(38,0)").cast("string")
+    small = F.concat(F.when(value < 0, "-0.").otherwise("0."), F.lpad(digits, scale, "0"))
+    return (
+        F.when(text.contains("E"), F.when(value == 0, "0").otherwise(small))
+        .when(F.rtrim(text, F.lit("0")).endswith("."), F.substring_index(text, ".", 1))
+        .otherwise(text)
+    )
 
 
 def is_not_finite(value: Column) -> Column:

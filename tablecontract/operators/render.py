@@ -91,7 +91,7 @@ def _value(column, value: Column, dialect) -> Column:
 
 
 def _changes(column, dialect) -> bool:
-    return column.type in _TEXT_OF or column.type in (ct.TIMESTAMP, ct.RECORD, ct.JSON)
+    return column.type in _TEXT_OF or column.type in (ct.TIMESTAMP, ct.RECORD, ct.JSON, ct.NUMERIC, ct.BIGNUMERIC)
 
 
 def _element(column, value: Column, dialect) -> Column:
@@ -103,6 +103,8 @@ def _element(column, value: Column, dialect) -> Column:
         return temporal.rfc3339(value) if dialect == LOAD else F.unix_micros(value)
     if column.type == ct.JSON:
         return F.nullif(value, F.lit(""))
+    if column.type in (ct.NUMERIC, ct.BIGNUMERIC):
+        return numbers.decimal_text(value, column.decimal_shape()[1])
     return _TEXT_OF[column.type](value)
 
 
@@ -110,8 +112,6 @@ _TEXT_OF = {
     ct.DATE: lambda c: c.cast("string"),
     ct.DATETIME: temporal.civil_datetime_text,
     ct.TIME: temporal.civil_time_text,
-    ct.NUMERIC: numbers.decimal_text,
-    ct.BIGNUMERIC: numbers.decimal_text,
 }
 
 
