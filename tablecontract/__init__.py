@@ -23,7 +23,7 @@ from .options import column, parse_labels
 from .plans.diff import SchemaDiff, diff_columns, merge_columns
 from .plans.strategy import AddColumns, LeaveAlone, SchemaChange, Synchronise, TableState
 from .sources.relation import Relation
-from .sources.table import AppendResult, GovernedTable
+from .sources.table import AppendResult, GovernedTable, stored_contract
 from .streaming.dedup import deduplicate_stream
 from .streaming.sink import TableSink, open_stream
 from .types import TableColumn

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -94,10 +94,20 @@ def _with_cell(cell: _Cell, use) -> Column:
 
 @dataclass(frozen=True)
 class _Reader:
-    """Builds the value of a column from a variant, and what is wrong with it."""
+    """Builds the value of a column from a variant, and what is wrong with it.
+
+    ``cells`` holds what earlier projections have taken apart, by path.
+    """
 
     contract: Contract
     source: str
+    cells: dict[str, _Cell] = field(default_factory=dict)
+
+    def with_field(self, entries: Column, column, path: str, use) -> Column:
+        """Use a field's cell: one computed before, or one bound inside the expression."""
+        if path in self.cells:
+            return use(self.cells[path])
+        return _with_cell(_Cell.open(column, F.try_element_at(entries, F.lit(column.name))), use)
 
     @property
     def accepted(self):
@@ -108,21 +118,23 @@ class _Reader:
     def undeclared(self, entries: Column, columns, path: str) -> Column:
         extra = F.array_except(F.map_keys(entries), F.array(*[F.lit(c.name) for c in columns]))
         text = F.concat(F.lit(f"undeclared column {path}"), F.array_join(F.array_sort(extra), f", {path}"))
-        return F.when(F.size(extra) > 0, text)
+        return gates.problem(F.size(extra) > 0, text)
 
     def record_problems(self, entries: Column, columns, path: str) -> list[Column]:
         found = [self.undeclared(entries, columns, path)]
         for column in columns:
-            cell = _Cell.open(column, F.try_element_at(entries, F.lit(column.name)))
             label = path + column.name
-            found.append(_with_cell(cell, lambda c, col=column, at=label: _text(self.problems(col, c, at))))
+            found.append(
+                self.with_field(entries, column, label, lambda c, col=column, at=label: gates.one_text(self.problems(col, c, at)))
+            )
         return found
 
-    def record_value(self, entries: Column, columns) -> Column:
+    def record_value(self, entries: Column, columns, path: str) -> Column:
         fields = []
         for column in columns:
-            cell = _Cell.open(column, F.try_element_at(entries, F.lit(column.name)))
-            fields.append(_with_cell(cell, lambda c, col=column: self.value(col, c)).alias(column.name))
+            label = path + column.name
+            value = self.with_field(entries, column, label, lambda c, col=column, at=label: self.value(col, c, at))
+            fields.append(value.alias(column.name))
         return F.struct(*fields)
 
     # -- one column -----------------------------------------------------------------
@@ -130,24 +142,24 @@ class _Reader:
     def problems(self, column, cell: _Cell, label: str) -> list[Column]:
         found = []
         if column.required:
-            found.append(F.when(~cell.here, f"column {label}: a REQUIRED column cannot be NULL"))
+            found.append(gates.problem(~cell.here, f"column {label}: a REQUIRED column cannot be NULL"))
         if not column.repeated:
             return found + [F.when(cell.here, p) for p in self.element_problems(column, cell, label)]
-        found.append(F.when(cell.here & cell.parts.isNull(), f"column {label}: a REPEATED column needs a list"))
+        found.append(gates.problem(cell.here & cell.parts.isNull(), f"column {label}: a REPEATED column needs a list"))
         inner = F.transform(cell.parts, lambda x: _with_cell(_Cell.open(column, x, element=True), self._list_check(column, label)))
-        found.append(F.nullif(F.array_join(F.array_distinct(inner), "; "), F.lit("")))
+        found.append(F.array_join(F.array_distinct(inner), ""))
         return found
 
     def _list_check(self, column, label):
-        null = F.lit(f"column {label}: a repeated column cannot hold a NULL element")
-        return lambda cell: F.when(cell.here, _text(self.element_problems(column, cell, label + "[]"))).otherwise(null)
+        null = F.lit(f"column {label}: a repeated column cannot hold a NULL element{gates.BREAK}")
+        return lambda cell: F.when(cell.here, gates.one_text(self.element_problems(column, cell, label + "[]"))).otherwise(null)
 
     def element_problems(self, column, cell: _Cell, label: str) -> list[Column]:
         if column.type == ct.RECORD:
             kind = F.regexp_extract(F.schema_of_variant(cell.value), "^[A-Z_]+", 0)
             wrong = F.concat(F.lit(f"column {label}: RECORD does not take "), kind)
             inner = self.record_problems(cell.parts, column.fields, label + ".")
-            return [F.when(cell.parts.isNull(), wrong)] + [F.when(cell.parts.isNotNull(), p) for p in inner]
+            return [gates.problem(cell.parts.isNull(), wrong)] + [F.when(cell.parts.isNotNull(), p) for p in inner]
         overridden, found = F.lit(False), []
         for name, override in self._overrides():
             overridden = overridden | (cell.kind == name)
@@ -156,10 +168,10 @@ class _Reader:
                     f"column {label}: the override of {override.source.simpleString()} declares {override.target}, "
                     f"but the column is {column.type}"
                 )
-                found.append(F.when(cell.kind == name, text))
+                found.append(gates.problem(cell.kind == name, text))
         accepted = self._is_accepted(column, cell.kind)
         refused = F.concat(F.lit(f"column {label}: {column.type} does not take "), F.regexp_extract(cell.kind, "^[A-Z_]+", 0))
-        problem = F.when(~accepted, refused)
+        problem = gates.problem(~accepted, refused)
         for p in self._value_problems(column, cell, label):
             problem = problem.otherwise(p)
         return found + [F.when(~overridden, problem) if self._overrides() else problem]
@@ -182,26 +194,26 @@ class _Reader:
                 exact.isNull() | (exact > (1 << 63) - 1) | (exact < -(1 << 63)), F.lit("a whole number overflows INTEGER")
             )
             problem = F.when(cell.kind == "BIGINT", None).when(cell.kind.endswith(",0)"), too_big).otherwise(as_float)
-            return [F.concat(F.lit(f"column {label}: "), problem)]
+            return [F.concat(F.lit(f"column {label}: "), problem, F.lit(gates.BREAK))]
         if column.type in (ct.NUMERIC, ct.BIGNUMERIC):
             lost = F.try_variant_get(cell.value, "$", column.element_type().simpleString()).isNull()
-            return [F.when(lost, f"column {label}: a number does not fit in {column.type}")]
+            return [gates.problem(lost, f"column {label}: a number does not fit in {column.type}")]
         if column.type == ct.TIME:
             malformed = ~F.try_variant_get(cell.value, "$", "string").rlike(TIME_PATTERN)
-            return [F.when(malformed, f"column {label}: TIME does not take STRING")]
+            return [gates.problem(malformed, f"column {label}: TIME does not take STRING")]
         return []
 
-    def value(self, column, cell: _Cell) -> Column:
+    def value(self, column, cell: _Cell, path: str) -> Column:
         if not column.repeated:
-            return self.element_value(column, cell)
+            return self.element_value(column, cell, path)
         return F.transform(
             cell.parts,
-            lambda x: _with_cell(_Cell.open(column, x, element=True), lambda c: self.element_value(column, c)),
+            lambda x: _with_cell(_Cell.open(column, x, element=True), lambda c: self.element_value(column, c, path + "[]")),
         )
 
-    def element_value(self, column, cell: _Cell) -> Column:
+    def element_value(self, column, cell: _Cell, path: str) -> Column:
         if column.type == ct.RECORD:
-            return F.when(cell.parts.isNotNull(), self.record_value(cell.parts, column.fields))
+            return F.when(cell.parts.isNotNull(), self.record_value(cell.parts, column.fields, path + "."))
         plain = F.try_variant_get(cell.value, "$", column.element_type().simpleString())
         if column.type == ct.JSON:
             binary = F.try_variant_get(cell.value, "$", "binary").cast("string")
@@ -218,11 +230,6 @@ class _Reader:
         return [(name, override) for name, override in pairs if override]
 
 
-def _text(found: list[Column]) -> Column:
-    """What is wrong as one text, or NULL."""
-    return F.nullif(gates.one_text(found), F.lit(""))
-
-
 def conform_dynamic(
     df: DataFrame, contract: Contract, row: str, *, source: str = "variant", keep=(), row_id: str | None = None,
     mode: str = "fail",
@@ -234,17 +241,17 @@ def conform_dynamic(
     (an array of reasons per row) or ``values`` (conversion alone).
     ``row_id`` names the column a bad row is reported by.
 
-    Three projections, no shuffle: the entries of a row, its cells, and what is
-    made of them. Each step is used several times by the next, so Spark keeps
-    them apart and parses a row once. The verdict is part of the last projection
-    rather than a filter, which Spark would move below the others and so repeat
-    their work.
+    Projections only, no shuffle: the entries of a row, their cells, those of
+    records level by level, and what is made of them. Each step is used several
+    times by the next, so Spark keeps them apart and parses a row once. The
+    verdict is kept in the last projection, where no filter on it can move below
+    the others and repeat their work.
     """
     if not contract.is_dynamic:
         raise ContractError("a contract of a row type converts typed rows, not maps")
     if source not in ("variant", "json") or mode not in ("fail", "reasons", "values"):
         raise ContractError(f"unknown source {source!r} or mode {mode!r}")
-    reader, columns = _Reader(contract, source), contract.columns
+    columns = contract.columns
     given = F.col(f"`{row}`")
     entries = F.try_variant_get(F.try_parse_json(given), "$", VARIANT_MAP) if source == "json" else given
     who = [F.col(f"`{row_id}`").alias("_row_id")] if row_id else []
@@ -252,32 +259,40 @@ def conform_dynamic(
     rows = df.select(*keep, *who, entries.alias("_entries"), given.isNull().alias("_null"))
 
     entries = F.col("_entries")
-    cells = [_Cell.open(c, F.try_element_at(entries, F.lit(c.name))) for c in columns]
-    opened = [part for i, cell in enumerate(cells) for part in cell.columns(f"_{i}_")]
-    rows = rows.select(*carried, "_null", "_entries", *opened)
-    cells = [cell.read(lambda name, i=i: F.col(f"_{i}_{name}")) for i, cell in enumerate(cells)]
-
-    values = [reader.value(c, cell).alias(c.name) for c, cell in zip(columns, cells)]
+    rows, cells = _open_cells(rows, [*carried, "_null", "_entries"], entries, columns)
+    reader = _Reader(contract, source, cells)
+    values = [reader.value(c, cells[c.name], c.name).alias(c.name) for c in columns]
     if mode == "values":
         return rows.select(*keep, *values)
     found = [
-        F.when(F.col("_null"), F.lit("the row is NULL")).when(entries.isNull(), F.lit("the row is not a JSON object")),
+        gates.problem(F.col("_null"), "the row is NULL"),
+        gates.problem(~F.col("_null") & entries.isNull(), "the row is not a JSON object"),
         reader.undeclared(entries, columns, ""),
     ]
-    for column, cell in zip(columns, cells):
-        found += [F.when(entries.isNotNull(), p) for p in reader.problems(column, cell, column.name)]
+    for column in columns:
+        found += [F.when(entries.isNotNull(), p) for p in reader.problems(column, cells[column.name], column.name)]
     if mode == "reasons":
         return rows.select(*keep, *values, gates.once(gates.reasons_array(found)).alias(gates.REASONS))
-    refuse = gates.refusal(gates.one_text(found), F.col("_row_id") if row_id else None)
-    schema = contract.spark_schema()
-    good = F.when(gates.one_text(found) == "", F.struct(*values)).otherwise(refuse.cast(schema_without_modes(schema)))
-    return rows.select(*keep, good.alias("_out")).select(*keep, *[F.col("_out").getField(c.name).alias(c.name) for c in columns])
-
-
-def schema_without_modes(dtype: T.DataType) -> T.DataType:
-    """The same type with everything nullable."""
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, schema_without_modes(f.dataType), True) for f in dtype.fields])
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(schema_without_modes(dtype.elementType), True)
-    return dtype
+    rows = rows.select(*carried, *values, gates.once(gates.one_text(found)).alias(gates.REASONS))
+    return gates.hold_back(rows, F.col("_row_id") if row_id else None).select(*keep, *[f"`{c.name}`" for c in columns])
+
+
+def _open_cells(rows: DataFrame, carried, entries: Column, columns):
+    """One projection per level of records; a list is opened where it is used."""
+    cells: dict[str, _Cell] = {}
+    level = [(c.name, c, F.try_element_at(entries, F.lit(c.name))) for c in columns]
+    while level:
+        opened, following = [], []
+        for path, column, value in level:
+            prefix = f"_{len(cells)}_"
+            cell = _Cell.open(column, value)
+            opened += cell.columns(prefix)
+            cells[path] = cell = cell.read(lambda name, prefix=prefix: F.col(prefix + name))
+            if column.type == ct.RECORD and not column.repeated:
+                following += [
+                    (f"{path}.{f.name}", f, F.try_element_at(cell.parts, F.lit(f.name))) for f in column.fields
+                ]
+        rows = rows.select(*carried, *opened)
+        carried = rows.columns
+        level = following
+    return rows, cells

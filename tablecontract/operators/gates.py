@@ -9,6 +9,8 @@ from ..functions import jsontext
 from ..functions.numbers import is_not_finite
 
 REASONS = "_reasons"
+# Ends every reason while they are one text.
+BREAK = "\x1e"
 
 
 def once(value: Column) -> Column:
@@ -22,7 +24,7 @@ def once(value: Column) -> Column:
 
 
 def problems(columns, at=None, path: str = "", *, finite: bool = False, json: bool = True, trusted=()) -> list[Column]:
-    """One nullable text per condition; NULL where the row meets it.
+    """One text per condition, ending in ``BREAK``; NULL or empty where the row meets it.
 
     ``columns`` are the contract's and ``at`` reads one by name. ``finite`` also
     refuses NaN and infinity, which have no place in rendered JSON, and ``json``
@@ -36,7 +38,7 @@ def problems(columns, at=None, path: str = "", *, finite: bool = False, json: bo
             found += _repeated(column, value, label, finite, json and label not in trusted)
             continue
         if column.required:
-            found.append(F.when(value.isNull(), f"column {label}: a REQUIRED column cannot be NULL"))
+            found.append(problem(value.isNull(), f"column {label}: a REQUIRED column cannot be NULL"))
         found += _element(column, value, label, finite, json and label not in trusted)
     return found
 
@@ -46,25 +48,30 @@ def _element(column, value, label, finite, json) -> list[Column]:
         inner = problems(column.fields, value.getField, label + ".", finite=finite, json=json)
         return [F.when(value.isNotNull(), p) for p in inner]
     if json and column.type == ct.JSON:
-        return [F.when((value != "") & ~jsontext.is_json(value), f"column {label}: not valid JSON")]
+        return [problem((value != "") & ~jsontext.is_json(value), f"column {label}: not valid JSON")]
     if finite and column.type == ct.FLOAT:
-        return [F.when(is_not_finite(value), f"column {label}: NaN and infinity have no JSON form")]
+        return [problem(is_not_finite(value), f"column {label}: NaN and infinity have no JSON form")]
     return []
 
 
 def _repeated(column, value, label, finite, json) -> list[Column]:
     found = [
-        F.when(F.exists(value, lambda x: x.isNull()), f"column {label}: a repeated column cannot hold a NULL element")
+        problem(F.exists(value, lambda x: x.isNull()), f"column {label}: a repeated column cannot hold a NULL element")
     ]
     if _element(column, F.lit(None).cast(column.element_type()), label, finite, json):
         inner = F.transform(value, lambda x: one_text(_element(column, x, label + "[]", finite, json)))
-        found.append(F.nullif(F.array_join(F.array_distinct(F.filter(inner, lambda t: t != "")), "; "), F.lit("")))
+        found.append(F.array_join(F.array_distinct(inner), ""))
     return found
 
 
+def problem(condition: Column, text: str | Column) -> Column:
+    """A reason where the condition holds, NULL elsewhere."""
+    return F.when(condition, F.lit(text + BREAK) if isinstance(text, str) else F.concat(text, F.lit(BREAK)))
+
+
 def one_text(found: list[Column]) -> Column:
     """All that is wrong in one text, empty when nothing is. Never leaves code generation for plain columns."""
-    return F.concat_ws("; ", *found)
+    return F.concat_ws("", *found)
 
 
 def gate(found: list[Column], row_id: Column | None = None) -> Column:
@@ -76,7 +83,7 @@ def gate(found: list[Column], row_id: Column | None = None) -> Column:
 def refusal(text: Column, row_id: Column | None = None) -> Column:
     """Fails the task when it is evaluated, naming the row where it can."""
     who = F.lit("") if row_id is None else F.concat(F.lit("row "), F.coalesce(row_id.cast("string"), F.lit("?")), F.lit(": "))
-    return F.raise_error(F.concat(who, text))
+    return F.raise_error(F.concat(who, F.replace(F.rtrim(text, F.lit(BREAK)), F.lit(BREAK), F.lit("; "))))
 
 
 def enforce(
@@ -94,12 +101,20 @@ def enforce(
     who = F.col(f"`{row_id}`") if row_id else None
     if not costly:
         return df.filter(gate(found, who))
-    return df.withColumn(REASONS, once(one_text(found))).filter(gate([F.col(REASONS)], who)).drop(REASONS)
+    return hold_back(df.withColumn(REASONS, once(one_text(found))), who)
+
+
+def hold_back(df: DataFrame, row_id: Column | None) -> DataFrame:
+    """Fail on a row whose reasons, one text kept in place, are not empty."""
+    return df.filter(gate([F.col(REASONS)], row_id)).drop(REASONS)
 
 
 def reasons_array(found: list[Column]) -> Column:
-    texts = F.array(*found) if found else F.array()
-    return F.array_compact(texts.cast(T.ArrayType(T.StringType())))
+    """The reasons as an array, cut from one text: an array of NULLs to compact
+    would take all the conditions out of code generation."""
+    if not found:
+        return F.array().cast(T.ArrayType(T.StringType()))
+    return F.array_remove(F.split(one_text(found), BREAK), "")
 
 
 def with_reasons(df: DataFrame, columns, *, finite: bool = False, json: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import threading
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from .. import types as ct
 from ..contract import ROW_ID, Contract
-from ..errors import BatchTypeError, ContractError, SchemaConflictError, ShortWriteError
+from ..errors import BatchTypeError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
 from ..functions import ids
 from ..layout import PARTITION_COLUMN
 from ..operators.conform import conform
@@ -38,6 +39,8 @@ LOGGER = logging.getLogger("tablecontract")
 
 # Bytes of staged data per task of a clustered write.
 CLUSTER_TASK_BYTES = 128 * 1024 * 1024
+# More tasks than this make a shuffle of mostly tiny blocks; beyond, tasks grow and spill.
+MAX_CLUSTER_TASKS = 20_000
 
 # A batch id names a folder.
 _BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
@@ -46,6 +49,15 @@ _BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
 Writer = Callable[[DataFrame, AppendInfo], int]
 
 
+def stored_contract(spark, target: str, *, overrides=()) -> Contract:
+    """A contract for dynamic rows from what a table says about itself."""
+    name, location = locate(spark, target)
+    version = ContractStore(spark, location).latest()
+    if version is None:
+        raise TableMissingError(f"{name} does not exist")
+    return Contract.from_json(json.dumps(version.to_dict()), overrides=overrides)
+
+
 class _NamedLog(logging.LoggerAdapter):
     """Every record names the table."""
 
@@ -330,7 +342,7 @@ class GovernedTable:
             stored[n] for n in layout.cluster_by if stored[n] in out.columns
         ]
         if layout.cluster_by:
-            tasks = max(1, -(-size // CLUSTER_TASK_BYTES))
+            tasks = min(MAX_CLUSTER_TASKS, max(1, -(-size // CLUSTER_TASK_BYTES)))
             by = [F.col(f"`{name}`") for name in order]
             # The place is unique, so any number of equal values can be cut apart.
             return out.repartitionByRange(tasks, *by, PLACE).sortWithinPartitions(*by)
@@ -362,7 +374,7 @@ class GovernedTable:
         """
         version = self.store.latest() if self.managed else self._unmanaged()
         if version is None:
-            raise LookupError(f"{self.name} does not exist")
+            raise TableMissingError(f"{self.name} does not exist")
         layout = version.layout
         bounded = start is not None or end is not None
         if layout.require_filter and not bounded:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablecontract import (
     BatchTypeError, ConcurrentChangeError, Contract, ContractError, GovernedTable, SchemaChange, SchemaConflictError, ShortWriteError,
-    TableMissingError, column,
+    TableMissingError, column, stored_contract,
 )
 
 LONG, TEXT, TS = T.LongType(), T.StringType(), T.TimestampType()
@@ -191,6 +191,17 @@ def test_added_columns_read_null_before(spark, make):
     assert table.read().filter("extra is null").count() == 10
 
 
+def test_dynamic_rows_under_a_tables_own_contract(spark, make, place):
+    make(WIDE).append(rows(spark))
+    stored = stored_contract(spark, place)
+    assert stored.is_dynamic and stored.columns == WIDE.columns
+    table = make(stored, source="json")
+    table.append(spark.createDataFrame([('{"id": 99, "extra": "json"}',)], "row string"))
+    assert table.read().filter("id = 99").collect() == [(99, None, "json")]
+    with pytest.raises(TableMissingError):
+        stored_contract(spark, place + "-none")
+
+
 def test_relaxing(spark, make):
     make().append(rows(spark))
     relaxed = contract(column("id", LONG), COUNT)
