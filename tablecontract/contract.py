@@ -6,6 +6,7 @@ import json
 from dataclasses import dataclass, field
 from types import MappingProxyType
 
+from pyspark import SparkContext
 from pyspark.sql import Column, functions as F, types as T
 
 from . import types as ct
@@ -43,6 +44,7 @@ class Contract:
     labels: MappingProxyType = field(default_factory=lambda: MappingProxyType({}))
     row_type: T.StructType | None = None
     overrides: Overrides = field(default_factory=Overrides, repr=False, compare=False)
+    _compiled: dict = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __post_init__(self):
         if not self.columns:
@@ -143,11 +145,18 @@ class Contract:
     def spark_schema(self) -> T.StructType:
         return ct.spark_schema(self.columns)
 
+    def compiled(self, what, build):
+        """Expressions are built once per contract and application, and serve every batch."""
+        key = (what, SparkContext.getOrCreate().applicationId)
+        if key not in self._compiled:
+            self._compiled[key] = build()
+        return self._compiled[key]
+
     def expressions(self) -> list[Column]:
         """One expression per written column, in the contract's order; a single projection."""
         if self.is_dynamic:
             raise ContractError("a dynamic contract converts maps, not typed rows")
-        return [b.value(_column_at).alias(b.column.name) for b in self.bindings]
+        return self.compiled("values", lambda: [b.value(_column_at).alias(b.column.name) for b in self.bindings])
 
     def encoded_json(self) -> frozenset[str]:
         """JSON columns whose text is written here, so that it needs no check."""

@@ -33,6 +33,12 @@ def to_datetime(ts: Column, zone: Column | str) -> Column:
     return local_wall_clock(ts, zone)
 
 
+def utc_hour_text(ts: Column) -> Column:
+    """``yyyy-MM-ddTHH``: text that sorts like the hours it names."""
+    hour = _digits(_whole(_micros_of_day(ts), 3600 * _SECOND), 2)
+    return F.concat(_day(ts).cast("string"), F.lit("T"), hour)
+
+
 def to_time(ts: Column, zone: Column | str) -> Column:
     """``HH:mm:ss`` with six fractional digits when there are any."""
     micros = _micros_of_day(_moved(ts, zone))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from . import types as ct
 from .errors import ContractError
-from .functions.temporal import utc_wall_clock
+from .functions.temporal import to_date, utc_hour_text
 from .options import MAX_CLUSTER_COLUMNS, PARTITION_UNITS
 
 PARTITION_COLUMN = "_p"
@@ -96,10 +96,11 @@ class Layout:
 
     def partition_value(self, value: Column, contract_type: str) -> Column:
         """The partition a value falls into, by UTC calendar and independent of the session's zone."""
-        wall = utc_wall_clock(value) if contract_type == ct.TIMESTAMP else value
         if self.unit == "hour":
-            return F.replace(F.substring(wall.cast("string"), 1, 13), F.lit(" "), F.lit("T"))
-        day = wall.cast("date")
+            if contract_type == ct.TIMESTAMP:
+                return utc_hour_text(value)
+            return F.replace(F.substring(value.cast("string"), 1, 13), F.lit(" "), F.lit("T"))
+        day = to_date(value, "UTC") if contract_type == ct.TIMESTAMP else value.cast("date")
         return day if self.unit == "day" else F.trunc(day, self.unit)
 
     def to_dict(self) -> dict:

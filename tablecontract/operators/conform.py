@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import types as ct
 from ..contract import Contract
 from ..errors import BatchTypeError
-from .gates import enforce
+from .gates import enforce_problems, problems
 
 
 def conform(
@@ -22,11 +22,13 @@ def conform(
     check_row_type(df, contract)
     out = df.select(*keep, *contract.expressions())
     if gated:
-        out = enforce(
+        found = contract.compiled(
+            "problems", lambda: problems(contract.written_columns(), trusted=contract.encoded_json())
+        )
+        out = enforce_problems(
             out,
-            contract.written_columns(),
+            found,
             row_id=row_id,
-            trusted=contract.encoded_json(),
             costly=not all(b.is_plain for b in contract.bindings if _is_gated(b.column)),
         )
     if wide:

@@ -251,35 +251,44 @@ def conform_dynamic(
         raise ContractError("a contract of a row type converts typed rows, not maps")
     if source not in ("variant", "json") or mode not in ("fail", "reasons", "values"):
         raise ContractError(f"unknown source {source!r} or mode {mode!r}")
-    columns = contract.columns
     given = F.col(f"`{row}`")
     entries = F.try_variant_get(F.try_parse_json(given), "$", VARIANT_MAP) if source == "json" else given
     who = [F.col(f"`{row_id}`").alias("_row_id")] if row_id else []
-    carried = [*keep, *(["_row_id"] if row_id else [])]
     rows = df.select(*keep, *who, entries.alias("_entries"), given.isNull().alias("_null"))
+    levels, values, text = contract.compiled(("dynamic", source), lambda: _compile(contract, source))
+    for level in levels:
+        rows = rows.select(*[f"`{c}`" for c in rows.columns], *level)
+    if mode == "values":
+        return rows.select(*keep, *values)
+    if mode == "reasons":
+        return rows.select(*keep, *values, gates.once(gates.reasons_array([text])).alias(gates.REASONS))
+    carried = [*keep, *(["_row_id"] if row_id else [])]
+    rows = rows.select(*carried, *values, gates.once(text).alias(gates.REASONS))
+    names = [f"`{c.name}`" for c in contract.columns]
+    return gates.hold_back(rows, F.col("_row_id") if row_id else None).select(*keep, *names)
+
 
-    entries = F.col("_entries")
-    rows, cells = _open_cells(rows, [*carried, "_null", "_entries"], entries, columns)
+def _compile(contract: Contract, source: str) -> tuple[list[list[Column]], list[Column], Column]:
+    """The projections that open a row's cells, its values, and all that is wrong with it."""
+    columns, entries = contract.columns, F.col("_entries")
+    levels, cells = _open_cells(entries, columns)
     reader = _Reader(contract, source, cells)
     values = [reader.value(c, cells[c.name], c.name).alias(c.name) for c in columns]
-    if mode == "values":
-        return rows.select(*keep, *values)
+    inside = [reader.undeclared(entries, columns, "")]
+    for column in columns:
+        inside += reader.problems(column, cells[column.name], column.name)
     found = [
         gates.problem(F.col("_null"), "the row is NULL"),
         gates.problem(~F.col("_null") & entries.isNull(), "the row is not a JSON object"),
-        reader.undeclared(entries, columns, ""),
+        F.when(entries.isNotNull(), gates.one_text(inside)),
     ]
-    for column in columns:
-        found += [F.when(entries.isNotNull(), p) for p in reader.problems(column, cells[column.name], column.name)]
-    if mode == "reasons":
-        return rows.select(*keep, *values, gates.once(gates.reasons_array(found)).alias(gates.REASONS))
-    rows = rows.select(*carried, *values, gates.once(gates.one_text(found)).alias(gates.REASONS))
-    return gates.hold_back(rows, F.col("_row_id") if row_id else None).select(*keep, *[f"`{c.name}`" for c in columns])
+    return levels, values, gates.one_text(found)
 
 
-def _open_cells(rows: DataFrame, carried, entries: Column, columns):
+def _open_cells(entries: Column, columns) -> tuple[list[list[Column]], dict[str, _Cell]]:
     """One projection per level of records; a list is opened where it is used."""
     cells: dict[str, _Cell] = {}
+    levels = []
     level = [(c.name, c, F.try_element_at(entries, F.lit(c.name))) for c in columns]
     while level:
         opened, following = [], []
@@ -292,7 +301,6 @@ def _open_cells(rows: DataFrame, carried, entries: Column, columns):
                 following += [
                     (f"{path}.{f.name}", f, F.try_element_at(cell.parts, F.lit(f.name))) for f in column.fields
                 ]
-        rows = rows.select(*carried, *opened)
-        carried = rows.columns
+        levels.append(opened)
         level = following
-    return rows, cells
+    return levels, cells

@@ -95,7 +95,11 @@ def enforce(
     It is a filter rather than a column, so pruning columns cannot remove it.
     ``costly`` columns are computed before the filter, and once.
     """
-    found = problems(columns, finite=finite, json=json, trusted=trusted)
+    return enforce_problems(df, problems(columns, finite=finite, json=json, trusted=trusted), row_id=row_id, costly=costly)
+
+
+def enforce_problems(df: DataFrame, found: list[Column], *, row_id: str | None = None, costly: bool = False) -> DataFrame:
+    """Fail the job on a row one of the problems applies to."""
     if not found:
         return df
     who = F.col(f"`{row_id}`") if row_id else None

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F, types as T
 
 from ..functions.temporal import to_time
-from ..operators.render import APPEND, LOAD, render
+from ..operators.render import APPEND, LOAD, render, write_ndjson
+from ..sources.files import shared_folder
 from ..types import TableColumn as Col
 from .registry import query
 
@@ -120,6 +121,21 @@ def q_json_quoted(t):
     return render(_documents(t), _JSON_COLUMNS, dialect=APPEND, keep=["key"]).withColumnRenamed("key", "event_id")
 
 
+@query(
+    """SELECT to_json({'balance': CASE WHEN c_acctbal = floor(c_acctbal) THEN CAST(CAST(c_acctbal AS BIGINT) AS VARCHAR)
+                                       ELSE CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) END,
+                       'id': c_custkey, 'name': c_name})::VARCHAR AS line FROM customer"""
+)
+def q_ndjson_export(t):
+    """Files of one JSON object per line, read back as text."""
+    rows = t.customer.select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").cast("decimal(38,2)").alias("balance")
+    )
+    path = shared_folder(t.spark, "ndjson") + "/lines"
+    write_ndjson(rows, [Col("id", "INTEGER"), Col("name", "STRING"), Col("balance", "NUMERIC", scale=2)], path)
+    return t.spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query(
     """SELECT doc_id, to_json({'b': to_base64(encode(text)), 'bs': [to_base64(encode(lang)), to_base64(encode(source))]})::VARCHAR AS json
        FROM documents"""

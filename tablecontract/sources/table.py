@@ -37,8 +37,10 @@ from .store import ContractStore, TableVersion
 
 LOGGER = logging.getLogger("tablecontract")
 
-# Bytes of staged data per task of a clustered write.
+# Bytes of staged data per task of a clustered write, and the least worth a task
+# while executors would stand idle.
 CLUSTER_TASK_BYTES = 128 * 1024 * 1024
+SMALL_TASK_BYTES = 4 * 1024 * 1024
 # More tasks than this make a shuffle of mostly tiny blocks; beyond, tasks grow and spill.
 MAX_CLUSTER_TASKS = 20_000
 
@@ -342,7 +344,8 @@ class GovernedTable:
             stored[n] for n in layout.cluster_by if stored[n] in out.columns
         ]
         if layout.cluster_by:
-            tasks = min(MAX_CLUSTER_TASKS, max(1, -(-size // CLUSTER_TASK_BYTES)))
+            idle = min(self.spark.sparkContext.defaultParallelism, -(-size // SMALL_TASK_BYTES))
+            tasks = min(MAX_CLUSTER_TASKS, max(1, idle, -(-size // CLUSTER_TASK_BYTES)))
             by = [F.col(f"`{name}`") for name in order]
             # The place is unique, so any number of equal values can be cut apart.
             return out.repartitionByRange(tasks, *by, PLACE).sortWithinPartitions(*by)
@@ -387,7 +390,7 @@ class GovernedTable:
         df = self.spark.read.schema(T.StructType(fields)).parquet(self.data_path(version))
         if bounded:
             df = df.filter(self._range(version, start, end))
-        df = df.select(*[F.col(f"`{c.stored_as}`").alias(c.name) for c in version.columns])
+        df = df.select(*[_described(c) for c in version.columns])
         return df.filter(where) if where is not None else df
 
     def _range(self, version, start, end):
@@ -443,5 +446,13 @@ class GovernedTable:
         return published
 
 
+def _described(column: ct.TableColumn):
+    """A stored column under its own name, with its description as the comment."""
+    stored = F.col(f"`{column.stored_as}`")
+    if not column.description:
+        return stored.alias(column.name)
+    return stored.alias(column.name, metadata={"comment": column.description})
+
+
 def _millis(moment: datetime) -> int:
     return int(moment.timestamp() * 1000)

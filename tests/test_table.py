@@ -155,6 +155,12 @@ def test_creation_stores_the_contract(spark, make):
     assert table.read().count() == 0
 
 
+def test_descriptions_are_read_back_as_comments(spark, make):
+    table = make(contract(ID, column("count", LONG, description="how many")))
+    table.append(rows(spark))
+    assert table.read().schema["count"].metadata == {"comment": "how many"}
+
+
 def test_the_outcome_of_starting_is_final(spark, make, monkeypatch):
     table = make(create=False)
     with pytest.raises(TableMissingError):
