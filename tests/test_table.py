@@ -433,3 +433,19 @@ def test_logged_levels(spark, make, caplog):
     assert {("INFO", "created"), ("INFO", "added"), ("INFO", "appended"), ("WARNING", "dropped"), ("DEBUG", "compared:")} <= levels
     assert all(make().name in r.getMessage() for r in caplog.records)
     assert "ERROR" not in {level for level, _ in levels}
+
+
+def test_a_partition_that_holds_most_rows_is_cut_apart(spark, make):
+    """Adaptive execution cuts a large partition along its map tasks."""
+    table = make(contract(ID, column("at", TS, partition="month"), column("text", TEXT)))
+    hot = spark.range(0, 200_000, 1, 16).select(
+        "id", F.timestamp_micros(F.lit(1_704_067_200_000_000)).alias("at"), F.sha2(F.col("id").cast("string"), 512).alias("text")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        assert table.append(hot).rows == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    data = spark.read.parquet(table.data_path(table.store.latest()))
+    sizes = [r["count"] for r in data.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 100_000
