@@ -23,7 +23,8 @@ class TableSink:
     When the threshold is reached everything held becomes one append: a batch is
     never cut, so an append may be larger than the threshold. What an append
     takes is noted first: after a crash it is finished under the same batch id,
-    which a table does not take twice.
+    which a table does not take twice. The micro-batches of the last append are
+    remembered, so that one run again after it is not held a second time.
     """
 
     def __init__(self, table: GovernedTable, *, flush_rows: int = 0, name: str = "sink"):
@@ -32,6 +33,7 @@ class TableSink:
         self.table, self.flush_rows = table, flush_rows
         self._pending = f"{table.location}/_pending/{name}"
         self._intent = f"{table.location}/_pending/{name}.json"
+        self._last = f"{table.location}/_pending/{name}.last.json"
         self._files = Files(table.spark)
         self._held: dict[str, int] | None = None
         self._errors: list[Exception] = []
@@ -52,6 +54,9 @@ class TableSink:
                 return AppendResult(0)
             self.table.check_batch(df)
             self.table.start()
+            landed = self._landed(name)
+            if landed is not None:
+                return AppendResult(landed, name)
             rows = self._hold(df, name, millis)
             if sum(self._held_rows().values()) >= self.flush_rows:
                 try:
@@ -140,12 +145,23 @@ class TableSink:
                 self._finish_append()
         return self._held
 
+    def _landed(self, name: str | None) -> int | None:
+        """Rows of a micro-batch that was part of the last append, None for any other.
+
+        A stream runs at most its last micro-batch again, so the last append is
+        as far back as there is to look.
+        """
+        self._held_rows()
+        if name is None or not self._files.exists(self._last):
+            return None
+        return json.loads(self._files.read_text(self._last)).get(f"batch={name}")
+
     def _append_held(self) -> int:
         held = self._held_rows()
         rows = self._finish_append() if self._files.exists(self._intent) else 0
         if not held:
             return rows
-        note = json.dumps({"batch_id": self.table.info().batch_id, "held": sorted(held)})
+        note = json.dumps({"batch_id": self.table.info().batch_id, "held": held}, sort_keys=True)
         if not self._files.create_new(self._intent, note):
             raise ConcurrentChangeError(f"{self._pending} is being appended by someone else")
         return rows + self._finish_append()
@@ -160,6 +176,8 @@ class TableSink:
             schema = spark_schema(table.contract.written_columns())
             held = with_place(table.spark.read.schema(schema).parquet(*paths))
             rows = table.load(held, info, version, raw=False, size=sum(map(self._files.size, paths)))
+        self._files.delete(self._last)
+        self._files.create_new(self._last, json.dumps(note["held"]))
         for name in note["held"]:
             table.remove(f"{self._pending}/{name}")
             self._held.pop(name, None)

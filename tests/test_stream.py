@@ -98,6 +98,22 @@ def test_held_rows_survive_a_restart(spark, table, place):
     assert sink.close().rows == 3
 
 
+@pytest.mark.parametrize("key", ["id", ()])
+def test_a_micro_batch_run_again_after_its_append_is_not_held_again(spark, place, key):
+    def opened(known=None):
+        given = {"ingestion_id": known.ingestion_id, "created_at": known.created_at} if known else {}
+        return TableSink(GovernedTable(spark, place, CONTRACT, key=key, **given), flush_rows=3)
+
+    sink = opened()
+    sink.write(rows(spark, 0, 2), 0)
+    sink.write(rows(spark, 2, 2), 1)
+    assert sink.held == 0
+    for again in (sink, opened(sink.table)):
+        assert again.write(rows(spark, 2, 2), 1).rows == 2 and again.held == 0
+    assert sink.write(rows(spark, 4, 1), 2).rows == 1 and sink.held == 1
+    assert sink.close().rows == 1 and sink.table.read().count() == 5
+
+
 def test_held_rows_without_a_key(spark, place):
     table = GovernedTable(spark, place, CONTRACT)
     sink = TableSink(table, flush_rows=4)
