@@ -124,12 +124,14 @@ def near_duplicates(
     1. Each text gets a signature of ``bands * rows`` registers; texts that agree in
        all ``rows`` registers of a band are candidates. A pair at 0.8 is missed with
        probability (1 - 0.8**5)**25 = 0.00005.
-    2. In each band's bucket every text is verified against the bucket's first text.
-       Links of all bands are joined into components.
-    3. Where a bucket still holds several components, its texts are verified across
-       components, pair by pair, and components are joined again. A pair inside a
-       component is never made: its texts are in one group already. So no
-       candidate link is lost, and a bucket whose texts are alike costs one pair a text.
+    2. In each band's bucket every text is verified against the bucket's lead, the text
+       with most copies. Links of all bands are joined into components.
+    3. Where a bucket still holds several components, all texts outside its largest one
+       are verified against all its texts of other components, in blocks of bounded size, and
+       components are joined again. So every candidate pair is either in one component or
+       verified, and a bucket whose texts are alike costs one comparison a text. Texts by
+       the thousand that share a bucket and yet are not alike cost their square, in
+       blocks spread over the cluster; only links leave a block, never pairs.
 
     A null or wordless text has no shingles: it is linked to equal texts only, a null
     text to none. Rows that repeat an id come out as often as they came in; null ids
@@ -139,31 +141,20 @@ def near_duplicates(
     kind = chosen.schema["doc_id"].dataType
     signed = saved(_signed(chosen, kind, size, bands, rows), "signatures")
     # One row for all texts that are equal.
-    texts = signed.where("doc_id is not null and digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("buckets").alias("buckets"))
-    buckets = texts.where("buckets is not null").select("digest", F.posexplode("buckets").alias("band", "bucket"))
-    crowd = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("lead")).where("n > 1")
+    texts = saved(
+        signed.where("doc_id is not null and digest is not null").groupBy("digest")
+        .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"), F.first("buckets").alias("buckets")), "texts")
+    buckets = texts.where("buckets is not null").select("digest", "copies", "bytes", F.posexplode("buckets").alias("band", "bucket"))
+    crowd = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "digest"))["digest"].alias("lead")).where("n > 1")
     members = saved(buckets.join(crowd.select("band", "bucket", "lead"), ["band", "bucket"]), "buckets")
+    bodies = _bodies(chosen, members)
 
     star = members.where("digest <> lead").select(F.col("lead").alias("a"), F.col("digest").alias("b")).distinct()
-    bodies = _bodies(chosen, members)
-    tried = saved(_verified(star, bodies, threshold, size), "star")
-    linked = tried.where("linked").select("a", "b")
+    linked = saved(_verified(star, bodies, threshold, size), "star")
     groups = components(linked)
-
-    # What is left: buckets with several components. Each pair of texts across two of them is tried once.
-    placed = members.join(groups, members["digest"] == groups["node"], "left").select(
-        "band", "bucket", "digest", F.coalesce("component", "digest").alias("component"))
-    per = placed.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    many = per.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("n", "component")).alias("most")).where("k > 1")
-    open_ = saved(placed.join(many.select("band", "bucket", F.col("most.component").alias("main")), ["band", "bucket"]), "open")
-    lesser = open_.where("component <> main").select("band", "bucket", F.col("digest").alias("d"), F.col("component").alias("c"))
-    pairs = (
-        open_.join(lesser, ["band", "bucket"]).where("component <> c")
-        .select(F.least("digest", "d").alias("a"), F.greatest("digest", "d").alias("b")).distinct()
-        .join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    more = _verified(pairs, bodies, threshold, size).where("linked").select("a", "b")
-    groups = components(saved(linked.union(more), "links"))
+    more = saved(_verified_across(members, groups, bodies, threshold, size), "across")
+    if not more.isEmpty():
+        groups = components(linked.unionByName(more))
 
     # From texts to documents: the class is the smallest id of all texts of the component.
     named = texts.join(groups, texts["digest"] == groups["node"], "left").select(
@@ -188,11 +179,12 @@ def deduplicated(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **l
 
 
 def _signed(chosen: DataFrame, kind: T.DataType, size: int, bands: int, rows: int) -> DataFrame:
+    """``doc_id, digest, bytes, buckets``: a checksum of the text, its length, and a key per band, null without words."""
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingles(size)
         for whole in batches:
-            at = 0
-            lengths = [len(t) if t is not None else 0 for t in whole.column("raw").to_pylist()]
+            lengths, at = whole.column("bytes").fill_null(0).to_pylist(), 0
             while at < len(whole):
                 stop, volume = at + 1, lengths[at]
                 while stop < len(whole) and volume + lengths[stop] <= 4 * _CHUNK and stop - at < 4096:
@@ -206,26 +198,27 @@ def _signed(chosen: DataFrame, kind: T.DataType, size: int, bands: int, rows: in
                     key = _mix(key * _BASE + signature[:, :, k] + _STEP)
                 buckets = [k if len(s[0]) else None for k, s in zip(key.view(np.int64).tolist(), sets, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("digest"), pa.array(buckets, pa.list_(pa.int64()))],
-                    names=["doc_id", "digest", "buckets"])
+                    [batch.column("doc_id"), batch.column("digest"), batch.column("bytes"), pa.array(buckets, pa.list_(pa.int64()))],
+                    names=["doc_id", "digest", "bytes", "buckets"])
 
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("digest", T.StringType()), T.StructField("buckets", T.ArrayType(T.LongType()))])
-    raw = chosen.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.col("text").cast("binary").alias("raw"))
-    return raw.mapInArrow(sign, schema)
+    raw = F.col("text").cast("binary")
+    rows_ = chosen.select("doc_id", F.md5(raw).alias("digest"), F.length(raw).cast("long").alias("bytes"), raw.alias("raw"))
+    schema = T.StructType([*rows_.schema.fields[:3], T.StructField("buckets", T.ArrayType(T.LongType()))])
+    return rows_.mapInArrow(sign, schema)
 
 
 def _bodies(chosen: DataFrame, members: DataFrame) -> DataFrame:
     """The text of each candidate, once."""
     wanted = members.select("digest").distinct()
-    with_key = chosen.where("text is not null").select(F.md5(F.col("text").cast("binary")).alias("digest"), "text")
+    with_key = chosen.where("text is not null").select(F.md5(F.col("text").cast("binary")).alias("digest"), F.col("text").cast("binary").alias("raw"))
     return saved(with_key.join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "candidates")
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float, size: int) -> DataFrame:
-    """``a, b, linked``: whether the texts of a pair are as similar as asked for."""
+    """``a, b`` of those pairs whose texts are as similar as asked for. Pairs with one ``a`` stand together, so its shingles are made once."""
     both = (
-        pairs.join(bodies.select(F.col("digest").alias("a"), F.col("text").cast("binary").alias("x")), "a")
-        .join(bodies.select(F.col("digest").alias("b"), F.col("text").cast("binary").alias("y")), "b")
+        pairs.join(bodies.select(F.col("digest").alias("b"), F.col("raw").alias("y")), "b")
+        .join(bodies.select(F.col("digest").alias("a"), F.col("raw").alias("x")), "a")
         .select("a", "b", "x", "y")
     )
 
@@ -237,9 +230,80 @@ def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float, size: int)
                 if last[0] != a:
                     last = (a, shingle(x.as_py()))
                 linked.append(probability_jaccard(last[1], shingle(y.as_py())) >= threshold)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], names=["a", "b", "linked"])
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return both.mapInArrow(compare, "a string, b string")
 
-    return both.mapInArrow(compare, "a string, b string, linked boolean")
+
+#: Texts, and bytes of text, in one of the two blocks that a task compares, about.
+BLOCK_TEXTS, BLOCK_BYTES = 256, 4 << 20
+
+
+def _verified_across(members: DataFrame, groups: DataFrame, bodies: DataFrame, threshold: float, size: int) -> DataFrame:
+    """``a, b`` of links between texts of different components that share a bucket.
+
+    A bucket's texts outside its largest component are one side, all its texts the other. Each
+    side is dealt into blocks by a hash, and each pair of blocks is compared in one task.
+    """
+    placed = members.join(groups, members["digest"] == groups["node"], "left").select(
+        "band", "bucket", "digest", "bytes", F.coalesce("component", "digest").alias("component"))
+    per = placed.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    per = per.groupBy("band", "bucket").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "bytes", "component")).alias("main"))
+    blocks = lambda n, b: F.ceil(F.greatest(n / BLOCK_TEXTS, b / BLOCK_BYTES, F.lit(1))).cast("int")
+    per = per.where("kinds > 1").select(
+        "band", "bucket", F.col("main.component").alias("main"), blocks(F.col("n"), F.col("bytes")).alias("all"),
+        blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("few"))
+    open_ = placed.join(per, ["band", "bucket"])
+    own = lambda k: F.pmod(F.xxhash64("digest"), F.col(k)).cast("int")
+    other = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    few = open_.where("component <> main").select("band", "bucket", own("few").alias("i"), other("all").alias("j"), "digest", "component", F.lit(True).alias("first"))
+    rest = open_.select("band", "bucket", other("few").alias("i"), own("all").alias("j"), "digest", "component", F.lit(False).alias("first"))
+    sides = few.unionByName(rest).join(bodies, "digest")
+
+    def compare(table: pa.Table) -> pa.Table:
+        shingle, sets = Shingles(size), {}
+        for name, raw in zip(table.column("digest").to_pylist(), table.column("raw"), strict=True):
+            if name not in sets:
+                sets[name] = shingle(raw.as_py())
+        place = {name: k for k, name in enumerate(sets)}
+        rows = list(zip(*(table.column(n).to_pylist() for n in ("digest", "component", "first")), strict=True))
+        a, b = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+        may = _likely(list(sets.values()), threshold)[np.ix_([place[r[0]] for r in a], [place[r[0]] for r in b])]
+        found: set[tuple[str, str]] = set()
+        for i, j in np.argwhere(may).tolist():
+            if a[i][1] != b[j][1] and probability_jaccard(sets[a[i][0]], sets[b[j][0]]) >= threshold:
+                found.add((a[i][0], b[j][0]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.string()), "b": pa.array([y for _, y in found], pa.string())})
+
+    return sides.groupBy("band", "bucket", "i", "j").applyInArrow(compare, "a string, b string").distinct()
+
+
+def _likely(sets: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> np.ndarray:
+    """Which pairs of sets may be similar enough, by matrix products over the elements that two sets have.
+
+    Where all weights are 1 that is the similarity itself. Else it is a bound: for a common
+    element i, the sum over j of max(a_j / a_i, b_j / b_i) is at least the sum of either, so
+    the similarity is at most the share that common elements have of either set's weight.
+    """
+    universe, at, often = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    weight = np.concatenate([s[1] / s[1].sum() for s in sets]).astype(np.float32)
+    column = np.cumsum(often > 1) - 1
+    shared = often[at] > 1
+    owner, at, weight = owner[shared], column[at[shared]], weight[shared]
+    width, share = int((often > 1).sum()), np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, width, 4096):
+        some = (at >= low) & (at < low + 4096)
+        has = np.zeros((len(sets), min(4096, width - low)), np.float32)
+        part = has.copy()
+        has[owner[some], at[some] - low], part[owner[some], at[some] - low] = 1, weight[some]
+        share += part @ has.T
+    size = np.array([len(s[0]) for s in sets])
+    plain = np.array([(s[1] == 1).all() for s in sets])
+    common = share * size[:, None]
+    exact = common / np.maximum(size[:, None] + size[None, :] - common, 1)
+    return np.where(plain[:, None] & plain[None, :], exact, np.minimum(share, share.T)) >= threshold - 1e-4
 
 
 def components(links: DataFrame) -> DataFrame:
