@@ -1,0 +1,71 @@
+"""Spans of test items against windows compared one by one."""
+
+import random
+import re
+
+from tablecontract.llm.decontaminate import SuffixAutomaton, decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(text, items, length=10):
+    ws, hit, found = words(text), set(), set()
+    for name, item in items:
+        item = words(item)
+        k = min(length, len(item))
+        windows = {tuple(item[i : i + k]) for i in range(len(item) - k + 1)} if k else set()
+        for i in range(len(ws) - k + 1 if k else 0):
+            if tuple(ws[i : i + k]) in windows:
+                hit.update(range(i, i + k))
+                if name is not None:
+                    found.add(str(name))
+    return len(ws), len(hit), sorted(found)
+
+
+def random_texts(seed, n, most, letters="abc"):
+    r = random.Random(seed)
+    return [" ".join(r.choice(letters) for _ in range(r.randint(0, most))) for _ in range(n)]
+
+
+def test_many_small_texts_against_every_window(spark):
+    docs = list(enumerate(random_texts(1, 150, 40)))
+    items = list(enumerate(random_texts(2, 12, 14)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for blocks in (1_000_000, 20):
+        out = decontaminate(frame, bench, length=5, block_words=blocks).collect()
+        for r in out:
+            assert (r.n_words, r.n_hit, r.hit_items) == brute(docs[r.doc_id][1], items, 5)
+
+
+def test_cases_that_are_odd(spark):
+    items = [(1, "One two THREE four five six seven eight nine ten eleven"), (2, "Ähre über"), (None, "no name here"), (4, None), (5, "..."), (1, "one two")]
+    texts = [
+        None, "", "!!", "one-two three FOUR five six seven eight nine ten", "x Ähre, über y", "ähre über", "say: no name here.",
+        "two three four five six seven eight nine ten eleven " * 3, "word " * 50_000 + "ähre über Ähre über",
+    ]
+    frame = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)] + [(3, texts[3], 7)], "doc_id long, text string, N_HIT int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate(frame, bench).collect()
+    assert len(out) == len(texts) + 1 and out[0].asDict().keys() == {"doc_id", "text", "n_words", "n_hit", "hit_items", "hit_spans", "clean_text"}
+    for r in out:
+        assert (r.n_words, r.n_hit, r.hit_items) == brute(texts[r.doc_id], items)
+    clean = {r.doc_id: r.clean_text for r in out}
+    assert clean[0] is None and clean[1] == "" and clean[6] == "say: ." and clean[4] == "x  y"
+    assert clean[5] == "ähre über"  # only A-Z is lower-cased
+
+
+def test_no_items_and_no_documents(spark):
+    frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert [(r.n_words, r.n_hit) for r in decontaminate(frame, none).collect()] == [(2, 0)]
+    assert decontaminate(frame.limit(0), none).count() == 0
+
+
+def test_a_share_of_an_item_can_be_enough():
+    automaton = SuffixAutomaton([("i", [b"a", b"b", b"c", b"d"])], 10, 0.5)
+    assert automaton.scan([b"x", b"b", b"c", b"y", b"d"]) == ([(1, 3)], {"i"})

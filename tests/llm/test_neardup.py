@@ -1,0 +1,121 @@
+"""Groups against all pairs, similarities against the definition."""
+
+import random
+
+import numpy as np
+import pytest
+from conftest import SF
+from hypothesis import given, settings, strategies as st
+
+from tablecontract.llm import neardup
+from tablecontract.llm.common import words
+from tablecontract.llm.neardup import Shingles, components, deduplicated, near_duplicates, prob_minhash, probability_jaccard
+
+
+def definition(a, b):
+    def term(i):
+        return 1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in set(a) | set(b))
+
+    return sum(term(i) for i in set(a) & set(b))
+
+
+def as_arrays(d):
+    return np.array(sorted(d), np.uint64), np.array([d[k] for k in sorted(d)], np.int64)
+
+
+@settings(max_examples=200, deadline=None)
+@given(*[st.dictionaries(st.integers(0, 30), st.integers(1, 5), min_size=1, max_size=20)] * 2)
+def test_probability_jaccard(a, b):
+    assert probability_jaccard(as_arrays(a), as_arrays(b)) == pytest.approx(definition(a, b))
+    may = neardup._likely([as_arrays(a), as_arrays(b)], definition(a, b))
+    assert may[0, 1]
+
+
+def test_signatures_agree_as_often_as_sets_are_similar():
+    r = np.random.default_rng(1)
+    a = {int(k): int(r.integers(1, 4)) for k in r.integers(0, 2**60, 80)}
+    b = {k: v for k, v in a.items() if r.random() < 0.7} | {int(k): 1 for k in r.integers(0, 2**60, 10)}
+    x, y = prob_minhash([as_arrays(a), as_arrays(b)], 6000)
+    assert (x == y).mean() == pytest.approx(definition(a, b), abs=0.03)
+
+
+def shingles(text, size=5):
+    ws = words(text.encode() if text else None)
+    out = {}
+    for i in range(max(1, len(ws) - size + 1) if ws else 0):
+        key = tuple(ws[i : i + size])
+        out[key] = out.get(key, 0) + 1
+    return out
+
+
+def brute(rows):
+    """The class of each row by all pairs."""
+    kept = [(i, t, shingles(t)) for i, t in rows if i is not None]
+    parent = {i: i for i, _, _ in kept}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, (i, t, s) in enumerate(kept):
+        for j, u, v in kept[:n]:
+            if t is not None and (t == u or s and v and definition(s, v) >= 0.8):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return sorted([(i, find(i)) for i, _, _ in kept])
+
+
+def corpus():
+    r = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(300)]
+    out = []
+    for base in range(12):
+        text = [r.choice(vocabulary) for _ in range(r.choice([6, 40, 120]))]
+        for _ in range(r.choice([1, 3, 14])):
+            copy = list(text)
+            for _ in range(r.choice([0, 1, 2, 6])):
+                copy[r.randrange(len(copy))] = r.choice(vocabulary)
+            out.append(" ".join(copy))
+    out += [None, None, "", "", "!!", "a b", "A, b.", "a b c", "x " * 40, "x " * 41, "x " * 30 + "y"]
+    return [(i * 7 % 1000, t) for i, t in enumerate(out)]
+
+
+@pytest.mark.parametrize("block", [256, 2])
+def test_groups_are_those_of_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", block)
+    rows = corpus()
+    frame = spark.createDataFrame([(i, t, i, "x") for i, t in rows] + [(None, "w1 w2 w3 w4 w5", 0, "x")], "doc_id long, text string, CLASS_ID long, band string")
+    out = near_duplicates(frame).collect()
+    assert [r.class_id for r in out if r.doc_id is None] == [None]
+    assert sorted((r.doc_id, r.class_id) for r in out if r.doc_id is not None) == brute(rows)
+
+
+def test_one_of_each_group_stays(spark):
+    rows = corpus()
+    frame = spark.createDataFrame([*rows, rows[0], (None, "n"), (None, "n")], "doc_id long, text string")
+    kept = [r.doc_id for r in deduplicated(frame).collect()]
+    assert sorted(k for k in kept if k is not None) == sorted({c for _, c in brute(rows)}) and kept.count(None) == 2
+    assert deduplicated(frame.limit(0)).count() == 0 == near_duplicates(frame.limit(0)).count()
+
+
+def test_given_documents(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.length("text") < 3000).select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == brute(rows)
+
+
+def test_a_text_longer_than_a_chunk_keeps_its_words(monkeypatch):
+    monkeypatch.setattr(neardup, "_CHUNK", 64)
+    long = " ".join(f"word{i % 17}" for i in range(400)).encode()
+    small = Shingles(5)(long)
+    monkeypatch.undo()
+    whole = Shingles(5)(long)
+    assert (small[0] == whole[0]).all() and (small[1] == whole[1]).all() and len(whole[0]) == 17
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(60) if i != 30], "a string, b string")
+    assert sorted(tuple(r) for r in components(links).collect()) == [(f"{i:03}", "000" if i <= 30 else "031") for i in range(61)]

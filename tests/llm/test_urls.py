@@ -1,0 +1,94 @@
+"""Rules against plain matching, the ratio against a model written out, and what it learns."""
+
+import math
+from collections import Counter
+
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from tablecontract.llm import urls
+from tablecontract.llm.queries import URL_RULES
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    ends = [rest.find(c) for c in "/?#" if c in rest]
+    host = rest[: min(ends)] if ends else rest
+    path = rest[len(host) :].split("?")[0].split("#")[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule(host, path):
+    fits = [r for r in URL_RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
+    return max(fits, key=len, default=None)
+
+
+ODD = [None, "", "no scheme/org/", "http://", "http://org", "http://org/", "HTTPS://WWW.Example.ORG/en/12?x#y", "http://example.org/es/1", "http://a.com/fr/?q=http://b", "http://a.com#/de/",
+       "http://xorg/", "http://a.com/de/x://y", "ftp://a.com?/fr/", "http://é.org/ü", "http://a.b.example.org/en/1", "x" * 50_000 + "://a.com/fr/", "http://a.net/" + "z" * 50_000, "http://a\n.org/\nb"]
+
+
+def test_host_path_rule(spark):
+    frame = spark.createDataFrame(list(enumerate(ODD)), "i long, url string").select(
+        "i", urls.host_of(F.col("url")).alias("h"), urls.path_of(F.col("url")).alias("p"))
+    for r in frame.select("*", urls.rule_of(F.col("h"), F.col("p"), URL_RULES).alias("rule")).collect():
+        assert (r.h, r.p) == parts(ODD[r.i]) and r.rule == rule(*parts(ODD[r.i]))
+
+
+def codes(url):
+    rest = url.split("://", 1)[1] if "://" in url else url
+    return [0, 0, *[urls.ALPHABET.index(c) + 1 if c in urls.ALPHABET else urls.CLASSES - 1 for c in rest.lower()], 0]
+
+
+def chance(grams, a, b, c):
+    """Witten and Bell, from the shortest context to the longest."""
+    p = 1 / urls.CLASSES
+    for seen in ([z for _, _, z in grams], [z for _, y, z in grams if y == b], [z for x, y, z in grams if (x, y) == (a, b)]):
+        n = Counter(seen)
+        if seen:
+            p = (n[c] + len(n) * p) / (len(seen) + len(n))
+    return p
+
+
+def test_the_ratio_of_two_models(spark):
+    good, bad = ["http://a.org/en/1", "http://good.org/x", "http://a.org/en/1"], ["http://spam.com/buy", "http://spam.net/buy?x"]
+    rows = [(u, True) for u in good] + [(u, False) for u in bad] + [("http://other", None), (None, True)]
+    labelled = spark.createDataFrame(rows, "url string, accepted boolean")
+    ratio = {r.code: r.ratio for r in urls.fit(labelled).collect()}
+    grams = {y: [g for u, k in rows if u is not None and k == y for g in zip(codes(u), codes(u)[1:], codes(u)[2:], strict=False)] for y in (True, False)}
+    grams[True].append((0, 0, 0))  # the null one
+    assert len(ratio) == urls.CLASSES**3
+    for a, b, c in [(0, 0, 1), (0, 1, 37), (19, 16, 1), (3, 15, 13), (40, 40, 40), (38, 5, 14), (0, 0, 0)]:
+        want = math.log(chance(grams[True], a, b, c)) - math.log(chance(grams[False], a, b, c))
+        assert ratio[(a * urls.CLASSES + b) * urls.CLASSES + c] == pytest.approx(want)
+    scores = {r.url: r.score for r in urls.score(labelled, urls.fit(labelled)).collect()}
+    for url in good + bad:
+        k = codes(url)
+        each = [ratio[(a * urls.CLASSES + b) * urls.CLASSES + c] for a, b, c in zip(k, k[1:], k[2:], strict=False)]
+        assert scores[url] == pytest.approx(sum(each) / len(each))
+
+
+def test_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    odd = spark.createDataFrame([(10_000 + i, u) for i, u in enumerate(ODD)], "page_id long, url string")
+    frame = pages.unionByName(odd).unionByName(odd.limit(3)).withColumn("VERDICT", F.lit(1))
+    out = urls.filter_urls(frame, URL_RULES).collect()
+    assert len(out) == frame.count()
+    seen = {r.page_id: r for r in frame.collect()}
+    for r in out:
+        assert (r.host, r.path) == parts(seen[r.page_id].url) and r.rule == rule(r.host, r.path) and r.verdict in ("allow", "block")
+        if r.rule:
+            assert r.verdict == URL_RULES[r.rule]
+    # The model finds again what the rules say of the URLs it learned from, mostly.
+    told = [r for r in out if r.rule and r.score is not None]
+    allow = [r.score for r in told if r.verdict == "allow"]
+    block = [r.score for r in told if r.verdict == "block"]
+    assert sum(allow) / len(allow) > 0 > sum(block) / len(block)
+
+
+def test_nothing_to_learn_from(spark):
+    frame = spark.createDataFrame([(1, "http://a.net/"), (2, None)], "page_id long, url string")
+    assert {r.verdict for r in urls.filter_urls(frame, URL_RULES).collect()} == {"allow"}
+    assert urls.filter_urls(frame.limit(0), URL_RULES).count() == 0
