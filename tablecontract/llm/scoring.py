@@ -18,6 +18,8 @@ SPACE, DIGIT, STOP, SIGN, OTHER, EDGE = 26, 27, 28, 29, 30, 31
 SIDE = 2
 #: Windows of classes there can be: what bounds the count table and each worker's memo of log-probabilities.
 WINDOWS = CLASSES ** (2 * SIDE + 1)
+#: Tasks over the count table, which cannot grow past ``WINDOWS`` rows, and so gradients that a step collects.
+GRADIENTS = 64
 _CHUNK = 1 << 20
 
 
@@ -163,7 +165,7 @@ def train(counts: DataFrame, *, steps: int = 40, rate: float = 0.03) -> Network:
                 yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["loss", "g"])
 
         sums = np.zeros(sum(v.size for v in network.values.values()))
-        for row in counts.mapInArrow(part, "loss double, g array<double>").toLocalIterator():
+        for row in counts.mapInArrow(part, "loss double, g array<double>").collect():
             sums += np.array(row["g"])
         gradient, at = {}, 0
         for name in names:
@@ -221,5 +223,5 @@ def pseudo_likelihood(docs: DataFrame, *, text: str = "text", steps: int = 40) -
     as they occur; with no text at all the network stays as it was drawn. Input columns
     named like results are replaced.
     """
-    counts = saved(count_windows(docs, text=text), "windows")
+    counts = saved(count_windows(docs, text=text).coalesce(GRADIENTS), "windows")
     return score(docs, train(counts, steps=steps), text=text)
