@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: 2^63, the first whole float INTEGER cannot hold.
 INT64_LIMIT = 9223372036854775808.0
+NOT_WHOLE = "INTEGER takes whole numbers of 64 bits only"
 
 
 def is_whole_float(value: Column) -> Column:
@@ -20,11 +21,7 @@ def is_whole_float(value: Column) -> Column:
 
 def whole_float_problem(value: Column) -> Column:
     """Why a double cannot become INTEGER, or NULL when it can."""
-    return (
-        F.when(F.isnan(value), F.lit("NaN cannot be written to an INTEGER column"))
-        .when((value >= INT64_LIMIT) | (value < -INT64_LIMIT), F.lit("a float does not fit in an INTEGER column"))
-        .when(value % 1 != 0, F.lit("a float has a fractional part, which an INTEGER column cannot hold"))
-    )
+    return F.when(value.isNotNull() & ~is_whole_float(value), F.lit(NOT_WHOLE))
 
 
 def whole_float_to_integer(value: Column) -> Column:

@@ -12,6 +12,8 @@ from .functions.temporal import to_date, utc_hour_text
 from .options import MAX_CLUSTER_COLUMNS, PARTITION_UNITS
 
 PARTITION_COLUMN = "_p"
+# The folder of a batch; like the partition's, no column of a contract may be called so.
+BATCH_COLUMN = "_b"
 
 # Types a table may be partitioned by, and may not be clustered on.
 PARTITIONABLE = frozenset({ct.TIMESTAMP, ct.DATE, ct.DATETIME})
@@ -39,7 +41,7 @@ class Layout:
             column = self._find(by_name, name)
             if column.repeated or column.type in UNCLUSTERABLE:
                 kind = "repeated" if column.repeated else column.type
-                raise ContractError(f"column {name} is {kind}, which cannot be clustered on")
+                raise ContractError(f"{name} cannot cluster the table: {kind} values have no order to cluster by")
         return self
 
     def _check_partition(self, column):
@@ -47,17 +49,17 @@ class Layout:
             raise ContractError(f"partition unit is {self.unit!r}, want day, hour, month or year")
         if column.type not in PARTITIONABLE:
             raise ContractError(
-                f"column {column.name} is {column.type}, but partitioning needs TIMESTAMP, DATE or DATETIME"
+                f"{column.name} cannot partition the table: {column.type} is no type of a day or an instant"
             )
         if column.repeated:
-            raise ContractError(f"column {column.name} is repeated, which cannot be a partitioning column")
+            raise ContractError(f"{column.name} cannot partition the table: a row with several values would be in several partitions")
         if self.unit == "hour" and column.type == ct.DATE:
-            raise ContractError(f"column {column.name} is DATE, which cannot be partitioned by hour")
+            raise ContractError(f"{column.name} cannot partition the table by hour: a DATE has none")
 
     @staticmethod
     def _find(by_name, name):
         if name not in by_name:
-            raise ContractError(f"the layout names column {name}, which the contract does not have")
+            raise ContractError(f"the layout speaks of {name}, and the contract has no such column")
         return by_name[name]
 
     @classmethod
@@ -66,7 +68,7 @@ class Layout:
         partitioned = [(n, o) for n, o in named_options if o.partition]
         if len(partitioned) > 1:
             raise ContractError(
-                f"columns {', '.join(n for n, _ in partitioned)} are all partitioning columns, but a table has one"
+                f"only one of {', '.join(n for n, _ in partitioned)} can partition the table"
             )
         by_position: dict[int, str] = {}
         for name, options in named_options:
@@ -74,12 +76,12 @@ class Layout:
                 continue
             if options.cluster in by_position:
                 raise ContractError(
-                    f"columns {by_position[options.cluster]} and {name} both claim cluster position {options.cluster}"
+                    f"cluster={options.cluster} is given to {by_position[options.cluster]} and to {name}"
                 )
             by_position[options.cluster] = name
         missing = sorted(set(range(1, len(by_position) + 1)) - set(by_position))
         if missing:
-            raise ContractError(f"cluster position {missing[0]} is missing; positions run from 1 without a gap")
+            raise ContractError(f"no column has cluster={missing[0]}, though a later one is given")
         name, options = partitioned[0] if partitioned else ("", None)
         return cls(
             partition_by=name,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from .. import types as ct
 from ..contract import Contract
 from ..errors import ContractError
-from ..functions.numbers import whole_float_problem
+from ..functions.numbers import NOT_WHOLE, whole_float_problem
 from ..functions.temporal import TIME_PATTERN
 from . import gates
 
@@ -191,7 +191,7 @@ class _Reader:
             as_float = whole_float_problem(F.try_variant_get(cell.value, "$", "double"))
             exact = F.try_variant_get(cell.value, "$", "decimal(38,0)")
             too_big = F.when(
-                exact.isNull() | (exact > (1 << 63) - 1) | (exact < -(1 << 63)), F.lit("a whole number overflows INTEGER")
+                exact.isNull() | (exact > (1 << 63) - 1) | (exact < -(1 << 63)), F.lit(NOT_WHOLE)
             )
             problem = F.when(cell.kind == "BIGINT", None).when(cell.kind.endswith(",0)"), too_big).otherwise(as_float)
             return [F.concat(F.lit(f"column {label}: "), problem, F.lit(gates.BREAK))]

@@ -19,13 +19,13 @@ class Conflict:
     got: ct.TableColumn
 
     def __str__(self):
-        details = {
-            TYPE: f"declared {self.want.type}, table has {self.got.type}",
-            REPEATED: f"declared repeated={self.want.repeated}, table has repeated={self.got.repeated}",
-            REQUIRED: "declared REQUIRED, table has NULLABLE",
-            NESTED: f"RECORD fields differ, declared {ct.names(self.want.fields)}, table has {ct.names(self.got.fields)}",
-        }
-        return f"{self.name}: {details[self.reason]}"
+        return f"{self.name}: no migration leads from {_in_words(self.got)} to {_in_words(self.want)} ({self.reason})"
+
+
+def _in_words(column: ct.TableColumn) -> str:
+    """Mode, type and fields of a column in one line."""
+    inside = f" of {', '.join(f.name for f in column.fields)}" if column.fields else ""
+    return f"{column.mode} {column.type}{inside}"
 
 
 @dataclass(frozen=True)

@@ -110,7 +110,7 @@ def q_undeclared_keys(t):
 
 @query(
     """SELECT CASE event_id % 7 WHEN 0 THEN 'column s: STRING does not take BIGINT' WHEN 1 THEN 'column i: INTEGER does not take STRING'
-                WHEN 2 THEN 'column i: a float has a fractional part, which an INTEGER column cannot hold'
+                WHEN 2 THEN 'column i: INTEGER takes whole numbers of 64 bits only'
                 WHEN 3 THEN 'column b: BOOL does not take STRING' WHEN 4 THEN 'column r: RECORD does not take STRING'
                 WHEN 5 THEN 'column l: a REPEATED column needs a list' ELSE 'column l: a repeated column cannot hold a NULL element' END AS reason,
               count(*) AS rows FROM events GROUP BY 1"""

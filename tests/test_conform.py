@@ -28,33 +28,30 @@ def one(spark):
     return run
 
 
-def test_everything(one):
+def test_many_shapes_in_one_row(one):
+    """An order with its lines: each column by another rule, next to those it could be mixed up with."""
+    line = T.StructType([column("sku", S), column("pieces", L)])
     contract = of(
-        column("str", S), column("req", S, required=True), column("null_zero", S, nullifzero=True),
-        column("num", T.IntegerType()), column("rate", T.FloatType()), column("flag", T.BooleanType()),
-        column("blob", T.BinaryType()), column("day", T.DateType(), name="Day"), column("on_day", TS, as_time="date"),
-        column("on_days", T.ArrayType(TS), as_time="date"), column("open_at", TS, as_time="time"),
-        column("money", T.DecimalType(38, 9)), column("tags", T.ArrayType(S)), column("inner", INNER, record=True),
-        column("records", T.ArrayType(INNER), record=True), column("as_json", INNER),
-        column("attrs", T.MapType(S, S)), column("raw", S, type="JSON"), column("skipped", S, skip=True),
+        column("number", L, required=True), column("note", S, nullifzero=True), column("weight", T.FloatType()), column("gift", T.BooleanType()),
+        column("stamp", T.BinaryType()), column("placed", TS, as_time="date"), column("packed", TS, as_time="time"), column("due", T.DateType(), name="due_on"),
+        column("visits", T.ArrayType(TS), as_time="date"), column("total", T.DecimalType(38, 9)), column("codes", T.ArrayType(S)),
+        column("first", line, record=True), column("lines", T.ArrayType(line), record=True), column("last", line),
+        column("extra", T.MapType(S, S)), column("source", S, type="JSON"), column("scratch", S, skip=True),
     )
-    at = "timestamp'2026-07-28T12:30:00Z'"
+    late = "timestamp'2024-02-29T23:59:58Z'"
     row = one(
-        contract, str="'s'", req="'r'", null_zero="''", num="42", rate="cast(1.5 as float)", flag="true", blob="X'6279'",
-        day="date'2026-07-28'", on_day=at, on_days=f"array({at})", open_at=at, money="cast(12.5 as decimal(38,9))",
-        tags="array('a','b')", inner="named_struct('A','inner a','B',1L)",
-        records="array(named_struct('A','r1','B',3L), named_struct('A','r2','B',4L))",
-        as_json="named_struct('A','x','B',cast(null as bigint))", attrs="map('url','https://x/?a=1&b=2')",
-        raw="'{\"already\":\"json\"}'", skipped="'no'",
-    )
-    assert "skipped" not in row.asDict()
-    assert (row.str, row.req, row.null_zero, row.num, row.rate, row.flag) == ("s", "r", None, 42, 1.5, True)
-    assert (row.Day, row.on_day, row.on_days) == (dt.date(2026, 7, 28), dt.date(2026, 7, 28), [dt.date(2026, 7, 28)])
-    assert (row.open_at, row.money, row.tags) == ("12:30:00", Decimal("12.5"), ["a", "b"])
-    assert row.inner.asDict() == {"A": "inner a", "B": 1}
-    assert [r.B for r in row.records] == [3, 4]
-    assert (row.as_json, row.attrs) == ('{"A":"x","B":null}', '{"url":"https://x/?a=1&b=2"}')
-    assert row.raw == '{"already":"json"}'
+        contract, number="7L", note="''", weight="cast(0.25 as float)", gift="false", stamp="X'00FF'", placed=late, packed=late, due="date'2024-03-01'",
+        visits=f"array({late}, timestamp'2024-01-01T00:00:00Z')", total="cast(19.99 as decimal(38,9))", codes="array('q')",
+        first="named_struct('sku','s-1','pieces',2L)", lines="array(named_struct('sku','s-1','pieces',2L), named_struct('sku','s-2','pieces',5L))",
+        last="named_struct('sku','s-2','pieces',cast(null as bigint))", extra="map('go','<a & b>')", source="'[1, {}]'", scratch="'x'",
+    ).asDict()
+    assert "scratch" not in row and "due" not in row
+    assert [r.asDict() for r in row.pop("lines")] == [{"sku": "s-1", "pieces": 2}, {"sku": "s-2", "pieces": 5}] and row.pop("first").pieces == 2
+    assert row == {
+        "number": 7, "note": None, "weight": 0.25, "gift": False, "stamp": b"\x00\xff", "placed": dt.date(2024, 2, 29), "packed": "23:59:58", "due_on": dt.date(2024, 3, 1),
+        "visits": [dt.date(2024, 2, 29), dt.date(2024, 1, 1)], "total": Decimal("19.99"), "codes": ["q"], "last": '{"sku":"s-2","pieces":null}',
+        "extra": '{"go":"<a & b>"}', "source": "[1, {}]",
+    }
 
 
 def test_the_plan_is_one_projection_and_a_filter(spark):

@@ -66,9 +66,9 @@ def test_conflicts_come_as_one_error():
     with pytest.raises(SchemaConflictError) as err:
         diff.raise_conflicts()
     text = str(err.value)
-    assert "a: declared INTEGER, table has STRING" in text
-    assert "b: declared repeated=True, table has repeated=False" in text
-    assert "r: RECORD fields differ, declared ['a'], table has ['b']" in text
+    assert "a: no migration leads from NULLABLE STRING to NULLABLE INTEGER (type)" in text
+    assert "b: no migration leads from" in text and "(repeated)" in text
+    assert "RECORD of b to NULLABLE RECORD of a (nested)" in text
     assert len(err.value.conflicts) == 3
 
 
