@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 from . import types as ct
 from .errors import ContractError
-from .layout import PARTITION_COLUMN, Layout
+from .layout import BATCH_COLUMN, PARTITION_COLUMN, Layout
 from .mapping import Binding, Overrides, bind
 from .options import column as option_column, parse_labels
 
@@ -44,14 +44,16 @@ class Contract:
     labels: MappingProxyType = field(default_factory=lambda: MappingProxyType({}))
     row_type: T.StructType | None = None
     overrides: Overrides = field(default_factory=Overrides, repr=False, compare=False)
+    zone: str = field(default="UTC", compare=False)
     _compiled: dict = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __post_init__(self):
         if not self.columns:
             raise ContractError("the contract has no columns")
         ct.check_distinct(self.columns, "the contract")
-        if any(c.name.lower() == PARTITION_COLUMN for c in self.columns):
-            raise ContractError(f"the column name {PARTITION_COLUMN} is taken by the table's partitions")
+        for reserved, of in ((PARTITION_COLUMN, "partitions"), (BATCH_COLUMN, "batches")):
+            if any(c.name.lower() == reserved for c in self.columns):
+                raise ContractError(f"the column name {reserved} is taken by the table's {of}")
         self.layout.check(self.columns)
 
     @property
@@ -105,6 +107,7 @@ class Contract:
             labels=MappingProxyType(_only_one("labels", labels, dict(given.labels))),
             row_type=row_type,
             overrides=registered,
+            zone=zone,
         )
 
     @classmethod
@@ -205,12 +208,12 @@ def _check_covers(written, declared):
     by_name = {c.name: c for c in declared}
     missing = [c.name for c in written if c.name not in by_name]
     if missing:
-        raise ContractError(f"the declared columns have no {', '.join(missing)}; add them or skip the fields")
+        raise ContractError(f"rows write {', '.join(missing)}, for which no column is declared")
 
 
 def _only_one(what, tagged, given):
     if tagged and given:
-        raise ContractError(f"the row type and the table metadata both set {what}; drop one of them")
+        raise ContractError(f"{what}: both set, by the fields' options and beside them")
     return tagged or given
 
 
@@ -218,7 +221,7 @@ def _one_layout(tagged: Layout, given: Layout | None) -> Layout:
     given = given or Layout()
     for attribute, what in (("partition_by", "a partitioning column"), ("cluster_by", "clustering columns")):
         if getattr(tagged, attribute) and getattr(given, attribute):
-            raise ContractError(f"the row type and the table metadata both set {what}; drop one of them")
+            raise ContractError(f"{what}: both set, by the fields' options and beside them")
     source = tagged if tagged.partition_by else given
     return Layout(
         source.partition_by,

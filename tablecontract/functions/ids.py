@@ -13,11 +13,10 @@ import uuid
 
 from pyspark.sql import Column, functions as F
 
-# Bits of a staged row's place: task, file of that task, row in that file. With
-# them a batch of any size has distinct ids, which a 74 bit hash would not
-# promise beyond some billions of rows in one millisecond.
-TASK_BITS, FILE_BITS, ROW_BITS = 20, 10, 24
-ROWS_PER_FILE = 1 << ROW_BITS
+# Bits of a staged row's place: the task that wrote it, and its row there. A task
+# writes one file. With them ids are distinct without relying on a hash, which
+# 74 bits would not promise beyond some billions of rows in one millisecond.
+TASK_BITS, ROW_BITS = 22, 32
 
 
 def new_uuid7(millis: int | None = None) -> str:
@@ -49,15 +48,16 @@ def key_digest(ingestion_id: str | Column, keys: list[Column]) -> Column:
     return F.sha2(F.concat(sink, F.lit("|"), F.coalesce(text, refuse)), 256)
 
 
-def uuid7_from_position(millis: int, batch: str, task: Column, file: Column, row: Column) -> Column:
-    """An id that sorts by the row's place: 12 + 42 bits of place, 20 bits of the batch."""
-    outside = (task >= (1 << TASK_BITS)) | (file >= (1 << FILE_BITS)) | (row >= (1 << ROW_BITS))
-    place = F.shiftleft(task.cast("bigint"), FILE_BITS + ROW_BITS).bitwiseOR(
-        F.shiftleft(file.cast("bigint"), ROW_BITS)
-    ).bitwiseOR(row.cast("bigint"))
-    refuse = F.raise_error(F.lit("a staged batch has more tasks, files or rows than a row id can number")).cast("bigint")
-    place = F.when(outside, refuse).otherwise(place)
-    low_bits = TASK_BITS + FILE_BITS + ROW_BITS - 12
+def uuid7_from_position(millis: int, batch: str, task: Column, row: Column) -> Column:
+    """An id that sorts by the row's place: 12 + 42 bits of place, 20 bits of the batch.
+
+    A batch of over four million tasks, or four billion rows in one of them, is refused.
+    """
+    known = (task < (1 << TASK_BITS)) & (row < (1 << ROW_BITS))
+    place = F.shiftleft(task.cast("bigint"), ROW_BITS).bitwiseOR(row.cast("bigint"))
+    refuse = F.raise_error(F.lit("a row's place in its staged file is unknown, or past what a row id can number")).cast("bigint")
+    place = F.when(known, place).otherwise(refuse)
+    low_bits = TASK_BITS + ROW_BITS - 12
     rest = F.shiftleft(place.bitwiseAND((1 << low_bits) - 1), 62 - low_bits).bitwiseOR(
         F.conv(F.substring(F.sha2(F.lit(batch), 256), 1, 5), 16, 10).cast("bigint")
     )

@@ -48,17 +48,16 @@ def row_id_from_key(info: AppendInfo, keys) -> Column:
 def row_id_from_place(info: AppendInfo, place: str = PLACE) -> Column:
     """For rows without a key: their place in a staged file, which no retry changes."""
     at = F.col(place)
-    return ids.uuid7_from_position(info.id_millis, info.batch_id, at["task"], at["file"], at["row"])
+    return ids.uuid7_from_position(info.id_millis, info.batch_id, at["task"], at["row"])
 
 
 def with_place(df: DataFrame) -> DataFrame:
-    """Add each row's place to a DataFrame read from files Spark wrote."""
-    name = F.col("_metadata.file_name")
-    place = F.struct(
-        F.regexp_extract(name, r"^part-(\d+)", 1).cast("bigint").alias("task"),
-        F.regexp_extract(name, r"-c(\d+)", 1).cast("bigint").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
+    """Add each row's place to a DataFrame read from files Spark wrote, one a task.
+
+    Only the number at the start of a file's name is read; what follows is random.
+    """
+    task = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1)
+    place = F.struct(F.nullif(task, F.lit("")).cast("bigint").alias("task"), F.col("_metadata.row_index").alias("row"))
     return df.select("*", place.alias(PLACE))
 
 
@@ -67,14 +66,16 @@ def fill_ingestion(info: AppendInfo) -> dict[str, Column]:
     return {INGESTION_AT: instant(info.time), INGESTION_ID: F.lit(info.ingestion_id), ROW_ID: info.row_id}
 
 
-def apply_fill(df: DataFrame, info: AppendInfo, fill: Fill | None) -> DataFrame:
-    """Run a fill once for the batch, before conversion and before any retry."""
-    if fill is None:
-        return df
+def fill_columns(info: AppendInfo, fill: Fill) -> dict[str, Column]:
+    """What a fill adds to a batch; it is run once for it, before conversion and before any retry."""
     columns = fill(info)
     if not isinstance(columns, dict):
         raise ContractError("a fill returns a dictionary of columns by name")
-    return df.withColumns(columns)
+    return columns
+
+
+def apply_fill(df: DataFrame, info: AppendInfo, fill: Fill | None) -> DataFrame:
+    return df if fill is None else df.withColumns(fill_columns(info, fill))
 
 
 def with_ingestion(df: DataFrame, info: AppendInfo, keys) -> DataFrame:

@@ -1,7 +1,7 @@
 """The contract stored beside a table's data: numbered files, each created once.
 
     <table>/_contract/v000001.json
-    <table>/data/g0001/batch=<id>/...
+    <table>/data/g0001/_b=<id>/...
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
@@ -16,15 +17,16 @@ from .. import types as ct
 from ..contract import ROW_ID, Contract
 from ..errors import BatchTypeError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
 from ..functions import ids
-from ..layout import PARTITION_COLUMN
+from ..layout import BATCH_COLUMN, PARTITION_COLUMN
 from ..operators.conform import conform
 from ..operators.dynamic import conform_dynamic
 from ..operators.enrich import (
     PLACE,
     AppendInfo,
     Fill,
-    apply_fill,
+    fill_columns,
     fill_ingestion,
+    instant,
     row_id_from_key,
     row_id_from_place,
     with_place,
@@ -41,8 +43,6 @@ LOGGER = logging.getLogger("tablecontract")
 # while executors would stand idle.
 CLUSTER_TASK_BYTES = 128 * 1024 * 1024
 SMALL_TASK_BYTES = 4 * 1024 * 1024
-# More tasks than this make a shuffle of mostly tiny blocks; beyond, tasks grow and spill.
-MAX_CLUSTER_TASKS = 20_000
 
 # A batch id names a folder.
 _BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
@@ -78,8 +78,9 @@ class GovernedTable:
 
     ``target`` is an address in the warehouse or a path. ``key`` names columns
     that identify a row; without one, a contract with ingestion columns stages
-    its batches so that row ids survive a retry. ``managed=False`` appends to a
-    plain folder that has no contract of its own.
+    its batches so that row ids survive a retry. They are staged below the table, or in
+    the folder ``staging``, which has to be on the table's own file system.
+    ``managed=False`` appends to a plain folder that has no contract of its own.
     """
 
     def __init__(
@@ -99,6 +100,7 @@ class GovernedTable:
         managed: bool = True,
         ingestion_id: str | None = None,
         created_at: datetime | None = None,
+        staging: str | None = None,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     ):
         self.spark = spark
@@ -108,6 +110,7 @@ class GovernedTable:
         self.key = (key,) if isinstance(key, str) else tuple(key)
         self.fill, self.row, self.source = fill, row, source
         self.writer, self.managed, self.clock = writer, managed, clock
+        self.staging = (staging or f"{self.location}/_staging").rstrip("/")
         self.created_at = created_at or clock()
         self.ingestion_id = ingestion_id or ids.new_uuid7(_millis(self.created_at))
         self.log = _NamedLog(LOGGER, {"table": self.name})
@@ -173,14 +176,18 @@ class GovernedTable:
         """
         if self._outcome is None and df.isEmpty():
             return AppendResult(0)
-        self.check_batch(df)
-        version = self.start()
         info = self.info(batch_id, id_millis)
+        columns = self.columns(info)
+        self.check_batch(df, columns)
+        version = self.start()
         if self.writer:
-            return self._append_by_writer(df, info)
+            return self._append_by_writer(df, info, columns)
+        landed = self._landed(version, info.batch_id)
+        if landed is not None:
+            return AppendResult(landed, info.batch_id)
         if self.needs_staging(version) or staged:
-            return self._append_staged(df, info, version, keep)
-        rows = self._write(self.prepare(df, info), version, info.batch_id)
+            return self._append_staged(df, info, version, keep, columns)
+        rows = self._write(self.prepare(df, info, columns=columns), version, info.batch_id)
         self.log.info("appended %d rows as batch %s", rows, info.batch_id)
         return AppendResult(rows, info.batch_id)
 
@@ -197,7 +204,22 @@ class GovernedTable:
             first = first.unionByName(other)
         return self.append(first, **options)
 
-    def check_batch(self, df: DataFrame) -> None:
+    def columns(self, info: AppendInfo) -> list[dict]:
+        """What fills add to a batch, in order. A custom fill runs here, once for the batch.
+
+        Row ids in it are expressions on the key, or on the place that staging
+        gives a row, so they hold wherever the batch is prepared.
+        """
+        if self.key:
+            info = replace(info, row_id=row_id_from_key(info, self.key))
+        elif self._numbers_by_place():
+            info = replace(info, row_id=row_id_from_place(info))
+        if self.contract.is_dynamic:
+            return [] if info.row_id is None else [{ROW_ID: info.row_id}]
+        fills = ([fill_ingestion] if self.contract.has_ingestion else []) + ([self.fill] if self.fill else [])
+        return [fill_columns(info, fill) for fill in fills]
+
+    def check_batch(self, df: DataFrame, columns: list[dict]) -> None:
         """Report a batch of the wrong type before anything is touched."""
         if self.contract.is_dynamic:
             have = dict(df.dtypes).get(self.row)
@@ -205,9 +227,10 @@ class GovernedTable:
             if have != want:
                 raise BatchTypeError(f"the batch has {self.row} as {have}, the contract reads {want}")
             return
-        info = replace(self.info(), row_id=F.lit(""))
-        filled = self._fill(df, info)
-        conform(filled, self.contract, gated=False)
+        if self._numbers_by_place():
+            zero = F.lit(0).cast("bigint")
+            df = df.withColumn(PLACE, F.struct(zero.alias("task"), zero.alias("row")))
+        conform(_filled(df, columns), self.contract, gated=False)
 
     def info(self, batch_id: str | None = None, id_millis: int | None = None) -> AppendInfo:
         now = self.clock()
@@ -229,38 +252,35 @@ class GovernedTable:
     def needs_staging(self, version: TableVersion) -> bool:
         """Row ids without a key come from a row's place in a staged file, and so
         does the tie-breaker that spreads a hot clustering value over many tasks."""
-        return bool(version.layout.cluster_by) or (not self.key and self._uses_row_id())
+        return bool(version.layout.cluster_by) or self._numbers_by_place()
 
-    def _uses_row_id(self) -> bool:
-        return self.contract.has_ingestion or self.fill is not None
+    def _numbers_by_place(self) -> bool:
+        """Without a key, an id is wanted for ingestion columns, for fills, and to name dynamic rows that are refused."""
+        return not self.key and (self.contract.has_ingestion or self.fill is not None or self.contract.is_dynamic)
 
-    def prepare(self, df: DataFrame, info: AppendInfo, *, keep=()) -> DataFrame:
+    def prepare(self, df: DataFrame, info: AppendInfo, *, keep=(), columns: list[dict] | None = None) -> DataFrame:
         """Enriched, converted and gated rows under the contract's names; no shuffle."""
-        if self.key:
-            info = replace(info, row_id=row_id_from_key(info, self.key))
-        elif PLACE in df.columns:
-            info = replace(info, row_id=row_id_from_place(info))
+        columns = self.columns(info) if columns is None else columns
         if self.contract.is_dynamic:
-            named = [] if info.row_id is None else [info.row_id.alias(ROW_ID)]
             return conform_dynamic(
-                df.select("*", *named), self.contract, self.row, source=self.source, keep=keep,
-                row_id=ROW_ID if named else None,
+                _filled(df, columns), self.contract, self.row, source=self.source, keep=keep, row_id=ROW_ID if columns else None,
             ).transform(lambda out: enforce(out, self.contract.columns))
-        filled = self._fill(df, info)
-        return conform(filled, self.contract, keep=keep, row_id=ROW_ID if self.contract.has_ingestion else None)
-
-    def _fill(self, df, info):
-        if self.contract.has_ingestion:
-            df = apply_fill(df, info, fill_ingestion)
-        return apply_fill(df, info, self.fill)
-
-    def _append_staged(self, df, info, version, keep) -> AppendResult:
-        path = f"{self.location}/_staging/{info.batch_id}"
-        raw = not self.key and self._uses_row_id()
-        given = self.stage(df if raw else self.prepare(df, info), path)
+        return conform(_filled(df, columns), self.contract, keep=keep, row_id=ROW_ID if self.contract.has_ingestion else None)
+
+    def staged(self, df: DataFrame, path: str) -> tuple[DataFrame, int]:
+        """Rows written aside and read back with their places; what an earlier try finished is not written again."""
+        if self.store.files.exists(f"{path}/_SUCCESS"):
+            count = self.spark.read.parquet(path).count()
+        else:
+            count = self.stage(df, path, "overwrite")
+        return with_place(self.spark.read.schema(df.schema).parquet(path)), count
+
+    def _append_staged(self, df, info, version, keep, columns) -> AppendResult:
+        path = f"{self.staging}/{info.batch_id}"
+        raw = self._numbers_by_place()
+        staged, given = self.staged(df if raw else self.prepare(df, info, columns=columns), path)
         try:
-            staged = with_place(self.spark.read.schema(self._staged_schema(df, info, raw)).parquet(path))
-            rows = self.load(staged, info, version, raw=raw, size=self.store.files.size(path))
+            rows = self.load(staged, info, version, raw=raw, size=self.store.files.size(path), columns=columns)
         finally:
             if not keep:
                 self.remove(path)
@@ -269,19 +289,18 @@ class GovernedTable:
         self.log.info("appended %d rows as batch %s through %s", rows, info.batch_id, path)
         return AppendResult(rows, info.batch_id)
 
-    def _staged_schema(self, df, info, raw) -> T.StructType:
-        return df.schema if raw else self.prepare(df, info).schema
-
     def stage(self, df: DataFrame, path: str, mode: str = "errorifexists") -> int:
         """Write rows aside and count them in the same job."""
         counter = Observation()
         rows = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode(mode).option("maxRecordsPerFile", ids.ROWS_PER_FILE).parquet(path)
+        rows.write.mode(mode).option("maxRecordsPerFile", 0).parquet(path)
         return counter.get["rows"]
 
-    def load(self, staged: DataFrame, info: AppendInfo, version: TableVersion, *, raw: bool, size: int) -> int:
+    def load(
+        self, staged: DataFrame, info: AppendInfo, version: TableVersion, *, raw: bool, size: int, columns: list[dict] | None = None
+    ) -> int:
         """Append ``size`` bytes read back from staging; ``raw`` rows are still to be prepared."""
-        rows = self.prepare(staged, info, keep=(PLACE,)) if raw else staged
+        rows = self.prepare(staged, info, keep=(PLACE,), columns=columns) if raw else staged
         return self._write(rows, version, info.batch_id, size)
 
     def remove(self, path: str) -> None:
@@ -305,23 +324,46 @@ class GovernedTable:
         if not self.managed:
             self._writer(out, version, "append").parquet(self.location)
             return counter.get["rows"]
-        target = f"{self.data_path(version)}/batch={batch_id}"
-        if self.store.files.exists(target):
-            self.log.info("batch %s has landed before", batch_id)
-            return self.spark.read.parquet(target).count()
-        aside = f"{self.location}/_staging/load-{batch_id}"
+        landed = self._landed(version, batch_id)
+        if landed is not None:
+            return landed
+        aside = f"{self.staging}/load-{batch_id}"
         try:
             self._writer(out, version, "overwrite").parquet(aside)
             if counter.get["rows"]:
-                self.store.files.move_folder(aside, target)
+                self._land(aside, f"{BATCH_COLUMN}={batch_id}")
         finally:
             if self.store.files.exists(aside):
                 self.remove(aside)
         return counter.get["rows"]
 
-    def _writer(self, df: DataFrame, version: TableVersion, mode: str):
+    def _land(self, aside: str, name: str) -> None:
+        """Make a folder part of the generation that is the table's now, also when a rewrite publishes one meanwhile."""
+        files, generation = self.store.files, self.store.latest().generation
+        files.move_folder(aside, f"{self.store.data(generation)}/{name}")
+        while (now := self.store.latest().generation) != generation:
+            target = f"{self.store.data(now)}/{name}"
+            try:
+                files.move_folder(f"{self.store.data(generation)}/{name}", target)
+            except OSError:
+                if not files.exists(target):  # else the rewrite has taken it along
+                    raise
+            generation = now
+
+    def _landed(self, version: TableVersion, batch_id: str) -> int | None:
+        """Rows of a batch that is in the table already, None for any other."""
+        if not self.managed or self.writer:
+            return None
+        target = f"{self.data_path(self.store.latest() or version)}/{BATCH_COLUMN}={batch_id}"
+        if not self.store.files.exists(target):
+            return None
+        self.log.info("batch %s has landed before", batch_id)
+        return self.spark.read.parquet(target).count()
+
+    def _writer(self, df: DataFrame, version: TableVersion, mode: str, by: tuple[str, ...] = ()):
         writer = df.write.mode(mode)
-        return writer.partitionBy(PARTITION_COLUMN) if version.layout.partition_by else writer
+        by = [*by, PARTITION_COLUMN] if version.layout.partition_by else by
+        return writer.partitionBy(*by) if by else writer
 
     def data_path(self, version: TableVersion) -> str:
         return self.store.data(version.generation) if self.managed else self.location
@@ -345,7 +387,7 @@ class GovernedTable:
         ]
         if layout.cluster_by:
             idle = min(self.spark.sparkContext.defaultParallelism, -(-size // SMALL_TASK_BYTES))
-            tasks = min(MAX_CLUSTER_TASKS, max(1, idle, -(-size // CLUSTER_TASK_BYTES)))
+            tasks = max(1, idle, -(-size // CLUSTER_TASK_BYTES))
             by = [F.col(f"`{name}`") for name in order]
             # The place is unique, so any number of equal values can be cut apart.
             return out.repartitionByRange(tasks, *by, PLACE).sortWithinPartitions(*by)
@@ -355,10 +397,19 @@ class GovernedTable:
             return out.hint("rebalance", F.col(PARTITION_COLUMN))
         return out
 
-    def _append_by_writer(self, df, info) -> AppendResult:
+    def _append_by_writer(self, df, info, columns) -> AppendResult:
+        if not self._numbers_by_place():
+            return self._deliver(self.prepare(df, info, columns=columns), info)
+        path = f"{self.staging}/{info.batch_id}"
+        staged, _ = self.staged(df, path)
+        try:
+            return self._deliver(self.prepare(staged, info, columns=columns), info)
+        finally:
+            self.remove(path)
+
+    def _deliver(self, prepared: DataFrame, info: AppendInfo) -> AppendResult:
         counter = Observation()
-        prepared = self.prepare(df, info).observe(counter, F.count(F.lit(1)).alias("rows"))
-        delivered = self.writer(prepared, info)
+        delivered = self.writer(prepared.observe(counter, F.count(F.lit(1)).alias("rows")), info)
         if delivered is None:
             raise ShortWriteError("the writer returned neither a number of rows nor an error")
         given = counter.get["rows"]
@@ -400,13 +451,24 @@ class GovernedTable:
         value, part = F.col(f"`{column.stored_as}`"), F.col(PARTITION_COLUMN)
         keep = F.lit(True)
         if start is not None:
-            bound = F.lit(start).cast(column.spark_type())
+            bound = self._bound(start, column)
             keep = keep & (value >= bound) & (part >= layout.partition_value(bound, column.type))
         if end is not None:
-            bound = F.lit(end).cast(column.spark_type())
+            bound = self._bound(end, column)
             keep = keep & (value < bound) & (part <= layout.partition_value(bound, column.type))
         return keep
 
+    def _bound(self, value, column):
+        """A bound as a literal that the session's zone has no part in: a text or moment without a zone is in the contract's."""
+        if not isinstance(column.spark_type(), T.TimestampType):
+            return F.lit(value).cast(column.spark_type())
+        moment = datetime.fromisoformat(value) if isinstance(value, str) else value
+        if not isinstance(moment, datetime):
+            moment = datetime(moment.year, moment.month, moment.day)
+        if moment.tzinfo is None:
+            moment = moment.replace(tzinfo=ZoneInfo(self.contract.zone))
+        return instant(moment)
+
     def partition_counts(self) -> DataFrame:
         """Rows per partition, read from the partitions and file footers alone."""
         version = self.store.latest()
@@ -422,30 +484,50 @@ class GovernedTable:
         """Destroy the values of dropped columns by writing the kept ones into a new generation.
 
         Dropping a column alone is a change of the contract. This job is for when
-        the bytes have to go: it needs the table to itself, and publishes only
-        when no file came or went meanwhile.
+        the bytes have to go; without dropped columns it does nothing. Batches keep
+        their folders, and so their ids; rows keep their order by partition and
+        clustering columns. Appends go on meanwhile: what lands in the old
+        generation is moved to the new one before the old one is deleted.
         """
         version = self.store.latest()
-        old, new = self.data_path(version), self.store.data(version.generation + 1)
+        if not version.retired:
+            return version
+        files, old, new = self.store.files, self.data_path(version), self.store.data(version.generation + 1)
         fields = [T.StructField(c.stored_as, c.spark_type(), True) for c in version.columns]
+        fields.append(T.StructField(BATCH_COLUMN, T.StringType(), True))
         if version.layout.partition_by:
             fields.append(T.StructField(PARTITION_COLUMN, version.layout.partition_type, True))
-        kept = self.spark.read.schema(T.StructType(fields)).parquet(old)
-        before = set(kept.inputFiles())
+        names = [f.name for f in fields]
+        stored = {c.name: c.stored_as for c in version.columns}
+        order = [n for n in (BATCH_COLUMN, PARTITION_COLUMN) if n in names] + [stored[n] for n in version.layout.cluster_by if n in stored]
         counter = Observation()
-        counted = kept.select(*T.StructType(fields).names).observe(counter, F.count(F.lit(1)).alias("rows"))
-        self._writer(counted, version, "overwrite").parquet(f"{new}/batch=rewrite-{version.version}")
-        if set(self.spark.read.schema(T.StructType(fields)).parquet(old).inputFiles()) != before:
-            raise ShortWriteError("rows arrived during the rewrite; the old generation stays in place")
-        plain = tuple(version.columns)
-        published = self.store.publish(
-            replace(version, columns=plain, generation=version.generation + 1), version
-        )
+        kept = self.spark.read.schema(T.StructType(fields)).parquet(old).select(*[F.col(f"`{n}`") for n in names])
+        kept = kept.sortWithinPartitions(*[F.col(f"`{n}`") for n in order]).observe(counter, F.count(F.lit(1)).alias("rows"))
+        taken = set(files.names(old))  # one name a batch
+        try:
+            if taken:
+                self._writer(kept, version, "overwrite", (BATCH_COLUMN,)).parquet(new)
+            else:
+                files.mkdirs(new)
+            published = self.store.publish(replace(version, generation=version.generation + 1, retired=()), version)
+        except Exception:
+            self.remove(new)
+            raise
+        for name in files.names(old):
+            if name not in taken and not files.exists(f"{new}/{name}"):
+                files.move_folder(f"{old}/{name}", f"{new}/{name}")
         self.remove(old)
-        self.log.warning("rewrote %d rows without the dropped columns", counter.get["rows"])
+        if taken:
+            self.log.warning("rewrote %d rows without the dropped columns", counter.get["rows"])
         return published
 
 
+def _filled(df: DataFrame, columns: list[dict]) -> DataFrame:
+    for some in columns:
+        df = df.withColumns(some)
+    return df
+
+
 def _described(column: ct.TableColumn):
     """A stored column under its own name, with its description as the comment."""
     stored = F.col(f"`{column.stored_as}`")

@@ -9,12 +9,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from ..errors import ClosedError, ConcurrentChangeError, ContractError
-from ..operators.enrich import with_place
+from ..operators.enrich import AppendInfo, with_place
 from ..sources.files import Files
 from ..sources.table import AppendResult, GovernedTable
 from ..types import spark_schema
 
 
+# Holds the number of rows of a held batch; readers pass over names that begin so.
+_COUNT = "_rows"
+
+
 class TableSink:
     """Appends every batch on its own, or holds rows until ``flush_rows`` are there.
 
@@ -25,12 +29,16 @@ class TableSink:
     takes is noted first: after a crash it is finished under the same batch id,
     which a table does not take twice. The micro-batches of the last append are
     remembered, so that one run again after it is not held a second time.
+
+    ``name`` tells what a sink holds from what others hold; by default it is the table's
+    ingestion id, so a restart has to be given either.
     """
 
-    def __init__(self, table: GovernedTable, *, flush_rows: int = 0, name: str = "sink"):
+    def __init__(self, table: GovernedTable, *, flush_rows: int = 0, name: str | None = None):
         if flush_rows < 0:
             raise ContractError(f"flush_rows is {flush_rows}, which is not a number of rows")
         self.table, self.flush_rows = table, flush_rows
+        name = name or table.ingestion_id
         self._pending = f"{table.location}/_pending/{name}"
         self._intent = f"{table.location}/_pending/{name}.json"
         self._last = f"{table.location}/_pending/{name}.last.json"
@@ -52,12 +60,14 @@ class TableSink:
                 return self.table.append(df, batch_id=name, id_millis=millis)
             if self.table._outcome is None and df.isEmpty():
                 return AppendResult(0)
-            self.table.check_batch(df)
+            info = self.table.info(name, millis)
+            columns = self.table.columns(info)
+            self.table.check_batch(df, columns)
             self.table.start()
             landed = self._landed(name)
             if landed is not None:
                 return AppendResult(landed, name)
-            rows = self._hold(df, name, millis)
+            rows = self._hold(df, info, columns)
             if sum(self._held_rows().values()) >= self.flush_rows:
                 try:
                     self._append_held()
@@ -116,30 +126,29 @@ class TableSink:
 
     # -- what is held ---------------------------------------------------------------
 
-    def _hold(self, df: DataFrame, name, millis) -> int:
+    def _hold(self, df: DataFrame, info: AppendInfo, columns: list[dict]) -> int:
         table = self.table
-        info = table.info(name, millis)
         path = f"{self._pending}/batch={info.batch_id}"
-        rows = df
-        if not table.key and table._uses_row_id():
-            raw = f"{table.location}/_staging/{info.batch_id}"
-            if not self._files.exists(f"{raw}/_SUCCESS"):
-                table.stage(df, raw, "overwrite")
-            rows = with_place(table.spark.read.schema(df.schema).parquet(raw))
-            count = table.stage(table.prepare(rows, info), path, "overwrite")
+        if table._numbers_by_place():
+            raw = f"{table.staging}/{info.batch_id}"
+            rows, _ = table.staged(df, raw)
+            count = table.stage(table.prepare(rows, info, columns=columns), path, "overwrite")
             table.remove(raw)
         else:
-            count = table.stage(table.prepare(rows, info), path, "overwrite")
+            count = table.stage(table.prepare(df, info, columns=columns), path, "overwrite")
+        self._files.create_new(f"{path}/{_COUNT}", str(count))
         self._held_rows()[f"batch={info.batch_id}"] = count
         return count
 
     def _held_rows(self) -> dict[str, int]:
-        """Rows by held batch; counted from file footers after a restart."""
+        """Rows by held batch. Each batch has its count beside it; a crash between the two leaves one to be counted."""
         if self._held is None:
             self._held = {}
             for name in self._files.names(self._pending):
                 path = f"{self._pending}/{name}"
-                if self._files.exists(f"{path}/_SUCCESS"):
+                if self._files.exists(f"{path}/{_COUNT}"):
+                    self._held[name] = int(self._files.read_text(f"{path}/{_COUNT}"))
+                elif self._files.exists(f"{path}/_SUCCESS"):
                     self._held[name] = self.table.spark.read.parquet(path).count()
             if self._files.exists(self._intent):
                 self._finish_append()

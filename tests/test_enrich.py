@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablecontract import INGESTION_AT, INGESTION_ID, ROW_ID, AppendInfo, Contract, GovernedTable, column, deduplicate, duplicate_report, with_ingestion
 from tablecontract.functions import ids
-from tablecontract.operators.enrich import instant
+from tablecontract.operators.enrich import PLACE, instant, with_place
 
 WHEN = datetime(2026, 7, 28, 12, 30, tzinfo=timezone.utc)
 INFO = AppendInfo("t", ids.new_uuid7(), WHEN, "batch", WHEN, int(WHEN.timestamp() * 1000))
@@ -47,16 +47,28 @@ def test_several_keys_do_not_run_together(spark):
 
 def test_ids_from_places_are_distinct_and_in_order(spark):
     rows = spark.range(0, 40).select(
-        (F.col("id") % 4 * 262_143).alias("task"), (F.col("id") % 2 * 1023).alias("file"), (F.col("id") * 400_000).alias("row")
+        (F.col("id") % 4 * 1_048_575).alias("task"), (F.col("id") * 100_000_000).alias("row")
     )
-    made = rows.select("*", ids.uuid7_from_position(5, "b", F.col("task"), F.col("file"), F.col("row")).alias("u")).collect()
-    in_order = sorted(made, key=lambda r: (r.task, r.file, r.row))
+    made = rows.select("*", ids.uuid7_from_position(5, "b", F.col("task"), F.col("row")).alias("u")).collect()
+    in_order = sorted(made, key=lambda r: (r.task, r.row))
     assert [r.u for r in in_order] == sorted(r.u for r in made)
     assert len({r.u for r in made}) == 40
     for r in made:
         assert (uuid.UUID(r.u).version, uuid.UUID(r.u).variant, uuid.UUID(r.u).int >> 80) == (7, uuid.RFC_4122, 5)
-    with pytest.raises(Exception, match="more tasks"):
-        spark.range(1).select(ids.uuid7_from_position(5, "b", F.lit(1 << 20), F.lit(0), F.lit(0))).collect()
+    with pytest.raises(Exception, match="past what a row id"):
+        spark.range(1).select(ids.uuid7_from_position(5, "b", F.lit(1 << 22), F.lit(0))).collect()
+
+
+def test_a_place_is_read_from_the_start_of_a_file_name(spark, tmp_path):
+    """The random part of a name may look like anything."""
+    out = tmp_path / "staged"
+    spark.range(40).repartition(4).write.option("maxRecordsPerFile", 0).parquet(str(out))
+    for i, file in enumerate(sorted(out.glob("part-*"))):
+        (out / f".{file.name}.crc").unlink(missing_ok=True)
+        file.rename(out / f"part-{i:05}-6a3c9d10-c1{i}7-c000-c999-0123456789ab-c000.snappy.parquet")
+    placed = with_place(spark.read.parquet(str(out))).collect()
+    places = {(r[PLACE].task, r[PLACE].row) for r in placed}
+    assert len(places) == 40 and {t for t, _ in places} == set(range(4))
 
 
 def test_instants_do_not_depend_on_the_session(spark):

@@ -60,7 +60,7 @@ def test_all_or_nothing(spark, make):
 def test_a_batch_lands_once(spark, make, place):
     table = make()
     assert [table.append(rows(spark), batch_id="b-1").rows for _ in range(2)] == [10, 10]
-    assert table.read().count() == 10 and table.store.files.names(f"{place}/data/g0001") == ["batch=b-1"]
+    assert table.read().count() == 10 and table.store.files.names(f"{place}/data/g0001") == ["_b=b-1"]
     with pytest.raises(ContractError, match="batch id"):
         table.append(rows(spark), batch_id="../b")
 
@@ -169,7 +169,7 @@ def test_the_outcome_of_starting_is_final(spark, make, monkeypatch):
     with pytest.raises(TableMissingError):
         table.append(rows(spark))
     good, calls = make(), []
-    monkeypatch.setattr(good.store, "latest", lambda real=good.store.latest: calls.append(1) or real())
+    monkeypatch.setattr(good, "_reconcile", lambda real=good._reconcile: calls.append(1) or real())
     good.append(rows(spark)), good.append(rows(spark)), good.start()
     assert len(calls) == 1
 
@@ -229,7 +229,7 @@ def test_conflicts_block_even_under_none(spark, make):
     make().append(rows(spark))
     other = contract(ID, column("count", TEXT), EXTRA)
     for strategy in ("none", "append", "sync"):
-        with pytest.raises(SchemaConflictError, match="count: declared STRING, table has INTEGER"):
+        with pytest.raises(SchemaConflictError, match="count: no migration leads from NULLABLE INTEGER to NULLABLE STRING"):
             make(other, strategy=strategy).append(rows(spark).withColumn("count", F.lit("x")))
     assert make().store.latest().version == 1
 
@@ -262,34 +262,72 @@ def test_purging_removes_the_bytes(spark, make, place):
     table.append(rows(spark, 10))
     version = table.purge_dropped()
     assert version.generation == 2 and table.store.files.names(f"{place}/data") == ["g0002"]
-    assert spark.read.parquet(f"{place}/data/g0002").columns == ["id", "count", "batch"]
+    assert spark.read.parquet(f"{place}/data/g0002").columns == ["id", "count", "_b"]
     assert make().read().count() == 20
     make().append(rows(spark, 20))
     assert make().read().count() == 30
 
 
-def test_purging_gives_way_to_rows_that_arrive(spark, make, monkeypatch):
+def test_rows_that_arrive_during_a_purge_are_kept(spark, make, monkeypatch):
     make(WIDE).append(rows(spark))
     table, late = make(strategy="sync"), make(strategy="sync")
     table.start(), late.start()
-    data = table.store.data
-
-    def slow(generation):
-        if generation == 2:
-            late.append(rows(spark, 50))
-        return data(generation)
-
-    monkeypatch.setattr(table.store, "data", slow)
-    monkeypatch.setattr(table, "data_path", lambda v: data(v.generation))
-    before = spark.read.parquet(data(1)).inputFiles()
-    real = type(table.read()).inputFiles
-    calls = []
-    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.inputFiles", lambda self: calls.append(1) or (before if len(calls) == 1 else real(self)))
-    with pytest.raises(ShortWriteError, match="arrived during"):
+    publish, remove = table.store.publish, table.remove
+    monkeypatch.setattr(table.store, "publish", lambda *v: late.append(rows(spark, 50), batch_id="before") and publish(*v))
+    monkeypatch.setattr(table, "remove", lambda path: late.append(rows(spark, 70), batch_id="after") and remove(path))
+    assert table.purge_dropped().generation == 2 and late.read().count() == 30
+    assert table.store.files.names(f"{table.location}/data") == ["g0002"]
+    for sink in (table, late, make(strategy="sync")):
+        for name in ("before", "after"):
+            assert sink.append(rows(spark, 50), batch_id=name).rows == 10
+    late.append(rows(spark, 90))
+    assert make().read().count() == 40
+
+
+def test_a_batch_that_lands_while_a_generation_is_published_moves_on(spark, make, monkeypatch):
+    make(WIDE).append(rows(spark))
+    table, late = make(strategy="sync"), make(strategy="sync")
+    table.start(), late.start()
+    files = late.store.files
+    move = files.move_folder
+
+    def slow(source, target):
+        move(source, target)
+        monkeypatch.setattr(files, "move_folder", move)
         table.purge_dropped()
+
+    monkeypatch.setattr(files, "move_folder", slow)
+    late.append(rows(spark, 50))
+    assert make().read().count() == 20
+
+
+def test_a_purge_without_dropped_columns_does_nothing(spark, make):
+    table = make(WIDE)
+    table.append(rows(spark))
+    assert table.purge_dropped().generation == 1
+    narrow = make(strategy="sync")
+    narrow.append(rows(spark, 10), batch_id="kept")
+    assert narrow.purge_dropped().retired == () and narrow.purge_dropped().generation == 2
+    assert narrow.append(rows(spark, 10), batch_id="kept").rows == 10 and narrow.read().count() == 20
+
+
+def test_what_an_earlier_try_staged_is_used_or_written_again(spark, make):
+    table = make(staging=None)
+    for name, finished in (("whole", True), ("half", False)):
+        left = f"{table.staging}/{name}"
+        rows(spark).write.parquet(left)
+        if not finished:
+            table.store.files.delete(f"{left}/_SUCCESS")
+        assert table.append(rows(spark), staged=True, batch_id=name).rows == 10
     assert table.read().count() == 20
 
 
+def test_a_staging_folder_of_ones_own(spark, make, place):
+    table = make(staging=f"{place}-aside/")
+    table.append(rows(spark), staged=True, keep=True, batch_id="b")
+    assert table.store.files.names(f"{place}-aside") == ["b"] and table.read().count() == 10
+
+
 def test_drop_names_are_checked(spark, make):
     odd = contract(ID, COUNT, column("odd name", TEXT))
     make(odd).append(rows(spark).withColumn("odd name", F.lit("x")))
