@@ -48,31 +48,48 @@ def describe(spark: SparkSession, tables: dict) -> DataFrame:
 def observe_entries(df: DataFrame, table: str, entries: str) -> DataFrame:
     """Describe what rows of maps of variants actually hold, per value of ``table``.
 
-    One pass over the rows and one aggregation, partial before its shuffle. A
-    column counts as REQUIRED when every row of its table has it.
+    One scan and one aggregation, partial before its shuffle: each row adds an entry
+    that only counts it. What follows runs over one row per table, column and kind. A
+    column counts as REQUIRED when every row of its table has it. ``fields`` unites
+    the fields that records of a column have; records inside them are named, not opened.
     """
     rows = df.select(F.col(table).alias("table"), F.col(entries).alias("entries"))
-    exploded = rows.select("table", F.explode_outer("entries").alias("path", "value")).select(
-        "table", "path", F.schema_of_variant("value").alias("kind")
-    )
+    one = F.struct(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("kind"))
+    held = F.transform(F.map_entries("entries"), lambda e: F.struct(e["key"].alias("path"), F.schema_of_variant(e["value"]).alias("kind")))
+    each = rows.select("table", F.inline(F.concat(F.array(one), F.coalesce(held, F.array().cast("array<struct<path:string,kind:string>>")))))
+    seen = each.groupBy("table", "path", "kind").agg(F.count(F.lit(1)).alias("rows"))
+    totals = seen.filter("path IS NULL").select("table", F.col("rows").alias("total"))
     element = F.regexp_extract("kind", r"^(?:ARRAY<)?([A-Z_]+)", 1)
     names = F.create_map(*[F.lit(x) for pair in _CONTRACT_TYPE.items() for x in pair])
-    typed = exploded.filter("path IS NOT NULL AND kind <> 'VOID'").select(
-        "table", "path", F.element_at(names, element).alias("type"), F.col("kind").startswith("ARRAY").alias("repeated")
+    typed = seen.filter("path IS NOT NULL AND kind <> 'VOID'").select(
+        "table", "path", F.element_at(names, element).alias("type"), F.col("kind").startswith("ARRAY").alias("repeated"), "rows",
+        F.transform(_fields("kind"), lambda f: F.concat(f[0], F.lit(" "), _field_type(f[1], names))).alias("fields"),
+    )
+    typed = typed.groupBy("table", "path", "type", "repeated").agg(
+        F.sum("rows").alias("rows"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("fields")))).alias("fields")
     )
-    seen = typed.groupBy("table", "path", "type", "repeated").agg(F.count(F.lit(1)).alias("rows"))
-    totals = rows.groupBy("table").agg(F.count(F.lit(1)).alias("total"))
-    return seen.join(totals, "table").select(
-        "table",
-        "path",
-        "type",
-        "repeated",
+    fields = F.when(F.size("fields") > 0, F.concat(F.lit("<"), F.array_join("fields", ", "), F.lit(">"))).otherwise("")
+    return typed.join(totals, "table").select(
+        "table", "path", "type", "repeated",
         (~F.col("repeated") & (F.col("rows") == F.col("total"))).alias("required"),
-        F.lit("").alias("fields"),
+        fields.alias("fields"),
         "rows",
     )
 
 
+def _fields(kind: str):
+    """Name and kind of each field of a record's kind, ``OBJECT<a: BIGINT, b: STRING>``; none of any other."""
+    inside = F.regexp_extract(kind, r"^(?:ARRAY<)?OBJECT<(.*?)>+$", 1)
+    # What stands inside the angle brackets of a field is no field of this record.
+    flat = F.regexp_replace(inside, r"<[^<>]*(?:<[^<>]*(?:<[^<>]*>[^<>]*)*>[^<>]*)*>?", "")
+    return F.transform(F.filter(F.split(flat, ", "), lambda x: x != ""), lambda x: F.split(x, ": "))
+
+
+def _field_type(kind, names):
+    """A field read from rows is never REQUIRED; an array says so itself."""
+    return F.concat(F.coalesce(F.element_at(names, F.regexp_extract(kind, r"^([A-Z_]+)", 1)), kind), F.lit(" NULLABLE"))
+
+
 def audit(declared: DataFrame, observed: DataFrame) -> DataFrame:
     """Compare two descriptions: one row per table and column, ``change`` saying what differs.
 

@@ -7,6 +7,8 @@ JSON text.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import types as ct
@@ -54,7 +56,7 @@ def _object_text(columns, at, dialect) -> Column:
     for column in ordered:
         if _holds_json(column, dialect):
             close_run()
-            parts.append(F.concat(F.lit(f'"{column.name}":'), _embedded(column, at(column.name), dialect)))
+            parts.append(F.concat(F.lit(f"{json.dumps(column.name, ensure_ascii=False)}:"), _embedded(column, at(column.name), dialect)))
         else:
             run.append(_value(column, at(column.name), dialect).alias(column.name))
     close_run()
