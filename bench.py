@@ -81,20 +81,19 @@ def main():
         T.StructType([*LINE[:5], column("l_returnflag", T.StringType(), name="flag", cluster=1),
                       column("shipped_at", T.TimestampType(), name="shipped", partition="year")])
     )
-    written = {}
-
     def table(contract, **options):
         return GovernedTable(spark, shared_folder(spark, "bench"), contract, **options)
 
     def append(contract, staged=False, **options):
         table(contract, **options).append(lines, staged=staged)
 
+    # A table is rewritten once, so each run gets one of its own; filling them is no part of the timing.
+    wide = [table(plain) for _ in range(RUNS + 1)]
+    for one in wide:
+        one.append(lines)
+
     def dropped():
-        wide = written.get("wide")
-        if wide is None:
-            wide = written["wide"] = table(plain)
-            wide.append(lines)
-        narrow = GovernedTable(spark, wide.location, Contract.of(T.StructType(LINE[:-1])), strategy="sync")
+        narrow = GovernedTable(spark, wide.pop().location, Contract.of(T.StructType(LINE[:-1])), strategy="sync")
         narrow.start()
         narrow.purge_dropped()
 
@@ -138,7 +137,7 @@ def main():
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     spark.stop()
     print(json.dumps({
-        "metric": "median seconds over all headline queries", "value": round(sum(seconds.values()), 3), "unit": "sec",
+        "metric": "sum of the median seconds of all headline queries", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1], "rows": {"lineitem": lines_count},
     }))
 

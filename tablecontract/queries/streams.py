@@ -15,7 +15,7 @@ _FIELDS = [column("event_id", T.LongType(), required=True), column("value", T.Do
 
 def _stream(t):
     source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1)
-    return source.parquet(f"{t.sf_dir}/events*.parquet")
+    return source.parquet(f"{t.sf_dir}/events.parque[t]")
 
 
 def _run(t, stream, contract, **options):

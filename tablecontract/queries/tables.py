@@ -1,11 +1,15 @@
 """Tables written under a contract and read back. Each query writes its own new table."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F, types as T
 
 from ..contract import INGESTION_ID, ROW_ID, Contract
+from ..layout import BATCH_COLUMN
 from ..options import column
 from ..sources.files import shared_folder
 from ..sources.table import GovernedTable
+from ..streaming.sink import TableSink
 from .registry import query
 
 LONG, TEXT, DOUBLE, INSTANT = T.LongType(), T.StringType(), T.DoubleType(), T.TimestampType()
@@ -29,7 +33,7 @@ def _table(t, contract, path=None, **options):
               CAST(ts AS VARCHAR) AS at, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, strftime(ts, '%H:%M:%S') AS clock,
               CAST(ts AS VARCHAR) AS moment, CAST(CAST(value AS DECIMAL(38,9)) AS VARCHAR) AS money,
               to_json([event_type, 'b'])::VARCHAR AS tags, props AS doc,
-              to_json({'A': event_type, 'B': user_id})::VARCHAR AS inner_, CAST(NULL AS VARCHAR) AS absent FROM events"""
+              to_json({'A': event_type, 'B': user_id})::VARCHAR AS inner_, CAST(NULL AS VARCHAR) AS absent, event_type AS batch FROM events"""
 )
 def q_read_back(t):
     """A column of every type, written and read under its contract."""
@@ -51,6 +55,7 @@ def q_read_back(t):
                 column("doc", TEXT, type="JSON"),
                 column("inner_", inner, record=True),
                 column("absent", TEXT),
+                column("batch", TEXT),
             ]
         )
     )
@@ -69,6 +74,7 @@ def q_read_back(t):
         F.col("props").alias("doc"),
         F.struct(F.col("event_type").alias("A"), F.col("user_id").alias("B")).alias("inner_"),
         F.lit(None).cast("string").alias("absent"),
+        F.col("event_type").alias("batch"),
     )
     table = _table(t, contract)
     table.append(rows)
@@ -88,14 +94,16 @@ def q_added_column(t):
     return new.read()
 
 
-@query("SELECT event_id, value FROM events UNION ALL SELECT event_id, value FROM events")
+@query("SELECT event_id, value FROM events, range(3)")
 def q_dropped_column(t):
-    """A contract loses a column, and the bytes go with it."""
+    """A contract loses a column, and the bytes go with it; what is appended afterwards is read, and a batch is not taken twice."""
     wide = _table(t, _contract(_extra()))
     wide.append(t.events)
     narrow = _table(t, _contract(), wide.location, strategy="sync")
-    narrow.append(t.events)
+    narrow.append(t.events, batch_id="again")
     narrow.purge_dropped()
+    narrow.append(t.events, batch_id="again")
+    narrow.append(t.events)
     return narrow.read()
 
 
@@ -173,7 +181,7 @@ def q_clustered_write(t):
 def q_keyless_row_ids(t):
     """Rows without a key get ids from their place in staged files."""
     table = _table(t, _contract(column("event_type", TEXT), ingestion=True))
-    table.append(t.events)
+    table.append(t.events.repartition(64))
     once = table.read().groupBy("event_type", ROW_ID).agg(F.count(F.lit(1)).alias("n"), F.max(INGESTION_ID).alias("sink"))
     return once.groupBy("event_type").agg(
         F.sum("n").alias("rows"),
@@ -189,3 +197,79 @@ def q_sync_ignoring(t):
     wide.append(t.events)
     _table(t, _contract(), wide.location, strategy="sync", ignore=["extra"]).start()
     return wide.read()
+
+
+@query("SELECT event_id, true AS same FROM events")
+def q_retry_same_id(t):
+    """A batch without keys that is appended again, by another process, gets the same row ids."""
+    contract, at = _contract(ingestion=True), datetime(2026, 1, 2, tzinfo=timezone.utc)
+    ids = []
+    for name in ("a", "b"):
+        table = _table(t, contract, ingestion_id="01900000-0000-7000-8000-000000000000", created_at=at)
+        table.append(t.events, batch_id="batch-1", id_millis=1_767_312_000_000)
+        ids.append(table.read().select("event_id", F.col(ROW_ID).alias(name)))
+    return ids[0].join(ids[1], "event_id").select("event_id", (F.col("a") == F.col("b")).alias("same"))
+
+
+@query("SELECT event_id, value, upper(event_type) AS extra FROM events")
+def q_custom_fill(t):
+    """A fill of one's own adds a column; it runs once for the batch."""
+    calls = []
+
+    def fill(info):
+        calls.append(info)
+        return {"event_type": F.upper("event_type")}
+
+    table = _table(t, _contract(_extra()), key="event_id", fill=fill)
+    table.append(t.events, staged=True)
+    return table.read().where(F.lit(len(calls) == 1))
+
+
+@query("SELECT event_id, value FROM events")
+def q_all_or_nothing(t):
+    """One row without a REQUIRED value, and nothing of its batch is in the table."""
+    table = _table(t, _contract())
+    table.start()
+    try:
+        table.append(t.events.withColumn("event_id", F.when(F.col("event_id") > 0, F.col("event_id"))))
+    except Exception as err:
+        if "event_id" not in str(err):
+            raise
+    table.append(t.events)
+    return table.read()
+
+
+@query("SELECT event_id, value FROM events, range(2)")
+def q_append_all(t):
+    """Several DataFrames of one type as one batch."""
+    table = _table(t, _contract())
+    table.append_all([t.events.select("event_id", "value")] * 2)
+    return table.read()
+
+
+@query(
+    """SELECT event_id, value, event_type AS extra FROM events UNION ALL
+       SELECT event_id, value, NULL FROM events"""
+)
+def q_strategy_none(t):
+    """A table that somebody else looks after: the contract has to fit, and nothing is changed."""
+    wide = _table(t, _contract(_extra()))
+    wide.append(t.events)
+    narrow = _table(t, _contract(), wide.location, strategy="none")
+    narrow.append(t.events)
+    return narrow.read()
+
+
+@query(
+    """WITH s AS (SELECT event_id % 5 AS k, count(*) AS n FROM events GROUP BY 1)
+       SELECT CAST(sum(n) AS BIGINT) AS rows FROM s GROUP BY k // 2"""
+)
+def q_threshold_flush(t):
+    """Five calls, held until two fifths of the rows are there; the last goes when the sink is closed."""
+    table = _table(t, _contract(), key="event_id")
+    sink = TableSink(table, flush_rows=2 * t.events.count() // 5)
+    for k in range(5):
+        sink.write(t.events.where(F.col("event_id") % 5 == k))
+    sink.close()
+    landed = t.spark.read.parquet(table.data_path(table.store.latest()))
+    return landed.groupBy(BATCH_COLUMN).agg(F.count(F.lit(1)).alias("rows")).select("rows")
