@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecontract.llm import scoring
+from tablecontract.llm.common import saved
 from tablecontract.llm.scoring import EDGE, SIDE, Network, class_table, count_windows, pseudo_likelihood, score, train, windows
 
 TABLE = class_table()
@@ -64,7 +65,7 @@ def test_a_trained_network_prefers_what_it_has_seen(spark):
     out = {r.doc_id: r.per_token for r in pseudo_likelihood(frame, steps=30).collect()}
     assert out[0] > out[20] + 1
     assert pseudo_likelihood(frame.limit(0), steps=2).count() == 0
-    counts = count_windows(frame)
+    counts = saved(count_windows(frame).coalesce(2), "windows")
     total = counts.agg(F.sum("n")).first()[0]
     rows = counts.collect()
     loss = lambda n: -sum(float(n.log_probability(np.array([r.code]))[0]) * r.n for r in rows) / total
