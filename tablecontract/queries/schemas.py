@@ -17,8 +17,11 @@ def _payloads(t):
             F.lit("user"), F.col("user_id").cast("variant"),
             F.lit("code"), F.col("props").cast("variant"),
             F.lit("tags"), F.array("event_type").cast("variant"),
+            F.lit("note"), kind.cast("variant"),
+            F.lit("meta"), F.when(kind == "purchase", F.to_variant_object(F.struct(F.col("props").alias("n"), kind.alias("tag"))))
+            .otherwise(F.to_variant_object(F.struct(F.col("event_id").alias("n"), kind.alias("tag")))),
         ),
-        lambda key, _: ~((kind == "error") & (key == "user")) & ((kind == "error") | (key != "code")),
+        lambda key, _: ~((kind == "error") & (key == "user")) & ((kind == "error") | (key != "code")) & ((key != "note") | (F.col("event_id") % 2 == 0)),
     )
     return t.events.select("event_type", entries.alias("entries"))
 
@@ -30,13 +33,16 @@ def _declared(t):
         Col("user", "INTEGER"),
         Col("tags", "STRING"),
         Col("seen", "TIMESTAMP"),
+        Col("note", "STRING", required=True),
+        Col("meta", "RECORD", fields=(Col("tag", "STRING"), Col("n", "INTEGER"))),
     ]
     kinds = ["click", "error", "purchase", "signup", "view"]
     return describe(t.spark, {kind: columns for kind in kinds})
 
 
 _AUDIT = """WITH declared(path, type, repeated, required) AS (VALUES ('id', 'INTEGER', false, true), ('value', 'FLOAT', false, false),
-              ('user', 'INTEGER', false, false), ('tags', 'STRING', false, false), ('seen', 'TIMESTAMP', false, false)),
+              ('user', 'INTEGER', false, false), ('tags', 'STRING', false, false), ('seen', 'TIMESTAMP', false, false),
+              ('note', 'STRING', false, true), ('meta', 'RECORD', false, false)),
             kinds(kind) AS (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')),
             want AS (SELECT kind, path, type, repeated, required FROM declared, kinds),
             cells AS (SELECT event_type AS kind, unnest([
@@ -44,15 +50,19 @@ _AUDIT = """WITH declared(path, type, repeated, required) AS (VALUES ('id', 'INT
                 {'path': 'value', 'type': CASE WHEN event_type = 'click' THEN 'STRING' ELSE 'FLOAT' END, 'repeated': false},
                 {'path': CASE WHEN event_type = 'error' THEN 'code' ELSE 'user' END,
                  'type': CASE WHEN event_type = 'error' THEN 'STRING' ELSE 'INTEGER' END, 'repeated': false},
+                {'path': 'meta', 'type': 'RECORD', 'repeated': false},
+                {'path': CASE WHEN event_id % 2 = 0 THEN 'note' END, 'type': 'STRING', 'repeated': false},
                 {'path': 'tags', 'type': 'STRING', 'repeated': true}]) AS c FROM events),
-            got AS (SELECT kind, c.path AS path, c.type AS type, c.repeated AS repeated, NOT c.repeated AS required, count(*) AS n
-                    FROM cells GROUP BY ALL),
+            total AS (SELECT event_type AS kind, count(*) AS total FROM events GROUP BY 1),
+            got AS (SELECT kind, c.path AS path, c.type AS type, c.repeated AS repeated, NOT c.repeated AND count(*) = any_value(total) AS required
+                    FROM cells JOIN total USING (kind) WHERE c.path IS NOT NULL GROUP BY kind, c.path, c.type, c.repeated),
             out AS (SELECT coalesce(want.kind, got.kind) AS "table", coalesce(want.path, got.path) AS path,
                       want.type AS declared, got.type AS found,
                       CASE WHEN got.path IS NULL THEN 'added' WHEN want.path IS NULL THEN 'removed'
                            WHEN want.type <> got.type THEN 'conflict: type'
                            WHEN want.repeated <> got.repeated THEN 'conflict: repeated'
                            WHEN want.required AND NOT got.required THEN 'conflict: required'
+                           WHEN want.path = 'meta' AND want.kind = 'purchase' THEN 'conflict: nested'
                            WHEN NOT want.required AND got.required THEN 'relaxed' ELSE 'same' END AS change
                     FROM want FULL OUTER JOIN got ON want.kind = got.kind AND want.path = got.path)"""
 
