@@ -90,7 +90,8 @@ def score(urls: DataFrame, ratios: DataFrame) -> DataFrame:
     A URL is scored once, however many rows have it. ``ratios`` is broadcast: it has 68,921 rows at most.
     """
     distinct = urls.select("url").where("url is not null").distinct()
-    codes = distinct.select("url", F.explode(_grams(trigrams(F.col("url")))).alias("code"))
+    # The letters are a column first: inside the expression that reads them by place they would be made anew for each place.
+    codes = distinct.select("url", trigrams(F.col("url")).alias("letters")).select("url", F.explode(_grams(F.col("letters"))).alias("code"))
     return codes.join(F.broadcast(ratios), "code").groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
