@@ -99,10 +99,11 @@ def format_conversations(
     starts = F.split(F.aggregate(
         "sizes", F.struct(F.lit("").alias("list"), F.lit(0).cast("long").alias("at")),
         lambda a, n: F.struct(F.concat(a["list"], a["at"].cast("string"), F.lit(",")).alias("list"), (a["at"] + n).alias("at")))["list"], ",")
-    rows = rows.select("*", F.filter(starts, lambda s: s != "").cast("array<long>").alias("starts"))
-    spans = F.filter(F.transform("rows", lambda r, i: F.struct(
-        (F.get("starts", i) + F.char_length(F.get("heads", i))).alias("start"), F.char_length(r["content"]).cast("long").alias("length"),
-        r["role"].isin(*learn).alias("learn"))), lambda s: s["learn"])
+    # An array of one element, transformed, gives the list a name, so it is made once and not for each turn.
+    listed = F.array(F.filter(starts, lambda s: s != "").cast("array<long>"))
+    spans = F.filter(F.flatten(F.transform(listed, lambda at: F.transform("rows", lambda r, i: F.struct(
+        (F.get(at, i) + F.char_length(F.get("heads", i))).alias("start"), F.char_length(r["content"]).cast("long").alias("length"),
+        r["role"].isin(*learn).alias("learn"))))), lambda s: s["learn"])
     attached = F.flatten(F.transform("rows", lambda r: F.transform(r["attached"], lambda p, k: F.struct(
         r["turn"].alias("turn"), (k + 1).alias("place"), p["kind"].alias("kind"), p["uri"].alias("uri"), p["tokens"].alias("tokens")))))
     rows = rows.select(
