@@ -70,7 +70,7 @@ RULES = (
     Rule("word_length", "word_chars between 3 * n_words and 9 * n_words", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
     Rule("symbols", "20 * n_symbols <= n_words", "5 * n_symbols > n_words"),
     Rule("density", "50 * n_symbols <= word_chars", "12 * n_symbols > word_chars"),
-    Rule("lines", "5 * n_dup_lines <= n_lines and n_lines > 1", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("lines", "5 * n_dup_lines <= n_lines", "10 * n_dup_lines > 3 * n_lines"),
     Rule("repeats", "20 * n_repeat_words <= 3 * n_words", "5 * n_repeat_words > n_words"),
     Rule("stops", "n_stops > 0 and 2 * n_stops <= n_words", "n_stops = 0 and n_words >= 30"),
 )
