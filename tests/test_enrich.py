@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from tablecontract import INGESTION_AT, INGESTION_ID, ROW_ID, AppendInfo, Contract, GovernedTable, column, deduplicate, duplicate_report, with_ingestion
+from tablecontract import INGESTION_AT, INGESTION_ID, ROW_ID, AppendInfo, Contract, GovernedTable, TableColumn, column, deduplicate, duplicate_report, with_ingestion
 from tablecontract.functions import ids
 from tablecontract.operators.enrich import PLACE, instant, with_place
 
@@ -178,3 +178,36 @@ def test_duplicate_report(spark):
     report = {r[ROW_ID]: r.copies for r in duplicate_report(delivered(spark)).collect()}
     assert report.pop("hot") == 10_000
     assert len(report) == 2000 and set(report.values()) == {2}
+
+
+def test_a_writer_of_ones_own_gets_ids_without_a_key(spark, place):
+    """Rows are staged first, so every row has an id before the writer sees it."""
+    seen = []
+
+    def write(df, info):
+        seen.extend(r[ROW_ID] for r in df.collect())
+        return len(seen)
+
+    contract = Contract.of(T.StructType([column("id", T.LongType())]), ingestion=True)
+    table = GovernedTable(spark, place, contract, writer=write)
+    assert table.append(spark.range(30).repartition(3)).rows == 30 and len(set(seen)) == 30
+    assert not table.store.files.names(table.staging)
+
+
+def test_a_fill_runs_once_for_a_batch(spark, place):
+    for key, staged in (("id", False), ("id", True), ((), True)):
+        calls = []
+        fill = lambda info, calls=calls: calls.append(info) or {"by": info.row_id}
+        contract = Contract.of(T.StructType([column("id", T.LongType()), column("by", T.StringType())]))
+        table = GovernedTable(spark, f"{place}-{key or 'none'}-{staged}", contract, fill=fill, key=key)
+        table.append(spark.range(9).repartition(3), staged=staged)
+        assert len(calls) == 1 and table.read().select("by").distinct().count() == 9
+
+
+def test_dynamic_rows_without_a_key_are_named_when_refused(spark, place):
+    contract = Contract.dynamic([TableColumn("n", "INTEGER")])
+    table = GovernedTable(spark, place, contract, source="json")
+    with pytest.raises(Exception, match=r"[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-"):
+        table.append(spark.createDataFrame([('{"n": 1}',), ('{"n": 1.5}',)], "row string"))
+    table.append(spark.createDataFrame([('{"n": 1}',)], "row string"))
+    assert [r.n for r in table.read().collect()] == [1]
