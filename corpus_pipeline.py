@@ -12,9 +12,6 @@ from tablecontract.llm.queries import table, tokenizer
 
 #: Of a document's words, the share in test items from which it goes as a whole.
 MOST_HIT = 0.5
-#: The cosine to the nearest prototype under which a text is in none of the languages.
-LEAST_COSINE = 0.02
-
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the corpus."""
-    prototypes = language.train(docs.where(~language.held_out(docs)))
-    found = language.predict(docs, prototypes)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_COSINE)).select(*docs.columns)
+    """Documents in one of the languages of the corpus: as near to a prototype as ``language.calibrate`` finds for their length."""
+    learned = docs.where(~language.held_out(docs) & F.col("lang").isNotNull())
+    prototypes = language.train(learned)
+    found = language.predict(docs, prototypes, least=language.calibrate(learned, prototypes))
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,13 @@ DIMENSIONS = 512
 #: Languages a model may have; what bounds the prototypes that are collected and broadcast.
 MOST_LANGUAGES = 2_000
 UNKNOWN = "und"
+#: Standard deviations of a random cosine, 1 / sqrt(dimensions), above which a cosine is no chance.
+CHANCE = 4.5
+#: Texts are measured by their first 8, 16, ... 256 letters; longer ones count as the longest of these.
+LENGTHS = range(3, 9)
+#: A text may score this part of what three quarters of the learned texts of its length reach.
+PART = 1 / 3
+_BINS = 1000  # of cosines from 0 to 1
 _CHARS = 1 << 20  # of a text counted at once
 
 
@@ -133,14 +140,74 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", dimensions
     return {name: v for name, v in sorted(found.items()) if v.any()}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "text", seed: int = 7) -> DataFrame:
+def calibrate(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "text", seed: int = 7) -> dict[int, float]:
+    """The least cosine of a text in one of the languages, by the power of two its number of trigrams reaches.
+
+    Short texts score lower than long ones, so the beginnings of all texts are measured at
+    each of ``LENGTHS``. The least cosine is ``PART`` of their lower quartile, and never above ``CHANCE``
+    standard deviations of a random cosine: so it is that noise bound where texts
+    are long enough to be told from noise, and lower where they are not. A quarter of ``docs`` may be in no
+    language. Cosines are counted in ``_BINS`` bins, and only the counts reach the driver.
+    """
+    if not prototypes:
+        return {}
+    matrix = np.array([v / np.linalg.norm(v) for v in prototypes.values()])
+    dimensions = matrix.shape[1]
+    shared = docs.sparkSession.sparkContext.broadcast(matrix)
+    longest = 1 << LENGTHS[-1]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space, letters, seen = Space(dimensions, seed), letter_table(), np.zeros((len(LENGTHS), _BINS + 1), np.int64)
+        for batch in batches:
+            for t in batch.column("text"):
+                start = beginning(t.as_py(), letters, longest)
+                for i, k in enumerate(LENGTHS):
+                    if len(start) < 1 << k:
+                        break
+                    vector = space.bundle(*np.unique(start[: 1 << k], return_counts=True))
+                    cosine = (shared.value @ vector).max() / max(np.linalg.norm(vector), 1e-9)
+                    seen[i, int(min(1.0, max(0.0, cosine)) * _BINS)] += 1
+        i, bin_ = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(i + LENGTHS[0]), pa.array(bin_), pa.array(seen[i, bin_])], names=["k", "bin", "n"])
+
+    rows = docs.select(name_in(docs, text).cast("string").alias("text")).where("text is not null")
+    counts: dict[int, np.ndarray] = {}
+    for k, b, n in rows.mapInArrow(count, "k long, bin long, n long").groupBy("k", "bin").agg(F.sum("n")).collect():
+        counts.setdefault(k, np.zeros(_BINS + 1, np.int64))[b] = n
+    bound, least = CHANCE / dimensions**0.5, {}
+    for k, n in sorted(counts.items()):
+        quartile = int(np.searchsorted(np.cumsum(n), n.sum() / 4)) / _BINS
+        least[k] = min(bound, PART * quartile)
+    return least
+
+
+def beginning(text: str | None, letters: np.ndarray, most: int) -> np.ndarray:
+    """The first trigrams of a text in their order, ``most`` at most."""
+    found, at, carry = np.zeros(0, np.uint64), 0, np.zeros(1, np.uint32)
+    while len(found) < most and at < len(text or ""):
+        size = min(4 * most, _CHARS)
+        part = letters[np.frombuffer(text[at : at + size].encode("utf-32-le", "surrogatepass"), "<u4")]
+        run = np.concatenate((carry, part, np.zeros(1, np.uint32) if at + size >= len(text) else part[:0]))
+        run = run[np.concatenate(([True], (run[1:] != 0) | (run[:-1] != 0)))].astype(np.uint64)
+        found = np.concatenate((found, (run[:-2] << 42 | run[1:-1] << 21 | run[2:])[run[1:-1] != 0]))
+        carry, at = run[-2:].astype(np.uint32), at + size
+    return found[:most]
+
+
+def predict(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "text", seed: int = 7, least: dict[int, float] | None = None
+) -> DataFrame:
     """Documents with ``lang_pred``, the language of the nearest prototype, and ``score``, that cosine from 0 to 1.
 
     ``und`` and 0 where text is null or has no letter, or where there are no
     prototypes. Of equal cosines the first language by name wins. Narrow: the
     prototypes are broadcast. Input columns named like results are replaced.
+
+    With ``least`` (from ``calibrate``) a text that scores below the least cosine of its length is ``und``
+    and keeps its score. A text shorter than all that was measured cannot be told from noise and keeps its language.
     """
     rows = without(docs, ["lang_pred", "score"])
+    bounds = sorted((least or {}).items())
     names = list(prototypes)
     matrix = np.array([v / np.linalg.norm(v) for v in prototypes.values()])
     dimensions = matrix.shape[1] if names else DIMENSIONS
@@ -160,7 +227,9 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], *, text: str = "
                     continue
                 cosines = matrix @ vector / norm
                 best = int(np.argmax(cosines))
-                pred.append(names[best]), score.append(float(min(1.0, max(0.0, cosines[best]))))
+                size = int(counts.sum())
+                under = next((bound for k, bound in reversed(bounds) if size >= 1 << k), -1.0)
+                pred.append(names[best] if cosines[best] >= under else UNKNOWN), score.append(float(min(1.0, max(0.0, cosines[best]))))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])

@@ -59,3 +59,22 @@ def test_held_out_accuracy(spark):
     found = predict(docs, train(docs.where(~held_out(docs))))
     right, n = found.where(held_out(found)).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 20 and right > 0.95
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 3])
+def test_beginning(monkeypatch, chunk):
+    monkeypatch.setattr(language, "_CHARS", chunk)
+    text = "Straße, über 7 Bäume.  a b"
+    whole = language.beginning(text, LETTERS, 1000)
+    codes, counts = np.unique(whole, return_counts=True)
+    want = trigrams(text, LETTERS)
+    assert np.array_equal(codes, want[0]) and np.array_equal(counts, want[1])
+    assert np.array_equal(language.beginning(text, LETTERS, 5), whole[:5]) and len(language.beginning(None, LETTERS, 5)) == 0
+
+
+def test_least_cosines_follow_length_and_stay_above_chance(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train(docs)
+    least = language.calibrate(docs, model)
+    assert list(least) == list(language.LENGTHS) and least[8] == language.CHANCE / language.DIMENSIONS**0.5
+    assert 0 < least[3] < least[8] and language.calibrate(docs, {}) == {}

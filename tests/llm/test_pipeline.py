@@ -1,5 +1,7 @@
 """The pipeline, stage by stage, and every query registered."""
 
+import random
+
 import duckdb
 import pytest
 from conftest import SF
@@ -55,3 +57,20 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
     assert corpus_pipeline.packed(spark, docs, SF).count() == 0
+
+
+def test_texts_in_no_learned_language_go(spark):
+    docs, rnd = table(spark, SF, "documents"), random.Random(5)
+    scripts = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω",
+               "hangul": "".join(map(chr, range(0xAC00, 0xAC00 + 400)))}
+    made = [" ".join("".join(rnd.choice(s) for _ in range(rnd.randint(2, 9))) for _ in range(n)) for s in scripts.values() for n in (30, 300) for _ in range(25)]
+    made.append("Wszystkie dzieci poszły wczoraj do lasu, żeby zbierać grzyby i jagody, a potem wróciły do domu przed zmrokiem.")
+    odd = spark.createDataFrame([(20_000 + i, t, "en" if i % 8 == 0 else None, "x", len(t)) for i, t in enumerate(made)], docs.schema)
+    left = corpus_pipeline.language_id(spark, docs.unionByName(odd), SF)
+    assert left.where("doc_id >= 20000").count() <= len(made) // 100
+    clean = docs.where("lang = 'en' and n_chars > 200 and doc_id is not null").select(F.col("doc_id"), F.expr("concat_ws(' ', slice(split(text, ' '), 3, 4))").alias("text"))
+    short = spark.createDataFrame([(30_000 + i, r.text, "en", "x", len(r.text)) for i, r in enumerate(clean.where("text rlike '[a-z]'").collect())], docs.schema)
+    left = corpus_pipeline.language_id(spark, docs.unionByName(short), SF)
+    assert left.where("doc_id >= 30000").count() >= 0.97 * short.count() > 20
+    letters = docs.where("text rlike '[a-zA-Z]{3}'")
+    assert left.where("doc_id < 20000").count() >= 0.99 * letters.where("doc_id is not null").count()
