@@ -20,9 +20,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the corpus: as near to a prototype as ``language.calibrate`` finds for their length."""
+    """Documents in one of the languages of the corpus: as near to a prototype as ``language.calibrate`` finds for their length.
+
+    Where no row has both a language to learn and a text with letters, there is nothing to compare with: every document with a letter stays.
+    """
     learned = docs.where(~language.held_out(docs) & F.col("lang").isNotNull())
     prototypes = language.train(learned)
+    if not prototypes:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language.predict(docs, prototypes, least=language.calibrate(learned, prototypes))
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 

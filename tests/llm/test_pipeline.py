@@ -74,3 +74,10 @@ def test_texts_in_no_learned_language_go(spark):
     assert left.where("doc_id >= 30000").count() >= 0.97 * short.count() > 20
     letters = docs.where("text rlike '[a-zA-Z]{3}'")
     assert left.where("doc_id < 20000").count() >= 0.99 * letters.where("doc_id is not null").count()
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark):
+    docs = table(spark, SF, "documents")
+    rows = [(1, "a clean text", None, "x", 12), (None, "жизнь", "ru", "x", 5), (3, "漢字", None, "x", 2), (4, "12 %", None, "x", 4), (5, None, None, "x", 0), (6, "12 %", "en", "x", 4)]
+    left = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, docs.schema), SF)
+    assert left.columns == docs.columns and sorted(r.text for r in left.collect()) == ["a clean text", "жизнь", "漢字"]
