@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -11,15 +14,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import name_in, receive, saved, send, without
 
-#: Tokens are classes of characters: a to z, then the five below. 31 stands beyond either end of a text.
+#: Without a vocabulary, tokens are classes of characters: a to z, then the five below. 31 stands beyond either end of a text.
 CLASSES = 32
 SPACE, DIGIT, STOP, SIGN, OTHER, EDGE = 26, 27, 28, 29, 30, 31
-#: Characters on either side that the network sees.
+#: Tokens on either side that the network sees.
 SIDE = 2
-#: Windows of classes there can be: what bounds the count table and each worker's memo of log-probabilities.
-WINDOWS = CLASSES ** (2 * SIDE + 1)
-#: Tasks over the count table, which cannot grow past ``WINDOWS`` rows, and so gradients that a step collects.
+#: Bits of a token of a vocabulary; five tokens make a window of 60 bits.
+BITS = 12
+#: Tokens a softmax is over: with more, one chooses the group and another the token within it.
+GROUP = 64
+#: Of a vocabulary's tokens: the end of a text is 0, then buckets for rare characters, characters, parts of words, and words.
+RARE, CHARACTERS, PARTS = 128, 1024, 1024
+#: Times a word, a part or a character occurs at least to be a token.
+LEAST = 5
+#: Characters of a part of a word.
+PART = 4
+#: A word with the blank before it, at most 32 letters of it, or any other character.
+WORD = re.compile(r" ?[^\W\d_]{1,32}|[\s\S]")
+#: Files of the count table that a training step reads, at most.
 GRADIENTS = 64
+_KEYS = 300_000  # of a task's table, before it is sent on
+_BUFFER = 1 << 21  # windows a task sorts at once
 _CHUNK = 1 << 20
 
 
@@ -57,76 +72,264 @@ def windows(text: str, table: np.ndarray) -> Iterator[np.ndarray]:
         yield code
 
 
-def count_windows(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """``code, n`` of every window of the corpus: all the network has to know about it.
+def words(text: str) -> Iterator[list[str]]:
+    """The words and other characters of a whole text, some ``_CHUNK`` characters at a time, cut before a blank if one is near."""
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + _CHUNK, at + 2 * _CHUNK) if len(text) - at > _CHUNK else len(text)
+        end = at + 2 * _CHUNK if end < 0 else end
+        yield WORD.findall(text, at, end)
+        at = end
 
-    A task adds up its own windows in an array of ``WINDOWS`` numbers and sends on those it met.
+
+class Classes:
+    """Reads every character as one of ``CLASSES``."""
+
+    bits = 5
+
+    def __init__(self):
+        self._table = class_table()
+
+    def windows(self, text: str) -> Iterator[np.ndarray]:
+        return windows(text, self._table)
+
+
+class Vocabulary:
+    """Tokens of a corpus: its frequent words, and for all others the longest parts it has, at last characters.
+
+    Nothing is folded: case, accents, digits and every script stay. Only characters too rare for a token of
+    their own share ``RARE`` buckets, and the probability of a bucket is shared by all code points in it.
+    """
+
+    bits = BITS
+
+    def __init__(self, units: Iterable[str]):
+        self.ids = {unit: i for i, unit in enumerate(dict.fromkeys(units), 1 + RARE)}
+        if len(self.ids) >= (1 << BITS) - RARE:
+            raise ValueError(f"more than {(1 << BITS) - RARE - 1} tokens")
+        self._known = _Known(self.ids)
+
+    def tokens(self, text: str) -> Iterator[np.ndarray]:
+        for some in words(text):
+            if len(self._known) > _KEYS:
+                self._known.clear()
+            yield np.fromiter(chain.from_iterable(map(self._known.__getitem__, some)), np.int64)
+
+    @staticmethod
+    def within(code: np.ndarray) -> np.ndarray:
+        """The log-probability of the character on each place given its token: that of one code point of a bucket, or 0."""
+        target = code >> BITS * SIDE & (1 << BITS) - 1
+        return np.where((target >= 1) & (target <= RARE), np.log(RARE / 0x110000), 0.0)
+
+    def windows(self, text: str) -> Iterator[np.ndarray]:
+        """The code of the window around each token of a whole text."""
+        run = np.zeros(SIDE, np.int64)
+        for part in chain(self.tokens(text), [np.zeros(SIDE, np.int64)]):
+            run = np.concatenate((run, part))
+            n = len(run) - 2 * SIDE
+            if n > 0:
+                code = np.zeros(n, np.int64)
+                for k in range(2 * SIDE + 1):
+                    code = code << BITS | run[k : k + n]
+                yield code
+                run = run[-2 * SIDE :]
+
+
+class _Known(dict):
+    """Tokens of the words met so far."""
+
+    def __init__(self, ids: dict[str, int]):
+        super().__init__()
+        self._ids = ids
+
+    def __reduce__(self):
+        return _Known, (self._ids,)
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids, found, at = self._ids, [], 0
+        if word in ids:
+            found, at = [ids[word]], len(word)
+        while at < len(word):
+            size = next((k for k in range(PART, 1, -1) if at + k <= len(word) and word[at : at + k] in ids), 1)
+            unit = word[at : at + size]
+            found.append(ids[unit] if unit in ids else 1 + ord(unit) % RARE)
+            at += size
+        self[word] = tuple(found)
+        return self[word]
+
+
+def _counted(rows: DataFrame, column: str, units) -> DataFrame:
+    """``unit, n``: how often ``units(value, n)`` adds each to a counter, over all rows; tasks add up before they send on."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for value, n in zip(batch.column(column), batch.column("n").to_pylist(), strict=True):
+                for _ in units(seen, value.as_py(), n):
+                    if len(seen) > _KEYS:
+                        yield told(seen)
+                        seen.clear()
+        yield told(seen)
+
+    def told(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
+
+    return rows.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def _words_of(seen: Counter, text: str, n: int) -> Iterator[None]:
+    for some in words(text):
+        seen.update(some)
+        yield
+
+
+def _parts_of(seen: Counter, word: str, n: int) -> Iterator[None]:
+    for size in range(1, PART + 1):
+        for at in range(len(word) - size + 1):
+            seen[word[at : at + size]] += n
+    yield
+
+
+def learn(docs: DataFrame, *, text: str = "text") -> tuple[Vocabulary, int]:
+    """The vocabulary of all documents, and how many words and other characters they have.
+
+    Words are counted over all texts, parts and characters over the counted words. The driver
+    gets the most frequent only (parts by the characters they save); of equal ones the first by its text.
+    """
+    rows = docs.select(name_in(docs, text).cast("string").alias("text"), F.lit(1).cast("long").alias("n")).where("text <> ''")
+    found = saved(_counted(rows, "text", _words_of), "words")
+    parts = saved(_counted(found, "unit", _parts_of).withColumn("size", F.char_length("unit")), "parts")
+    best = lambda df, by, most: [r["unit"] for r in df.where(F.col("n") >= LEAST).orderBy(by.desc(), "unit").limit(most).select("unit").collect()]
+    units = best(parts.where("size = 1"), F.col("n"), CHARACTERS) + best(parts.where("size > 1"), F.col("n") * (F.col("size") - 1), PARTS)
+    taken = set(units)
+    room = (1 << BITS) - RARE - 1
+    # Words may be among the units already, so as many more are asked for.
+    whole = [u for u in best(found, F.col("n"), room) if u not in taken]
+    return Vocabulary((units + whole)[:room]), found.agg(F.sum("n")).first()[0] or 0
+
+
+def count_windows(docs: DataFrame, vocabulary: Vocabulary | None = None, *, text: str = "text", files: int | None = None) -> DataFrame:
+    """``code, n`` of every window of the corpus, as many as it has: all the network has to know about it.
+
+    A task sorts ``_BUFFER`` windows at a time and sends on each with its count. ``files`` is how many parts the
+    table is dealt into by window.
     """
     rows = docs.select(name_in(docs, text).cast("string").alias("text")).where("text <> ''")
+    shared = send(docs.sparkSession, vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen, places = class_table(), np.zeros(WINDOWS, np.int32), 0
+        reader, held, size = receive(shared) or Classes(), [], 0
         for batch in batches:
             for t in batch.column("text"):
-                for code in windows(t.as_py(), table):
-                    if places + len(code) >= 1 << 31:  # before a count can be too large
-                        yield from told(seen)
-                        seen[:], places = 0, 0
-                    np.add.at(seen, code, 1)
-                    places += len(code)
-        yield from told(seen)
+                for code in reader.windows(t.as_py()):
+                    held.append(code)
+                    size += len(code)
+                    if size >= _BUFFER:
+                        yield from told(held)
+                        held, size = [], 0
+        if held:
+            yield from told(held)
 
-    def told(seen: np.ndarray) -> Iterator[pa.RecordBatch]:
-        met = np.flatnonzero(seen)
-        for at in range(0, len(met), 1 << 16):
-            some = met[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(seen[some].astype(np.int64))], names=["code", "n"])
+    def told(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(codes), 1 << 16):
+            some = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(codes[some].astype(np.int64)), pa.array(n[some].astype(np.int64))], names=["code", "n"])
 
-    return rows.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(count, "code long, n long")
+    return (counts.repartition(files, "code") if files else counts).groupBy("code").agg(F.sum("n").alias("n"))
 
 
 class Network:
-    """Embeddings of the ``2 * SIDE`` characters around a place, one hidden layer, and a softmax over what stands there."""
+    """Embeddings of the ``2 * SIDE`` tokens around a place, one hidden layer, and a softmax over what stands there.
+
+    Past ``GROUP`` tokens the softmax has two levels: the token's group, then the token within its group.
+    """
 
-    def __init__(self, width: int = 8, hidden: int = 32, seed: int = 11):
+    def __init__(self, width: int = 8, hidden: int = 32, seed: int = 11, bits: int = 5):
         random = np.random.default_rng(seed)
-        shapes = {"e": (CLASSES, width), "w": (2 * SIDE * width, hidden), "b": (hidden,), "u": (hidden, CLASSES), "c": (CLASSES,)}
+        self._bits, tokens = bits, 1 << bits
+        self._member = min(GROUP, tokens)
+        self._groups = tokens // self._member
+        shapes = {"e": (tokens, width), "w": (2 * SIDE * width, hidden), "b": (hidden,), "u": (hidden, tokens), "c": (tokens,)}
+        if self._groups > 1:
+            shapes |= {"v": (hidden, self._groups), "d": (self._groups,)}
         self.values = {k: random.normal(0, 0.3, s).astype(np.float32) if len(s) > 1 else np.zeros(s, np.float32) for k, s in shapes.items()}
         self._mean = {k: np.zeros_like(v) for k, v in self.values.items()}
         self._square = {k: np.zeros_like(v) for k, v in self.values.items()}
         self._steps = 0
 
-    @staticmethod
-    def split(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The characters around each place, and the one on it."""
-        tokens = np.stack([code >> 5 * (2 * SIDE - k) & 31 for k in range(2 * SIDE + 1)], axis=1)
+    def __getstate__(self):
+        return self.__dict__ | {"_mean": None, "_square": None}  # tasks take no steps
+
+    def start(self, tokens: np.ndarray, n: np.ndarray) -> None:
+        """Begins with each token as likely as it was counted, one count more for all."""
+        total = np.ones(1 << self._bits)
+        total[tokens] += n
+        groups = total.reshape(self._groups, self._member)
+        self.values["c"] = np.log(groups / groups.sum(axis=1, keepdims=True)).reshape(-1).astype(np.float32)
+        if self._groups > 1:
+            self.values["d"] = np.log(groups.sum(axis=1) / total.sum()).astype(np.float32)
+
+    def split(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens around each place, and the one on it."""
+        tokens = np.stack([code >> self._bits * (2 * SIDE - k) & (1 << self._bits) - 1 for k in range(2 * SIDE + 1)], axis=1)
         return np.delete(tokens, SIDE, axis=1), tokens[:, SIDE]
 
     def log_probability(self, code: np.ndarray) -> np.ndarray:
         around, target = self.split(code)
-        return self._forward(around)[2][np.arange(len(code)), target]
-
-    def _forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(target // self._member, kind="stable")
+        _, h = self._hidden(around[order])
+        logs = np.zeros(len(code), h.dtype)
+        for rows, u, c, right in self._choices(target[order]):
+            z = h[rows] @ self.values[u[0]][:, u[1]] + self.values[c][u[1]]
+            z -= z.max(axis=1, keepdims=True)
+            logs[rows] += z[np.arange(len(z)), right] - np.log(np.exp(z).sum(axis=1))
+        out = np.empty_like(logs)
+        out[order] = logs
+        return out
+
+    def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = self.values
         x = v["e"][around].reshape(len(around), -1)
-        h = np.tanh(x @ v["w"] + v["b"])
-        z = h @ v["u"] + v["c"]
-        z -= z.max(axis=1, keepdims=True)
-        return x, h, z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        return x, np.tanh(x @ v["w"] + v["b"])
+
+    def _choices(self, target: np.ndarray) -> Iterator[tuple]:
+        """The softmaxes over rows whose targets are in order of their groups: rows, weights and columns, bias, and what was right."""
+        group, member = np.divmod(target, self._member)
+        bounds = np.searchsorted(group, np.arange(self._groups + 1))
+        for g, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if a < b:
+                yield slice(a, b), ("u", slice(g * self._member, (g + 1) * self._member)), "c", member[a:b]
+        if self._groups > 1:
+            yield slice(None), ("v", slice(None)), "d", group
 
     def gradient(self, code: np.ndarray, n: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Summed loss of windows counted ``n`` times, and its gradient."""
         v, (around, target) = self.values, self.split(code)
-        x, h, logs = self._forward(around)
-        loss = -float(n @ logs[np.arange(len(code)), target])
-        dz = np.exp(logs)
-        dz[np.arange(len(code)), target] -= 1
-        dz *= n[:, None]
-        dh = (dz @ v["u"].T) * (1 - h * h)
+        order = np.argsort(target // self._member, kind="stable")
+        around, target, n = around[order], target[order], n[order]
+        x, h = self._hidden(around)
+        loss, dh, sums = 0.0, np.zeros_like(h), {k: np.zeros_like(a) for k, a in v.items()}
+        for rows, (u, some), c, right in self._choices(target):
+            z = h[rows] @ v[u][:, some] + v[c][some]
+            z -= z.max(axis=1, keepdims=True)
+            place = np.arange(len(z)), right
+            at = z[place]
+            dz = np.exp(z, out=z)
+            total = dz.sum(axis=1)
+            loss -= float(n[rows] @ (at - np.log(total)))
+            dz /= total[:, None]
+            dz[place] -= 1
+            dz *= n[rows][:, None]
+            sums[u][:, some] = h[rows].T @ dz
+            sums[c][some] = dz.sum(axis=0)
+            dh[rows] += dz @ v[u][:, some].T
+        dh *= 1 - h * h
         dx = (dh @ v["w"].T).reshape(len(code) * 2 * SIDE, -1)
-        de = np.zeros_like(v["e"])
-        np.add.at(de, around.reshape(-1), dx)
-        return loss, {"e": de, "w": x.T @ dh, "b": dh.sum(axis=0), "u": h.T @ dz, "c": dz.sum(axis=0)}
+        flat = around.reshape(-1)
+        de = np.stack([np.bincount(flat, dx[:, j], len(v["e"])) for j in range(dx.shape[1])], axis=1)
+        return loss, sums | {"e": de, "w": x.T @ dh, "b": dh.sum(axis=0)}
 
     def step(self, gradient: dict[str, np.ndarray], rate: float) -> None:
         """One step of Adam."""
@@ -138,75 +341,90 @@ class Network:
             self.values[k] = self.values[k] - (rate * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
 
 
-def train(counts: DataFrame, *, steps: int = 40, rate: float = 0.03) -> Network:
-    """A network trained on all windows of the corpus, by full gradients that tasks sum over their part of the counts.
+def train(counts: DataFrame, *, steps: int = 40, rate: float = 0.03, bits: int = 5) -> Network:
+    """A network trained on all windows of the corpus, by gradients that tasks sum over their part of the counts.
 
-    ``counts`` is read once a step; a step sends back one gradient of about 2,500 numbers for each task.
+    ``counts`` is a written table dealt by window. A step reads some of its files, four at least, and the next step
+    those that follow, so that a small table is read by every step and a large one at least once in all. A step sends back one gradient
+    for each task: about 2,500 numbers without a vocabulary, 170,000 with one.
     """
-    network = Network()
+    network = Network(bits=bits)
     spark = counts.sparkSession
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
+    target = F.shiftright("code", bits * SIDE).bitwiseAND((1 << bits) - 1).alias("target")
+    seen = counts.groupBy(target).agg(F.sum("n").alias("n")).collect()  # a row for each token
+    if not seen:
         return network
-    names = list(network.values)
+    network.start(np.array([r["target"] for r in seen]), np.array([r["n"] for r in seen], np.float64))
+    names, files = list(network.values), sorted(counts.inputFiles())
+    slices = max(1, min(steps, len(files) // 4))
     for k in range(steps):
         shared = send(spark, network)
 
         def part(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            sums, loss, network = None, 0.0, receive(shared)
+            sums, total, network = None, 0, receive(shared)
             for batch in batches:
-                code, n = batch.column("code").to_numpy(), batch.column("n").to_numpy().astype(np.float32)
-                for at in range(0, len(code), 1 << 15):
-                    more, g = network.gradient(code[at : at + (1 << 15)], n[at : at + (1 << 15)])
-                    loss += more
-                    sums = g if sums is None else {k: sums[k] + g[k] for k in g}
+                code, n = batch.column("code").to_numpy(), batch.column("n").to_numpy()
+                total += int(n.sum())
+                for at in range(0, len(code), 1 << 14):
+                    _, g = network.gradient(code[at : at + (1 << 14)], n[at : at + (1 << 14)].astype(np.float32))
+                    sums = {k: v.astype(np.float64) for k, v in g.items()} if sums is None else {k: sums[k] + g[k] for k in g}
             if sums is not None:
-                flat = np.concatenate([sums[k].reshape(-1).astype(np.float64) for k in names])
-                yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["loss", "g"])
-
-        sums = np.zeros(sum(v.size for v in network.values.values()))
-        for row in counts.mapInArrow(part, "loss double, g array<double>").collect():
-            sums += np.array(row["g"])
+                flat = np.concatenate([sums[k].reshape(-1).astype(np.float32) for k in names])
+                yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([flat.tobytes()], pa.binary())], names=["n", "g"])
+
+        some = spark.read.schema(counts.schema).parquet(*files[k % slices :: slices]).coalesce(GRADIENTS) if slices > 1 else counts
+        sums, total = np.zeros(sum(v.size for v in network.values.values())), 0
+        for row in some.mapInArrow(part, "n long, g binary").collect():
+            sums += np.frombuffer(row["g"], np.float32)
+            total += row["n"]
         gradient, at = {}, 0
         for name in names:
             size = network.values[name].size
-            gradient[name] = (sums[at : at + size] / total).reshape(network.values[name].shape).astype(np.float32)
+            gradient[name] = (sums[at : at + size] / max(total, 1)).reshape(network.values[name].shape).astype(np.float32)
             at += size
         network.step(gradient, rate * (1 - k / steps) + 0.001)
         shared.destroy()
     return network
 
 
-def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, network: Network, vocabulary: Vocabulary | None = None, *, text: str = "text") -> DataFrame:
     """Documents with ``n_tokens``, ``log_likelihood`` (the sum over all places) and ``per_token`` (its mean, null without tokens).
 
-    Windows repeat, so each worker keeps the log-probability of those it has met in
-    an array of ``WINDOWS`` numbers. Narrow; the network is broadcast.
+    Windows repeat, so of some at a time each is computed once. Narrow; the network and the vocabulary it was trained with are broadcast.
     """
     rows = without(docs, ["n_tokens", "log_likelihood", "per_token"])
-    shared = send(docs.sparkSession, network)
+    shared = send(docs.sparkSession, (network, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, memo, network = class_table(), np.full(WINDOWS, np.nan, np.float32), receive(shared)
+        network, reader = receive(shared)
+        reader = reader or Classes()
         for batch in batches:
-            n, sums = [], []
-            for t in batch.column(text):
-                value, count = 0.0, 0
-                for code in windows(t.as_py() or "", table):
-                    known = memo[code]
-                    if np.isnan(known).any():
-                        new = np.unique(code[np.isnan(known)])
-                        for at in range(0, len(new), 1 << 15):
-                            memo[new[at : at + (1 << 15)]] = network.log_probability(new[at : at + (1 << 15)])
-                        known = memo[code]
-                    value += float(known.sum(dtype=np.float64))
-                    count += len(code)
-                n.append(count), sums.append(value)
-            mean = [s / k if k else None for s, k in zip(sums, n, strict=True)]
+            n, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            held, size = [], 0
+            for i, t in enumerate(batch.column(text)):
+                for code in reader.windows(t.as_py() or ""):
+                    held.append((i, code))
+                    size += len(code)
+                    if size >= 1 << 18:
+                        add(network, reader, held, n, sums)
+                        held, size = [], 0
+            add(network, reader, held, n, sums)
+            mean = [s / k if k else None for s, k in zip(sums.tolist(), n.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(n, pa.int64()), pa.array(sums, pa.float64()), pa.array(mean, pa.float64())],
                 names=[*batch.schema.names, "n_tokens", "log_likelihood", "per_token"])
 
+    def add(network: Network, reader: Classes | Vocabulary, held: list[tuple[int, np.ndarray]], n: np.ndarray, sums: np.ndarray) -> None:
+        if not held:
+            return
+        codes, place = np.unique(np.concatenate([c for _, c in held]), return_inverse=True)
+        logs = np.concatenate([network.log_probability(codes[at : at + (1 << 14)]) for at in range(0, len(codes), 1 << 14)]).astype(np.float64)
+        if isinstance(reader, Vocabulary):
+            logs += reader.within(codes)
+        row = np.repeat([i for i, _ in held], [len(c) for _, c in held])
+        n += np.bincount(row, minlength=len(n))
+        sums += np.bincount(row, logs[place], len(sums))
+
     typed = rows.withColumns({"n_tokens": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0), "per_token": F.lit(None).cast("double")}).schema
     for name in ("n_tokens", "log_likelihood", "per_token"):
         typed[name].nullable = True
@@ -216,12 +434,14 @@ def score(docs: DataFrame, network: Network, *, text: str = "text") -> DataFrame
 def pseudo_likelihood(docs: DataFrame, *, text: str = "text", steps: int = 40) -> DataFrame:
     """All documents scored by a network trained on all of them: the higher ``per_token``, the more like the rest.
 
-    Every character is predicted from ``SIDE`` characters on each side, and the
-    log-probabilities are summed over the whole text. Characters are read as
-    ``CLASSES`` classes (base letters, white space, digits, two kinds of signs, other letters).
+    Tokens are the words of the corpus, its rarer words in parts (see ``Vocabulary``). Every token is predicted from
+    ``SIDE`` tokens on each side, and the log-probabilities are summed over the whole text.
     Null and empty texts have no tokens, 0 and a null mean; repeated rows count as often
     as they occur; with no text at all the network stays as it was drawn. Input columns
     named like results are replaced.
     """
-    counts = saved(count_windows(docs, text=text).coalesce(GRADIENTS), "windows")
-    return score(docs, train(counts, steps=steps), text=text)
+    vocabulary, n = learn(docs, text=text)
+    # Enough files for every step to read its own, and for tasks of some 400,000 windows.
+    files = max(min(10 * steps, n // 60_000 + 1), min(GRADIENTS * steps, n // 400_000))
+    counts = saved(count_windows(docs, vocabulary, text=text, files=files), "windows")
+    return score(docs, train(counts, steps=steps, bits=BITS), vocabulary, text=text)

@@ -1,5 +1,7 @@
 """Windows and counts against a plain count, gradients against differences, and what a trained network prefers."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +72,55 @@ def test_a_trained_network_prefers_what_it_has_seen(spark):
     rows = counts.collect()
     loss = lambda n: -sum(float(n.log_probability(np.array([r.code]))[0]) * r.n for r in rows) / total
     assert loss(train(counts, steps=30)) < 0.6 * loss(Network())
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 3, 1])
+def test_vocabulary(monkeypatch, chunk):
+    vocabulary = scoring.Vocabulary([" ", "a", "b", "ж", "ab", "ж漢", " Word", "word"])
+    text = "word Word WORD abж漢b  7"
+    whole = np.concatenate(list(vocabulary.tokens(text)))
+    names = {i: u for u, i in vocabulary.ids.items()}
+    rare = lambda c: 1 + ord(c) % scoring.RARE
+    assert [names.get(i, i) for i in whole.tolist()] == ["word", " Word", " ", *map(rare, "WORD"), " ", "ab", "ж漢", "b", " ", " ", rare("7")]
+    monkeypatch.setattr(scoring, "_CHUNK", chunk)
+    tokens = np.concatenate(list(vocabulary.tokens(text))).tolist()
+    padded = [0] * SIDE + tokens + [0] * SIDE
+    want = [sum(t << 12 * (2 * SIDE - k) for k, t in enumerate(padded[i : i + 2 * SIDE + 1])) for i in range(len(tokens))]
+    assert [int(c) for w in vocabulary.windows(text) for c in w] == want and list(vocabulary.windows("")) == []
+
+
+def test_vocabulary_is_counted_over_all_documents(monkeypatch, spark):
+    monkeypatch.setattr(scoring, "_KEYS", 3)
+    texts = ["жизнь жизнь", "Жизнь 漢字漢字", None, "", "été 7"] * 6 + ["once"]
+    vocabulary, n = scoring.learn(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    assert {"жизнь", " жизнь", "Жизнь", " 漢字漢字", "漢", "字", "été", "7", "é", "Ж", "ж"} <= set(vocabulary.ids) and "once" not in vocabulary.ids and n == 6 * 7 + 1
+
+
+def test_gradient_of_two_levels():
+    network, rnd = Network(bits=12), np.random.default_rng(2)
+    code, n = rnd.integers(0, 1 << 60, 40), np.arange(1, 41, dtype=np.float32)
+    for k in network.values:
+        network.values[k] = network.values[k].astype(np.float64)
+    loss, gradient = network.gradient(code, n)
+    assert loss == pytest.approx(-float(n @ network.log_probability(code)))
+    around, target = network.split(code)
+    t = int(target[3])
+    for name, at in (("e", (int(around[3, 1]), 2)), ("w", (3, 5)), ("b", (1,)), ("u", (2, t)), ("c", (t,)), ("v", (4, t // 64)), ("d", (7,))):
+        value, losses = network.values[name], []
+        for step in (1e-4, -1e-4):
+            value[at] += step
+            losses.append(-float(n @ network.log_probability(code)))
+            value[at] -= step
+        assert gradient[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=1e-3, abs=1e-3)
+    every = np.array([(3 << 48) | (5 << 36) | (k << 24) | (6 << 12) | 9 for k in range(4096)])
+    assert np.exp(network.log_probability(every)).sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("script", ["абвгдежзийклмно", "αβγδεζηθικλμνξο", "漢字仮名交文書語学校生先時間"])
+def test_noise_in_any_script_scores_below_sense(spark, script):
+    rnd = random.Random(4)
+    lexicon = ["".join(rnd.choice(script) for _ in range(5)) for _ in range(12)]
+    sense = [" ".join(lexicon[(i + k) % 12] for k in range(30)) for i in range(60)]
+    noise = " ".join("".join(rnd.choice(script) for _ in range(5)) for _ in range(30))
+    out = {r.doc_id: r.per_token for r in pseudo_likelihood(spark.createDataFrame(list(enumerate([*sense, noise])), "doc_id long, text string")).collect()}
+    assert min(out[i] for i in range(60)) > out[60] + 1
