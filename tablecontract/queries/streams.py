@@ -39,8 +39,11 @@ def q_stream_append(t):
 
 @query("SELECT event_id, value FROM events")
 def q_stream_flush(t):
-    """Micro-batches are held until the threshold, the rest until the sink is closed."""
-    return _run(t, _stream(t), Contract.of(T.StructType(_FIELDS)), flush_rows=1_000_000_000)
+    """Five files, a micro-batch each, are held until two fifths of the rows are there; the rest until the sink is closed."""
+    path = f"{shared_folder(t.spark, 'events')}/files"
+    t.events.repartition(5).write.parquet(path)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _run(t, stream, Contract.of(T.StructType(_FIELDS)), flush_rows=2 * t.events.count() // 5)
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS _ingestion_row_id, value FROM events")

@@ -204,3 +204,18 @@ def test_stream_dedup(spark, place):
     query = deduplicate_stream(stream, "10 minutes").writeStream.format("parquet").option("checkpointLocation", place + "-cp").option("path", place).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.parquet(place).count() == 8
+
+
+def test_the_stream_query_flushes_before_it_closes(spark, monkeypatch):
+    from conftest import SF
+
+    from tablecontract.queries import QUERIES
+
+    sizes, real = [], GovernedTable._write
+    monkeypatch.setattr(GovernedTable, "_write", lambda *a, **k: sizes.append(real(*a, **k)) or sizes[-1])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        n = QUERIES["q_stream_flush"](spark, SF).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sum(sizes) == n and len(sizes) > 1 and all(2 * n // 5 <= rows < n for rows in sizes[:-1])
