@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import name_in
+from .common import name_in, saved
 
 #: Pieces that one task packs at once, about; what bounds its memory.
 SHARD_PIECES = 4_000
@@ -127,7 +127,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "te
 
     Returns a row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id,
     offset``. Pieces are dealt by a hash of their content and place into shards of about
-    ``shard_pieces``, and each shard is packed on its own: whatever the size of the
+    ``shard_pieces``, with a number of their own that is written once, so that equal
+    rows are dealt like others, and each shard is packed on its own: whatever the size of the
     corpus, a task holds one shard, no key is hot, and what a shard leaves open at
     its end is a bin or two. Only lengths and checksums are shuffled.
 
@@ -137,7 +138,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "te
     size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length(name_in(docs, text)))).first()
     shards = max(1, -(-(size[0] + (size[1] or 0) // (2 * capacity)) // shard_pieces))
     cut = pieces(docs, tokenizer, id=id, text=text, capacity=capacity, end=end)
-    cut = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    cut = saved(cut.withColumn("shard", F.monotonically_increasing_id()), "pieces")
+    cut = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "shard"), F.lit(shards)))
     schema = cut.drop("shard").schema.add("sequence_id", "long").add("offset", "long")
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

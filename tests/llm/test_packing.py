@@ -73,3 +73,11 @@ def test_each_choice_is_the_one_of_least_squares():
         gaps[bins[i]] = gap - size
         count[gap - size] += gap > size
     assert used == len(gaps) and used <= 1.05 * lengths.sum() / capacity
+
+
+def test_equal_rows_are_dealt_over_shards(spark):
+    rows = spark.createDataFrame([(None, "the same text")] * 400, "doc_id long, text string").repartition(4)
+    out = pack(rows, PATH, shard_pieces=50).collect()
+    shards = [r.sequence_id >> 32 for r in out]
+    assert len(out) == 400 and max(shards.count(s) for s in set(shards)) < 120
+    assert len({(r.sequence_id, r.offset) for r in out}) == 400
