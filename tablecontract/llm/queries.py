@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, language, neardup, packing, pages, quality, scoring, urls, warc
+from ..sources.files import shared_folder
+from . import chat, decontaminate, language, neardup, packing, pages, quality, scoring, tokens, trie, urls, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +132,44 @@ def op9_quality(spark, sf_dir):
 def op10_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scoring.pseudo_likelihood(docs).select("doc_id", "n_tokens", "log_likelihood", "per_token")
+
+
+#: CRC-32 of a decimal number's text, in integers: a byte at a time, eight divisions by the polynomial each.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(CAST({0} AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST({0} AS VARCHAR), i, 1)) AS BIGINT))),
+        lambda c, b: xor(c >> 8, list_reduce([xor(c & 255, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))))"""
+
+
+@query(f"""
+    WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r FROM conversations WHERE conv_id IS NOT NULL),
+    k AS (SELECT c, c - c % 5 AS f, {_CRC.format("c")} % 9 AS h FROM (SELECT DISTINCT c FROM t)),
+    b AS (
+      SELECT k.c, 1 AS part, t.r, t.role, t.text FROM k JOIN t ON t.c = k.f AND t.r <= k.h
+      UNION ALL SELECT k.c, 2, t.r, t.role, t.text FROM k JOIN t ON t.c = k.c AND t.r > k.h),
+    o AS (SELECT k.c, coalesce(list({{'role': role, 'text': text}} ORDER BY part, r) FILTER (WHERE part IS NOT NULL), []) AS turns FROM k LEFT JOIN b ON b.c = k.c GROUP BY k.c),
+    p AS (SELECT c, len(turns) AS l, unnest(range(0, len(turns) + 1)) AS d, turns FROM o),
+    q AS (SELECT c, l, d, turns[1:d] AS path, turns[1:d - 1] AS up, coalesce(octet_length(encode(turns[d].text)), 0) AS bytes FROM p),
+    n AS (SELECT d, path, any_value(CASE WHEN d > 0 THEN up END) AS up, min(c) AS conv_id, count(*) AS n_convs, max(CASE WHEN d > 0 THEN bytes ELSE 0 END) AS bytes,
+                 coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE l = d), '') AS ends FROM q GROUP BY d, path),
+    s AS (SELECT a.d, a.path, count(*) FILTER (WHERE b.d = a.d + 1) AS n_children,
+                 count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM n e WHERE e.d = b.d + 1 AND e.up = b.path)) AS n_leaves, sum((b.n_convs - 1) * b.bytes) AS saved
+          FROM n a JOIN n b ON b.d >= a.d AND b.path[1:a.d] = a.path GROUP BY a.d, a.path)
+    SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM n JOIN s ON s.d = n.d AND s.path = n.path LEFT JOIN n u ON u.d = n.d - 1 AND u.path = n.up
+""")
+def op11_trie(spark, sf_dir):
+    turns = trie.digests(table(spark, sf_dir, "conversations"))
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(9))
+    return trie.trie(trie.rebuilt(turns, F.col("conv_id") - F.col("conv_id") % 5, head, 8))
+
+
+@query()
+def op12_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query()
+def op13_tokens(spark, sf_dir):
+    path = shared_folder(spark, "tokens")
+    tokens.write(table(spark, sf_dir, "documents"), tokenizer(), path)
+    return tokens.documents(spark, path)

@@ -1,0 +1,100 @@
+"""Nodes against a trie built by hand."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from tablecontract.llm import trie
+from tablecontract.llm.trie import prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, place string, hi int"
+
+
+def brute(convs):
+    """A dictionary of prefixes with their members; then each figure by its definition."""
+    members = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    parents, out = {p[:-1] for p in members if p}, []
+    for path, who in members.items():
+        under = [p for p in members if p[: len(path)] == path]
+        leaf = [p for p in under if p not in parents]
+        ends = ",".join(str(c) for c in sorted(who) if len(convs[c]) == len(path))
+        out.append((
+            min(who), len(path), min(members[path[:-1]]) if path else None, len(who), sum(1 for p in under if len(p) == len(path) + 1), len(leaf),
+            sum((len(members[p]) - 1) * len(p[-1][1].encode()) for p in under if p), hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def turns_of(rows):
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            said = f"{len((role or '').encode())}:{role or ''}{text or ''}"
+            convs.setdefault(c, []).append(((turn is not None, turn), role or "", hashlib.md5(said.encode()).hexdigest(), text or ""))
+    return {c: [(r, t) for _, r, _, t in sorted(v)] for c, v in convs.items()}
+
+
+def nodes(frame):
+    return sorted((tuple(r) for r in frame.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256").collect()), key=str)
+
+
+def conversations(seed, many):
+    r = random.Random(seed)
+    rows = []
+    for c in range(many):
+        c = c * r.choice([1, 1, 70_000]) - 3
+        length = r.choice([1, 2, 2, 3, 6, 25 if c % 9 == 0 else 4])
+        for t in range(length):
+            text = r.choice(["a", "b", "über", "", None]) if t < 6 else f"turn {t}"
+            rows.append((c, t, r.choice(["user", "user", "user", None]), text))
+    rows += [(1000 + k, t, "user", "same") for k in range(many // 3) for t in range(3)]
+    rows += [(None, 0, "user", "nobody"), (5, None, "user", "first"), (5, 1, "user", "tie"), (5, 1, "user", "tie"), (5, 1, "assistant", "tie")]
+    rows += [(6, 0, "ab", "c"), (7, 0, "a", "bc")]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("limit,shard,seed", [(256, 100_000, 1), (1, 10, 2), (2, 5, 3), (7, 50, 4)])
+def test_nodes_are_those_of_the_trie(spark, monkeypatch, limit, shard, seed):
+    monkeypatch.setattr(trie, "SHARD_TURNS", shard)
+    monkeypatch.setattr(trie.trie, "__kwdefaults__", {"limit": limit})
+    rows = conversations(seed, 60)
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    assert nodes(prefix_trie(frame)) == brute(turns_of(rows))
+
+
+def test_a_bound_on_heavy_nodes_raises_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(trie, "MOST_TOP", 3)
+    monkeypatch.setattr(trie.trie, "__kwdefaults__", {"limit": 1})
+    rows = conversations(8, 50)
+    assert nodes(prefix_trie(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA))) == brute(turns_of(rows))
+
+
+def test_one_long_conversation_and_none(spark):
+    rows = [(4, t, "user", f"{t}") for t in range(700)] + [(9, t, "user", f"{t}") for t in range(650)] + [(2, 0, "user", "0")]
+    assert nodes(prefix_trie(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA))) == brute(turns_of(rows))
+    assert prefix_trie(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rebuilt_conversations(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect() if r.conv_id != 10]
+    rows += [(11, 0, "user", "short"), (203, 0, "user", "alone"), (203, 1, "assistant", "gone")]
+    convs, want = turns_of(rows), {}
+    for c in convs:
+        h = zlib.crc32(str(c).encode()) % 9
+        want[c] = convs.get(c - c % 5, [])[:h] + convs[c][h:]
+    assert any(not v for v in want.values())
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(9))
+    assert nodes(trie.trie(trie.rebuilt(trie.digests(frame), F.col("conv_id") - F.col("conv_id") % 5, head, 8), limit=3)) == brute(want)
+
+
+def test_given_conversations(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert nodes(prefix_trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))) == brute(turns_of(rows))
