@@ -18,8 +18,10 @@ def _payloads(t):
             F.lit("code"), F.col("props").cast("variant"),
             F.lit("tags"), F.array("event_type").cast("variant"),
             F.lit("note"), kind.cast("variant"),
-            F.lit("meta"), F.when(kind == "purchase", F.to_variant_object(F.struct(F.col("props").alias("n"), kind.alias("tag"))))
-            .otherwise(F.to_variant_object(F.struct(F.col("event_id").alias("n"), kind.alias("tag")))),
+            F.lit("meta"), F.when(kind == "purchase", F.to_variant_object(F.struct(
+                F.col("props").alias("n"), kind.alias("tag"), F.struct(kind.alias("a, b"), F.array("event_id").alias("list")).alias("place"))))
+            .otherwise(F.to_variant_object(F.struct(
+                F.col("event_id").alias("n"), kind.alias("tag"), F.struct(F.col("user_id").alias("a, b"), F.array("event_type").alias("list")).alias("place")))),
         ),
         lambda key, _: ~((kind == "error") & (key == "user")) & ((kind == "error") | (key != "code")) & ((key != "note") | (F.col("event_id") % 2 == 0)),
     )
@@ -34,7 +36,9 @@ def _declared(t):
         Col("tags", "STRING"),
         Col("seen", "TIMESTAMP"),
         Col("note", "STRING", required=True),
-        Col("meta", "RECORD", fields=(Col("tag", "STRING"), Col("n", "INTEGER"))),
+        Col("meta", "RECORD", fields=(
+            Col("tag", "STRING"), Col("n", "INTEGER"),
+            Col("place", "RECORD", fields=(Col("list", "STRING", repeated=True), Col("a, b", "INTEGER"))))),
     ]
     kinds = ["click", "error", "purchase", "signup", "view"]
     return describe(t.spark, {kind: columns for kind in kinds})
@@ -63,11 +67,12 @@ _AUDIT = """WITH declared(path, type, repeated, required) AS (VALUES ('id', 'INT
                            WHEN want.repeated <> got.repeated THEN 'conflict: repeated'
                            WHEN want.required AND NOT got.required THEN 'conflict: required'
                            WHEN want.path = 'meta' AND want.kind = 'purchase' THEN 'conflict: nested'
-                           WHEN NOT want.required AND got.required THEN 'relaxed' ELSE 'same' END AS change
+                           WHEN NOT want.required AND got.required THEN 'relaxed' ELSE 'same' END AS change,
+                      CASE WHEN want.path = 'meta' AND want.kind = 'purchase' THEN '["meta.n","meta.place.a, b","meta.place.list"]' ELSE '[]' END AS inside
                     FROM want FULL OUTER JOIN got ON want.kind = got.kind AND want.path = got.path)"""
 
 
-@query(f'{_AUDIT} SELECT "table", path, declared, found, change FROM out')
+@query(f'{_AUDIT} SELECT "table", path, declared, found, change, inside FROM out')
 def q_schema_audit(t):
     """Every kind of event against the same contract, from the values its rows hold."""
     return audit(_declared(t), observe_entries(_payloads(t), "event_type", "entries"))
