@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .common import fold, name_in, saved
 
@@ -124,11 +124,13 @@ def near_duplicates(
     1. Each text gets a signature of ``bands * rows`` registers; texts that agree in
        all ``rows`` registers of a band are candidates. A pair at 0.8 is missed with
        probability (1 - 0.8**5)**25 = 0.00005.
-    2. In each band's bucket every text is verified against the bucket's lead, the text
-       with most copies. Links of all bands are joined into components.
-    3. Where a bucket still holds several components, all texts outside its largest one
-       are verified against all its texts of other components, in blocks of bounded size, and
-       components are joined again. So every candidate pair is either in one component or
+    2. In each band's bucket the text with most copies leads. Every text is verified against the lead of the largest of its
+       buckets, which links it once at most; the links are joined into components.
+    3. A text is then verified against the leads of its other buckets, where these are in other components. A link
+       now joins two components, whatever number of texts found it.
+    4. Where a bucket still holds several components, all texts outside its largest one
+       are verified against all its texts of other components, in blocks of bounded size, each of which gives
+       a spanning forest of what it links. So every candidate pair is either in one component or
        verified, and a bucket whose texts are alike costs one comparison a text. Texts by
        the thousand that share a bucket and yet are not alike cost their square, in
        blocks spread over the cluster; only links leave a block, never pairs.
@@ -137,6 +139,11 @@ def near_duplicates(
     text to none. Rows that repeat an id come out as often as they came in; null ids
     get a null class and join no group. No documents give no rows; other columns are not carried.
     """
+    return _classes(docs, id, text, size, threshold, bands, rows).select("doc_id", "class_id")
+
+
+def _classes(docs: DataFrame, id: str, text: str, size: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    """``doc_id, digest, class_id, first`` of each row; ``first`` is the digest, among texts with the class's smallest id the smallest, of the one that stands for the class."""
     chosen = docs.select(name_in(docs, id).alias("doc_id"), name_in(docs, text).cast("string").alias("text"))
     kind = chosen.schema["doc_id"].dataType
     signed = saved(_signed(chosen, kind, size, bands, rows), "signatures")
@@ -146,36 +153,45 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"), F.first("buckets").alias("buckets")), "texts")
     buckets = texts.where("buckets is not null").select("digest", "copies", "bytes", F.posexplode("buckets").alias("band", "bucket"))
     crowd = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("copies", "digest"))["digest"].alias("lead")).where("n > 1")
-    members = saved(buckets.join(crowd.select("band", "bucket", "lead"), ["band", "bucket"]), "buckets")
+    main = F.max(F.when(F.col("digest") != F.col("lead"), F.struct("n", "lead"))).over(Window.partitionBy("digest"))["lead"]
+    members = saved(buckets.join(crowd, ["band", "bucket"]).withColumn("main", main).drop("n", "copies"), "buckets")
     bodies = _bodies(chosen, members)
 
-    star = members.where("digest <> lead").select(F.col("lead").alias("a"), F.col("digest").alias("b")).distinct()
-    linked = saved(_verified(star, bodies, threshold, size), "star")
-    groups = components(linked)
-    more = saved(_verified_across(members, groups, bodies, threshold, size), "across")
-    if not more.isEmpty():
-        groups = components(linked.unionByName(more))
+    star = members.where("main is not null").select(F.col("main").alias("a"), F.col("digest").alias("b")).distinct()
+    groups = components(saved(_verified(star, bodies, threshold, size), "star"))
+    groups = _joined(groups, _verified_leads(members, groups, bodies, threshold, size))
+    groups = _joined(groups, _verified_across(members, groups, bodies, threshold, size))
 
     # From texts to documents: the class is the smallest id of all texts of the component.
     named = texts.join(groups, texts["digest"] == groups["node"], "left").select(
         "digest", F.coalesce("component", "digest").alias("component"), texts["node"])
-    least = named.groupBy("component").agg(F.min("node").alias("class_id"))
-    classes = named.join(least, "component").select("digest", "class_id")
+    least = named.groupBy("component").agg(F.min(F.struct("node", "digest")).alias("least"))
+    classes = named.join(least, "component").select("digest", F.col("least.node").alias("class_id"), F.col("least.digest").alias("first"))
     out = signed.select("doc_id", "digest").join(classes, "digest", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+    return out.select("doc_id", "digest", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), "first")
 
 
-def deduplicated(docs: DataFrame, *, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
-    """The documents that stay: the one with the smallest id of each group, with all their columns.
+def deduplicated(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 5,
+) -> DataFrame:
+    """The documents that stay: of each group the one with the smallest id, with all its columns.
 
-    Rows that repeat the id of one that stays are copies of a row and are dropped to one;
-    rows with a null id stay as they are.
+    Rows that agree in id and text are copies of a row and are dropped to one; of different texts with the smallest id of one
+    group, the one with the smallest digest stays. An id that stands on texts of several groups is one document in each.
+    Rows with a null id stay as they are; null texts are in no group, so each id keeps one.
     """
-    groups = near_duplicates(docs, id=id, text=text, **limits)
-    key = name_in(docs, id)
-    stay = groups.where("doc_id = class_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, key == F.col("__stay"), "left_semi").dropDuplicates([id])
-    return kept.unionByName(docs.where(key.isNull()))
+    found = _classes(docs, id, text, size, threshold, bands, rows)
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("id_", "first_", "digest_"):
+        while name in taken:
+            name += "_"
+        names.append(name)
+    own, first, digest = names
+    stay = found.where("doc_id = class_id and digest <=> first").select(F.col("doc_id").alias(own), F.col("digest").alias(first)).distinct()
+    marked = docs.withColumn(digest, F.md5(name_in(docs, text).cast("string").cast("binary")))
+    same = (name_in(docs, id) == F.col(own)) & F.col(digest).eqNullSafe(F.col(first))
+    kept = marked.join(stay, same, "left_semi").dropDuplicates([id, digest]).drop(digest)
+    return kept.unionByName(docs.where(name_in(docs, id).isNull()))
 
 
 def _signed(chosen: DataFrame, kind: T.DataType, size: int, bands: int, rows: int) -> DataFrame:
@@ -235,12 +251,35 @@ def _verified(pairs: DataFrame, bodies: DataFrame, threshold: float, size: int)
     return both.mapInArrow(compare, "a string, b string")
 
 
+def _verified_leads(members: DataFrame, groups: DataFrame, bodies: DataFrame, threshold: float, size: int) -> DataFrame:
+    """``a, b`` of components that a text and the lead of one of its other buckets link."""
+    name = lambda by, to: groups.select(F.col("node").alias(by), F.col("component").alias(to))
+    left = members.where("digest <> lead and lead <> main").select("digest", "lead").distinct()
+    left = left.join(name("digest", "own"), "digest", "left").join(name("lead", "other"), "lead", "left")
+    left = left.withColumns({"own": F.coalesce("own", "digest"), "other": F.coalesce("other", "lead")}).where("own <> other")
+    left = saved(left, "leads")
+    found = _verified(left.select(F.col("lead").alias("a"), F.col("digest").alias("b")), bodies, threshold, size)
+    found = found.join(left, (F.col("a") == F.col("lead")) & (F.col("b") == F.col("digest")))
+    return saved(found.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct(), "linked")
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups after links between their components; a text without a group is its own component."""
+    if links.isEmpty():
+        return groups
+    wider = components(links).toDF("component", "wider")
+    known = groups.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+    # Components of one text have no row yet.
+    alone = wider.join(groups.select(F.col("node").alias("component")), "component", "left_anti").toDF("node", "component")
+    return saved(known.unionByName(alone), "groups")
+
+
 #: Texts, and bytes of text, in one of the two blocks that a task compares, about.
 BLOCK_TEXTS, BLOCK_BYTES = 256, 4 << 20
 
 
 def _verified_across(members: DataFrame, groups: DataFrame, bodies: DataFrame, threshold: float, size: int) -> DataFrame:
-    """``a, b`` of links between texts of different components that share a bucket.
+    """``a, b`` of components that are linked by texts that share a bucket.
 
     A bucket's texts outside its largest component are one side, all its texts the other. Each
     side is dealt into blocks by a hash, and each pair of blocks is compared in one task.
@@ -270,13 +309,25 @@ def _verified_across(members: DataFrame, groups: DataFrame, bodies: DataFrame, t
         rows = list(zip(*(table.column(n).to_pylist() for n in ("digest", "component", "first")), strict=True))
         a, b = [r for r in rows if r[2]], [r for r in rows if not r[2]]
         may = _likely(list(sets.values()), threshold)[np.ix_([place[r[0]] for r in a], [place[r[0]] for r in b])]
-        found: set[tuple[str, str]] = set()
+        # A spanning forest of the components that this block links.
+        root: dict[str, str] = {}
+
+        def find(name: str) -> str:
+            while (up := root.get(name, name)) != name:
+                root[name] = root.get(up, up)
+                name = up
+            return name
+
+        found: list[tuple[str, str]] = []
         for i, j in np.argwhere(may).tolist():
-            if a[i][1] != b[j][1] and probability_jaccard(sets[a[i][0]], sets[b[j][0]]) >= threshold:
-                found.add((a[i][0], b[j][0]))
+            left, right = find(a[i][1]), find(b[j][1])
+            if left != right and probability_jaccard(sets[a[i][0]], sets[b[j][0]]) >= threshold:
+                root[max(left, right)] = min(left, right)
+                found.append((a[i][1], b[j][1]))
         return pa.table({"a": pa.array([x for x, _ in found], pa.string()), "b": pa.array([y for _, y in found], pa.string())})
 
-    return sides.groupBy("band", "bucket", "i", "j").applyInArrow(compare, "a string, b string").distinct()
+    linked = sides.groupBy("band", "bucket", "i", "j").applyInArrow(compare, "a string, b string")
+    return saved(linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
 
 
 def _likely(sets: list[tuple[np.ndarray, np.ndarray]], threshold: float) -> np.ndarray:

@@ -99,6 +99,27 @@ def test_one_of_each_group_stays(spark):
     assert deduplicated(frame.limit(0)).count() == 0 == near_duplicates(frame.limit(0)).count()
 
 
+def test_an_id_on_several_texts_keeps_each(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(0, "one text of its own"), (1, "one text of its own"), (1, "another one altogether"), (5, long), (5, long + " end"), (5, long), (6, None), (6, None), (6, "six")]
+    kept = sorted(((r.doc_id, r.text) for r in deduplicated(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, FIRST_ string")).collect()), key=str)
+    fives = [t for i, t in kept if i == 5]
+    assert len(fives) == 1 and fives[0] in (long, long + " end")
+    assert [k for k in kept if k[0] != 5] == [(0, "one text of its own"), (1, "another one altogether"), (6, "six"), (6, None)]
+
+
+def test_links_of_many_near_copies_stay_few(spark, monkeypatch):
+    joined, links = neardup.components, []
+    monkeypatch.setattr(neardup, "components", lambda found: (links.append(found.count()), joined(found))[1])
+    r = random.Random(5)
+    base = [f"w{r.randrange(400)}" for _ in range(120)]
+    for many in (150, 300, 600):
+        links.clear()
+        texts = [" ".join(r.choice("abc") + w if r.random() < 0.01 else w for w in base) for _ in range(many)]
+        out = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert sum(links) <= 2 * len(set(texts)) and len({x.class_id for x in out}) < 0.1 * many
+
+
 def test_given_documents(spark):
     from pyspark.sql import functions as F
 
