@@ -7,7 +7,7 @@ from .errors import (
     ConcurrentChangeError,
     ContractError,
     SchemaConflictError,
-    ShortWriteError,
+    ShortWriteError, ChangedRowsError,
     TableMissingError,
 )
 from .layout import Layout

@@ -29,6 +29,10 @@ class ShortWriteError(RuntimeError):
         self.delivered = delivered
 
 
+class ChangedRowsError(ShortWriteError):
+    """As many rows landed as were handed over, but not the same ones."""
+
+
 class ClosedError(RuntimeError):
     """The sink was closed before this call."""
 

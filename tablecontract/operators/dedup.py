@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..contract import INGESTION_AT, ROW_ID
+from ..functions.fingerprint import hashable
 
 
 def deduplicate(df: DataFrame, keys=(ROW_ID,), order_by=(INGESTION_AT,)) -> DataFrame:
@@ -13,17 +14,11 @@ def deduplicate(df: DataFrame, keys=(ROW_ID,), order_by=(INGESTION_AT,)) -> Data
     Spark turns ``row_number() = 1`` into a group limit that runs before the
     shuffle as well, so an id with very many copies sends one row per task.
     """
-    tie = F.xxhash64(*[_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
+    tie = F.xxhash64(*[hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields])
     first = Window.partitionBy(*keys).orderBy(*order_by, tie)
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
-def _hashable(value: Column, dtype: T.DataType) -> Column:
-    """Spark hashes neither maps nor variants; their JSON it does."""
-    unhashable = "map<" in dtype.simpleString() or "variant" in dtype.simpleString()
-    return F.to_json(F.struct(value.alias("v"))) if unhashable else value
-
-
 def duplicate_report(df: DataFrame, keys=(ROW_ID,)) -> DataFrame:
     """Ids written more than once and how often; only ids are read and shuffled."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

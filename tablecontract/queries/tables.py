@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F, types as T
 
 from ..contract import INGESTION_ID, ROW_ID, Contract
+from ..errors import ChangedRowsError, ShortWriteError
 from ..layout import BATCH_COLUMN
 from ..options import column
 from ..sources.files import shared_folder
@@ -239,6 +240,39 @@ def q_all_or_nothing(t):
     return table.read()
 
 
+@query(
+    """SELECT * FROM (SELECT count(*) AS rows FROM events), (VALUES ('all', 'delivered'), ('one less', 'short'), ('one twice', 'changed'), ('one rounded', 'changed'),
+       ('a null moved', 'changed')) AS w(writer, outcome)"""
+)
+def q_delivered_rows(t):
+    """Writers of one's own that give back what is there now: one delivers all rows, the others lose, replace or change some."""
+    last = t.events.agg(F.max("event_id")).first()[0]
+    writers = {
+        "all": lambda df: df,
+        "one less": lambda df: df.where(F.col("event_id") != last),
+        "one twice": lambda df: df.where(F.col("event_id") != last).unionByName(df.where(F.col("event_id") == last - 1)),
+        "one rounded": lambda df: df.withColumn("value", F.when(F.col("event_id") == last, F.floor("value") - 1).otherwise(F.col("value"))),
+        "a null moved": lambda df: df.withColumns({"extra": F.when(F.col("event_id") != last, F.col("extra")), "more": F.when(F.col("event_id") != last, F.col("more")).otherwise(F.col("extra"))}),
+    }
+    contract = _contract(_extra(), column("absent", TEXT, name="more"))
+    rows, found = t.events.withColumn("absent", F.lit(None).cast("string")), []
+    for name, delivers in writers.items():
+
+        def write(df, info, name=name, delivers=delivers):
+            folder = shared_folder(t.spark, "delivered")
+            delivers(df).write.mode("overwrite").parquet(folder)
+            return t.spark.read.schema(df.schema).parquet(folder)
+
+        try:
+            result = _table(t, contract, key="event_id", writer=write).append(rows)
+            found.append((name, "delivered", result.rows))
+        except ChangedRowsError as err:
+            found.append((name, "changed", err.delivered))
+        except ShortWriteError as err:
+            found.append((name, "short", err.delivered + 1))
+    return t.spark.createDataFrame(found, "writer string, outcome string, rows long")
+
+
 @query("SELECT event_id, value FROM events, range(2)")
 def q_append_all(t):
     """Several DataFrames of one type as one batch."""

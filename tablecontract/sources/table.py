@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from .. import types as ct
 from ..contract import ROW_ID, Contract
-from ..errors import BatchTypeError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
+from ..errors import BatchTypeError, ChangedRowsError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
 from ..functions import ids
+from ..functions.fingerprint import Tally, fingerprint
 from ..layout import BATCH_COLUMN, PARTITION_COLUMN
 from ..operators.conform import conform
 from ..operators.dynamic import conform_dynamic
@@ -47,8 +48,8 @@ SMALL_TASK_BYTES = 4 * 1024 * 1024
 # A batch id names a folder.
 _BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
 
-# A user's own sink: given the prepared rows, says how many it delivered.
-Writer = Callable[[DataFrame, AppendInfo], int]
+# A user's own sink: given the prepared rows, says how many it delivered, or gives back those that are there now.
+Writer = Callable[[DataFrame, AppendInfo], int | DataFrame]
 
 
 def stored_contract(spark, target: str, *, overrides=()) -> Contract:
@@ -167,12 +168,17 @@ class GovernedTable:
         keep: bool = False,
         batch_id: str | None = None,
         id_millis: int | None = None,
+        verify: bool = False,
     ) -> AppendResult:
         """Append one batch; a row that breaks the contract fails all of it.
 
         ``staged`` writes the batch beside the table first and loads it from
         there; ``keep`` leaves the staged files. A ``batch_id`` that landed before
         is not appended again. An empty batch does not start anything.
+
+        Staged rows and those that are written from them are held against each other by number
+        and fingerprint; ``verify`` reads the files that were written, before they
+        become part of the table, and holds their rows against those that were given too.
         """
         if self._outcome is None and df.isEmpty():
             return AppendResult(0)
@@ -186,8 +192,8 @@ class GovernedTable:
         if landed is not None:
             return AppendResult(landed, info.batch_id)
         if self.needs_staging(version) or staged:
-            return self._append_staged(df, info, version, keep, columns)
-        rows = self._write(self.prepare(df, info, columns=columns), version, info.batch_id)
+            return self._append_staged(df, info, version, keep, columns, verify)
+        rows = self._write(self.prepare(df, info, columns=columns), version, info.batch_id, verify=verify)
         self.log.info("appended %d rows as batch %s", rows, info.batch_id)
         return AppendResult(rows, info.batch_id)
 
@@ -267,25 +273,35 @@ class GovernedTable:
             ).transform(lambda out: enforce(out, self.contract.columns))
         return conform(_filled(df, columns), self.contract, keep=keep, row_id=ROW_ID if self.contract.has_ingestion else None)
 
-    def staged(self, df: DataFrame, path: str) -> tuple[DataFrame, int]:
-        """Rows written aside and read back with their places; what an earlier try finished is not written again."""
+    def staged(self, df: DataFrame, path: str) -> tuple[DataFrame, tuple[int, ...]]:
+        """Rows written aside and read back with their places, and their number and fingerprint; what an earlier try finished is not written again."""
+        there = self.spark.read.schema(df.schema).parquet
         if self.store.files.exists(f"{path}/_SUCCESS"):
-            count = self.spark.read.parquet(path).count()
+            mark = fingerprint(there(path), df.columns)
         else:
-            count = self.stage(df, path, "overwrite")
-        return with_place(self.spark.read.schema(df.schema).parquet(path)), count
+            tally = Tally()
+            tally.over(df, df.columns).write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(path)
+            mark = tally.mark
+        return with_place(there(path)), mark
 
-    def _append_staged(self, df, info, version, keep, columns) -> AppendResult:
+    def _append_staged(self, df, info, version, keep, columns, verify) -> AppendResult:
         path = f"{self.staging}/{info.batch_id}"
         raw = self._numbers_by_place()
-        staged, given = self.staged(df if raw else self.prepare(df, info, columns=columns), path)
+        if not raw:
+            df = self.prepare(df, info, columns=columns)
+            names = set(df.columns)
+            df = df.select(*[F.col(f"`{c.name}`") for c in version.columns if c.name in names])
+        staged, given = self.staged(df, path)
         try:
-            rows = self.load(staged, info, version, raw=raw, size=self.store.files.size(path), columns=columns)
+            if raw and verify:
+                self._same(given, fingerprint(staged, df.columns), "were staged")
+            # Raw rows are converted on their way, so that their fingerprint holds for the staged ones only.
+            rows = self.load(staged, info, version, raw=raw, size=self.store.files.size(path), columns=columns, given=None if raw else given, verify=verify)
         finally:
             if not keep:
                 self.remove(path)
-        if rows != given:
-            raise ShortWriteError(f"{rows} of {given} staged rows landed", rows)
+        if rows != given[0]:
+            raise ShortWriteError(f"{rows} of {given[0]} staged rows landed", rows)
         self.log.info("appended %d rows as batch %s through %s", rows, info.batch_id, path)
         return AppendResult(rows, info.batch_id)
 
@@ -297,11 +313,20 @@ class GovernedTable:
         return counter.get["rows"]
 
     def load(
-        self, staged: DataFrame, info: AppendInfo, version: TableVersion, *, raw: bool, size: int, columns: list[dict] | None = None
+        self, staged: DataFrame, info: AppendInfo, version: TableVersion, *, raw: bool, size: int, columns: list[dict] | None = None,
+        given: tuple[int, ...] | None = None, verify: bool = False,
     ) -> int:
         """Append ``size`` bytes read back from staging; ``raw`` rows are still to be prepared."""
         rows = self.prepare(staged, info, keep=(PLACE,), columns=columns) if raw else staged
-        return self._write(rows, version, info.batch_id, size)
+        return self._write(rows, version, info.batch_id, size, given=given, verify=verify)
+
+    @staticmethod
+    def _same(given: tuple[int, ...], there: tuple[int, ...], what: str) -> None:
+        """Rows by number and fingerprint."""
+        if there[0] != given[0]:
+            raise ShortWriteError(f"{there[0]} of {given[0]} rows {what}", there[0])
+        if there != given:
+            raise ChangedRowsError(f"{there[0]} rows {what}, but not the {given[0]} that were given", there[0])
 
     def remove(self, path: str) -> None:
         """Rows that landed stay landed when their staged copy cannot be removed."""
@@ -310,32 +335,40 @@ class GovernedTable:
         except Exception as err:
             self.log.warning("could not remove the staged rows in %s: %s", path, err)
 
-    def _write(self, rows: DataFrame, version: TableVersion, batch_id: str, size: int = 0) -> int:
+    def _write(
+        self, rows: DataFrame, version: TableVersion, batch_id: str, size: int = 0, *, given: tuple[int, ...] | None = None, verify: bool = False,
+    ) -> int:
         """One job into a folder of its own, which then becomes part of the table.
 
         Jobs that append to one folder share their temporary files and undo each
         other; with a folder per batch, batches may be appended side by side,
         readers see all of a batch or none, and one that already landed under
-        its id is not written again.
+        its id is not written again. Rows that are not those ``given`` do not land.
         """
-        counter = Observation()
+        counter = Tally() if given or verify else Observation()
         out = self._distribute(self._stored(rows, version), version, size)
-        out = out.observe(counter, F.count(F.lit(1)).alias("rows")).drop(PLACE)
+        values = [c for c in out.columns if c not in (PLACE, PARTITION_COLUMN)]
+        out = (counter.over(out, values) if given or verify else out.observe(counter, F.count(F.lit(1)).alias("rows"))).drop(PLACE)
         if not self.managed:
             self._writer(out, version, "append").parquet(self.location)
-            return counter.get["rows"]
+            return counter.rows if given or verify else counter.get["rows"]
         landed = self._landed(version, batch_id)
         if landed is not None:
             return landed
         aside = f"{self.staging}/load-{batch_id}"
         try:
             self._writer(out, version, "overwrite").parquet(aside)
-            if counter.get["rows"]:
+            written = counter.rows if given or verify else counter.get["rows"]
+            if given:
+                self._same(given, counter.mark, "were written")
+            if verify and written:
+                self._same(counter.mark, fingerprint(self.spark.read.schema(out.schema).parquet(aside), values), "are in the files")
+            if written:
                 self._land(aside, f"{BATCH_COLUMN}={batch_id}")
         finally:
             if self.store.files.exists(aside):
                 self.remove(aside)
-        return counter.get["rows"]
+        return written
 
     def _land(self, aside: str, name: str) -> None:
         """Make a folder part of the generation that is the table's now, also when a rewrite publishes one meanwhile."""
@@ -408,11 +441,14 @@ class GovernedTable:
             self.remove(path)
 
     def _deliver(self, prepared: DataFrame, info: AppendInfo) -> AppendResult:
-        counter = Observation()
-        delivered = self.writer(prepared.observe(counter, F.count(F.lit(1)).alias("rows")), info)
+        tally = Tally()
+        delivered = self.writer(tally.over(prepared, prepared.columns), info)
         if delivered is None:
             raise ShortWriteError("the writer returned neither a number of rows nor an error")
-        given = counter.get["rows"]
+        if isinstance(delivered, DataFrame):
+            self._same(tally.mark, fingerprint(delivered.select(*[F.col(f"`{c}`") for c in prepared.columns]), prepared.columns), "were delivered")
+            return AppendResult(tally.rows, info.batch_id)
+        given = tally.rows
         if delivered != given:
             raise ShortWriteError(f"the writer delivered {delivered} of {given} rows and reported no error", delivered)
         return AppendResult(delivered, info.batch_id)

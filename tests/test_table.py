@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from tablecontract import (
-    BatchTypeError, ConcurrentChangeError, Contract, ContractError, GovernedTable, SchemaChange, SchemaConflictError, ShortWriteError,
+    BatchTypeError, ConcurrentChangeError, Contract, ContractError, GovernedTable, SchemaChange, SchemaConflictError, ShortWriteError, ChangedRowsError,
     TableMissingError, column, stored_contract,
 )
+from tablecontract.functions.fingerprint import Tally, fingerprint
 
 LONG, TEXT, TS = T.LongType(), T.StringType(), T.TimestampType()
 ID, COUNT, EXTRA = column("id", LONG, required=True), column("count", LONG), column("extra", TEXT)
@@ -487,3 +488,73 @@ def test_a_partition_that_holds_most_rows_is_cut_apart(spark, make):
     data = spark.read.parquet(table.data_path(table.store.latest()))
     sizes = [r["count"] for r in data.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) >= 4 and max(sizes) < 100_000
+
+
+# -- rows that landed are rows that were given --------------------------------------------
+
+
+def many(spark):
+    return spark.range(200).selectExpr("id", "if(id % 3 = 0, null, cast(id as string)) as a", "if(id % 3 = 0, cast(id as string), null) as b", "map('k', id) as m")
+
+
+def test_fingerprints_see_values_and_not_order(spark):
+    base, columns = many(spark), ["id", "a", "b", "m"]
+    want = fingerprint(base, columns)
+    assert want[0] == 200 and fingerprint(base.repartition(7).orderBy("id", ascending=False), columns) == want
+    tally = Tally()
+    assert tally.over(base.repartition(5), columns).count() == 200 and tally.mark == want
+    others = [
+        base.where("id < 199"), base.where("id < 199").unionByName(base.where("id = 3")), base.withColumn("m", F.expr("map('k', if(id = 7, 8, id))")),
+        base.withColumns({"a": F.coalesce("a", "b"), "b": F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.col("b"))}),
+    ]
+    assert len({fingerprint(o, columns) for o in others} | {want}) == 5
+    assert fingerprint(base.limit(0), columns) == (0,) * 7
+
+
+@pytest.mark.parametrize("key", ["id", ()])
+@pytest.mark.parametrize("clustered", [True, False])
+def test_verified_appends_land(spark, place, key, clustered):
+    contract = Contract.of(T.StructType([column("id", T.LongType()), column("a", T.StringType(), **({"cluster": 1} if clustered else {})), column("b", T.StringType())]), ingestion=True)
+    table = GovernedTable(spark, place, contract, key=key)
+    assert table.append(many(spark).drop("m"), verify=True, staged=True).rows == 200
+    assert table.append(many(spark).drop("m").where("id < 0"), verify=True).rows == 0
+    assert table.read().count() == 200
+
+
+def test_files_that_hold_other_rows_do_not_land(spark, place, monkeypatch):
+    contract = Contract.of(T.StructType([column("id", T.LongType()), column("a", T.StringType())]))
+    table = GovernedTable(spark, place, contract)
+    real = table._writer
+
+    class Swapping:
+        def __init__(self, df):
+            self.df = df
+
+        def parquet(self, path):
+            real(self.df.withColumn("a", F.when(F.col("id") == 5, "other").otherwise(F.col("a"))), table.start(), "overwrite").parquet(path)
+
+    monkeypatch.setattr(table, "_writer", lambda df, version, mode, by=(): Swapping(df))
+    with pytest.raises(ChangedRowsError, match="are in the files"):
+        table.append(many(spark).select("id", "a"), verify=True)
+    assert table.read().count() == 0
+
+
+def test_staged_rows_that_change_do_not_land(spark, place, monkeypatch):
+    contract = Contract.of(T.StructType([column("id", T.LongType()), column("a", T.StringType())]))
+    table = GovernedTable(spark, place, contract)
+    load = table.load
+    monkeypatch.setattr(table, "load", lambda staged, *a, **k: load(staged.withColumn("a", F.lit("x")), *a, **k))
+    with pytest.raises(ChangedRowsError, match="were written"):
+        table.append(many(spark).select("id", "a"), staged=True)
+    assert table.read().count() == 0
+
+
+def test_a_writer_that_swaps_a_row_is_refused(spark, place):
+    contract = Contract.of(T.StructType([column("id", T.LongType()), column("a", T.StringType())]))
+    batch = many(spark).select("id", "a")
+    assert GovernedTable(spark, place, contract, writer=lambda df, info: spark.createDataFrame(df.collect(), df.schema)).append(batch).rows == 200
+    swap = lambda df, info: spark.createDataFrame([r if r.id != 9 else (9, "swapped") for r in df.collect()], df.schema)
+    with pytest.raises(ChangedRowsError, match="were delivered"):
+        GovernedTable(spark, place, contract, writer=swap).append(batch)
+    with pytest.raises(ShortWriteError, match="199 of 200"):
+        GovernedTable(spark, place, contract, writer=lambda df, info: spark.createDataFrame(df.collect()[1:], df.schema)).append(batch)
