@@ -16,28 +16,32 @@ _STRING_OR_SPACE = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+'
 # Follows a text to show that parsing got past its end. A text that holds it
 # itself takes the longer way.
 _END = "~end of text~"
+# The JSON reader's own limits on depth and length, out of the way; all of it strict.
+_UNLIMITED = {
+    "maxNestingDepth": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+}
 
 
 def is_json(text: Column) -> Column:
-    """True when the text is exactly one JSON value.
+    """True when the text is exactly one JSON value, of any depth and length.
 
     ``try_parse_json`` ignores what follows the first value. As the first of two
-    elements, with a known second one, the text has to be one value to its end.
+    elements, with a known second one, the text has to be one value to its end. Texts that it
+    refuses, also for their depth, their length or a key that comes twice, are read again without limits.
     """
     pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
     reached = F.try_variant_get(pair, "$[1]", "string") == _END
-    # A variant takes no key twice; the JSON reader does, and it is asked only about texts refused so far.
-    read = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), "array<string>", {"allowSingleQuotes": "false"})
-    again = (F.size(read) == 2) & (F.get(read, F.lit(1)) == _END)
-    reached = F.when(F.coalesce(reached, F.lit(False)), True).otherwise(again)
-    return F.coalesce(F.when(text.contains(_END), _is_json_two_ways(text)).otherwise(reached), F.lit(False))
-
-
-def _is_json_two_ways(text: Column) -> Column:
-    """Both as a member of an object and as the only element of an array."""
-    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return in_object.isNotNull() & (F.size(F.try_variant_get(in_array, "$", "array<variant>")) == 1)
+    fast = F.coalesce(~text.contains(_END) & reached, F.lit(False))
+    return F.when(fast, True).otherwise(F.coalesce(_is_read_two_ways(text), F.lit(False)))
+
+
+def _is_read_two_ways(text: Column) -> Column:
+    """Both as a member of an object and as the only element of an array, neither of which is kept, with one more member after it.
+
+    Whatever closes the one too early, or adds to it, is an error in the other. What is not kept is skipped token by token, so depth needs no stack.
+    """
+    after = lambda before, behind: F.from_json(F.concat(F.lit(before), text, F.lit(behind)), "end int", _UNLIMITED)["end"] == 1
+    return after('{"v":', ',"end":1}') & after('{"v":[', '],"end":1}')
 
 
 def compact(text: Column) -> Column:

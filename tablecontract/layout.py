@@ -46,7 +46,7 @@ class Layout:
 
     def _check_partition(self, column):
         if self.unit not in PARTITION_UNITS:
-            raise ContractError(f"partition unit is {self.unit!r}, want day, hour, month or year")
+            raise ContractError(f"a table is not partitioned by {self.unit!r}; it can be by {', '.join(sorted(PARTITION_UNITS))}")
         if column.type not in PARTITIONABLE:
             raise ContractError(
                 f"{column.name} cannot partition the table: {column.type} is no type of a day or an instant"

@@ -1,10 +1,13 @@
 """Rows whose columns are settled at run time."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from ..contract import Contract
+from ..contract import ROW_ID, Contract
+from ..mapping import Override
 from ..operators.dynamic import conform_dynamic
 from ..operators.gates import REASONS
+from ..sources.files import shared_folder
+from ..sources.table import GovernedTable
 from ..types import TableColumn as Col
 from .registry import query
 
@@ -140,3 +143,37 @@ def q_type_mismatch(t):
     )
     out = conform_dynamic(t.events.select(text.alias("row")), contract, "row", source="json", mode="reasons")
     return out.select(F.explode(REASONS).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'the row is NULL' WHEN 1 THEN 'the row is not a JSON object' ELSE '' END AS reasons,
+                 CASE WHEN event_id % 4 > 1 THEN user_id END AS k FROM events""")
+def q_null_row(t):
+    """Rows that are NULL or no object, beside others."""
+    branch = F.col("event_id") % 4
+    text = F.when(branch == 1, F.concat(F.lit("["), F.col("user_id"), F.lit("]"))).when(branch > 1, F.concat(F.lit('{"k": '), F.col("user_id"), F.lit("}")))
+    contract = Contract.dynamic([Col("k", "INTEGER")])
+    out = conform_dynamic(t.events.select("event_id", text.alias("row")), contract, "row", source="json", keep=["event_id"], mode="reasons")
+    return out.select("event_id", F.array_join(REASONS, "; ").alias("reasons"), "k")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE '#' || user_id END AS v, to_json([upper(event_type), upper(props)])::VARCHAR AS l, user_id AS n FROM events""")
+def q_dynamic_override(t):
+    """Overrides go by the type of each value, also inside a list; a column of another type is left alone."""
+    overrides = [Override(T.StringType(), "STRING", F.upper), Override(T.LongType(), "STRING", lambda c: F.concat(F.lit("#"), c))]
+    contract = Contract.dynamic([Col("v", "STRING"), Col("l", "STRING", repeated=True), Col("n", "FLOAT")], overrides=overrides)
+    value = F.when(F.col("event_id") % 2 == 0, _entry(F.col("event_type"))).otherwise(_entry(F.col("user_id")))
+    row = F.create_map(F.lit("v"), value, F.lit("l"), _entry(F.array("event_type", "props")), F.lit("n"), _entry(F.col("user_id").cast("double")))
+    out = conform_dynamic(t.events.select("event_id", row.alias("row")), contract, "row", keep=["event_id"])
+    return out.withColumn("n", F.col("n").cast("long"))
+
+
+@query("SELECT event_id, user_id AS k, true AS named FROM events")
+def q_dynamic_row_id(t):
+    """Dynamic rows get an id that is the same on every try, and no ingestion columns are filled in."""
+    contract = Contract.dynamic([Col("event_id", "INTEGER"), Col("k", "INTEGER")])
+    rows = t.events.select("event_id", F.concat(F.lit('{"event_id": '), F.col("event_id"), F.lit(', "k": '), F.col("user_id"), F.lit("}")).alias("row"))
+    table = GovernedTable(t.spark, shared_folder(t.spark, "table"), contract, key="event_id", source="json")
+    tries = [rows.withColumns(table.columns(table.info("batch", 1_767_312_000_000))[0]).select("event_id", F.col(ROW_ID).alias(name)) for name in ("a", "b")]
+    table.append(rows)
+    same = tries[0].join(tries[1], "event_id").where("a = b").dropDuplicates(["a"])
+    return table.read().join(same, "event_id").select("event_id", "k", F.col("a").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-7[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$").alias("named"))

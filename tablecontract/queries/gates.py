@@ -75,6 +75,15 @@ def q_json_valid(t):
     return t.events.select("event_id", is_json(text).alias("valid"))
 
 
+@query("SELECT event_id, event_id % 3 <> 0 AS nested, event_id % 2 = 0 AS number FROM events")
+def q_json_unlimited(t):
+    """Texts around the reader's usual limits of 1,000 levels and 1,000 digits: every third lacks a bracket, every second has a bare point at its end."""
+    levels, digits = (F.lit(990) + F.col("event_id") % 20).cast("int"), (F.lit(990) + F.col("event_id") % 20).cast("int")
+    nested = F.concat(F.repeat(F.lit("["), levels), F.col("props"), F.repeat(F.lit("]"), levels - F.when(F.col("event_id") % 3 == 0, 1).otherwise(0)))
+    number = F.concat(F.lit("1"), F.repeat(F.lit("7"), digits), F.when(F.col("event_id") % 2 == 0, "").otherwise("."))
+    return t.events.select("event_id", is_json(nested).alias("nested"), is_json(number).alias("number"))
+
+
 _MIXED = """CASE event_id % 5 WHEN 0 THEN round(value) WHEN 1 THEN value * 1e30 WHEN 2 THEN 9223372036854775808.0::DOUBLE
             WHEN 3 THEN -9223372036854775808.0::DOUBLE ELSE value END"""
 

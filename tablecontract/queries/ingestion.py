@@ -9,7 +9,7 @@ from ..operators.dedup import deduplicate, duplicate_report
 from ..operators.enrich import AppendInfo, instant, with_ingestion
 from .registry import query
 
-_TIME = datetime(2026, 7, 28, 12, 30, tzinfo=timezone.utc)
+_TIME = datetime(2019, 3, 14, 5, 20, tzinfo=timezone.utc)
 _MILLIS = int(_TIME.timestamp() * 1000)
 _SINK = "018f0000-0000-7000-8000-000000000000"
 _INFO = AppendInfo("events", _SINK, _TIME, "batch", _TIME, _MILLIS)
@@ -20,7 +20,7 @@ _ID = f"""substr('{_MILLIS:012x}', 1, 8) || '-' || substr('{_MILLIS:012x}', 9, 4
 
 
 @query(
-    f"""SELECT '2026-07-28 12:30:00' AS _ingestion_at, '{_SINK}' AS _ingestion_id, {_ID} AS _ingestion_row_id,
+    f"""SELECT '2019-03-14 05:20:00' AS _ingestion_at, '{_SINK}' AS _ingestion_id, {_ID} AS _ingestion_row_id,
                event_id, user_id, event_type, value, props
         FROM (SELECT *, sha256('{_SINK}|' || event_id) AS d FROM events)"""
 )
@@ -58,8 +58,8 @@ def _delivered(t):
     return first.unionByName(again)
 
 
-_DELIVERED = """(SELECT CAST(event_id AS VARCHAR) AS id, event_type, value, props, TIMESTAMP '2026-07-28 12:30:00' AS at_ FROM events
-                 UNION ALL SELECT CAST(event_id AS VARCHAR), event_type, value, props, TIMESTAMP '2026-07-28 12:31:00' FROM events
+_DELIVERED = """(SELECT CAST(event_id AS VARCHAR) AS id, event_type, value, props, TIMESTAMP '2019-03-14 05:20:00' AS at_ FROM events
+                 UNION ALL SELECT CAST(event_id AS VARCHAR), event_type, value, props, TIMESTAMP '2019-03-14 12:31:00' FROM events
                  WHERE event_id % 3 = 0)"""
 
 

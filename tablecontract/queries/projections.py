@@ -69,6 +69,38 @@ def q_promote(t):
     return conform(_orders_with_facts(t), contract)
 
 
+@query("SELECT o_orderkey AS key, o_orderstatus AS status, to_json({'customer': o_custkey, 'status': 'hidden'})::VARCHAR AS party FROM orders")
+def q_named_embed(t):
+    """An embedded struct with a name of its own is one column, and nothing inside it is promoted."""
+    facts = T.StructType([column("status", TEXT), column("deep", T.StructType([column("priority", TEXT), column("key", LONG)]), skip=True)])
+    whole = T.StructType([column("customer", LONG), column("status", TEXT)])
+    contract = Contract.of(row(column("facts", facts, embed=True), column("party", whole, name="party", embed=True), column("key", LONG)))
+    return conform(_orders_with_facts(t), contract).select("key", "status", "party")
+
+
+class Span(T.UserDefinedType):
+    """A type that says itself what it becomes."""
+
+    contract_type = "STRING"
+
+    @classmethod
+    def sqlType(cls):
+        return T.StructType([T.StructField("status", TEXT), T.StructField("customer", LONG)])
+
+    @classmethod
+    def contract_value(cls, value):
+        return F.concat_ws("/", value["customer"].cast("string"), value["status"])
+
+
+@query("""SELECT o_orderkey AS key, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey || '/' || o_orderstatus END AS span,
+                 to_json([o_custkey || '/' || o_orderstatus])::VARCHAR AS spans FROM orders""")
+def q_own_mapping(t):
+    """A column whose type brings its mapping along, alone and in a list."""
+    one = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer"))
+    rows = t.orders.select(F.col("o_orderkey").alias("key"), F.when(F.col("o_orderkey") % 5 != 0, one).alias("span"), F.array(one).alias("spans"))
+    return conform(rows, Contract.of(row(column("key", LONG), column("span", Span()), column("spans", T.ArrayType(Span())))))
+
+
 @query(
     """SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS status,
               CASE WHEN o_orderkey % 3 <> 0 THEN to_json([o_orderpriority])::VARCHAR END AS tags

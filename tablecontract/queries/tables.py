@@ -1,5 +1,7 @@
 """Tables written under a contract and read back. Each query writes its own new table."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F, types as T
@@ -29,56 +31,31 @@ def _table(t, contract, path=None, **options):
     return GovernedTable(t.spark, path or shared_folder(t.spark, "table"), contract, **options)
 
 
-@query(
-    """SELECT event_id AS id, user_id AS count, value AS rate, event_type = 'click' AS flag, to_base64(encode(event_type)) AS blob,
-              CAST(ts AS VARCHAR) AS at, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, strftime(ts, '%H:%M:%S') AS clock,
-              CAST(ts AS VARCHAR) AS moment, CAST(CAST(value AS DECIMAL(38,9)) AS VARCHAR) AS money,
-              to_json([event_type, 'b'])::VARCHAR AS tags, props AS doc,
-              to_json({'A': event_type, 'B': user_id})::VARCHAR AS inner_, CAST(NULL AS VARCHAR) AS absent, event_type AS batch FROM events"""
-)
+_PAIR = T.StructType([column("visitor", LONG), column("label", TEXT)])
+# A column of each type and mode: its declaration, what the rows hold, and what is read back in the other engine's SQL.
+_EVERY_KIND = [
+    (column("label", TEXT), "event_type", "event_type"),
+    (column("purchase", T.BooleanType()), "event_type = 'purchase'", "event_type = 'purchase'"),
+    (column("visitor", LONG, required=True), "user_id", "user_id"),
+    (column("score", DOUBLE), "value", "value"),
+    (column("amount", T.DecimalType(38, 9)), "cast(value as decimal(38,9))", "CAST(CAST(value AS DECIMAL(38,9)) AS VARCHAR)"),
+    (column("raw", T.BinaryType()), "cast(props as binary)", "to_base64(encode(props))"),
+    (column("seen", INSTANT), "ts", "CAST(ts AS VARCHAR)"),
+    (column("tokyo_day", INSTANT, as_time="date", zone="Asia/Tokyo"), "ts", "CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS VARCHAR)"),
+    (column("tokyo_clock", INSTANT, as_time="datetime", zone="Asia/Tokyo"), "ts", "CAST(ts + INTERVAL 9 HOUR AS VARCHAR)"),
+    (column("minute", INSTANT, as_time="time"), "date_trunc('minute', ts)", "strftime(ts, '%H:%M:00')"),
+    (column("payload", TEXT, type="JSON"), "props", "props"),
+    (column("pair", _PAIR, record=True), "named_struct('visitor', user_id, 'label', event_type)", "to_json({'visitor': user_id, 'label': event_type})::VARCHAR"),
+    (column("visitors", T.ArrayType(LONG)), "array(user_id, event_id)", "to_json([user_id, event_id])::VARCHAR"),
+    (column("never", TEXT), "cast(null as string)", "CAST(NULL AS VARCHAR)"),
+]
+
+
+@query(f"SELECT {', '.join(f'{sql} AS {field.name}' for field, _, sql in _EVERY_KIND)} FROM events")
 def q_read_back(t):
     """A column of every type, written and read under its contract."""
-    inner = T.StructType([column("A", TEXT), column("B", LONG)])
-    contract = Contract.of(
-        T.StructType(
-            [
-                column("id", LONG, required=True),
-                column("count", T.IntegerType()),
-                column("rate", DOUBLE),
-                column("flag", T.BooleanType()),
-                column("blob", T.BinaryType()),
-                column("at", INSTANT),
-                column("day", INSTANT, as_time="date"),
-                column("clock", INSTANT, as_time="time"),
-                column("moment", INSTANT, as_time="datetime"),
-                column("money", T.DecimalType(38, 9)),
-                column("tags", T.ArrayType(TEXT)),
-                column("doc", TEXT, type="JSON"),
-                column("inner_", inner, record=True),
-                column("absent", TEXT),
-                column("batch", TEXT),
-            ]
-        )
-    )
-    rows = t.instants.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").cast("int").alias("count"),
-        F.col("value").alias("rate"),
-        (F.col("event_type") == "click").alias("flag"),
-        F.col("event_type").cast("binary").alias("blob"),
-        F.col("ts").alias("at"),
-        F.col("ts").alias("day"),
-        F.date_trunc("second", "ts").alias("clock"),
-        F.col("ts").alias("moment"),
-        F.col("value").cast("decimal(38,9)").alias("money"),
-        F.array("event_type", F.lit("b")).alias("tags"),
-        F.col("props").alias("doc"),
-        F.struct(F.col("event_type").alias("A"), F.col("user_id").alias("B")).alias("inner_"),
-        F.lit(None).cast("string").alias("absent"),
-        F.col("event_type").alias("batch"),
-    )
-    table = _table(t, contract)
-    table.append(rows)
+    table = _table(t, Contract.of(T.StructType([field for field, _, _ in _EVERY_KIND])))
+    table.append(t.instants.select(*[F.expr(value).alias(field.name) for field, value, _ in _EVERY_KIND]))
     return table.read()
 
 
@@ -273,6 +250,31 @@ def q_delivered_rows(t):
     return t.spark.createDataFrame(found, "writer string, outcome string, rows long")
 
 
+@query("""SELECT event_id, value, event_type AS first, NULL AS second FROM events WHERE event_id % 2 = 0 UNION ALL
+          SELECT event_id, value, NULL, event_type FROM events WHERE event_id % 2 = 1""")
+def q_concurrent_change(t):
+    """Two writers widen one table at the same time, each by a column of its own: whoever comes second looks again."""
+    base = _table(t, _contract())
+    base.start()
+    writers = [_table(t, _contract(column("event_type", TEXT, name=name)), base.location) for name in ("first", "second")]
+    # Both have read the table's contract before either publishes; the second publication is refused and planned anew.
+    meet = threading.Barrier(2)
+    for writer in writers:
+        look, waits = writer.store.latest, iter([True])
+
+        def latest(look=look, waits=waits):
+            found = look()
+            if next(waits, False):
+                meet.wait(60)
+            return found
+
+        writer.store.latest = latest
+    with ThreadPoolExecutor(2) as pool:
+        parts = [t.events.where(F.col("event_id") % 2 == k) for k in range(2)]
+        list(pool.map(lambda w, part: w.append(part), writers, parts))
+    return _table(t, _contract(), base.location, strategy="none").read()
+
+
 @query("SELECT event_id, value FROM events, range(2)")
 def q_append_all(t):
     """Several DataFrames of one type as one batch."""

@@ -10,7 +10,7 @@ from tablecontract import INGESTION_AT, INGESTION_ID, ROW_ID, AppendInfo, Contra
 from tablecontract.functions import ids
 from tablecontract.operators.enrich import PLACE, instant, with_place
 
-WHEN = datetime(2026, 7, 28, 12, 30, tzinfo=timezone.utc)
+WHEN = datetime(2019, 3, 14, 5, 20, tzinfo=timezone.utc)
 INFO = AppendInfo("t", ids.new_uuid7(), WHEN, "batch", WHEN, int(WHEN.timestamp() * 1000))
 
 

@@ -135,3 +135,22 @@ def test_whole_floats(spark, sql, expected):
     got, problem = spark.range(1).select(whole_float_to_integer(value), whole_float_problem(value)).first()
     assert got == expected
     assert (problem is None) == (expected is not None or "null" in sql)
+
+
+@pytest.mark.parametrize("levels", [999, 1001, 5000])
+@pytest.mark.parametrize(
+    "before, inside, behind, valid",
+    [("[", "1", "]", True), ('{"a":', "null", "}", True), ("[ ", '"]"', " ]", True), ("[", "1,", "]", False), ('{"a":', "1", "]", False), ("[", "NaN", "]", False), ("[", "'a'", "]", False)],
+)
+def test_json_of_any_depth(spark, levels, before, inside, behind, valid):
+    whole = before * levels + inside + behind * levels
+    texts = [whole, whole[:-1], whole + behind, whole + " x", whole + " "]
+    found = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", is_json(F.col("t")).alias("v")).orderBy("i").collect()
+    assert [r.v for r in found] == [valid, False, False, False, valid]
+
+
+def test_json_numbers_and_texts_of_any_length(spark):
+    texts = {"9" * 2000: True, "-0." + "7" * 3000 + "e9": True, "0" + "9" * 2000: False, "9" * 2000 + ".": False, '"' + "x" * 21_000_000 + '"': True}
+    texts |= {'1,"end":1}': False, '1],"b":[2': False, '"~end of text~"': True, '{"a":1,"a":2}': True, "": False}
+    found = spark.createDataFrame(list(texts.items()), "t string, want boolean").where(is_json(F.col("t")) != F.col("want"))
+    assert found.isEmpty()
