@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from .. import types as ct
 from ..contract import ROW_ID, Contract
-from ..errors import BatchTypeError, ChangedRowsError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
+from ..errors import BatchTypeError, ChangedRowsError, ConcurrentChangeError, ContractError, SchemaConflictError, ShortWriteError, TableMissingError
 from ..functions import ids
 from ..functions.fingerprint import Tally, fingerprint
 from ..layout import BATCH_COLUMN, PARTITION_COLUMN
@@ -44,6 +44,8 @@ LOGGER = logging.getLogger("tablecontract")
 # while executors would stand idle.
 CLUSTER_TASK_BYTES = 128 * 1024 * 1024
 SMALL_TASK_BYTES = 4 * 1024 * 1024
+# Bytes of batches that a purge rewrites in one job.
+PURGE_BYTES = 256 * 1024**3
 
 # A batch id names a folder.
 _BATCH_ID = re.compile(r"[A-Za-z0-9_-]+")
@@ -522,41 +524,72 @@ class GovernedTable:
         Dropping a column alone is a change of the contract. This job is for when
         the bytes have to go; without dropped columns it does nothing. Batches keep
         their folders, and so their ids; rows keep their order by partition and
-        clustering columns. Appends go on meanwhile: what lands in the old
+        clustering columns. Batches are rewritten in groups, and a job that fails goes on, when it
+        is called again, where it stopped. Appends go on meanwhile: what lands in the old
         generation is moved to the new one before the old one is deleted.
         """
         version = self.store.latest()
         if not version.retired:
             return version
         files, old, new = self.store.files, self.data_path(version), self.store.data(version.generation + 1)
-        fields = [T.StructField(c.stored_as, c.spark_type(), True) for c in version.columns]
-        fields.append(T.StructField(BATCH_COLUMN, T.StringType(), True))
-        if version.layout.partition_by:
-            fields.append(T.StructField(PARTITION_COLUMN, version.layout.partition_type, True))
-        names = [f.name for f in fields]
-        stored = {c.name: c.stored_as for c in version.columns}
-        order = [n for n in (BATCH_COLUMN, PARTITION_COLUMN) if n in names] + [stored[n] for n in version.layout.cluster_by if n in stored]
-        counter = Observation()
-        kept = self.spark.read.schema(T.StructType(fields)).parquet(old).select(*[F.col(f"`{n}`") for n in names])
-        kept = kept.sortWithinPartitions(*[F.col(f"`{n}`") for n in order]).observe(counter, F.count(F.lit(1)).alias("rows"))
         taken = set(files.names(old))  # one name a batch
+        # What is finished stays there when the job fails. The contract's version is in the name: another one is another job.
+        work = f"{self.staging}/purge-{version.version}"
+        files.mkdirs(work)
         try:
-            if taken:
-                self._writer(kept, version, "overwrite", (BATCH_COLUMN,)).parquet(new)
-            else:
-                files.mkdirs(new)
+            for names in self._purge_groups(old, sorted(taken - set(files.names(work)))):
+                self._purge_group(version, old, names, work)
+            if files.exists(new):
+                self.remove(new)  # an earlier try that was not published
+            files.move_folder(work, new)
             published = self.store.publish(replace(version, generation=version.generation + 1, retired=()), version)
-        except Exception:
+        except ConcurrentChangeError:
             self.remove(new)
             raise
+        except Exception:
+            if files.exists(new) and not files.exists(work):
+                files.move_folder(new, work)
+            raise
         for name in files.names(old):
             if name not in taken and not files.exists(f"{new}/{name}"):
                 files.move_folder(f"{old}/{name}", f"{new}/{name}")
         self.remove(old)
-        if taken:
-            self.log.warning("rewrote %d rows without the dropped columns", counter.get["rows"])
+        self.log.warning("rewrote %d batches without the dropped columns", len(taken))
         return published
 
+    def _purge_groups(self, old: str, names: list[str]):
+        """Batches in groups of about ``PURGE_BYTES``."""
+        group, size = [], 0
+        for name in names:
+            group.append(name)
+            size += self.store.files.size(f"{old}/{name}")
+            if size >= PURGE_BYTES:
+                yield group
+                group, size = [], 0
+        if group:
+            yield group
+
+    def _purge_group(self, version: TableVersion, old: str, names: list[str], work: str) -> None:
+        """Rewrite some batches and put each beside those that are finished."""
+        files, aside = self.store.files, f"{self.staging}/purging-{ids.new_uuid7(_millis(self.clock()))}"
+        fields = [T.StructField(c.stored_as, c.spark_type(), True) for c in version.columns]
+        fields.append(T.StructField(BATCH_COLUMN, T.StringType(), True))
+        if version.layout.partition_by:
+            fields.append(T.StructField(PARTITION_COLUMN, version.layout.partition_type, True))
+        present = [f.name for f in fields]
+        stored = {c.name: c.stored_as for c in version.columns}
+        order = [n for n in (BATCH_COLUMN, PARTITION_COLUMN) if n in present] + [stored[n] for n in version.layout.cluster_by if n in stored]
+        read = self.spark.read.schema(T.StructType(fields)).option("basePath", old)
+        kept = read.parquet(*[f"{old}/{name}" for name in names]).select(*[F.col(f"`{n}`") for n in present])
+        try:
+            self._writer(kept.sortWithinPartitions(*[F.col(f"`{n}`") for n in order]), version, "overwrite", (BATCH_COLUMN,)).parquet(aside)
+            for name in files.names(aside):
+                if name.startswith(f"{BATCH_COLUMN}=") and not files.exists(f"{work}/{name}"):
+                    files.move_folder(f"{aside}/{name}", f"{work}/{name}")
+        finally:
+            if files.exists(aside):
+                self.remove(aside)
+
 
 def _filled(df: DataFrame, columns: list[dict]) -> DataFrame:
     for some in columns:

@@ -206,6 +206,49 @@ def test_stream_dedup(spark, place):
     assert spark.read.parquet(place).count() == 8
 
 
+def test_a_hot_id_leaves_a_task_once(spark):
+    from tablecontract.streaming.dedup import one_a_task
+
+    rows = spark.range(100_000, numPartitions=4).select(
+        F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("r"), F.col("id"))).alias(ROW_ID), F.timestamp_micros(F.col("id")).alias(INGESTION_AT), "id")
+    out = one_a_task(rows, [ROW_ID], INGESTION_AT)
+    assert out.where(F.col(ROW_ID) == "hot").count() == 4 and out.count() == 30_004
+    # The latest of each task stays, whole.
+    assert out.where(F.unix_micros(INGESTION_AT) != F.col("id")).isEmpty()
+    assert {r.id for r in out.where(F.col(ROW_ID) == "hot").collect()} == {24_996, 49_996, 74_996, 99_996}
+
+
+def test_a_task_holds_so_many_ids_and_keeps_all(spark, monkeypatch):
+    from tablecontract.streaming import dedup
+
+    monkeypatch.setattr(dedup, "HELD_ROWS", 1000)
+    rows = spark.range(60_000, numPartitions=2).select((F.col("id") % 25_000).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"), F.timestamp_micros(F.col("id")).alias("at"))
+    out = dedup.one_a_task(rows, ["a", "b"], "at")
+    assert out.select("a", "b").distinct().count() == rows.select("a", "b").distinct().count() == 25_000
+    odd = spark.createDataFrame([(1, None), (1, 5), (None, 7), (None, None), (2, None)], "k int, t long").select("k", F.timestamp_micros("t").alias("t")).coalesce(1)
+    assert sorted(((r.k or 0, r.t is not None) for r in dedup.one_a_task(odd, ["k"], "t").collect())) == [(0, True), (1, True), (2, False)]
+    assert dedup.one_a_task(odd.limit(0), ["k"], "t").count() == 0
+
+
+def test_a_late_copy_does_not_hide_one_in_time(spark, place):
+    path, minute = place + "-in", 60 * 10**6
+
+    def arrive(*rows):
+        made = spark.createDataFrame(list(rows), "id string, micros long").select(F.col("id").alias(ROW_ID), F.timestamp_micros("micros").alias(INGESTION_AT))
+        made.coalesce(1).write.mode("append").parquet(path)
+
+    def run():
+        stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        query = deduplicate_stream(stream, "10 minutes").writeStream.format("parquet").option("checkpointLocation", place + "-cp").option("path", place).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    arrive(("a", 100 * minute))
+    run()
+    arrive(("b", 10 * minute), ("b", 101 * minute), ("c", 11 * minute), ("a", 99 * minute), ("a", 102 * minute))
+    run()
+    assert sorted(r[0] for r in spark.read.parquet(place).select(ROW_ID).collect()) == ["a", "b"]
+
+
 def test_the_stream_query_flushes_before_it_closes(spark, monkeypatch):
     from conftest import SF
 

@@ -10,6 +10,7 @@ from tablecontract import (
     BatchTypeError, ConcurrentChangeError, Contract, ContractError, GovernedTable, SchemaChange, SchemaConflictError, ShortWriteError, ChangedRowsError,
     TableMissingError, column, stored_contract,
 )
+from tablecontract.layout import BATCH_COLUMN
 from tablecontract.functions.fingerprint import Tally, fingerprint
 
 LONG, TEXT, TS = T.LongType(), T.StringType(), T.TimestampType()
@@ -302,6 +303,55 @@ def test_a_batch_that_lands_while_a_generation_is_published_moves_on(spark, make
     assert make().read().count() == 20
 
 
+def test_a_purge_that_fails_goes_on_where_it_stopped(spark, make, monkeypatch):
+    from tablecontract.sources import table as module
+
+    monkeypatch.setattr(module, "PURGE_BYTES", 1)
+    wide = make(WIDE)
+    for k in range(4):
+        wide.append(rows(spark, 10 * k))
+    table = make(NARROW, strategy="sync")
+    table.append(rows(spark, 40))
+    done, real = [], table._purge_group
+
+    def failing(version, old, names, work):
+        if len(done) == 2:
+            done.append("stopped")
+            raise OSError("the cluster went away")
+        real(version, old, names, work)
+        done.extend(names)
+
+    monkeypatch.setattr(table, "_purge_group", failing)
+    with pytest.raises(OSError, match="went away"):
+        table.purge_dropped()
+    assert table.store.latest().generation == 1 and table.read().count() == 50
+    version = table.purge_dropped()
+    assert version.generation == 2 and version.retired == ()
+    names = [d for d in done if d != "stopped"]
+    assert len(names) == len(set(names)) == 5
+    assert table.read().count() == 50 and table.read().agg(F.sum("id")).first()[0] == sum(range(50))
+    stored = spark.read.parquet(table.data_path(version))
+    assert "extra" not in stored.columns
+    assert [n for n in table.store.files.names(table.staging) if n.startswith("purg")] == []
+
+
+def test_a_purge_does_not_use_what_another_contract_left(spark, make, monkeypatch):
+    from tablecontract.sources import table as module
+
+    monkeypatch.setattr(module, "PURGE_BYTES", 1)
+    wide = make(WIDE)
+    wide.append(rows(spark)), wide.append(rows(spark, 10))
+    middle = make(contract(ID, EXTRA), strategy="sync")
+    middle.append(rows(spark, 20))
+    monkeypatch.setattr(middle.store, "publish", lambda *a: (_ for _ in ()).throw(OSError("no")))
+    with pytest.raises(OSError):
+        middle.purge_dropped()
+    least = make(contract(ID), strategy="sync")
+    least.append(rows(spark, 30))
+    assert least.purge_dropped().retired == () and least.read().columns == ["id"] and least.read().count() == 40
+    assert set(spark.read.parquet(least.data_path(least.store.latest())).columns) <= {"id", BATCH_COLUMN}
+
+
 def test_a_purge_without_dropped_columns_does_nothing(spark, make):
     table = make(WIDE)
     table.append(rows(spark))
