@@ -385,6 +385,32 @@ class GovernedTable:
                     raise
             generation = now
 
+    def takes_files(self, version: TableVersion) -> bool:
+        """Whether prepared rows in files are what the table's own files would be: nothing to deal out or to sort, and the same names."""
+        stored = {c.name: c.stored_as for c in version.columns}
+        same = all(stored.get(c.name) == c.name for c in self.contract.written_columns())
+        return self.managed and not self.writer and not version.layout.partition_by and not version.layout.cluster_by and same
+
+    def promote(self, paths: list[str], version: TableVersion, batch_id: str, rows: int) -> int:
+        """Make the prepared rows in some folders one batch by moving their files, which is not seen before all are there.
+
+        What a try that failed has moved already stays where it is, and the next one moves the rest.
+        """
+        landed = self._landed(version, batch_id)
+        if landed is not None:
+            return landed
+        files, aside = self.store.files, f"{self.staging}/promote-{batch_id}"
+        files.mkdirs(aside)
+        for path in paths:
+            for name in files.names(path):
+                if name.endswith(".parquet"):
+                    files.move_folder(f"{path}/{name}", f"{aside}/{name}")
+        if rows:
+            self._land(aside, f"{BATCH_COLUMN}={batch_id}")
+        else:
+            self.remove(aside)
+        return rows
+
     def _landed(self, version: TableVersion, batch_id: str) -> int | None:
         """Rows of a batch that is in the table already, None for any other."""
         if not self.managed or self.writer:

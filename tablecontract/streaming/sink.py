@@ -27,7 +27,8 @@ class TableSink:
     When the threshold is reached everything held becomes one append: a batch is
     never cut, so an append may be larger than the threshold. What an append
     takes is noted first: after a crash it is finished under the same batch id,
-    which a table does not take twice. The micro-batches of the last append are
+    which a table does not take twice. Where the table's layout asks for no order, held files are moved
+    into it as they are, else they are read and written once more. The micro-batches of the last append are
     remembered, so that one run again after it is not held a second time.
 
     ``name`` tells what a sink holds from what others hold; by default it is the table's
@@ -181,7 +182,9 @@ class TableSink:
         info, version = table.info(note["batch_id"]), table.start()
         paths = [p for p in (f"{self._pending}/{name}" for name in note["held"]) if self._files.exists(p)]
         rows = 0
-        if paths:
+        if table.takes_files(version):
+            rows = table.promote(paths, version, note["batch_id"], sum(note["held"].values()))
+        elif paths:
             schema = spark_schema(table.contract.written_columns())
             held = with_place(table.spark.read.schema(schema).parquet(*paths))
             rows = table.load(held, info, version, raw=False, size=sum(map(self._files.size, paths)))

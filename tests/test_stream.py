@@ -22,8 +22,10 @@ def rows(spark, start, n):
 
 def jobs(table, monkeypatch):
     """How many rows each append carried."""
-    sizes, real = [], table._write
-    monkeypatch.setattr(table, "_write", lambda *a, **k: sizes.append(real(*a, **k)) or sizes[-1])
+    sizes = []
+    for way in ("_write", "promote"):
+        real = getattr(table, way)
+        monkeypatch.setattr(table, way, lambda *a, real=real, **k: sizes.append(real(*a, **k)) or sizes[-1])
     return sizes
 
 
@@ -41,6 +43,52 @@ def test_thresholds(spark, table, monkeypatch, threshold, calls, expected, left)
     assert table.read().count() == at and table.read().select(ROW_ID).distinct().count() == at
 
 
+@pytest.mark.parametrize("fails_at", range(8))
+def test_a_flush_that_moves_files_goes_on_after_a_crash(spark, place, monkeypatch, fails_at):
+    """However many steps were done, the next sink ends with each row once."""
+    contract = Contract.of(T.StructType([column("id", T.LongType(), required=True)]))
+    make = lambda: GovernedTable(spark, place, contract, key="id", ingestion_id="01900000-0000-7000-8000-000000000000")
+    sink = TableSink(make(), flush_rows=100)
+    for k in range(3):
+        sink.write(rows(spark, 10 * k, 10).repartition(2), k)
+    files, steps = type(sink._files), []
+
+    def stopping(real):
+        def step(self, *a):
+            steps.append(real)
+            if len(steps) == fails_at + 1:
+                raise KeyboardInterrupt
+            return real(self, *a)
+        return step
+
+    for name in ("move_folder", "delete"):
+        monkeypatch.setattr(files, name, stopping(getattr(files, name)))
+    try:
+        sink.flush()
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.undo()
+    again = TableSink(make(), flush_rows=100)
+    again.write(rows(spark, 20, 10).repartition(2), 2)  # the stream runs its last micro-batch again
+    again.close()
+    read = make().read()
+    assert read.count() == 30 and read.distinct().count() == 30
+    assert again._files.names(again._pending) == []
+
+
+def test_only_a_table_without_an_order_takes_files_as_they_are(spark, place):
+    plain = [column("id", T.LongType(), required=True)]
+    for fields, takes in ((plain, True), ([column("id", T.LongType(), cluster=1)], False)):
+        table = GovernedTable(spark, f"{place}-{takes}", Contract.of(T.StructType(fields)), key="id")
+        assert table.takes_files(table.start()) is takes
+    renamed = GovernedTable(spark, place, Contract.of(T.StructType([*plain, column("a", T.StringType())])), key="id")
+    renamed.append(rows(spark, 0, 1).withColumn("a", F.lit("x")))
+    GovernedTable(spark, place, Contract.of(T.StructType(plain)), key="id", strategy="sync").start()
+    back = GovernedTable(spark, place, Contract.of(T.StructType([*plain, column("a", T.StringType())])), key="id")
+    # The dropped name is stored under another one from now on.
+    assert not back.takes_files(back.start())
+
+
 def test_flush_and_close(spark, table):
     sink = TableSink(table, flush_rows=100)
     sink.write(rows(spark, 0, 3))
@@ -58,15 +106,15 @@ def test_a_negative_threshold(table):
 
 
 def test_failures_are_told_once_and_nothing_is_lost(spark, table, monkeypatch):
-    sink, load = TableSink(table, flush_rows=2), table.load
+    sink, load, promote = TableSink(table, flush_rows=2), table.load, table.promote
     sink.write(rows(spark, 0, 1))
 
     def broken(*a, **k):
         raise OSError("quota")
 
-    monkeypatch.setattr(table, "load", broken)
+    monkeypatch.setattr(table, "load", broken), monkeypatch.setattr(table, "promote", broken)
     assert sink.write(rows(spark, 1, 1)).rows == 1
-    monkeypatch.setattr(table, "load", load)
+    monkeypatch.setattr(table, "load", load), monkeypatch.setattr(table, "promote", promote)
     with pytest.raises(OSError, match="quota"):
         sink.flush()
     assert sink.flush().rows == 0
@@ -254,8 +302,7 @@ def test_the_stream_query_flushes_before_it_closes(spark, monkeypatch):
 
     from tablecontract.queries import QUERIES
 
-    sizes, real = [], GovernedTable._write
-    monkeypatch.setattr(GovernedTable, "_write", lambda *a, **k: sizes.append(real(*a, **k)) or sizes[-1])
+    sizes = jobs(GovernedTable, monkeypatch)
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         n = QUERIES["q_stream_flush"](spark, SF).count()
