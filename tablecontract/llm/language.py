@@ -22,6 +22,7 @@ LENGTHS = range(3, 9)
 PART = 1 / 3
 _BINS = 1000  # of cosines from 0 to 1
 _CHARS = 1 << 20  # of a text counted at once
+_HELD = 1 << 20  # trigrams of texts that a task holds before it bundles them
 
 
 def letter_table() -> np.ndarray:
@@ -117,12 +118,22 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", dimensions
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, letters, total = Space(dimensions, seed), letter_table(), {}
+
+        def add(found: dict[str, list]) -> None:
+            for name, parts in found.items():
+                total[name] = total.get(name, 0) + space.bundle(*_merge(parts))
+            found.clear()
+
         for batch in batches:
             found: dict[str, list] = {}
+            held = 0
             for t, name in zip(batch.column("text"), batch.column("lang").to_pylist(), strict=True):
                 found.setdefault(name, []).append(trigrams(t.as_py(), letters))
-            for name, parts in found.items():
-                total[name] = total.get(name, 0) + space.bundle(*_merge(parts))
+                held += len(found[name][-1][0])
+                if held > _HELD:
+                    add(found)
+                    held = 0
+            add(found)
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))],
