@@ -159,10 +159,13 @@ def decontaminate(
         F.array().cast("array<string>").alias("hit_items"),
         F.array().cast("array<struct<start:int,stop:int>>").alias("hit_spans"))
     chosen = items.select(name_in(items, item_id).cast("string"), name_in(items, item_text).cast("string"))
+    scan, cut = None, _cutter(text)
     for block in _blocks(chosen.toLocalIterator(), block_words):
-        shared = send(spark, SuffixAutomaton(block, length, coverage))
-        rows = rows.mapInArrow(_scanner(shared, text), rows.schema)
-    return rows.mapInArrow(_cutter(text), T.StructType([*rows.schema.fields, T.StructField("clean_text", T.StringType())]))
+        if scan:
+            rows = rows.mapInArrow(scan, rows.schema)
+        scan = _scanner(send(spark, SuffixAutomaton(block, length, coverage)), text)
+    # The last pass cuts as well, so a task with one block of items has one worker.
+    return rows.mapInArrow(lambda batches: cut(scan(batches)), T.StructType([*rows.schema.fields, T.StructField("clean_text", T.StringType())]))
 
 
 def _blocks(rows: Iterator, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
