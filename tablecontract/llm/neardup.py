@@ -187,9 +187,11 @@ def deduplicated(
             name += "_"
         names.append(name)
     own, first, digest = names
-    stay = found.where("doc_id = class_id and digest <=> first").select(F.col("doc_id").alias(own), F.col("digest").alias(first)).distinct()
-    marked = docs.withColumn(digest, F.md5(name_in(docs, text).cast("string").cast("binary")))
-    same = (name_in(docs, id) == F.col(own)) & F.col(digest).eqNullSafe(F.col(first))
+    # No digest is empty, so that it stands for null text and one shuffle by id and digest serves both what follows.
+    known = lambda c: F.coalesce(c, F.lit(""))
+    stay = found.where("doc_id = class_id and digest <=> first").select(F.col("doc_id").alias(own), known(F.col("digest")).alias(first)).distinct()
+    marked = docs.withColumn(digest, known(F.md5(name_in(docs, text).cast("string").cast("binary"))))
+    same = (name_in(docs, id) == F.col(own)) & (F.col(digest) == F.col(first))
     kept = marked.join(stay, same, "left_semi").dropDuplicates([id, digest]).drop(digest)
     return kept.unionByName(docs.where(name_in(docs, id).isNull()))
 
