@@ -15,7 +15,7 @@ def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {*QUERIES, "pipeline"} <= set(names) and len({n.split("_")[0] for n in QUERIES}) == 10
+    assert {*QUERIES, "pipeline"} <= set(names) and len({n.split("_")[0] for n in QUERIES}) == 13
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "language_id", "near_duplicates", "decontamination", "packing"]
 
 
