@@ -3,26 +3,21 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import name_in, receive, saved, send, without
 
-#: Without a vocabulary, tokens are classes of characters: a to z, then the five below. 31 stands beyond either end of a text.
-CLASSES = 32
-SPACE, DIGIT, STOP, SIGN, OTHER, EDGE = 26, 27, 28, 29, 30, 31
 #: Tokens on either side that the network sees.
 SIDE = 2
-#: Bits of a token of a vocabulary; five tokens make a window of 60 bits.
-BITS = 12
-#: Tokens a softmax is over: with more, one chooses the group and another the token within it.
-GROUP = 64
+#: Ways a softmax chooses among; three of them, one below the other, choose a token.
+WAYS, LEVELS = 16, 3
+TOKENS = WAYS**LEVELS
 #: Of a vocabulary's tokens: the end of a text is 0, then buckets for rare characters, characters, parts of words, and words.
 RARE, CHARACTERS, PARTS = 128, 1024, 1024
 #: Times a word, a part or a character occurs at least to be a token.
@@ -31,45 +26,15 @@ LEAST = 5
 PART = 4
 #: A word with the blank before it, at most 32 letters of it, or any other character.
 WORD = re.compile(r" ?[^\W\d_]{1,32}|[\s\S]")
-#: Files of the count table that a training step reads, at most.
-GRADIENTS = 64
+#: Sixteenths of the documents that each round of training goes through; together all of them.
+ROUNDS = (1, 1, 2, 4, 8)
+#: Places a step of training, or a call of the network, works on.
+BATCH = 1 << 13
+RESULTS = ("n_tokens", "log_likelihood", "per_token")
 _KEYS = 300_000  # of a task's table, before it is sent on
-_BUFFER = 1 << 21  # windows a task sorts at once
 _CHUNK = 1 << 20
-
-
-def class_table() -> np.ndarray:
-    """The class of each code point: its base letter in lower case, or what kind of sign it is."""
-    table = np.full(0x110000, OTHER, np.int32)
-    for c in range(0x3000):
-        ch = unicodedata.normalize("NFKD", chr(c))[0].lower()[0]
-        if "a" <= ch <= "z":
-            table[c] = ord(ch) - ord("a")
-        elif ch.isspace():
-            table[c] = SPACE
-        elif ch.isdigit():
-            table[c] = DIGIT
-        elif ch in ".,;:!?":
-            table[c] = STOP
-        elif not ch.isalpha():
-            table[c] = SIGN
-    table[ord("ß")] = ord("s") - ord("a")
-    return table
-
-
-def windows(text: str, table: np.ndarray) -> Iterator[np.ndarray]:
-    """The code of the window around each character of a whole text, a chunk at a time."""
-    for at in range(0, len(text), _CHUNK):
-        before, after = max(0, at - SIDE), min(len(text), at + _CHUNK + SIDE)
-        part = table[np.frombuffer(text[before:after].encode("utf-32-le", "surrogatepass"), "<u4")]
-        left = np.full(SIDE - (at - before), EDGE, np.int32)
-        right = np.full(SIDE - (after - min(len(text), at + _CHUNK)), EDGE, np.int32)
-        tokens = np.concatenate((left, part, right))
-        n = len(tokens) - 2 * SIDE
-        code = np.zeros(n, np.int32)
-        for k in range(2 * SIDE + 1):
-            code = code << 5 | tokens[k : k + n]
-        yield code
+_ADDERS = 64  # tasks that add up networks, at most; the driver gets a row of each
+_EDGE = np.zeros(SIDE, np.uint16)
 
 
 def words(text: str) -> Iterator[list[str]]:
@@ -82,18 +47,6 @@ def words(text: str) -> Iterator[list[str]]:
         at = end
 
 
-class Classes:
-    """Reads every character as one of ``CLASSES``."""
-
-    bits = 5
-
-    def __init__(self):
-        self._table = class_table()
-
-    def windows(self, text: str) -> Iterator[np.ndarray]:
-        return windows(text, self._table)
-
-
 class Vocabulary:
     """Tokens of a corpus: its frequent words, and for all others the longest parts it has, at last characters.
 
@@ -101,38 +54,20 @@ class Vocabulary:
     their own share ``RARE`` buckets, and the probability of a bucket is shared by all code points in it.
     """
 
-    bits = BITS
-
     def __init__(self, units: Iterable[str]):
         self.ids = {unit: i for i, unit in enumerate(dict.fromkeys(units), 1 + RARE)}
-        if len(self.ids) >= (1 << BITS) - RARE:
-            raise ValueError(f"more than {(1 << BITS) - RARE - 1} tokens")
+        if len(self.ids) >= TOKENS - RARE:
+            raise ValueError(f"more than {TOKENS - RARE - 1} tokens")
         self._known = _Known(self.ids)
 
-    def tokens(self, text: str) -> Iterator[np.ndarray]:
+    def tokens(self, text: str) -> np.ndarray:
+        """The tokens of a whole text."""
+        parts = [_EDGE[:0]]
         for some in words(text):
             if len(self._known) > _KEYS:
                 self._known.clear()
-            yield np.fromiter(chain.from_iterable(map(self._known.__getitem__, some)), np.int64)
-
-    @staticmethod
-    def within(code: np.ndarray) -> np.ndarray:
-        """The log-probability of the character on each place given its token: that of one code point of a bucket, or 0."""
-        target = code >> BITS * SIDE & (1 << BITS) - 1
-        return np.where((target >= 1) & (target <= RARE), np.log(RARE / 0x110000), 0.0)
-
-    def windows(self, text: str) -> Iterator[np.ndarray]:
-        """The code of the window around each token of a whole text."""
-        run = np.zeros(SIDE, np.int64)
-        for part in chain(self.tokens(text), [np.zeros(SIDE, np.int64)]):
-            run = np.concatenate((run, part))
-            n = len(run) - 2 * SIDE
-            if n > 0:
-                code = np.zeros(n, np.int64)
-                for k in range(2 * SIDE + 1):
-                    code = code << BITS | run[k : k + n]
-                yield code
-                run = run[-2 * SIDE :]
+            parts.append(np.fromiter(chain.from_iterable(map(self._known.__getitem__, some)), np.uint16))
+        return np.concatenate(parts)
 
 
 class _Known(dict):
@@ -190,8 +125,8 @@ def _parts_of(seen: Counter, word: str, n: int) -> Iterator[None]:
     yield
 
 
-def learn(docs: DataFrame, *, text: str = "text") -> tuple[Vocabulary, int]:
-    """The vocabulary of all documents, and how many words and other characters they have.
+def learn(docs: DataFrame, *, text: str = "text") -> Vocabulary:
+    """The vocabulary of all documents.
 
     Words are counted over all texts, parts and characters over the counted words. The driver
     gets the most frequent only (parts by the characters they save); of equal ones the first by its text.
@@ -202,246 +137,311 @@ def learn(docs: DataFrame, *, text: str = "text") -> tuple[Vocabulary, int]:
     best = lambda df, by, most: [r["unit"] for r in df.where(F.col("n") >= LEAST).orderBy(by.desc(), "unit").limit(most).select("unit").collect()]
     units = best(parts.where("size = 1"), F.col("n"), CHARACTERS) + best(parts.where("size > 1"), F.col("n") * (F.col("size") - 1), PARTS)
     taken = set(units)
-    room = (1 << BITS) - RARE - 1
+    room = TOKENS - RARE - 1
     # Words may be among the units already, so as many more are asked for.
     whole = [u for u in best(found, F.col("n"), room) if u not in taken]
-    return Vocabulary((units + whole)[:room]), found.agg(F.sum("n")).first()[0] or 0
-
-
-def count_windows(docs: DataFrame, vocabulary: Vocabulary | None = None, *, text: str = "text", files: int | None = None) -> DataFrame:
-    """``code, n`` of every window of the corpus, as many as it has: all the network has to know about it.
-
-    A task sorts ``_BUFFER`` windows at a time and sends on each with its count. ``files`` is how many parts the
-    table is dealt into by window.
-    """
-    rows = docs.select(name_in(docs, text).cast("string").alias("text")).where("text <> ''")
-    shared = send(docs.sparkSession, vocabulary)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held, size = receive(shared) or Classes(), [], 0
-        for batch in batches:
-            for t in batch.column("text"):
-                for code in reader.windows(t.as_py()):
-                    held.append(code)
-                    size += len(code)
-                    if size >= _BUFFER:
-                        yield from told(held)
-                        held, size = [], 0
-        if held:
-            yield from told(held)
-
-    def told(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        for at in range(0, len(codes), 1 << 16):
-            some = slice(at, at + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(codes[some].astype(np.int64)), pa.array(n[some].astype(np.int64))], names=["code", "n"])
-
-    counts = rows.mapInArrow(count, "code long, n long")
-    return (counts.repartition(files, "code") if files else counts).groupBy("code").agg(F.sum("n").alias("n"))
+    return Vocabulary((units + whole)[:room])
 
 
 class Network:
-    """Embeddings of the ``2 * SIDE`` tokens around a place, one hidden layer, and a softmax over what stands there.
+    """Embeddings of the ``2 * SIDE`` tokens around a place, one hidden layer, and ``LEVELS`` softmaxes down to the token there.
 
-    Past ``GROUP`` tokens the softmax has two levels: the token's group, then the token within its group.
+    It works on runs of tokens: texts behind each other, each with ``SIDE`` ends of text (token 0) before and after.
+    A place is a token of a run but for its first and last ``SIDE``. Everything is laid out with places last.
     """
 
-    def __init__(self, width: int = 8, hidden: int = 32, seed: int = 11, bits: int = 5):
+    def __init__(self, width: int = 8, hidden: int = 16, seed: int = 11):
+        self._shapes = {"e": (width, TOKENS), "w": (2 * SIDE, hidden, width), "b": (hidden, 1)}
+        self._shapes |= {f"u{k}": (WAYS**k, WAYS, hidden + 1) for k in range(LEVELS)}  # the last weight is the bias
+        sizes = [int(np.prod(s)) for s in self._shapes.values()]
         random = np.random.default_rng(seed)
-        self._bits, tokens = bits, 1 << bits
-        self._member = min(GROUP, tokens)
-        self._groups = tokens // self._member
-        shapes = {"e": (tokens, width), "w": (2 * SIDE * width, hidden), "b": (hidden,), "u": (hidden, tokens), "c": (tokens,)}
-        if self._groups > 1:
-            shapes |= {"v": (hidden, self._groups), "d": (self._groups,)}
-        self.values = {k: random.normal(0, 0.3, s).astype(np.float32) if len(s) > 1 else np.zeros(s, np.float32) for k, s in shapes.items()}
-        self._mean = {k: np.zeros_like(v) for k, v in self.values.items()}
-        self._square = {k: np.zeros_like(v) for k, v in self.values.items()}
+        self.use(random.normal(0, 0.2, sum(sizes)).astype(np.float32))
+        self.values["b"][:] = 0
+        self._mean = self._square = None
         self._steps = 0
 
+    def use(self, flat: np.ndarray) -> None:
+        """Takes all its values from one array."""
+        self.flat, self.values, at = flat, {}, 0
+        for k, shape in self._shapes.items():
+            size = int(np.prod(shape))
+            self.values[k] = flat[at : at + size].reshape(shape)
+            at += size
+
     def __getstate__(self):
-        return self.__dict__ | {"_mean": None, "_square": None}  # tasks take no steps
+        return {"_shapes": self._shapes, "flat": self.flat, "_mean": None, "_square": None, "_steps": 0}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.use(self.flat.copy())
 
     def start(self, tokens: np.ndarray, n: np.ndarray) -> None:
-        """Begins with each token as likely as it was counted, one count more for all."""
-        total = np.ones(1 << self._bits)
+        """Begins with each token as likely as it was counted, one count more for all, whatever stands around it."""
+        total = np.ones(TOKENS)
         total[tokens] += n
-        groups = total.reshape(self._groups, self._member)
-        self.values["c"] = np.log(groups / groups.sum(axis=1, keepdims=True)).reshape(-1).astype(np.float32)
-        if self._groups > 1:
-            self.values["d"] = np.log(groups.sum(axis=1) / total.sum()).astype(np.float32)
-
-    def split(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The tokens around each place, and the one on it."""
-        tokens = np.stack([code >> self._bits * (2 * SIDE - k) & (1 << self._bits) - 1 for k in range(2 * SIDE + 1)], axis=1)
-        return np.delete(tokens, SIDE, axis=1), tokens[:, SIDE]
-
-    def log_probability(self, code: np.ndarray) -> np.ndarray:
-        around, target = self.split(code)
-        order = np.argsort(target // self._member, kind="stable")
-        _, h = self._hidden(around[order])
-        logs = np.zeros(len(code), h.dtype)
-        for rows, u, c, right in self._choices(target[order]):
-            z = h[rows] @ self.values[u[0]][:, u[1]] + self.values[c][u[1]]
-            z -= z.max(axis=1, keepdims=True)
-            logs[rows] += z[np.arange(len(z)), right] - np.log(np.exp(z).sum(axis=1))
-        out = np.empty_like(logs)
+        for k in range(LEVELS):
+            ways = total.reshape(WAYS**k, WAYS, -1).sum(axis=2)
+            self.values[f"u{k}"][:] *= 0.1
+            self.values[f"u{k}"][:, :, -1] = np.log(ways / ways.sum(axis=1, keepdims=True))
+
+    def _hidden(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        e, m = np.take(self.values["e"], run, axis=1), len(run) - 2 * SIDE
+        h = np.ones((self.values["b"].shape[0] + 1, m), self.flat.dtype)
+        total = sum(w @ e[:, k : k + m] for k, w in zip(_AROUND, self.values["w"], strict=True))
+        np.tanh(total + self.values["b"], out=h[:-1])
+        return e, h
+
+    def _choices(self, target: np.ndarray) -> Iterator[tuple[str, list[tuple[int, int, int]], tuple[np.ndarray, np.ndarray]]]:
+        """Of each level, for targets in order: its name, the stretch of places at each node, and the ways that were right."""
+        at = np.arange(len(target))
+        for k in range(LEVELS):
+            way = target // WAYS ** (LEVELS - 1 - k)
+            bounds = np.searchsorted(way // WAYS, np.arange(WAYS**k + 1)).tolist()
+            yield f"u{k}", [(g, a, b) for g, (a, b) in enumerate(pairwise(bounds)) if a < b], (way % WAYS, at)
+
+    def _ordered(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places with a token of a text, in the order of their tokens, and these tokens."""
+        target = run[SIDE : len(run) - SIDE]
+        places = np.flatnonzero(target)
+        order = places[np.argsort(target[places], kind="stable")]
+        return order, target[order].astype(np.int64)
+
+    def log_probability(self, run: np.ndarray) -> np.ndarray:
+        """Of the token on each place, given those around it; 0 where a text has ended."""
+        order, target = self._ordered(run)
+        h = self._hidden(run)[1]
+        out, logs = np.zeros(h.shape[1]), np.zeros(len(order))
+        h = np.take(h, order, axis=1)
+        for name, nodes, right in self._choices(target):
+            z = self._scores(name, nodes, h)
+            logs += z[right]
+            logs -= np.log(np.exp(z, out=z).sum(axis=0))
         out[order] = logs
         return out
 
-    def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = self.values
-        x = v["e"][around].reshape(len(around), -1)
-        return x, np.tanh(x @ v["w"] + v["b"])
-
-    def _choices(self, target: np.ndarray) -> Iterator[tuple]:
-        """The softmaxes over rows whose targets are in order of their groups: rows, weights and columns, bias, and what was right."""
-        group, member = np.divmod(target, self._member)
-        bounds = np.searchsorted(group, np.arange(self._groups + 1))
-        for g, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-            if a < b:
-                yield slice(a, b), ("u", slice(g * self._member, (g + 1) * self._member)), "c", member[a:b]
-        if self._groups > 1:
-            yield slice(None), ("v", slice(None)), "d", group
-
-    def gradient(self, code: np.ndarray, n: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Summed loss of windows counted ``n`` times, and its gradient."""
-        v, (around, target) = self.values, self.split(code)
-        order = np.argsort(target // self._member, kind="stable")
-        around, target, n = around[order], target[order], n[order]
-        x, h = self._hidden(around)
-        loss, dh, sums = 0.0, np.zeros_like(h), {k: np.zeros_like(a) for k, a in v.items()}
-        for rows, (u, some), c, right in self._choices(target):
-            z = h[rows] @ v[u][:, some] + v[c][some]
-            z -= z.max(axis=1, keepdims=True)
-            place = np.arange(len(z)), right
-            at = z[place]
-            dz = np.exp(z, out=z)
-            total = dz.sum(axis=1)
-            loss -= float(n[rows] @ (at - np.log(total)))
-            dz /= total[:, None]
-            dz[place] -= 1
-            dz *= n[rows][:, None]
-            sums[u][:, some] = h[rows].T @ dz
-            sums[c][some] = dz.sum(axis=0)
-            dh[rows] += dz @ v[u][:, some].T
-        dh *= 1 - h * h
-        dx = (dh @ v["w"].T).reshape(len(code) * 2 * SIDE, -1)
-        flat = around.reshape(-1)
-        de = np.stack([np.bincount(flat, dx[:, j], len(v["e"])) for j in range(dx.shape[1])], axis=1)
-        return loss, sums | {"e": de, "w": x.T @ dh, "b": dh.sum(axis=0)}
-
-    def step(self, gradient: dict[str, np.ndarray], rate: float) -> None:
+    def _scores(self, name: str, nodes: list[tuple[int, int, int]], h: np.ndarray) -> np.ndarray:
+        z, u = np.empty((WAYS, h.shape[1]), h.dtype), self.values[name]
+        for g, a, b in nodes:
+            z[:, a:b] = u[g] @ h[:, a:b]
+        z -= z.max(axis=0)
+        return z
+
+    def gradient(self, run: np.ndarray) -> tuple[float, int, np.ndarray]:
+        """Summed loss of a run, the number of its tokens, and the gradient of the sum."""
+        flat = np.zeros_like(self.flat)
+        sums, at = {}, 0
+        for k, v in self.values.items():
+            sums[k] = flat[at : at + v.size].reshape(v.shape)
+            at += v.size
+        order, target = self._ordered(run)
+        e, whole = self._hidden(run)
+        h, loss = np.take(whole, order, axis=1), 0.0
+        dh = np.zeros_like(h)
+        for name, nodes, right in self._choices(target):
+            p, u, du = self._scores(name, nodes, h), self.values[name], sums[name]
+            loss -= float(p[right].sum(dtype=np.float64))
+            total = np.exp(p, out=p).sum(axis=0)
+            loss += float(np.log(total).sum(dtype=np.float64))
+            p /= total
+            p[right] -= 1
+            for g, a, b in nodes:
+                du[g] = p[:, a:b] @ h[:, a:b].T
+                dh[:, a:b] += u[g].T @ p[:, a:b]
+        h *= h
+        dh -= dh * h
+        back, m = np.zeros((len(whole) - 1, whole.shape[1]), h.dtype), whole.shape[1]
+        for row, d in zip(back, dh, strict=False):
+            row[order] = d
+        de = np.zeros_like(e)
+        for k, w, dw in zip(_AROUND, self.values["w"], sums["w"], strict=True):
+            dw[:] = back @ e[:, k : k + m].T
+            de[:, k : k + m] += w.T @ back
+        sums["b"][:, 0] = back.sum(axis=1)
+        for row, d in zip(sums["e"], de, strict=True):
+            row[:] = np.bincount(run, d, TOKENS)
+        return loss, len(order), flat
+
+    def step(self, gradient: np.ndarray, rate: float) -> None:
         """One step of Adam."""
+        if self._mean is None:
+            self._mean, self._square = np.zeros_like(gradient), np.zeros_like(gradient)
         self._steps += 1
-        for k, g in gradient.items():
-            self._mean[k] += 0.1 * (g - self._mean[k])
-            self._square[k] += 0.01 * (g * g - self._square[k])
-            mean, square = self._mean[k] / (1 - 0.9**self._steps), self._square[k] / (1 - 0.99**self._steps)
-            self.values[k] = self.values[k] - (rate * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
+        self._mean += 0.1 * (gradient - self._mean)
+        self._square += 0.01 * (gradient * gradient - self._square)
+        root = np.sqrt(self._square / (1 - 0.99**self._steps))
+        root += 1e-8
+        self.flat -= (rate / (1 - 0.9**self._steps)) * self._mean / root
+
+
+_AROUND = [k for k in range(2 * SIDE + 1) if k != SIDE]
+
+
+def runs(texts: Iterable[tuple[int, np.ndarray]], size: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of some ``size`` places of texts given with their rows, and the row of each place.
+
+    Long texts are cut; what stands around a place is the same, wherever the cut is.
+    """
+    held, n = [], 0
+    for row, tokens in texts:
+        if len(tokens):
+            held.append((row, tokens))
+            n += len(tokens)
+            if n >= size:
+                yield from _cut(held, size)
+                held, n = [], 0
+    if held:
+        yield from _cut(held, size)
+
+
+def _cut(held: list[tuple[int, np.ndarray]], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    run = np.concatenate([_EDGE, *chain.from_iterable((t, _EDGE) for _, t in held)])
+    rows, ends = np.array([r for r, _ in held]), np.cumsum([len(t) + SIDE for _, t in held])
+    m = len(run) - 2 * SIDE
+    pieces = max(1, m // size)
+    for a, b in pairwise(m * i // pieces for i in range(pieces + 1)):
+        yield run[a : b + 2 * SIDE], rows[np.searchsorted(ends, np.arange(a, b), side="right")]
+
+
+def _tokens(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]]:
+    for i, value in enumerate(batch.column(column)):
+        yield i, np.frombuffer(value.as_buffer() or b"", "<u2")
 
 
-def train(counts: DataFrame, *, steps: int = 40, rate: float = 0.03, bits: int = 5) -> Network:
-    """A network trained on all windows of the corpus, by gradients that tasks sum over their part of the counts.
+def tokenized(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", tokens: str = "tokens", part: str = "part") -> DataFrame:
+    """``docs`` with the tokens of each text, two bytes each, and the number of a part of the corpus, rows dealt in turn. Narrow."""
+    shared, parts = send(docs.sparkSession, vocabulary), sum(ROUNDS)
 
-    ``counts`` is a written table dealt by window. A step reads some of its files, four at least, and the next step
-    those that follow, so that a small table is read by every step and a large one at least once in all. A step sends back one gradient
-    for each task: about 2,500 numbers without a vocabulary, 170,000 with one.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, n = receive(shared), 0
+        for batch in batches:
+            found = pa.array([vocabulary.tokens(t.as_py() or "").tobytes() for t in batch.column(text)], pa.binary())
+            # Odd steps reach every part; a task begins where no other part of the corpus is favoured.
+            dealt = pa.array((np.arange(n, n + batch.num_rows) * 5 % parts).astype(np.int32))
+            n += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, found, dealt], names=[*batch.schema.names, tokens, part])
+
+    return docs.mapInArrow(run, docs.withColumns({tokens: F.lit(None).cast("binary"), part: F.lit(None).cast("int")}).schema)
+
+
+def count_tokens(rows: DataFrame, *, tokens: str = "tokens") -> DataFrame:
+    """``token, n`` over all rows of ``tokenized``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(TOKENS, np.int64)
+        for batch in batches:
+            for _, t in _tokens(batch, tokens):
+                sums += np.bincount(t, minlength=TOKENS)
+        found = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(sums[found])], names=["token", "n"])
+
+    return rows.select(name_in(rows, tokens)).mapInArrow(count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def train(rows: DataFrame, *, rate: float = 0.01, batch: int = BATCH, tokens: str = "tokens", part: str = "part") -> Network:
+    """A network trained once on every token of the corpus, ``rows`` being ``tokenized`` documents that were written.
+
+    Round by round (``ROUNDS``), each task takes steps of ``batch`` places through its rows of the round's parts, and the
+    networks of all tasks are averaged by their numbers of tokens. Networks are added up in tasks, so that the driver gets
+    ``_ADDERS`` at most, of 107,000 numbers each, whatever the size of the corpus.
     """
-    network = Network(bits=bits)
-    spark = counts.sparkSession
-    target = F.shiftright("code", bits * SIDE).bitwiseAND((1 << bits) - 1).alias("target")
-    seen = counts.groupBy(target).agg(F.sum("n").alias("n")).collect()  # a row for each token
+    network, spark = Network(), rows.sparkSession
+    seen = count_tokens(rows, tokens=tokens).collect()  # a row for each token
     if not seen:
         return network
-    network.start(np.array([r["target"] for r in seen]), np.array([r["n"] for r in seen], np.float64))
-    names, files = list(network.values), sorted(counts.inputFiles())
-    slices = max(1, min(steps, len(files) // 4))
-    for k in range(steps):
-        shared = send(spark, network)
-
-        def part(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            sums, total, network = None, 0, receive(shared)
-            for batch in batches:
-                code, n = batch.column("code").to_numpy(), batch.column("n").to_numpy()
-                total += int(n.sum())
-                for at in range(0, len(code), 1 << 14):
-                    _, g = network.gradient(code[at : at + (1 << 14)], n[at : at + (1 << 14)].astype(np.float32))
-                    sums = {k: v.astype(np.float64) for k, v in g.items()} if sums is None else {k: sums[k] + g[k] for k in g}
-            if sums is not None:
-                flat = np.concatenate([sums[k].reshape(-1).astype(np.float32) for k in names])
-                yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([flat.tobytes()], pa.binary())], names=["n", "g"])
-
-        some = spark.read.schema(counts.schema).parquet(*files[k % slices :: slices]).coalesce(GRADIENTS) if slices > 1 else counts
-        sums, total = np.zeros(sum(v.size for v in network.values.values())), 0
-        for row in some.mapInArrow(part, "n long, g binary").collect():
-            sums += np.frombuffer(row["g"], np.float32)
-            total += row["n"]
-        gradient, at = {}, 0
-        for name in names:
-            size = network.values[name].size
-            gradient[name] = (sums[at : at + size] / max(total, 1)).reshape(network.values[name].shape).astype(np.float32)
-            at += size
-        network.step(gradient, rate * (1 - k / steps) + 0.001)
+    network.start(np.array([r["token"] for r in seen]), np.array([r["n"] for r in seen], np.float64))
+    at, adders = 0, min(_ADDERS, 1 + rows.rdd.getNumPartitions() // 16)
+    for k, width in enumerate(ROUNDS):
+        shared, speed = send(spark, network), rate * (1 - k / (2 * len(ROUNDS)))
+
+        def fit(batches: Iterator[pa.RecordBatch], shared=shared, speed=speed) -> Iterator[pa.RecordBatch]:
+            network, n = receive(shared), 0
+            for run, _ in runs(chain.from_iterable(_tokens(b, tokens) for b in batches), batch):
+                _, some, gradient = network.gradient(run)
+                network.step(gradient / some, speed)
+                n += some
+            if n:
+                yield _told(n, network.flat.astype(np.float64) * n)
+
+        mine = (name_in(rows, part) >= at) & (name_in(rows, part) < at + width)
+        fitted = rows.where(mine).select(name_in(rows, tokens)).mapInArrow(fit, "n long, sum binary")
+        n, flat = 0, np.zeros(network.flat.size)
+        for row in fitted.repartition(adders).mapInArrow(_add, "n long, sum binary").collect():
+            n += row["n"]
+            flat += np.frombuffer(row["sum"])
+        if n:
+            network.use((flat / n).astype(np.float32))
+        at += width
         shared.destroy()
     return network
 
 
-def score(docs: DataFrame, network: Network, vocabulary: Vocabulary | None = None, *, text: str = "text") -> DataFrame:
-    """Documents with ``n_tokens``, ``log_likelihood`` (the sum over all places) and ``per_token`` (its mean, null without tokens).
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, flat = 0, None
+    for batch in batches:
+        for some, sums in zip(batch.column("n").to_pylist(), batch.column("sum"), strict=True):
+            n += some
+            values = np.frombuffer(sums.as_buffer())
+            flat = values.copy() if flat is None else flat + values
+    if n:
+        yield _told(n, flat)
 
-    Windows repeat, so of some at a time each is computed once. Narrow; the network and the vocabulary it was trained with are broadcast.
-    """
-    rows = without(docs, ["n_tokens", "log_likelihood", "per_token"])
-    shared = send(docs.sparkSession, (network, vocabulary))
+
+def _told(n: int, flat: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["n", "sum"])
+
+
+def _scored(rows: DataFrame, network: Network, tokens: str, part: str) -> DataFrame:
+    """``tokenized`` rows with results in place of their tokens and parts."""
+    shared = send(rows.sparkSession, network)
+    rows = rows.drop(name_in(rows, part))
+    kept = [c for c in rows.columns if c != tokens]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, reader = receive(shared)
-        reader = reader or Classes()
+        network = receive(shared)
         for batch in batches:
             n, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            held, size = [], 0
-            for i, t in enumerate(batch.column(text)):
-                for code in reader.windows(t.as_py() or ""):
-                    held.append((i, code))
-                    size += len(code)
-                    if size >= 1 << 18:
-                        add(network, reader, held, n, sums)
-                        held, size = [], 0
-            add(network, reader, held, n, sums)
+            for run, row in runs(_tokens(batch, tokens)):
+                target = run[SIDE : len(run) - SIDE]
+                logs = network.log_probability(run) + np.where((target >= 1) & (target <= RARE), np.log(RARE / 0x110000), 0.0)
+                n += np.bincount(row, target > 0, len(n)).astype(np.int64)
+                sums += np.bincount(row, logs, len(sums))
             mean = [s / k if k else None for s, k in zip(sums.tolist(), n.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(n, pa.int64()), pa.array(sums, pa.float64()), pa.array(mean, pa.float64())],
-                names=[*batch.schema.names, "n_tokens", "log_likelihood", "per_token"])
-
-    def add(network: Network, reader: Classes | Vocabulary, held: list[tuple[int, np.ndarray]], n: np.ndarray, sums: np.ndarray) -> None:
-        if not held:
-            return
-        codes, place = np.unique(np.concatenate([c for _, c in held]), return_inverse=True)
-        logs = np.concatenate([network.log_probability(codes[at : at + (1 << 14)]) for at in range(0, len(codes), 1 << 14)]).astype(np.float64)
-        if isinstance(reader, Vocabulary):
-            logs += reader.within(codes)
-        row = np.repeat([i for i, _ in held], [len(c) for _, c in held])
-        n += np.bincount(row, minlength=len(n))
-        sums += np.bincount(row, logs[place], len(sums))
-
-    typed = rows.withColumns({"n_tokens": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0), "per_token": F.lit(None).cast("double")}).schema
-    for name in ("n_tokens", "log_likelihood", "per_token"):
-        typed[name].nullable = True
-    return rows.mapInArrow(run, typed)
-
-
-def pseudo_likelihood(docs: DataFrame, *, text: str = "text", steps: int = 40) -> DataFrame:
+                [*(batch.column(c) for c in kept), pa.array(n, pa.int64()), pa.array(sums, pa.float64()), pa.array(mean, pa.float64())], names=[*kept, *RESULTS])
+
+    schema = rows.drop(name_in(rows, tokens)).withColumns(dict(zip(RESULTS, (F.lit(None).cast(t) for t in ("long", "double", "double")), strict=True))).schema
+    return rows.mapInArrow(run, schema)
+
+
+def _names(docs: DataFrame, text: str) -> tuple[DataFrame, str, str]:
+    """``docs`` without columns named like results, and two names that it has not."""
+    if text.lower() in RESULTS:
+        raise ValueError(f"the text column has the name of a result: {text}")
+    taken = {c.lower() for c in docs.columns}
+    free = lambda name: name if name not in taken else free(name + "_")
+    return without(docs, RESULTS), free("tokens"), free("part")
+
+
+def score(docs: DataFrame, network: Network, vocabulary: Vocabulary, *, text: str = "text") -> DataFrame:
+    """Documents with ``n_tokens``, ``log_likelihood`` (the sum over all places) and ``per_token`` (its mean, null without tokens).
+
+    Narrow; the network and the vocabulary it was trained with are broadcast, both of bounded size.
+    """
+    docs, tokens, part = _names(docs, text)
+    return _scored(tokenized(docs, vocabulary, text=text, tokens=tokens, part=part), network, tokens, part)
+
+
+def pseudo_likelihood(docs: DataFrame, *, text: str = "text", batch: int = BATCH) -> DataFrame:
     """All documents scored by a network trained on all of them: the higher ``per_token``, the more like the rest.
 
     Tokens are the words of the corpus, its rarer words in parts (see ``Vocabulary``). Every token is predicted from
-    ``SIDE`` tokens on each side, and the log-probabilities are summed over the whole text.
+    ``SIDE`` tokens on each side, and the log-probabilities are summed over the whole text. A text that repeats itself
+    is likely under its own words, so a high score is no sign of quality alone. Documents are written once with
+    their tokens; training reads tokens only, and scoring reads them again.
     Null and empty texts have no tokens, 0 and a null mean; repeated rows count as often
     as they occur; with no text at all the network stays as it was drawn. Input columns
-    named like results are replaced.
+    named like results are replaced; a text column named like one is refused.
     """
-    vocabulary, n = learn(docs, text=text)
-    # Enough files for every step to read its own, and for tasks of some 400,000 windows.
-    files = max(min(10 * steps, n // 60_000 + 1), min(GRADIENTS * steps, n // 400_000))
-    counts = saved(count_windows(docs, vocabulary, text=text, files=files), "windows")
-    return score(docs, train(counts, steps=steps, bits=BITS), vocabulary, text=text)
+    rest, tokens, part = _names(docs, text)
+    rows = saved(tokenized(rest, learn(docs, text=text), text=text, tokens=tokens, part=part), "tokens")
+    return _scored(rows, train(rows, batch=batch, tokens=tokens, part=part), tokens, part)

@@ -1,119 +1,145 @@
-"""Windows and counts against a plain count, gradients against differences, and what a trained network prefers."""
+"""Tokens and runs against plain ones, probabilities and gradients against a plain network, and what a trained one prefers."""
 
+import math
 import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tablecontract.llm import scoring
 from tablecontract.llm.common import saved
-from tablecontract.llm.scoring import EDGE, SIDE, Network, class_table, count_windows, pseudo_likelihood, score, train, windows
+from tablecontract.llm.scoring import ROUNDS, SIDE, TOKENS, WAYS, Network, Vocabulary, learn, pseudo_likelihood, runs, score, tokenized, train
 
-TABLE = class_table()
+NAMES = Vocabulary([" ", "a", "b", "ж", "ab", "ж漢", " Word", "word"])
 
 
-def plain(text):
-    tokens = [EDGE] * SIDE + [int(TABLE[ord(c)]) for c in text] + [EDGE] * SIDE
-    return [sum(t << 5 * (2 * SIDE - k) for k, t in enumerate(tokens[i : i + 2 * SIDE + 1])) for i in range(len(text))]
+def around(tokens):
+    padded = [0] * SIDE + [int(t) for t in tokens] + [0] * SIDE
+    return [(padded[i : i + SIDE] + padded[i + SIDE + 1 : i + 2 * SIDE + 1], padded[i + SIDE]) for i in range(len(tokens))]
 
 
-@pytest.mark.parametrize("chunk", [1 << 20, 3, 1])
-@pytest.mark.parametrize("text", ["", "a", "Über 7 Straßen, 漢字!", "xy" * 5])
-def test_windows(monkeypatch, text, chunk):
-    monkeypatch.setattr(scoring, "_CHUNK", chunk)
-    assert [int(c) for w in windows(text, TABLE) for c in w] == plain(text)
-
-
-def test_counts(spark):
-    texts = ["one two", "one two", "three", None, ""] * 4
-    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
-    want = {}
-    for t in texts:
-        for c in plain(t or ""):
-            want[c] = want.get(c, 0) + 1
-    assert {r.code: r.n for r in count_windows(frame).collect()} == want
-
-
-def test_gradient():
-    network, code, n = Network(), np.array(plain("some text here")), np.arange(1, 15, dtype=np.float32)
-    for k in network.values:
-        network.values[k] = network.values[k].astype(np.float64)
-    _, gradient = network.gradient(code, n)
-    for name, at in (("e", (4, 2)), ("w", (3, 5)), ("b", (1,)), ("u", (2, 7)), ("c", (4,))):
-        value = network.values[name]
-        losses = []
-        for step in (1e-4, -1e-4):
-            value[at] += step
-            losses.append(-float(n @ network.log_probability(code)))
-            value[at] -= step
-        assert gradient[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=1e-3, abs=1e-3)
-
-
-def test_scores_are_sums_of_conditional_log_probabilities(spark):
-    rows = [(1, "some plain text"), (2, None), (3, ""), (4, "xq zzk vvw qqq"), (1, "some plain text"), (None, "text " * 100_000)]
-    frame = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, N_TOKENS int")
-    network = Network()
-    for r in score(frame, network).collect():
-        codes = np.array(plain(r.text or "")[:2000] if r.text and len(r.text) < 2000 else [], np.int64)
-        if r.text and len(r.text) < 2000:
-            assert r.log_likelihood == pytest.approx(float(network.log_probability(codes).sum()), rel=1e-4)
-        assert r.n_tokens == len(r.text or "") and (r.per_token is None) == (r.n_tokens == 0)
-
-
-def test_a_trained_network_prefers_what_it_has_seen(spark):
-    seen = ["the cat sat on the mat and the dog sat on the log"] * 20
-    frame = spark.createDataFrame([(i, t) for i, t in enumerate([*seen, "xq zzk vvw qqq jjx"])], "doc_id long, text string")
-    out = {r.doc_id: r.per_token for r in pseudo_likelihood(frame, steps=30).collect()}
-    assert out[0] > out[20] + 1
-    assert pseudo_likelihood(frame.limit(0), steps=2).count() == 0
-    counts = saved(count_windows(frame).coalesce(2), "windows")
-    total = counts.agg(F.sum("n")).first()[0]
-    rows = counts.collect()
-    loss = lambda n: -sum(float(n.log_probability(np.array([r.code]))[0]) * r.n for r in rows) / total
-    assert loss(train(counts, steps=30)) < 0.6 * loss(Network())
+def plain(network, sides, token):
+    """log p(token | sides), a number at a time."""
+    v = network.values
+    h = [math.tanh(sum(float(v["w"][k, j] @ v["e"][:, t]) for k, t in enumerate(sides)) + float(v["b"][j, 0])) for j in range(len(v["b"]))]
+    total = 0.0
+    for level in range(scoring.LEVELS):
+        node, way = divmod(token // WAYS ** (scoring.LEVELS - 1 - level), WAYS)
+        z = [float(u[:-1] @ np.array(h) + u[-1]) for u in v[f"u{level}"][node]]
+        total += z[way] - math.log(sum(math.exp(x) for x in z))
+    return total
 
 
 @pytest.mark.parametrize("chunk", [1 << 20, 3, 1])
 def test_vocabulary(monkeypatch, chunk):
-    vocabulary = scoring.Vocabulary([" ", "a", "b", "ж", "ab", "ж漢", " Word", "word"])
     text = "word Word WORD abж漢b  7"
-    whole = np.concatenate(list(vocabulary.tokens(text)))
-    names = {i: u for u, i in vocabulary.ids.items()}
+    names = {i: u for u, i in NAMES.ids.items()}
     rare = lambda c: 1 + ord(c) % scoring.RARE
-    assert [names.get(i, i) for i in whole.tolist()] == ["word", " Word", " ", *map(rare, "WORD"), " ", "ab", "ж漢", "b", " ", " ", rare("7")]
+    assert [names.get(i, i) for i in NAMES.tokens(text).tolist()] == ["word", " Word", " ", *map(rare, "WORD"), " ", "ab", "ж漢", "b", " ", " ", rare("7")]
     monkeypatch.setattr(scoring, "_CHUNK", chunk)
-    tokens = np.concatenate(list(vocabulary.tokens(text))).tolist()
-    padded = [0] * SIDE + tokens + [0] * SIDE
-    want = [sum(t << 12 * (2 * SIDE - k) for k, t in enumerate(padded[i : i + 2 * SIDE + 1])) for i in range(len(tokens))]
-    assert [int(c) for w in vocabulary.windows(text) for c in w] == want and list(vocabulary.windows("")) == []
+    assert NAMES.tokens(text).max() < TOKENS and NAMES.tokens("").size == 0
 
 
 def test_vocabulary_is_counted_over_all_documents(monkeypatch, spark):
     monkeypatch.setattr(scoring, "_KEYS", 3)
     texts = ["жизнь жизнь", "Жизнь 漢字漢字", None, "", "été 7"] * 6 + ["once"]
-    vocabulary, n = scoring.learn(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
-    assert {"жизнь", " жизнь", "Жизнь", " 漢字漢字", "漢", "字", "été", "7", "é", "Ж", "ж"} <= set(vocabulary.ids) and "once" not in vocabulary.ids and n == 6 * 7 + 1
-
-
-def test_gradient_of_two_levels():
-    network, rnd = Network(bits=12), np.random.default_rng(2)
-    code, n = rnd.integers(0, 1 << 60, 40), np.arange(1, 41, dtype=np.float32)
-    for k in network.values:
-        network.values[k] = network.values[k].astype(np.float64)
-    loss, gradient = network.gradient(code, n)
-    assert loss == pytest.approx(-float(n @ network.log_probability(code)))
-    around, target = network.split(code)
-    t = int(target[3])
-    for name, at in (("e", (int(around[3, 1]), 2)), ("w", (3, 5)), ("b", (1,)), ("u", (2, t)), ("c", (t,)), ("v", (4, t // 64)), ("d", (7,))):
-        value, losses = network.values[name], []
-        for step in (1e-4, -1e-4):
-            value[at] += step
-            losses.append(-float(n @ network.log_probability(code)))
-            value[at] -= step
-        assert gradient[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=1e-3, abs=1e-3)
-    every = np.array([(3 << 48) | (5 << 36) | (k << 24) | (6 << 12) | 9 for k in range(4096)])
-    assert np.exp(network.log_probability(every)).sum() == pytest.approx(1)
+    found = set(learn(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)).ids)
+    assert {"жизнь", " жизнь", "Жизнь", " 漢字漢字", "漢", "字", "été", "7", "é", "Ж", "ж"} <= found and "once" not in found
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_runs_keep_what_stands_around_each_token(size):
+    rnd = np.random.default_rng(size)
+    texts = [(i, rnd.integers(1, TOKENS, n).astype(np.uint16)) for i, n in enumerate([0, 1, 2, 30, 5, 0, 8])]
+    found = {i: [] for i, _ in texts}
+    for run, row in runs(texts, size):
+        assert len(row) == len(run) - 2 * SIDE < 4 * size + 40
+        for k, r in enumerate(row):
+            if run[k + SIDE]:
+                found[int(r)].append((run[k : k + SIDE].tolist() + run[k + SIDE + 1 : k + 2 * SIDE + 1].tolist(), int(run[k + SIDE])))
+    assert found == {i: around(t) for i, t in texts}
+
+
+def test_probabilities():
+    network, rnd = Network(), np.random.default_rng(5)
+    tokens = rnd.integers(1, TOKENS, 50)
+    run = np.concatenate([[0, 0], tokens, [0, 0]]).astype(np.uint16)
+    assert network.log_probability(run) == pytest.approx([plain(network, *w) for w in around(tokens)], rel=1e-4)
+    every = [np.array([9, 5, t, 6, 7], np.uint16) for t in range(1, TOKENS)]
+    total = sum(math.exp(network.log_probability(w)[0]) for w in every) + math.exp(plain(network, [9, 5, 6, 7], 0))
+    assert total == pytest.approx(1, rel=1e-4)
+
+
+def test_gradient():
+    network, rnd = Network(), np.random.default_rng(2)
+    network.use(network.flat.astype(np.float64))
+    run = np.concatenate([[0, 0], rnd.integers(1, TOKENS, 30), [0, 0], rnd.integers(1, TOKENS, 9), [0, 0]]).astype(np.uint16)
+    loss, n, gradient = network.gradient(run)
+    assert n == 39 and loss == pytest.approx(-network.log_probability(run).sum())
+    moved = np.flatnonzero(gradient)
+    for at in rnd.choice(moved, 60, replace=False):
+        value, losses = network.flat[at], []
+        for step in (1e-5, -1e-5):
+            network.flat[at] = value + step
+            losses.append(-network.log_probability(run).sum())
+        network.flat[at] = value
+        assert gradient[at] == pytest.approx((losses[0] - losses[1]) / 2e-5, rel=1e-3, abs=1e-5)
+
+
+def test_start_is_the_count_of_tokens():
+    network, n = Network(), np.arange(1, 101) * 1000.0
+    network.start(np.arange(1, 101), n)
+    network.values["w"][:] = 0  # nothing around a place is seen
+    logs = [network.log_probability(np.array([0, 0, t, 0, 0], np.uint16))[0] for t in range(1, 101)]
+    assert logs == pytest.approx(np.log((n + 1) / (n.sum() + TOKENS)).tolist(), abs=1e-3)
+
+
+def test_scores_are_sums_of_conditional_log_probabilities(spark):
+    rows = [(1, "word ab"), (2, None), (3, ""), (4, "ab ж漢 7"), (1, "word ab"), (None, "word " * 100_000)]
+    frame = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, N_TOKENS int, tokens string")
+    network = Network()
+    out = score(frame, network, NAMES)
+    assert out.columns == ["doc_id", "text", "tokens", "n_tokens", "log_likelihood", "per_token"]
+    out = out.collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted((i or 0, t or "") for i, t in rows)
+    for r in out:
+        tokens = NAMES.tokens(r.text or "")
+        assert r.n_tokens == len(tokens) and (r.per_token is None) == (not len(tokens)) and r.tokens == "x"
+        if len(tokens) < 100:
+            rare = sum(math.log(scoring.RARE / 0x110000) for t in tokens if t <= scoring.RARE)
+            assert r.log_likelihood == pytest.approx(rare + sum(plain(network, *w) for w in around(tokens)), rel=1e-4)
+    with pytest.raises(ValueError, match="text column"):
+        score(frame.withColumnRenamed("text", "per_token"), network, NAMES, text="per_token")
+
+
+def test_every_document_is_in_one_round(spark):
+    frame = spark.range(100).selectExpr("id", "concat('word ', id) AS text").repartition(3)
+    parts = [r.part for r in tokenized(frame, NAMES).collect()]
+    assert len(parts) == 100 and set(parts) == set(range(sum(ROUNDS)))
+
+
+def test_held_out_texts_are_likelier_than_by_counts_of_tokens(spark, table):
+    docs = table("documents").select("doc_id", "text")
+    known, other = docs.where("doc_id % 3 <> 0"), docs.where("doc_id % 3 = 0")
+    vocabulary = learn(known)
+    rows = saved(tokenized(known, vocabulary).repartition(2), "tokens")
+    network = train(rows, batch=512)
+    counts = np.ones(TOKENS)
+    for r in scoring.count_tokens(rows).collect():
+        counts[r.token] += r.n
+    logs = np.log(counts / counts.sum())
+    ours = by_count = n = 0
+    for r in score(other, network, vocabulary).collect():
+        tokens = vocabulary.tokens(r.text or "")
+        rare = np.log(scoring.RARE / 0x110000) * (tokens <= scoring.RARE).sum()
+        ours, by_count, n = ours + r.log_likelihood - rare, by_count + logs[tokens].sum(), n + len(tokens)
+    assert ours / n > by_count / n + 0.3, (ours / n, by_count / n, n)
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert pseudo_likelihood(empty).count() == 0
+    assert [r.n_tokens for r in pseudo_likelihood(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [0]
 
 
 @pytest.mark.parametrize("script", ["абвгдежзийклмно", "αβγδεζηθικλμνξο", "漢字仮名交文書語学校生先時間"])
@@ -122,5 +148,6 @@ def test_noise_in_any_script_scores_below_sense(spark, script):
     lexicon = ["".join(rnd.choice(script) for _ in range(5)) for _ in range(12)]
     sense = [" ".join(lexicon[(i + k) % 12] for k in range(30)) for i in range(60)]
     noise = " ".join("".join(rnd.choice(script) for _ in range(5)) for _ in range(30))
-    out = {r.doc_id: r.per_token for r in pseudo_likelihood(spark.createDataFrame(list(enumerate([*sense, noise])), "doc_id long, text string")).collect()}
+    rows = spark.createDataFrame(list(enumerate([*sense, noise])), "doc_id long, text string").coalesce(1)
+    out = {r.doc_id: r.per_token for r in pseudo_likelihood(rows, batch=64).collect()}
     assert min(out[i] for i in range(60)) > out[60] + 1
