@@ -29,7 +29,7 @@ WORD = re.compile(r" ?[^\W\d_]{1,32}|[\s\S]")
 #: Sixteenths of the documents that each round of training goes through; together all of them.
 ROUNDS = (1, 1, 2, 4, 8)
 #: Places a step of training, or a call of the network, works on.
-BATCH = 1 << 13
+BATCH = 1 << 14
 RESULTS = ("n_tokens", "log_likelihood", "per_token")
 _KEYS = 300_000  # of a task's table, before it is sent on
 _CHUNK = 1 << 20
@@ -62,35 +62,51 @@ class Vocabulary:
 
     def tokens(self, text: str) -> np.ndarray:
         """The tokens of a whole text."""
-        parts = [_EDGE[:0]]
+        return np.frombuffer(self.packed(text), "<u2")
+
+    def packed(self, text: str) -> bytes:
+        """The same, two bytes a token."""
+        parts = []
         for some in words(text):
             if len(self._known) > _KEYS:
                 self._known.clear()
-            parts.append(np.fromiter(chain.from_iterable(map(self._known.__getitem__, some)), np.uint16))
-        return np.concatenate(parts)
+            parts.append(b"".join(map(self._known.__getitem__, some)))
+        return b"".join(parts)
 
 
 class _Known(dict):
-    """Tokens of the words met so far."""
+    """Tokens of the words met so far, two bytes each."""
 
     def __init__(self, ids: dict[str, int]):
         super().__init__()
-        self._ids = ids
+        self._ids = {unit: i.to_bytes(2, "little") for unit, i in ids.items()}
+        self._sizes: dict[str, list[int]] = {}  # of parts that begin with two characters, the longest first
+        for unit in ids:
+            if 1 < len(unit) <= PART and len(unit) not in self._sizes.setdefault(unit[:2], []):
+                self._sizes[unit[:2]].append(len(unit))
+        for sizes in self._sizes.values():
+            sizes.sort(reverse=True)
 
     def __reduce__(self):
-        return _Known, (self._ids,)
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids, found, at = self._ids, [], 0
-        if word in ids:
-            found, at = [ids[word]], len(word)
-        while at < len(word):
-            size = next((k for k in range(PART, 1, -1) if at + k <= len(word) and word[at : at + k] in ids), 1)
-            unit = word[at : at + size]
-            found.append(ids[unit] if unit in ids else 1 + ord(unit) % RARE)
-            at += size
-        self[word] = tuple(found)
-        return self[word]
+        return _Known, ({unit: int.from_bytes(i, "little") for unit, i in self._ids.items()},)
+
+    def __missing__(self, word: str) -> bytes:
+        ids, sizes = self._ids, self._sizes
+        found = ids.get(word)
+        if found is None:
+            parts, at, end = [], 0, len(word)
+            while at < end:
+                unit = word[at]
+                for size in sizes.get(word[at : at + 2], ()):
+                    part = word[at : at + size]
+                    if part in ids and len(part) == size:
+                        unit = part
+                        break
+                parts.append(ids[unit] if unit in ids else (1 + ord(unit) % RARE).to_bytes(2, "little"))
+                at += len(unit)
+            found = b"".join(parts)
+        self[word] = found
+        return found
 
 
 def _counted(rows: DataFrame, column: str, units) -> DataFrame:
@@ -119,9 +135,12 @@ def _words_of(seen: Counter, text: str, n: int) -> Iterator[None]:
 
 
 def _parts_of(seen: Counter, word: str, n: int) -> Iterator[None]:
-    for size in range(1, PART + 1):
-        for at in range(len(word) - size + 1):
-            seen[word[at : at + size]] += n
+    parts = [word[at : at + size] for size in range(1, min(PART, len(word)) + 1) for at in range(len(word) - size + 1)]
+    if n == 1:
+        seen.update(parts)
+    else:
+        for part in parts:
+            seen[part] += n
     yield
 
 
@@ -314,7 +333,7 @@ def tokenized(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, n = receive(shared), 0
         for batch in batches:
-            found = pa.array([vocabulary.tokens(t.as_py() or "").tobytes() for t in batch.column(text)], pa.binary())
+            found = pa.array([vocabulary.packed(t.as_py() or "") for t in batch.column(text)], pa.binary())
             # Odd steps reach every part; a task begins where no other part of the corpus is favoured.
             dealt = pa.array((np.arange(n, n + batch.num_rows) * 5 % parts).astype(np.int32))
             n += batch.num_rows
