@@ -49,6 +49,12 @@ def receive(sent: Broadcast) -> object:
     return cloudpickle.loads(sent.value)
 
 
+def refuse(column: str, results: Iterable[str]) -> None:
+    """Raises where a column to be read has the name of a result, whatever its case."""
+    if column.lower() in results:
+        raise ValueError(f"a column to be read has the name of a result: {column}")
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends there.
 

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import name_in, without
+from .common import name_in, refuse, without
 
 DIMENSIONS = 512
 #: Languages a model may have; what bounds the prototypes that are collected and broadcast.
@@ -212,11 +212,12 @@ def predict(
 
     ``und`` and 0 where text is null or has no letter, or where there are no
     prototypes. Of equal cosines the first language by name wins. Narrow: the
-    prototypes are broadcast. Input columns named like results are replaced.
+    prototypes are broadcast. Input columns named like results are replaced; a text column named like one is refused.
 
     With ``least`` (from ``calibrate``) a text that scores below the least cosine of its length is ``und``
     and keeps its score. A text shorter than all that was measured cannot be told from noise and keeps its language.
     """
+    refuse(text, ("lang_pred", "score"))
     rows = without(docs, ["lang_pred", "score"])
     bounds = sorted((least or {}).items())
     names = list(prototypes)

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import name_in, receive, saved, send, without
+from .common import name_in, receive, refuse, saved, send, without
 
 #: Tokens on either side that the network sees.
 SIDE = 2
@@ -434,8 +434,7 @@ def _scored(rows: DataFrame, network: Network, tokens: str, part: str) -> DataFr
 
 def _names(docs: DataFrame, text: str) -> tuple[DataFrame, str, str]:
     """``docs`` without columns named like results, and two names that it has not."""
-    if text.lower() in RESULTS:
-        raise ValueError(f"the text column has the name of a result: {text}")
+    refuse(text, RESULTS)
     taken = {c.lower() for c in docs.columns}
     free = lambda name: name if name not in taken else free(name + "_")
     return without(docs, RESULTS), free("tokens"), free("part")

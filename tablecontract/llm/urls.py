@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import name_in, saved, without
+from .common import name_in, refuse, saved, without
 
 #: Letters of a URL, one class each; 0 is its beginning or end, and the last class is any other character.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-"
 CLASSES = len(ALPHABET) + 2
+RESULTS = ("host", "path", "rule", "score", "verdict")
 
 
 def host_of(url: Column) -> Column:
@@ -104,9 +105,10 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], *, url: str = "url") ->
 
     Without URLs of both kinds there is no ratio: every URL without a rule is allowed. A null
     URL has empty host and path, null score and, having no character to speak against it, is allowed.
-    Input columns named like results are replaced.
+    Input columns named like results are replaced; a URL column named like one is refused. No pages give none.
     """
-    pages = without(pages, ["host", "path", "rule", "score", "verdict"])
+    refuse(url, RESULTS)
+    pages = without(pages, RESULTS)
     key = name_in(pages, url)
     judged = pages.select("*", host_of(key).alias("host"), path_of(key).alias("path")).withColumn(
         "rule", rule_of(F.col("host"), F.col("path"), rules))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import name_in
+from .common import name_in, refuse
 from .pages import parse
 
 #: Names of what a derived record has, in order.
@@ -51,8 +51,10 @@ def derive(records: DataFrame, *, key: str = "key") -> DataFrame:
 
     Null or empty payloads have empty text; bytes that are no UTF-8 are replaced in the text and left
     alone in the digest; a null URL has no WARC-Target-URI, a null id no WARC-Refers-To; line ends in a URL are escaped;
-    repeated rows give repeated records; other columns are not carried.
+    repeated rows give repeated records; other columns are not carried;
+    a key named like a field of the result is refused; no responses give no records.
     """
+    refuse(key, [f.name for f in RECORD])
     names = ("record_id", "target_uri", "warc_date", "http_headers")
     rows = records.select(name_in(records, key).alias("__key"), *[F.col(n).cast("string") for n in names], F.col("payload").cast("binary"))
     fields = [f.name for f in RECORD]
