@@ -7,13 +7,17 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext, cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import name_in, receive, send, without, words
+from .common import name_in, receive, saved, send, without, words
 
-#: Words of test items in one automaton. More items make more automata, and each adds a pass over the documents.
+#: Words of test items in one automaton, at most. More items make more automata, and each adds a pass over the documents.
 BLOCK_WORDS = 1_000_000
+_RUN_SCHEMA = pa.schema([("part", pa.int32()), ("before", pa.int64()), ("n_words", pa.int64()), ("name", pa.string()), ("need", pa.int32()), ("words", pa.binary())])
+_RUNS = "part int, before long, n_words long, name string, need int, words binary"
 
 RESULTS = ("n_words", "n_hit", "hit_items", "hit_spans", "clean_text")
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -25,22 +29,23 @@ class SuffixAutomaton:
     An item is due once its own limit of consecutive words has matched: ``length``
     words, or fewer where ``coverage`` of the item is fewer. Each state keeps what
     falls due in its class of substrings and a link to the next state upwards that
-    keeps anything, so the automaton stays linear in the words of the items.
+    keeps anything, so the automaton stays linear in the words of the items. ``needs``
+    gives the limit of each item where it is a part of a longer one.
     """
 
-    def __init__(self, items: list[tuple[str | None, list[bytes]]], length: int, coverage: float):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], length: int, coverage: float, needs: list[int] | None = None):
         self.vocabulary: dict[bytes, int] = {}
         self._next: list[dict[int, int]] = [{}]
         self._link, self._length = [-1], [0]
-        coded = [(name, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]) for name, ws in items if ws]
-        for _, ids in coded:
+        needs = needs or [_need(len(ws), length, coverage) for _, ws in items]
+        coded = [(name, need, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]) for (name, ws), need in zip(items, needs, strict=True) if ws]
+        for _, _, ids in coded:
             last = 0
             for w in ids:
                 last = self._extend(last, w)
         due: list[list[tuple[int, str | None]]] = [[] for _ in self._next]
         self.shortest = 0
-        for name, ids in coded:
-            need = min(length, max(1, math.ceil(coverage * len(ids))))
+        for name, need, ids in coded:
             self.shortest = min(self.shortest or need, need)
             state, matched, seen = 0, 0, set()
             for w in ids:
@@ -124,6 +129,11 @@ class SuffixAutomaton:
                 _add(spans, i + 1 - most, i + 1)
 
 
+def _need(n: int, length: int, coverage: float) -> int:
+    """Consecutive words of an item of ``n`` that make a span."""
+    return min(length, max(1, math.ceil(coverage * n)))
+
+
 def _add(spans: list[tuple[int, int]], start: int, stop: int) -> None:
     """Append a range whose stop is past all others, merged with those it meets."""
     while spans and spans[-1][1] >= start:
@@ -143,9 +153,13 @@ def decontaminate(
     ``hit_spans`` (word ranges) and ``clean_text`` (the text with the spans cut out,
     the text itself if there are none).
 
-    Nothing is shuffled. The items are the query set: they are read in blocks of at
-    most ``block_words`` words (an item is never cut), one automaton and one narrow
-    pass over the documents for each block, so what is broadcast stays bounded.
+    Documents are not shuffled. The items are the query set: tasks cut them into runs
+    (a long item into several, which overlap by ``length - 1`` words) and deal those
+    into blocks of at most ``block_words`` words (or four times ``length``, if that is
+    more); one task builds the automaton of one block. The driver passes on one
+    automaton at a time, and a pass over the documents is written before the next one
+    begins. So neither the driver nor a task ever holds more than one block, however
+    many items there are.
 
     Null text has no words and null ``clean_text``; an item with null or wordless text
     never matches; an item with null id is cut out but not named; equal ids count
@@ -158,26 +172,62 @@ def decontaminate(
         "*", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<string>").alias("hit_items"),
         F.array().cast("array<struct<start:int,stop:int>>").alias("hit_spans"))
-    chosen = items.select(name_in(items, item_id).cast("string"), name_in(items, item_text).cast("string"))
-    scan, cut = None, _cutter(text)
-    for block in _blocks(chosen.toLocalIterator(), block_words):
-        if scan:
-            rows = rows.mapInArrow(scan, rows.schema)
-        scan = _scanner(send(spark, SuffixAutomaton(block, length, coverage)), text)
+    chosen = items.select(name_in(items, item_id).cast("string").alias("name"), name_in(items, item_text).cast("string").alias("text"))
+    automata, blocks = _automata(chosen, length, coverage, block_words)
+    cut = _cutter(text)
+    for k in range(blocks - 1):
+        shared = _fetched(automata, k)
+        rows = saved(rows.mapInArrow(_scanner(shared, text), rows.schema), "decontaminated")
+        shared.destroy()
+    scan = _scanner(_fetched(automata, blocks - 1) if blocks else send(spark, SuffixAutomaton([], length, coverage)), text)
     # The last pass cuts as well, so a task with one block of items has one worker.
     return rows.mapInArrow(lambda batches: cut(scan(batches)), T.StructType([*rows.schema.fields, T.StructField("clean_text", T.StringType())]))
 
 
-def _blocks(rows: Iterator, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    block, size = [], 0
-    for name, text in rows:
-        ws = words(text.encode() if text else None)
-        if block and size + len(ws) > most:
-            yield block
-            block, size = [], 0
-        block.append((name, ws))
-        size += len(ws)
-    yield block
+def _automata(items: DataFrame, length: int, coverage: float, most: int) -> tuple[DataFrame, int]:
+    """``block, automaton``, each built in a task, and the number of blocks.
+
+    A run has at most half a block's words and goes to the block in which it begins, counted
+    over the runs in order, so no block has more than its words and none is empty.
+    """
+    half = max(most // 2, 2 * length)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            found = []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                ws = words(text.as_py())
+                need = _need(len(ws), length, coverage)
+                for start in range(0, max(1, len(ws) - length + 1) if len(ws) > half else min(1, len(ws)), half - length + 1):
+                    run = ws[start : start + half]
+                    found.append({"part": part, "before": before, "n_words": len(run), "name": name, "need": need, "words": b" ".join(run)})
+                    before += len(run)
+            yield pa.RecordBatch.from_pylist(found, schema=_RUN_SCHEMA)
+
+    runs = saved(items.mapInArrow(cut, _RUNS), "items")
+    offsets, total = [], 0
+    for part, n in runs.groupBy("part").agg(F.sum("n_words")).orderBy("part").collect():  # one row a task
+        offsets.append((part, total))
+        total += n
+    if not offsets:
+        return runs, 0
+    dealt = runs.join(F.broadcast(items.sparkSession.createDataFrame(offsets, "part int, first long")), "part").select(
+        F.floor((F.col("first") + F.col("before")) / half).cast("int").alias("block"), "name", "need", "words")
+
+    def build(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+        named = [(None if pd.isna(name) else name, bytes(ws).split()) for name, ws in zip(some["name"], some["words"], strict=True)]
+        automaton = SuffixAutomaton(named, length, coverage, some["need"].tolist())
+        return pd.DataFrame({"block": [key[0]], "automaton": [cloudpickle.dumps(automaton)]})
+
+    built = saved(dealt.groupBy("block").applyInPandas(build, "block int, automaton binary"), "automata")
+    return built, built.agg(F.max("block")).first()[0] + 1
+
+
+def _fetched(automata: DataFrame, block: int) -> Broadcast:
+    """One automaton, sent to the executors as ``receive`` reads it."""
+    found = automata.where(F.col("block") == block).select("automaton").first()
+    return automata.sparkSession.sparkContext.broadcast(bytes(found["automaton"]))
 
 
 def _scanner(shared, text: str):

@@ -3,7 +3,9 @@
 import random
 import re
 
-from tablecontract.llm.decontaminate import SuffixAutomaton, decontaminate
+from pyspark import cloudpickle
+
+from tablecontract.llm.decontaminate import SuffixAutomaton, _automata, decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -69,3 +71,22 @@ def test_no_items_and_no_documents(spark):
 def test_a_share_of_an_item_can_be_enough():
     automaton = SuffixAutomaton([("i", [b"a", b"b", b"c", b"d"])], 10, 0.5)
     assert automaton.scan([b"x", b"b", b"c", b"y", b"d"]) == ([(1, 3)], {"i"})
+
+
+def test_items_longer_than_a_block_are_cut_with_overlap(spark):
+    r = random.Random(5)
+    item = [str(r.randrange(40)) for _ in range(400)]
+    docs = [" ".join(item[a : a + n]) for a in range(0, 390, 7) for n in (4, 5, 9)] + random_texts(6, 40, 60, [str(i) for i in range(40)])
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = [(1, " ".join(item)), (2, "7 7"), (3, "")] + [(10 + i, x) for i, x in enumerate(random_texts(7, 300, 12, [str(i) for i in range(40)]))]
+    out = decontaminate(frame, spark.createDataFrame(bench, "item_id long, text string").repartition(3), length=5, block_words=600).collect()
+    assert len(out) == len(docs)
+    for r in out:
+        assert (r.n_words, r.n_hit, r.hit_items) == brute(docs[r.doc_id], bench, 5)
+
+
+def test_blocks_keep_to_their_words(spark):
+    bench = spark.range(3000).selectExpr("id AS name", "concat_ws(' ', transform(sequence(0, id % 50), i -> hash(id, i)))  AS text")
+    built, blocks = _automata(bench.selectExpr("CAST(name AS string) AS name", "text").repartition(7), 10, 1.0, 4000)
+    sizes = [cloudpickle.loads(bytes(r.automaton)) for r in built.collect()]
+    assert len(sizes) == blocks >= 18 and all(len(a.vocabulary) <= 4000 for a in sizes)
