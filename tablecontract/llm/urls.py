@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import name_in, refuse, saved, without
 
-#: Letters of a URL, one class each; 0 is its beginning or end, and the last class is any other character.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-"
-CLASSES = len(ALPHABET) + 2
+#: A character is judged by up to four before it.
+ORDER = 5
+#: Stand before the first character and after the last.
+BEGIN, END = "\x02", "\x03"
+#: Grams up to which the ratios are broadcast (some 50 MB); a larger table is joined by shuffling, each ratio ``SALTS`` times, so that a frequent gram is spread.
+MOST_BROADCAST, SALTS = 500_000, 16
 RESULTS = ("host", "path", "rule", "score", "verdict")
 
 
@@ -33,67 +36,71 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
-def trigrams(url: Column) -> Column:
-    """The code of each character with the two before it, after the scheme, and of the end."""
+def letters(url: Column) -> Column:
+    """The lower-cased characters after the scheme, delimiters and other scripts as they are, between four begins and an end."""
     rest = F.lower(F.regexp_replace(F.coalesce(url, F.lit("")), r"(?s)^.*?://", ""))
-    place = lambda c: F.instr(F.lit(ALPHABET), c)
-    letters = F.transform(F.regexp_extract_all(rest, F.lit("(?s)."), 0), lambda c: F.coalesce(F.nullif(place(c), F.lit(0)), F.lit(CLASSES - 1)))
-    pad = F.array(F.lit(0), F.lit(0))
-    return F.concat(pad, letters, F.array(F.lit(0)))
+    return F.concat(F.array(*[F.lit(BEGIN)] * (ORDER - 1)), F.regexp_extract_all(rest, F.lit("(?s)."), 0), F.array(F.lit(END)))
 
 
-def _grams(letters: Column) -> Column:
-    n = F.size(letters)
-    return F.transform(F.sequence(F.lit(0), n - 3), lambda i: (
-        F.get(letters, i) * CLASSES + F.get(letters, i + 1)) * CLASSES + F.get(letters, i + 2))
+def _grams(urls: DataFrame, *kept: str) -> DataFrame:
+    """``gram`` for each character of each URL and its end: itself after the four before it."""
+    # The letters are a column first: inside the expression that reads them by place they would be made anew for each place.
+    spelled = urls.select(*kept, letters(F.col("url")).alias("letters"))
+    at = lambda i: F.concat(*[F.get("letters", i + k) for k in range(ORDER)])
+    return spelled.select(*kept, F.explode(F.transform(F.sequence(F.lit(0), F.size("letters") - ORDER), at)).alias("gram"))
+
 
+def counted(urls: DataFrame, *, url: str = "url", accepted: str = "accepted") -> DataFrame:
+    """``url, yes, no``: each distinct URL once, with the number of rows that are accepted and rejected. Null ones are empty."""
+    told = lambda kind: F.count_if(name_in(urls, accepted) == kind)
+    return urls.groupBy(F.coalesce(name_in(urls, url), F.lit("")).alias("url")).agg(told(True).alias("yes"), told(False).alias("no"))
 
-def fit(labelled: DataFrame, *, url: str = "url", accepted: str = "accepted") -> DataFrame:
-    """``code, ratio``: the log-likelihood ratio of each character after each two, accepted against rejected.
 
-    Each side is a variable-order Markov model: a character after two others is as likely
-    as counted there, smoothed (Witten and Bell) by what follows the one before it, that by how
-    often it occurs at all, and that by all characters alike. So a context
-    never seen falls back on the shorter one. All counts are sums over all rows, added up before
-    they are shuffled. There are ``CLASSES ** 3`` = 68,921 codes, however many URLs.
+def fit(urls: DataFrame) -> DataFrame:
+    """``gram, ratio`` of ``counted`` URLs: the log-likelihood ratio of each character after the four before it, accepted against rejected.
+
+    Each side is a variable-order Markov model: a character after four others is as likely
+    as counted there, smoothed (Witten and Bell) by what follows the last three of them, and so on down to
+    how often it occurs at all, and that by all characters of the table alike. So a context
+    one side has never seen falls back on the shorter one. Counts are sums over all URLs, added up before
+    they are shuffled; from then on the table has a row for each distinct gram. URLs that are neither accepted nor rejected
+    bring their grams and no counts, so every gram of the URLs given has its ratio.
     """
-    grams = (
-        labelled.where(name_in(labelled, accepted).isNotNull())
-        .select(name_in(labelled, accepted).alias("y"), trigrams(name_in(labelled, url)).alias("letters"))
-        .select("y", F.explode(_grams(F.col("letters"))).alias("code"))
-    )
-    counts = grams.groupBy("y", "code").agg(F.count(F.lit(1)).alias("n"))
-    counts = saved(counts.select("y", *_split("code"), "n"), "trigrams")
-    two = counts.groupBy("y", "b", "c").agg(F.sum("n").alias("n"))
-    one = counts.groupBy("y", "c").agg(F.sum("n").alias("n"))
-    after = lambda df, *k: df.groupBy("y", *k).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    spark = labelled.sparkSession
-    grid = spark.range(CLASSES**3).select(F.col("id").cast("int").alias("code"), *_split("id"), F.explode(F.array(F.lit(True), F.lit(False))).alias("y"))
-    p = F.lit(1.0 / CLASSES)
-    steps = ((one, ("c",), after(one), ()), (two, ("b", "c"), after(two, "b"), ("b",)), (counts, ("a", "b", "c"), after(counts, "a", "b"), ("a", "b")))
-    for k, (seen, keys, context, of) in enumerate(steps):
-        grid = grid.join(seen.withColumnRenamed("n", f"n{k}"), ["y", *keys], "left")
-        grid = grid.join(context.withColumnsRenamed({"total": f"total{k}", "kinds": f"kinds{k}"}), ["y", *of], "left")
-        n, total, kinds = F.coalesce(f"n{k}", F.lit(0)), F.coalesce(f"total{k}", F.lit(0)), F.coalesce(f"kinds{k}", F.lit(0))
-        p = F.when(total > 0, (n + kinds * p) / (total + kinds)).otherwise(p)
-    sides = grid.select("code", F.when(F.col("y"), F.log(p)).otherwise(-F.log(p)).alias("part"))
-    return saved(sides.groupBy("code").agg(F.sum("part").alias("ratio")), "ratios")
-
-
-def _split(code: str) -> list[Column]:
-    c = F.col(code).cast("int")
-    return [F.floor(c / CLASSES**2).cast("int").alias("a"), (F.floor(c / CLASSES) % CLASSES).cast("int").alias("b"), (c % CLASSES).alias("c")]
-
-
-def score(urls: DataFrame, ratios: DataFrame) -> DataFrame:
-    """``url, score`` of each distinct URL: its log-likelihood ratio for each character.
-
-    A URL is scored once, however many rows have it. ``ratios`` is broadcast: it has 68,921 rows at most.
+    spelled = _grams(urls, "yes", "no").groupBy("gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    spelled = saved(spelled, "grams")
+    chances = None
+    for k in range(1, ORDER + 1):
+        level = spelled.groupBy(F.right("gram", F.lit(k)).alias("gram")).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+        # Those that follow one context: as many as there are characters, at most.
+        context = Window.partitionBy(F.left("gram", F.lit(k - 1)))
+        level = level.select("gram", *[c.alias(f"{name}_{side}") for side in ("yes", "no") for name, c in (
+            ("n", F.col(side)), ("total", F.sum(side).over(context)), ("kinds", F.count_if(F.col(side) > 0).over(context)))],
+            F.count(F.lit(1)).over(context).alias("alphabet"))
+        if chances is None:
+            level = level.withColumns({"p_yes": 1 / F.col("alphabet"), "p_no": 1 / F.col("alphabet")})
+        else:
+            level = level.withColumn("shorter", F.right("gram", F.lit(k - 1))).join(chances.withColumnRenamed("gram", "shorter"), "shorter")
+        chances = level.select("gram", *[_smoothed(side).alias(f"p_{side}") for side in ("yes", "no")])
+    return saved(chances.select("gram", (F.log("p_yes") - F.log("p_no")).alias("ratio")), "ratios")
+
+
+def _smoothed(side: str) -> Column:
+    n, total, kinds, p = (F.col(f"{name}_{side}") for name in ("n", "total", "kinds", "p"))
+    return F.when(total > 0, (n + kinds * p) / (total + kinds)).otherwise(p)
+
+
+def score(urls: DataFrame, ratios: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """``url, score`` of each of the URLs that ``ratios`` was made from: its log-likelihood ratio for each character and the end.
+
+    Ratios are broadcast where they are at most ``most_broadcast``.
     """
-    distinct = urls.select("url").where("url is not null").distinct()
-    # The letters are a column first: inside the expression that reads them by place they would be made anew for each place.
-    codes = distinct.select("url", trigrams(F.col("url")).alias("letters")).select("url", F.explode(_grams(F.col("letters"))).alias("code"))
-    return codes.join(F.broadcast(ratios), "code").groupBy("url").agg(F.avg("ratio").alias("score"))
+    spelled = _grams(urls, "url")
+    if ratios.count() <= most_broadcast:
+        found = spelled.join(F.broadcast(ratios), "gram")
+    else:
+        salted = ratios.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = spelled.withColumn("salt", F.pmod(F.hash("url"), F.lit(SALTS))).join(salted, ["gram", "salt"])
+    return found.groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
 def filter_urls(pages: DataFrame, rules: dict[str, str], *, url: str = "url") -> DataFrame:
@@ -114,8 +121,8 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], *, url: str = "url") ->
         "rule", rule_of(F.col("host"), F.col("path"), rules))
     by_rule = F.coalesce(*[F.when(F.col("rule") == r, F.lit(v)) for r, v in rules.items()])
     kinds = judged.select(key.alias("url"), (by_rule == "allow").alias("accepted"))
-    ratios = fit(kinds)
-    scores = saved(score(kinds, ratios), "scores")
+    distinct = saved(counted(kinds.where("url is not null")), "urls")
+    scores = saved(score(distinct, fit(distinct)), "scores")
     sides = kinds.where("accepted is not null").join(scores, "url").groupBy("accepted").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("sd"))
     found = {r["accepted"]: r for r in sides.collect()}  # two rows at most
     limit = float("-inf")

@@ -37,37 +37,49 @@ def test_host_path_rule(spark):
         assert (r.h, r.p) == parts(ODD[r.i]) and r.rule == rule(*parts(ODD[r.i]))
 
 
-def codes(url):
+def grams(url):
     rest = url.split("://", 1)[1] if "://" in url else url
-    return [0, 0, *[urls.ALPHABET.index(c) + 1 if c in urls.ALPHABET else urls.CLASSES - 1 for c in rest.lower()], 0]
+    spelled = urls.BEGIN * 4 + rest.lower() + urls.END
+    return [spelled[i : i + 5] for i in range(len(spelled) - 4)]
 
 
-def chance(grams, a, b, c):
+def chance(seen, gram, alphabet):
     """Witten and Bell, from the shortest context to the longest."""
-    p = 1 / urls.CLASSES
-    for seen in ([z for _, _, z in grams], [z for _, y, z in grams if y == b], [z for x, y, z in grams if (x, y) == (a, b)]):
-        n = Counter(seen)
-        if seen:
-            p = (n[c] + len(n) * p) / (len(seen) + len(n))
+    p = 1 / alphabet
+    for k in range(1, 6):
+        after = [g[-1] for g in seen if g[5 - k : 4] == gram[5 - k : 4]]
+        n = Counter(after)
+        if after:
+            p = (n[gram[-1]] + len(n) * p) / (len(after) + len(n))
     return p
 
 
 def test_the_ratio_of_two_models(spark):
-    good, bad = ["http://a.org/en/1", "http://good.org/x", "http://a.org/en/1"], ["http://spam.com/buy", "http://spam.net/buy?x"]
-    rows = [(u, True) for u in good] + [(u, False) for u in bad] + [("http://other", None), (None, True)]
-    labelled = spark.createDataFrame(rows, "url string, accepted boolean")
-    ratio = {r.code: r.ratio for r in urls.fit(labelled).collect()}
-    grams = {y: [g for u, k in rows if u is not None and k == y for g in zip(codes(u), codes(u)[1:], codes(u)[2:], strict=False)] for y in (True, False)}
-    grams[True].append((0, 0, 0))  # the null one
-    assert len(ratio) == urls.CLASSES**3
-    for a, b, c in [(0, 0, 1), (0, 1, 37), (19, 16, 1), (3, 15, 13), (40, 40, 40), (38, 5, 14), (0, 0, 0)]:
-        want = math.log(chance(grams[True], a, b, c)) - math.log(chance(grams[False], a, b, c))
-        assert ratio[(a * urls.CLASSES + b) * urls.CLASSES + c] == pytest.approx(want)
-    scores = {r.url: r.score for r in urls.score(labelled, urls.fit(labelled)).collect()}
-    for url in good + bad:
-        k = codes(url)
-        each = [ratio[(a * urls.CLASSES + b) * urls.CLASSES + c] for a, b, c in zip(k, k[1:], k[2:], strict=False)]
-        assert scores[url] == pytest.approx(sum(each) / len(each))
+    good, bad = ["http://a.org/en/1", "http://good.org/x?q=1&r=%C3", "http://a.org/en/1"], ["http://spam.com/buy", "http://spam.net/buy?x", "http://шум.com/ü_ß#1"]
+    rows = [(u, True) for u in good] + [(u, False) for u in bad] + [("http://other/?q=_", None), (None, True)]
+    table = urls.counted(spark.createDataFrame(rows, "url string, accepted boolean")).cache()
+    assert {r.url: (r.yes, r.no) for r in table.collect()} == {u or "": (sum(x == (u, True) for x in rows), sum(x == (u, False) for x in rows)) for u, _ in rows}
+    ratio = {r.gram: r.ratio for r in urls.fit(table).collect()}
+    seen = {y: [g for u, k in rows if k == y for g in grams(u or "")] for y in (True, False)}
+    every = {g for u, _ in rows for g in grams(u or "")}
+    alphabet = len({g[-1] for g in every})
+    assert ratio.keys() == every
+    for g in every:
+        want = math.log(chance(seen[True], g, alphabet)) - math.log(chance(seen[False], g, alphabet))
+        assert ratio[g] == pytest.approx(want)
+    for most in (10**6, 0):
+        scores = {r.url: r.score for r in urls.score(table, urls.fit(table), most).collect()}
+        for url, _ in rows:
+            each = [ratio[g] for g in grams(url or "")]
+            assert scores[url or ""] == pytest.approx(sum(each) / len(each))
+
+
+def test_what_stands_in_queries_and_other_scripts_counts(spark):
+    rows = [(i, f"http://a{i % 7}.org/fr/x?{'id' if i % 2 else 'sid'}={i % 5}" if i % 2 else f"http://a{i % 7}.com/de/x?sid={i % 5}") for i in range(60)]
+    rows += [(100, "http://b.net/z/x?id=3"), (101, "http://b.net/z/x?sid=3")]
+    out = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), {"org/": "allow", "com/": "block"})
+    score = {r.page_id: r.score for r in out.where("page_id >= 100").collect()}
+    assert score[100] > score[101]
 
 
 def test_pages(spark):
