@@ -53,25 +53,24 @@ _OF_ARTICLE = frozenset("article entry post story content".split())
 
 @dataclass
 class Page:
-    """The text lines of a page, in order: each block's text, and whether it stands in an article, aside, or neither."""
+    """The text lines of a page, in order: each block's text, whether it stands in an article, aside, or neither, and the innermost article's number (0: none)."""
 
     lines: list[str] = field(default_factory=list)
     zones: list[str] = field(default_factory=list)
-
-    @property
-    def has_main(self) -> bool:
-        return "main" in self.zones
+    stories: list[int] = field(default_factory=list)
 
 
 def parse(source: str) -> Page:
     """Blocks of text with character references decoded and runs of white space as one space; empty blocks are left out."""
-    page, text, stack, side, main, at = Page(), [], [], 0, 0, 0
+    page, text, stack, side, at = Page(), [], [], 0, 0
+    inside, stories = [0], 0  # the articles around a place, by number, and how many have begun
     flat = None  # a flat element that is no part of an article, and the number of containers around it
 
     def flush() -> None:
         if line := " ".join(references.unescape("".join(text)).split()):
             page.lines.append(line)
-            page.zones.append("side" if side or flat else "main" if main else "body")
+            page.zones.append("side" if side or flat else "main" if inside[-1] else "body")
+            page.stories.append(inside[-1])
         text.clear()
 
     for m in _TOKEN.finditer(source):
@@ -96,11 +95,15 @@ def parse(source: str) -> Page:
                 flat = None
             kind = _kind(name, m["attributes"])
             stack.append((name, kind))
-            side, main = side + (kind == "side"), main + (kind == "main")
+            side += kind == "side"
+            if kind == "main":
+                inside.append(stories := stories + 1)
         elif any(n == name for n, _ in stack):
             while True:
                 n, kind = stack.pop()
-                side, main = side - (kind == "side"), main - (kind == "main")
+                side -= kind == "side"
+                if kind == "main":
+                    inside.pop()
                 if n == name:
                     break
             if flat and flat[1] > len(stack):
@@ -160,17 +163,33 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return shared
 
 
-def main_text(page: Page, near: Page | None) -> str:
-    """What is left of a page: lines that the near page shares are deleted, then what the markup says is checked.
+def _difference(page: Page, near: Page) -> set[int] | None:
+    """Places of lines that only ``page`` has and that no menu, notice or the like holds; None if the other page is a copy in this sense, which tells nothing."""
+    own = set(_text_of(page)) - common_lines(page.lines, near.lines)
+    return own if own or [page.lines[i] for i in _text_of(page)] != [near.lines[i] for i in _text_of(near)] else None
+
+
+def _text_of(page: Page) -> list[int]:
+    return [i for i, zone in enumerate(page.zones) if zone != "side"]
+
+
+def main_text(page: Page, near: Page | None, other: Page | None = None) -> str:
+    """What is left of a page when the lines that the near page shares are deleted, checked against its markup.
+
+    A near page that is a copy but for menus, notices and the like tells nothing apart: the other page takes its
+    place, and if that is one too, or missing, all lines count as the page's own.
 
-    A page with an article keeps exactly the article's lines: differencing alone would delete those
-    that a copy repeats and keep notices that only this page has. Without one, shared lines and
-    lines in menus, notices and the like go.
+    Without an article, the page's own lines are the text. With articles, the text is those that have lines of their own,
+    and the check makes them whole: a line the near page happens to have as well (a heading, a passage repeated) is put
+    back. An article that has none stands on the near page too (a teaser, a notice in an article's tags) and goes, unless
+    no article has any. Own lines outside of articles, and all lines in menus, notices and the like, go.
     """
-    shared = common_lines(page.lines, near.lines) if near else set()
-    if page.has_main:
-        return " ".join(x for x, z in zip(page.lines, page.zones, strict=True) if z == "main")
-    return " ".join(x for i, (x, z) in enumerate(zip(page.lines, page.zones, strict=True)) if z != "side" and i not in shared)
+    own = next((d for x in (near, other) if x and (d := _difference(page, x)) is not None), None)
+    own = set(_text_of(page)) if own is None else own
+    if "main" in page.zones:
+        kept = {page.stories[i] for i in own} - {0} or set(page.stories) - {0}
+        own = {i for i in _text_of(page) if page.stories[i] in kept}
+    return " ".join(page.lines[i] for i in sorted(own))
 
 
 def extract(
@@ -181,7 +200,8 @@ def extract(
     Pages are put in the order of host and path over the whole cluster, and each is
     compared with its neighbour on the same host whose path begins like its own for longest, the
     one before it if both do. Copies of a page that follow each other count as one page, so a
-    neighbour is always another page.
+    neighbour is always another page; if it still has the same text, under other menus, the neighbour on
+    the other side is taken. See ``main_text`` for what the difference decides and what the markup checks.
 
     The order is cut into ranges of about ``range_bytes`` by a sample of the keys, each range being one
     task's. The keys, which end in a hash of the page, are written once (some 100 bytes a page); from them the
@@ -248,12 +268,11 @@ def extract(
         texts: dict[int, str] = {}
         before, after = (x if x and x.host == now.host else None for x in (before, after))
         for path, ids, urls in now.rows:
-            near, depth = None, -1
-            for other, there in ((before, before and before.last), (after, after and after.first)):
-                if other and (d := _begin(there, path)) > depth:
-                    near, depth = other, d
+            near, other = before, after
+            if not before or after and _begin(after.first, path) > _begin(before.last, path):
+                near, other = after, before
             if id_of(near) not in texts:
-                texts[id_of(near)] = main_text(now.page, near and near.page)
+                texts[id_of(near)] = main_text(now.page, near and near.page, other and other.page)
             text = texts[id_of(near)]
             yield pa.RecordBatch.from_arrays(
                 [ids, urls, pa.array([text] * len(ids), pa.string()), pa.array([len(text)] * len(ids), pa.int64())],

@@ -96,6 +96,31 @@ def test_flat_elements_and_other_stories_inside_an_article(inside, text):
     assert main_text(parse(f"<body><article>{inside}</article><p>out</p></body>"), None) == text
 
 
+ALONE, TEASER = "<article><h1>News</h1><p>alone {}</p></article>", "<article><h2>Our offer</h2><p>Buy</p></article>"
+
+
+@pytest.mark.parametrize("page, near, other, text", [
+    (ALONE.format(1) + TEASER, ALONE.format(2) + TEASER, None, "News alone 1"),
+    ("<main><h1>Blog</h1>" + ALONE.format(1) + "</main>", "<main><h1>Blog</h1>" + ALONE.format(2) + "</main>", None, "News alone 1"),
+    (ALONE.format(1) + TEASER, None, None, "News alone 1 Our offer Buy"),
+    (ALONE.format(1), "<nav>menu</nav>" + ALONE.format(1), None, "News alone 1"),
+    (ALONE.format(1) + TEASER, "<nav>menu</nav>" + ALONE.format(1) + TEASER, ALONE.format(2) + TEASER, "News alone 1"),
+    ("<p>Welcome<p>one", "<nav>menu</nav><p>Welcome<p>one", "<p>Welcome<p>two", "one"),
+    ("<p>Welcome<p>one", "<nav>menu</nav><p>Welcome<p>one", None, "Welcome one"),
+    ("<p>Welcome", "<p>Welcome<p>one", "<p>two", ""),
+    ("<p>own" + ALONE.format(1), ALONE.format(2), None, "News alone 1"),
+])
+def test_the_difference_decides_and_the_markup_checks(page, near, other, text):
+    assert main_text(parse(page), near and parse(near), other and parse(other)) == text
+
+
+def test_articles_that_the_nearest_page_shares_go(spark):
+    pages = [(i, f"http://a.org/{i}", ALONE.format(i) + TEASER) for i in range(9)] + [(9, "http://a.org/8/print", "<nav>Print</nav>" + ALONE.format(8) + TEASER)]
+    out = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    # The last page has only a copy on its host beside it.
+    assert out == {i: f"News alone {i}" for i in range(9)} | {9: "News alone 8 Our offer Buy"}
+
+
 def plain(rows):
     """Text of each row by one walk over all pages in order."""
     keyed = sorted(rows, key=lambda r: r[:4])
