@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache, lru_cache
 from itertools import chain, pairwise
 
 import numpy as np
@@ -33,17 +34,18 @@ BATCH = 1 << 14
 RESULTS = ("n_tokens", "log_likelihood", "per_token")
 _KEYS = 300_000  # of a task's table, before it is sent on
 _CHUNK = 1 << 20
+_GROUP = 1 << 18  # characters cut into tokens at once, but for longer pieces of a text
 _ADDERS = 64  # tasks that add up networks, at most; the driver gets a row of each
 _EDGE = np.zeros(SIDE, np.uint16)
 
 
-def words(text: str) -> Iterator[list[str]]:
-    """The words and other characters of a whole text, some ``_CHUNK`` characters at a time, cut before a blank if one is near."""
+def pieces(text: str) -> Iterator[str]:
+    """A whole text, some ``_CHUNK`` characters at a time, cut before a blank if one is near."""
     at = 0
     while at < len(text):
         end = text.find(" ", at + _CHUNK, at + 2 * _CHUNK) if len(text) - at > _CHUNK else len(text)
         end = at + 2 * _CHUNK if end < 0 else end
-        yield WORD.findall(text, at, end)
+        yield text[at:end]
         at = end
 
 
@@ -58,90 +60,273 @@ class Vocabulary:
         self.ids = {unit: i for i, unit in enumerate(dict.fromkeys(units), 1 + RARE)}
         if len(self.ids) >= TOKENS - RARE:
             raise ValueError(f"more than {TOKENS - RARE - 1} tokens")
-        self._known = _Known(self.ids)
+        self._cutter = _Cutter(self.ids)
 
     def tokens(self, text: str) -> np.ndarray:
         """The tokens of a whole text."""
-        return np.frombuffer(self.packed(text), "<u2")
-
-    def packed(self, text: str) -> bytes:
-        """The same, two bytes a token."""
-        parts = []
-        for some in words(text):
-            if len(self._known) > _KEYS:
-                self._known.clear()
-            parts.append(b"".join(map(self._known.__getitem__, some)))
-        return b"".join(parts)
-
-
-class _Known(dict):
-    """Tokens of the words met so far, two bytes each."""
+        return np.frombuffer(self.packed([text])[0], "<u2")
+
+    def packed(self, texts: Iterable[str]) -> list[bytes]:
+        """The same of many texts, two bytes a token."""
+        found: list[list[bytes]] = []
+        group: list[tuple[list[bytes], str]] = []
+        size = 0
+        for text in texts:
+            found.append([])
+            for piece in pieces(text):
+                group.append((found[-1], piece))
+                size += len(piece)
+                if size >= _GROUP:
+                    self._cut(group)
+                    group, size = [], 0
+        self._cut(group)
+        return [b"".join(x) for x in found]
+
+    def _cut(self, group: list[tuple[list[bytes], str]]) -> None:
+        for (to, _), tokens in zip(group, self._cutter.cut([piece for _, piece in group]) if group else (), strict=True):
+            to.append(tokens)
+
+
+class _Places:
+    """Finds 64-bit keys in sorted ones, beginning where those with the same 16 bits do; keys should be spread evenly."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, ~np.uint64(0))
+        self._first = np.searchsorted(keys, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of the first key that is not smaller, of each."""
+        place = self._first[(keys >> np.uint64(48)).astype(np.int32)]
+        left = np.flatnonzero(self.keys[place] < keys)
+        while len(left):
+            place[left] += 1
+            left = left[self.keys[place[left]] < keys[left]]
+        return place
+
+
+class _Cutter:
+    """Cuts many texts into tokens at once: words as ``WORD`` finds them, and those that are no token into the longest parts, one behind the other."""
 
     def __init__(self, ids: dict[str, int]):
-        super().__init__()
-        self._ids = {unit: i.to_bytes(2, "little") for unit, i in ids.items()}
-        self._sizes: dict[str, list[int]] = {}  # of parts that begin with two characters, the longest first
-        for unit in ids:
-            if 1 < len(unit) <= PART and len(unit) not in self._sizes.setdefault(unit[:2], []):
-                self._sizes[unit[:2]].append(len(unit))
-        for sizes in self._sizes.values():
-            sizes.sort(reverse=True)
+        self._ids = ids
+        self._single = (1 + np.arange(0x110000) % RARE).astype(np.uint16)  # the token of each character alone
+        alone = [u for u in ids if len(u) == 1]
+        self._single[_codes("".join(alone))] = [ids[u] for u in alone]
+        parts = [u for u in ids if 1 < len(u) <= PART]
+        self._letter = np.zeros(0x110000, np.uint16)  # numbers of the characters that longer parts have
+        self._letter[_codes("".join(parts))] = 1
+        self._letter[self._letter > 0] = np.arange(1, 1 + int(self._letter.sum()))
+        self._parts = []  # of each size, their numbers, and their tokens
+        for size in range(2, PART + 1):
+            some = [u for u in parts if len(u) == size]
+            numbers = _number(self._letter[_codes("".join(some))].reshape(-1, size).astype(np.uint64).T) * _ODD
+            order = np.argsort(numbers)
+            self._parts.append((_Places(numbers[order]), np.append(np.array([ids[u] for u in some], np.uint16)[order], np.uint16(0))))
+        # Words by a hash, with their characters to compare; the last row is no word.
+        longer = [u for u in ids if len(u) > 1]
+        size = np.array([*map(len, longer), 0])
+        table = np.zeros((len(size), max(1, size.max())), np.uint32)
+        for row, unit in zip(table, longer, strict=False):
+            row[: len(unit)] = _codes(unit)
+        begins = np.cumsum(size) - size
+        hashes = _hashes(_codes("".join(longer)), begins[:-1], begins[:-1] + size[:-1])
+        order = np.append(np.argsort(hashes), len(longer))
+        self._hash, self._size, self._table = _Places(hashes[order[:-1]]), size[order], table[order]
+        self._word = np.append(np.array([ids[u] for u in longer], "<u2"), np.uint16(0))[order]
 
     def __reduce__(self):
-        return _Known, ({unit: int.from_bytes(i, "little") for unit, i in self._ids.items()},)
-
-    def __missing__(self, word: str) -> bytes:
-        ids, sizes = self._ids, self._sizes
-        found = ids.get(word)
-        if found is None:
-            parts, at, end = [], 0, len(word)
-            while at < end:
-                unit = word[at]
-                for size in sizes.get(word[at : at + 2], ()):
-                    part = word[at : at + size]
-                    if part in ids and len(part) == size:
-                        unit = part
-                        break
-                parts.append(ids[unit] if unit in ids else (1 + ord(unit) % RARE).to_bytes(2, "little"))
-                at += len(unit)
-            found = b"".join(parts)
-        self[word] = found
-        return found
-
-
-def _counted(rows: DataFrame, column: str, units) -> DataFrame:
-    """``unit, n``: how often ``units(value, n)`` adds each to a counter, over all rows; tasks add up before they send on."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        return _Cutter, (self._ids,)
+
+    def cut(self, texts: list[str]) -> list[bytes]:
+        """The tokens of each text, two bytes each."""
+        codes = _codes("\0".join([*texts, ""]))  # whatever character, each text has one of no text behind it
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+        begin, end = _word_places(codes)
+        token = self._words(codes, begin, end)
+        edges = np.searchsorted(begin, ends)
+        missing = token == 0
+        missing[edges], token[edges] = False, 0
+        n, word = (token > 0).astype(np.int64), np.flatnonzero(missing)
+        at, end, steps = begin[word], end[word], []
+        letters = np.append(self._letter[codes], np.zeros(PART, np.uint16)).astype(np.uint64)
+        while len(at):  # a part of every word that is not through
+            part, size, number = self._single[codes[at]], np.ones(len(at), np.int64), letters[at]
+            for k, (places, tokens) in enumerate(self._parts, 1):
+                number = (number << np.uint64(16)) + letters[at + k]
+                spread = number * _ODD
+                place = places.find(spread)
+                hit = np.flatnonzero((places.keys[place] == spread) & (at + k < end))
+                part[hit], size[hit] = tokens[place[hit]], k + 1
+            steps.append((word, part))
+            n[word] += 1
+            at = at + size
+            going = np.flatnonzero(at < end)
+            at, end, word = at[going], end[going], word[going]
+        first = np.cumsum(n) - n
+        found = np.empty(int(n.sum()), "<u2")
+        whole = np.flatnonzero(token)
+        found[first[whole]] = token[whole]
+        for k, (word, part) in enumerate(steps):
+            found[first[word] + k] = part
+        data, bounds = found.tobytes(), (first[edges] * 2).tolist()
+        return [data[a:b] for a, b in pairwise([0, *bounds])]
+
+    def _words(self, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The token of each word, 0 where it is none."""
+        size = end - begin
+        token = np.where(size == 1, self._single[codes[begin]], np.uint16(0))
+        some = np.flatnonzero(size > 1)
+        hashes = _hashes(codes, begin[some], end[some])
+        place = self._hash.find(hashes)
+        like = np.flatnonzero((self._hash.keys[place] == hashes) & (self._size[place] == size[some]))
+        some, place = some[like], place[like]
+        left, row, k = some, place, 0
+        wrong = []
+        while len(left):
+            same = self._table[row, k] == codes[begin[left] + k]
+            wrong.append(left[~same])
+            k += 1
+            going = np.flatnonzero(same & (size[left] > k))
+            left, row = left[going], row[going]
+        token[some] = self._word[place]
+        token[np.concatenate([*wrong, some[:0]])] = 0
+        return token
+
+
+#: Multiplied with it, no two numbers of 64 bits become the same, and the upper bits depend on all.
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+@cache
+def _is_letter() -> np.ndarray:
+    """Of each character, whether ``WORD`` takes it for a letter."""
+    letter = np.zeros(0x110000, bool)
+    letter[[ord(c) for c in re.findall(r"[^\W\d_]", "".join(map(chr, range(0x110000))))]] = True
+    return letter
+
+
+def _word_places(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``WORD`` begin and end."""
+    letter = _is_letter()[codes]
+    begins = ~letter
+    begins[1:] |= begins[:-1] & (codes[:-1] != 32)
+    begins[0] = True
+    begin = np.flatnonzero(begins)
+    end = np.append(begin[1:], len(codes))
+    long = np.flatnonzero(end - begin > 32)
+    if len(long):
+        lead = 1 - letter[begin[long]].astype(np.int64)
+        for a, b in zip((begin[long] + lead + 32).tolist(), end[long].tolist(), strict=True):
+            begins[a:b:32] = True
+        begin = np.flatnonzero(begins)
+        end = np.append(begin[1:], len(codes))
+    return begin, end
+
+
+def _hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of characters, wherever it stands."""
+    up, down = _powers(1 << max(18, int(len(codes)).bit_length()))
+    sums = np.empty(len(codes) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
+    return (sums[end] - sums[begin]) * down[begin]
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number, and of its inverse, modulo 2**64."""
+    return tuple(np.append(np.uint64(1), np.cumprod(np.full(n, x, np.uint64))) for x in (int(_ODD), pow(int(_ODD), -1, 1 << 64)))
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def _number(letters: Iterable[np.ndarray]) -> np.ndarray:
+    """Letters one behind the other as a number, 16 bits each."""
+    number, *rest = letters
+    for letter in rest:
+        number = (number << np.uint64(16)) + letter
+    return number
+
+
+def _told_counts(seen: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
+
+
+def _stretches(rows: DataFrame) -> DataFrame:
+    """``stretch, n``: what stands between two blanks in all texts, and how often. The first of a text, which no blank comes before, is told by one.
+
+    Long texts come in pieces, so that a row stays small.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for value, n in zip(batch.column(column), batch.column("n").to_pylist(), strict=True):
-                for _ in units(seen, value.as_py(), n):
-                    if len(seen) > _KEYS:
-                        yield told(seen)
-                        seen.clear()
-        yield told(seen)
-
-    def told(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
+            for value in batch.column("text"):
+                for piece in pieces(value.as_py()):
+                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.string())], names=["text"])
 
-    return rows.mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    long = F.char_length("text") > _CHUNK
+    rows = rows.where(~long).unionByName(rows.where(long).mapInArrow(cut, "text string"))
+    rows = rows.select(F.posexplode(F.split("text", " ", -1)).alias("place", "stretch")).where("place > 0 OR stretch <> ''")
+    return rows.groupBy(F.expr("CASE WHEN place = 0 THEN concat(' ', stretch) ELSE stretch END").alias("stretch")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _words_of(seen: Counter, text: str, n: int) -> Iterator[None]:
-    for some in words(text):
-        seen.update(some)
-        yield
-
-
-def _parts_of(seen: Counter, word: str, n: int) -> Iterator[None]:
-    parts = [word[at : at + size] for size in range(1, min(PART, len(word)) + 1) for at in range(len(word) - size + 1)]
-    if n == 1:
-        seen.update(parts)
-    else:
-        for part in parts:
-            seen[part] += n
-    yield
+def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words in counted stretches, and how often: a word begins with a blank at most, so every stretch has its words to itself."""
+    seen: Counter = Counter()
+    for batch in batches:
+        for stretch, n in zip(batch.column("stretch"), batch.column("n").to_pylist(), strict=True):
+            stretch = stretch.as_py()
+            found = WORD.findall(stretch[1:] if stretch[:1] == " " else " " + stretch)
+            if n == 1:
+                seen.update(found)
+            else:
+                for word in found:
+                    seen[word] += n
+            if len(seen) > _KEYS:
+                yield _told_counts(seen)
+                seen.clear()
+    yield _told_counts(seen)
+
+
+def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of up to ``PART`` characters in counted words, and how often."""
+    seen: Counter = Counter()
+    for batch in batches:
+        for unit, n in _parts(batch.column("unit").to_pylist(), batch.column("n").to_numpy(zero_copy_only=False)):
+            seen.update(dict(zip(unit, n, strict=True)))
+            if len(seen) > _KEYS:
+                yield _told_counts(seen)
+                seen.clear()
+    yield _told_counts(seen)
+
+
+def _parts(words: list[str], n: np.ndarray) -> Iterator[tuple[list[str], list[int]]]:
+    text = "".join(words)
+    codes = _codes(text)
+    letters = np.unique(codes)
+    if len(letters) > 1 << 16:  # four of them are to make a number of 64 bits
+        half = len(words) // 2
+        yield from _parts(words[:half], n[:half])
+        yield from _parts(words[half:], n[half:])
+        return
+    letter = np.searchsorted(letters, codes).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    left, times = np.repeat(np.cumsum(size), size) - np.arange(len(codes)), np.repeat(n, size)
+    places, run = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+    for k in range(PART):
+        keep = left[places] > k
+        places = places[keep]
+        if not len(places):
+            return
+        run = (run[keep] << np.uint64(16)) + letter[places + k]
+        order = np.argsort(run)
+        begins = np.flatnonzero(np.diff(run[order], prepend=~run[order[:1]]))
+        yield [text[i : i + k + 1] for i in places[order[begins]].tolist()], np.add.reduceat(times[places[order]], begins).tolist()
+
+
+def _sums(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, *, text: str = "text") -> Vocabulary:
@@ -150,9 +335,9 @@ def learn(docs: DataFrame, *, text: str = "text") -> Vocabulary:
     Words are counted over all texts, parts and characters over the counted words. The driver
     gets the most frequent only (parts by the characters they save); of equal ones the first by its text.
     """
-    rows = docs.select(name_in(docs, text).cast("string").alias("text"), F.lit(1).cast("long").alias("n")).where("text <> ''")
-    found = saved(_counted(rows, "text", _words_of), "words")
-    parts = saved(_counted(found, "unit", _parts_of).withColumn("size", F.char_length("unit")), "parts")
+    rows = docs.select(name_in(docs, text).cast("string").alias("text")).where("text <> ''")
+    found = saved(_sums(_stretches(rows).mapInArrow(_words_of, "unit string, n long")), "words")
+    parts = saved(_sums(found.mapInArrow(_parts_of, "unit string, n long")).withColumn("size", F.char_length("unit")), "parts")
     best = lambda df, by, most: [r["unit"] for r in df.where(F.col("n") >= LEAST).orderBy(by.desc(), "unit").limit(most).select("unit").collect()]
     units = best(parts.where("size = 1"), F.col("n"), CHARACTERS) + best(parts.where("size > 1"), F.col("n") * (F.col("size") - 1), PARTS)
     taken = set(units)
@@ -166,7 +351,8 @@ class Network:
     """Embeddings of the ``2 * SIDE`` tokens around a place, one hidden layer, and ``LEVELS`` softmaxes down to the token there.
 
     It works on runs of tokens: texts behind each other, each with ``SIDE`` ends of text (token 0) before and after.
-    A place is a token of a run but for its first and last ``SIDE``. Everything is laid out with places last.
+    A place is a token of a run but for its first and last ``SIDE``. In a call, what belongs to a place lies together, in
+    arrays that the next call uses again: new ones of that size would cost more than what is done in them.
     """
 
     def __init__(self, width: int = 8, hidden: int = 16, seed: int = 11):
@@ -177,7 +363,7 @@ class Network:
         self.use(random.normal(0, 0.2, sum(sizes)).astype(np.float32))
         self.values["b"][:] = 0
         self._mean = self._square = None
-        self._steps = 0
+        self._steps, self._arrays = 0, {}
 
     def use(self, flat: np.ndarray) -> None:
         """Takes all its values from one array."""
@@ -188,7 +374,7 @@ class Network:
             at += size
 
     def __getstate__(self):
-        return {"_shapes": self._shapes, "flat": self.flat, "_mean": None, "_square": None, "_steps": 0}
+        return {"_shapes": self._shapes, "flat": self.flat, "_mean": None, "_square": None, "_steps": 0, "_arrays": {}}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -203,20 +389,39 @@ class Network:
             self.values[f"u{k}"][:] *= 0.1
             self.values[f"u{k}"][:, :, -1] = np.log(ways / ways.sum(axis=1, keepdims=True))
 
+    def _array(self, name: str, rows: int, width: int) -> np.ndarray:
+        """An array of the name, with whatever the last call left in it."""
+        held = self._arrays.get(name)
+        if held is None or len(held) < rows * width or held.dtype != self.flat.dtype:
+            held = self._arrays[name] = np.empty(rows * width * 5 // 4, self.flat.dtype)
+        return held[: rows * width].reshape(rows, width)
+
     def _hidden(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        e, m = np.take(self.values["e"], run, axis=1), len(run) - 2 * SIDE
-        h = np.ones((self.values["b"].shape[0] + 1, m), self.flat.dtype)
-        total = sum(w @ e[:, k : k + m] for k, w in zip(_AROUND, self.values["w"], strict=True))
-        np.tanh(total + self.values["b"], out=h[:-1])
-        return e, h
-
-    def _choices(self, target: np.ndarray) -> Iterator[tuple[str, list[tuple[int, int, int]], tuple[np.ndarray, np.ndarray]]]:
-        """Of each level, for targets in order: its name, the stretch of places at each node, and the ways that were right."""
-        at = np.arange(len(target))
+        """The embeddings around each place, its own as well, and the hidden layer, both with a one behind them."""
+        v, m = self.values, len(run) - 2 * SIDE
+        width, hidden = len(v["e"]), len(v["b"])
+        e = np.take(np.ascontiguousarray(v["e"].T), run, axis=0, out=self._array("e", len(run), width), mode="clip")
+        around, total, h = self._array("around", m, _WIDE * width + 1), self._array("total", m, hidden), self._array("h", m, hidden + 1)
+        around[:, :-1] = _windows(e, m)
+        around[:, -1] = h[:, -1] = 1
+        np.dot(around, np.concatenate([self._weights().reshape(hidden, -1), v["b"]], axis=1).T, out=total)
+        np.tanh(total, out=h[:, :-1])
+        return around, h
+
+    def _weights(self) -> np.ndarray:
+        """Of the hidden layer, for the tokens around a place in order; its own has none."""
+        w = self.values["w"]
+        whole = np.zeros((w.shape[1], _WIDE, w.shape[2]), w.dtype)
+        whole[:, _AROUND] = w.transpose(1, 0, 2)
+        return whole
+
+    def _choices(self, target: np.ndarray) -> Iterator[tuple[str, list[tuple[int, int, int]], np.ndarray]]:
+        """Of each level, for targets in order: its name, the stretch of places at each node, and the ways that were right, as places of a flat table."""
+        at = np.arange(0, len(target) * WAYS, WAYS)
         for k in range(LEVELS):
-            way = target // WAYS ** (LEVELS - 1 - k)
-            bounds = np.searchsorted(way // WAYS, np.arange(WAYS**k + 1)).tolist()
-            yield f"u{k}", [(g, a, b) for g, (a, b) in enumerate(pairwise(bounds)) if a < b], (way % WAYS, at)
+            below = WAYS ** (LEVELS - 1 - k)
+            bounds = np.searchsorted(target, np.arange(WAYS**k + 1) * (WAYS * below)).tolist()
+            yield f"u{k}", [(g, a, b) for g, (a, b) in enumerate(pairwise(bounds)) if a < b], at + target // below % WAYS
 
     def _ordered(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places with a token of a text, in the order of their tokens, and these tokens."""
@@ -229,20 +434,21 @@ class Network:
         """Of the token on each place, given those around it; 0 where a text has ended."""
         order, target = self._ordered(run)
         h = self._hidden(run)[1]
-        out, logs = np.zeros(h.shape[1]), np.zeros(len(order))
-        h = np.take(h, order, axis=1)
+        out, logs = np.zeros(len(h)), np.zeros(len(order))
+        h = np.take(h, order, axis=0, out=self._array("ordered", len(order), h.shape[1]), mode="clip")
         for name, nodes, right in self._choices(target):
             z = self._scores(name, nodes, h)
-            logs += z[right]
-            logs -= np.log(np.exp(z, out=z).sum(axis=0))
+            logs += z.reshape(-1)[right]
+            logs -= np.log(np.exp(z, out=z) @ np.ones(WAYS, z.dtype))
         out[order] = logs
         return out
 
     def _scores(self, name: str, nodes: list[tuple[int, int, int]], h: np.ndarray) -> np.ndarray:
-        z, u = np.empty((WAYS, h.shape[1]), h.dtype), self.values[name]
+        z, u = self._array("z", len(h), WAYS), np.ascontiguousarray(self.values[name].transpose(0, 2, 1))
         for g, a, b in nodes:
-            z[:, a:b] = u[g] @ h[:, a:b]
-        z -= z.max(axis=0)
+            np.dot(h[a:b], u[g], out=z[a:b])
+        if z.size and not (z.max() < _FAR and z.min() > -_FAR):  # else the sum of exponentials is in range as it is
+            z -= z.max(axis=1, keepdims=True)
         return z
 
     def gradient(self, run: np.ndarray) -> tuple[float, int, np.ndarray]:
@@ -253,32 +459,45 @@ class Network:
             sums[k] = flat[at : at + v.size].reshape(v.shape)
             at += v.size
         order, target = self._ordered(run)
-        e, whole = self._hidden(run)
-        h, loss = np.take(whole, order, axis=1), 0.0
-        dh = np.zeros_like(h)
+        around, whole = self._hidden(run)
+        n, wide = len(order), whole.shape[1]
+        h, loss = np.take(whole, order, axis=0, out=self._array("ordered", n, wide), mode="clip"), 0.0
+        dh, some = self._array("dh", n + 1, wide), self._array("some", n, wide)
+        dh[:] = 0
         for name, nodes, right in self._choices(target):
             p, u, du = self._scores(name, nodes, h), self.values[name], sums[name]
-            loss -= float(p[right].sum(dtype=np.float64))
-            total = np.exp(p, out=p).sum(axis=0)
+            ways = p.reshape(-1)
+            loss -= float(ways[right].sum(dtype=np.float64))
+            total = np.exp(p, out=p) @ np.ones(WAYS, p.dtype)
             loss += float(np.log(total).sum(dtype=np.float64))
-            p /= total
-            p[right] -= 1
+            p /= total[:, None]
+            ways[right] -= 1
             for g, a, b in nodes:
-                du[g] = p[:, a:b] @ h[:, a:b].T
-                dh[:, a:b] += u[g].T @ p[:, a:b]
+                np.dot(p[a:b].T, h[a:b], out=du[g])
+                np.dot(p[a:b], u[g], out=some[a:b])
+            dh[:n] += some
         h *= h
-        dh -= dh * h
-        back, m = np.zeros((len(whole) - 1, whole.shape[1]), h.dtype), whole.shape[1]
-        for row, d in zip(back, dh, strict=False):
-            row[order] = d
-        de = np.zeros_like(e)
-        for k, w, dw in zip(_AROUND, self.values["w"], sums["w"], strict=True):
-            dw[:] = back @ e[:, k : k + m].T
-            de[:, k : k + m] += w.T @ back
-        sums["b"][:, 0] = back.sum(axis=1)
-        for row, d in zip(sums["e"], de, strict=True):
-            row[:] = np.bincount(run, d, TOKENS)
-        return loss, len(order), flat
+        h *= dh[:n]
+        dh[:n] -= h
+        m, width = len(whole), len(sums["e"])
+        places = np.full(m, n)  # a text's end takes the row behind all others, of zeros
+        places[order] = np.arange(n)
+        padded = self._array("padded", m + 4 * SIDE, wide)
+        padded[: 2 * SIDE] = padded[m + 2 * SIDE :] = 0
+        back = np.take(dh, places, axis=0, out=padded[2 * SIDE : m + 2 * SIDE], mode="clip")
+        dw = (back.T @ around)[:-1]
+        sums["b"][:, 0] = dw[:, -1]
+        sums["w"][:] = dw[:, :-1].reshape(wide - 1, _WIDE, width).transpose(1, 0, 2)[_AROUND]
+        # A token stands beside the places of a window around it, the last of them being the first it is seen from.
+        seen = np.zeros((_WIDE, wide, width), h.dtype)
+        seen[:, :-1] = self._weights().transpose(1, 0, 2)[::-1]
+        beside, de = self._array("beside", len(run), _WIDE * wide), self._array("de", len(run), width)
+        beside[:] = _windows(padded, len(run))
+        np.dot(beside, seen.reshape(-1, width), out=de)
+        tokens = run.astype(np.intp)
+        for row, d in zip(sums["e"], de.T, strict=True):
+            row[:] = np.bincount(tokens, d, TOKENS)
+        return loss, n, flat
 
     def step(self, gradient: np.ndarray, rate: float) -> None:
         """One step of Adam."""
@@ -293,6 +512,14 @@ class Network:
 
 
 _AROUND = [k for k in range(2 * SIDE + 1) if k != SIDE]
+_WIDE = 2 * SIDE + 1
+_FAR = 80.0  # exponentials of numbers nearer to 0 stay in the range of 32 bits
+
+
+def _windows(rows: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` windows of ``_WIDE`` rows, side by side, without copies."""
+    width = rows.shape[1]
+    return np.lib.stride_tricks.sliding_window_view(rows.reshape(-1), _WIDE * width)[::width][:n]
 
 
 def runs(texts: Iterable[tuple[int, np.ndarray]], size: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -333,7 +560,7 @@ def tokenized(docs: DataFrame, vocabulary: Vocabulary, *, text: str = "text", to
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, n = receive(shared), 0
         for batch in batches:
-            found = pa.array([vocabulary.packed(t.as_py() or "") for t in batch.column(text)], pa.binary())
+            found = pa.array(vocabulary.packed(t.as_py() or "" for t in batch.column(text)), pa.binary())
             # Odd steps reach every part; a task begins where no other part of the corpus is favoured.
             dealt = pa.array((np.arange(n, n + batch.num_rows) * 5 % parts).astype(np.int32))
             n += batch.num_rows
