@@ -34,7 +34,7 @@ BATCH = 1 << 14
 RESULTS = ("n_tokens", "log_likelihood", "per_token")
 _KEYS = 300_000  # of a task's table, before it is sent on
 _CHUNK = 1 << 20
-_GROUP = 1 << 18  # characters cut into tokens at once, but for longer pieces of a text
+_GROUP, _COUNTED = 1 << 18, 1_900_000  # characters cut into tokens, or counted by words, at once, but for longer pieces of a text
 _ADDERS = 64  # tasks that add up networks, at most; the driver gets a row of each
 _EDGE = np.zeros(SIDE, np.uint16)
 
@@ -254,39 +254,52 @@ def _told_counts(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
 
 
-def _stretches(rows: DataFrame) -> DataFrame:
-    """``stretch, n``: what stands between two blanks in all texts, and how often. The first of a text, which no blank comes before, is told by one.
-
-    Long texts come in pieces, so that a row stays small.
-    """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in batch.column("text"):
-                for piece in pieces(value.as_py()):
-                    yield pa.RecordBatch.from_arrays([pa.array([piece], pa.string())], names=["text"])
-
-    long = F.char_length("text") > _CHUNK
-    rows = rows.where(~long).unionByName(rows.where(long).mapInArrow(cut, "text string"))
-    rows = rows.select(F.posexplode(F.split("text", " ", -1)).alias("place", "stretch")).where("place > 0 OR stretch <> ''")
-    return rows.groupBy(F.expr("CASE WHEN place = 0 THEN concat(' ', stretch) ELSE stretch END").alias("stretch")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words in counted stretches, and how often: a word begins with a blank at most, so every stretch has its words to itself."""
-    seen: Counter = Counter()
+    """Words of all texts, and how often in some ``_COUNTED`` characters."""
+    group, size = [], 0
     for batch in batches:
-        for stretch, n in zip(batch.column("stretch"), batch.column("n").to_pylist(), strict=True):
-            stretch = stretch.as_py()
-            found = WORD.findall(stretch[1:] if stretch[:1] == " " else " " + stretch)
-            if n == 1:
-                seen.update(found)
-            else:
-                for word in found:
-                    seen[word] += n
-            if len(seen) > _KEYS:
-                yield _told_counts(seen)
-                seen.clear()
-    yield _told_counts(seen)
+        for value in batch.column("text"):
+            for piece in pieces(value.as_py()):
+                group.append(piece)
+                size += len(piece)
+                if size >= _COUNTED:
+                    yield _told_counts(_counted(group))
+                    group, size = [], 0
+    if group:
+        yield _told_counts(_counted(group))
+
+
+def _counted(texts: list[str]) -> dict[str, int]:
+    """How often each word stands in the texts: words are put in order by their hashes, and those of one hash compared."""
+    text = "\0".join([*texts, ""])  # as the cutter has it
+    codes = _codes(text)
+    begin, end = _word_places(codes)
+    own = np.ones(len(begin), bool)
+    own[np.searchsorted(begin, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1)] = False
+    begin, end = begin[own], end[own]
+    hashes = _hashes(codes, begin, end)
+    order = np.argsort(hashes)
+    hashes, begin, end = hashes[order], begin[order], end[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    n = np.diff(np.append(first, len(hashes)))
+    found = [text[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+    if not _alike(codes, begin, end, hashes):
+        return Counter(text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True))
+    return dict(zip(found, n.tolist(), strict=True))
+
+
+def _alike(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> bool:
+    """Whether each word is the one before it, wherever they have one hash."""
+    at = np.flatnonzero(hashes[1:] == hashes[:-1])
+    a, b, size = begin[at], begin[at + 1], (end - begin)[at]
+    if not np.array_equal(size, (end - begin)[at + 1]):
+        return False
+    while len(a):
+        if not np.array_equal(codes[a], codes[b]):
+            return False
+        going = np.flatnonzero(size > 1)
+        a, b, size = a[going] + 1, b[going] + 1, size[going] - 1
+    return True
 
 
 def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +349,7 @@ def learn(docs: DataFrame, *, text: str = "text") -> Vocabulary:
     gets the most frequent only (parts by the characters they save); of equal ones the first by its text.
     """
     rows = docs.select(name_in(docs, text).cast("string").alias("text")).where("text <> ''")
-    found = saved(_sums(_stretches(rows).mapInArrow(_words_of, "unit string, n long")), "words")
+    found = saved(_sums(rows.mapInArrow(_words_of, "unit string, n long")), "words")
     parts = saved(_sums(found.mapInArrow(_parts_of, "unit string, n long")).withColumn("size", F.char_length("unit")), "parts")
     best = lambda df, by, most: [r["unit"] for r in df.where(F.col("n") >= LEAST).orderBy(by.desc(), "unit").limit(most).select("unit").collect()]
     units = best(parts.where("size = 1"), F.col("n"), CHARACTERS) + best(parts.where("size > 1"), F.col("n") * (F.col("size") - 1), PARTS)
@@ -397,16 +410,25 @@ class Network:
         return held[: rows * width].reshape(rows, width)
 
     def _hidden(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The embeddings around each place, its own as well, and the hidden layer, both with a one behind them."""
+        """The embeddings of a run, and the hidden layer with a one behind it."""
         v, m = self.values, len(run) - 2 * SIDE
         width, hidden = len(v["e"]), len(v["b"])
         e = np.take(np.ascontiguousarray(v["e"].T), run, axis=0, out=self._array("e", len(run), width), mode="clip")
-        around, total, h = self._array("around", m, _WIDE * width + 1), self._array("total", m, hidden), self._array("h", m, hidden + 1)
-        around[:, :-1] = _windows(e, m)
-        around[:, -1] = h[:, -1] = 1
-        np.dot(around, np.concatenate([self._weights().reshape(hidden, -1), v["b"]], axis=1).T, out=total)
-        np.tanh(total, out=h[:, :-1])
-        return around, h
+        h = self._array("h", m, hidden + 1)
+        h[:, -1] = 1
+        weights = np.concatenate([self._weights().reshape(hidden, -1), v["b"]], axis=1).T
+        for a, b, around in self._around(e, m):
+            np.tanh(np.dot(around, weights, out=self._array("total", b - a, hidden)), out=h[a:b, :-1])
+        return e, h
+
+    def _around(self, e: np.ndarray, m: int) -> Iterator[tuple[int, int, np.ndarray]]:
+        """The embeddings around each place, its own as well, and a one, for few places at a time: so many stay in a processor's cache."""
+        windows = _windows(e, m)
+        for a in range(0, m, _FEW):
+            b = min(a + _FEW, m)
+            around = self._array("around", b - a, windows.shape[1] + 1)
+            around[:, :-1], around[:, -1] = windows[a:b], 1
+            yield a, b, around
 
     def _weights(self) -> np.ndarray:
         """Of the hidden layer, for the tokens around a place in order; its own has none."""
@@ -459,12 +481,12 @@ class Network:
             sums[k] = flat[at : at + v.size].reshape(v.shape)
             at += v.size
         order, target = self._ordered(run)
-        around, whole = self._hidden(run)
+        e, whole = self._hidden(run)
         n, wide = len(order), whole.shape[1]
         h, loss = np.take(whole, order, axis=0, out=self._array("ordered", n, wide), mode="clip"), 0.0
         dh, some = self._array("dh", n + 1, wide), self._array("some", n, wide)
-        dh[:] = 0
-        for name, nodes, right in self._choices(target):
+        dh[n] = 0
+        for level, (name, nodes, right) in enumerate(self._choices(target)):
             p, u, du = self._scores(name, nodes, h), self.values[name], sums[name]
             ways = p.reshape(-1)
             loss -= float(ways[right].sum(dtype=np.float64))
@@ -474,8 +496,9 @@ class Network:
             ways[right] -= 1
             for g, a, b in nodes:
                 np.dot(p[a:b].T, h[a:b], out=du[g])
-                np.dot(p[a:b], u[g], out=some[a:b])
-            dh[:n] += some
+                np.dot(p[a:b], u[g], out=(some if level else dh)[a:b])
+            if level:
+                dh[:n] += some
         h *= h
         h *= dh[:n]
         dh[:n] -= h
@@ -485,15 +508,17 @@ class Network:
         padded = self._array("padded", m + 4 * SIDE, wide)
         padded[: 2 * SIDE] = padded[m + 2 * SIDE :] = 0
         back = np.take(dh, places, axis=0, out=padded[2 * SIDE : m + 2 * SIDE], mode="clip")
-        dw = (back.T @ around)[:-1]
+        dw = sum(back[a:b].T @ around for a, b, around in self._around(e, m))[:-1]
         sums["b"][:, 0] = dw[:, -1]
         sums["w"][:] = dw[:, :-1].reshape(wide - 1, _WIDE, width).transpose(1, 0, 2)[_AROUND]
         # A token stands beside the places of a window around it, the last of them being the first it is seen from.
         seen = np.zeros((_WIDE, wide, width), h.dtype)
         seen[:, :-1] = self._weights().transpose(1, 0, 2)[::-1]
-        beside, de = self._array("beside", len(run), _WIDE * wide), self._array("de", len(run), width)
-        beside[:] = _windows(padded, len(run))
-        np.dot(beside, seen.reshape(-1, width), out=de)
+        windows, de, seen = _windows(padded, len(run)), self._array("de", len(run), width), seen.reshape(-1, width)
+        for a in range(0, len(run), _FEW):
+            beside = self._array("beside", len(windows[a : a + _FEW]), _WIDE * wide)
+            beside[:] = windows[a : a + _FEW]
+            np.dot(beside, seen, out=de[a : a + _FEW])
         tokens = run.astype(np.intp)
         for row, d in zip(sums["e"], de.T, strict=True):
             row[:] = np.bincount(tokens, d, TOKENS)
@@ -513,6 +538,7 @@ class Network:
 
 _AROUND = [k for k in range(2 * SIDE + 1) if k != SIDE]
 _WIDE = 2 * SIDE + 1
+_FEW = 1 << 11
 _FAR = 80.0  # exponentials of numbers nearer to 0 stay in the range of 32 bits
 
 
@@ -541,11 +567,12 @@ def runs(texts: Iterable[tuple[int, np.ndarray]], size: int = BATCH) -> Iterator
 
 def _cut(held: list[tuple[int, np.ndarray]], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     run = np.concatenate([_EDGE, *chain.from_iterable((t, _EDGE) for _, t in held)])
-    rows, ends = np.array([r for r, _ in held]), np.cumsum([len(t) + SIDE for _, t in held])
+    rows, sizes = np.array([r for r, _ in held]), [len(t) + SIDE for _, t in held]
     m = len(run) - 2 * SIDE
     pieces = max(1, m // size)
+    row = np.repeat(rows, sizes)[:m]
     for a, b in pairwise(m * i // pieces for i in range(pieces + 1)):
-        yield run[a : b + 2 * SIDE], rows[np.searchsorted(ends, np.arange(a, b), side="right")]
+        yield run[a : b + 2 * SIDE], row[a:b]
 
 
 def _tokens(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -574,9 +601,9 @@ def count_tokens(rows: DataFrame, *, tokens: str = "tokens") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(TOKENS, np.int64)
-        for batch in batches:
-            for _, t in _tokens(batch, tokens):
-                sums += np.bincount(t, minlength=TOKENS)
+        for run, _ in runs(chain.from_iterable(_tokens(b, tokens) for b in batches)):
+            sums += np.bincount(run[SIDE : len(run) - SIDE], minlength=TOKENS)
+        sums[0] = 0  # ends of texts
         found = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(sums[found])], names=["token", "n"])
 
@@ -645,11 +672,11 @@ def _scored(rows: DataFrame, network: Network, tokens: str, part: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = receive(shared)
         for batch in batches:
-            n, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            n, sums = np.array([len(t) for _, t in _tokens(batch, tokens)], np.int64), np.zeros(batch.num_rows)
             for run, row in runs(_tokens(batch, tokens)):
                 target = run[SIDE : len(run) - SIDE]
-                logs = network.log_probability(run) + np.where((target >= 1) & (target <= RARE), np.log(RARE / 0x110000), 0.0)
-                n += np.bincount(row, target > 0, len(n)).astype(np.int64)
+                logs = network.log_probability(run)
+                logs[np.flatnonzero((target >= 1) & (target <= RARE))] += np.log(RARE / 0x110000)
                 sums += np.bincount(row, logs, len(sums))
             mean = [s / k if k else None for s, k in zip(sums.tolist(), n.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(

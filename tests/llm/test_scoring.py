@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -40,6 +41,73 @@ def test_vocabulary(monkeypatch, chunk):
     assert NAMES.tokens(text).max() < TOKENS and NAMES.tokens("").size == 0
 
 
+LETTERS = "abcж漢é _7²\0\n-.  𝔘١"
+
+
+def some_texts(rnd):
+    mixed = lambda: "".join(rnd.choice(LETTERS) for _ in range(rnd.randint(0, 80)))
+    return [mixed() if rnd.random() < 0.7 else rnd.choice(["a", " a", "ж"]) * rnd.randint(0, 120) for _ in range(rnd.randint(0, 9))]
+
+
+def cut_plainly(ids, word):
+    if word in ids:
+        return [ids[word]]
+    found = []
+    while word:
+        size = next((n for n in range(scoring.PART, 1, -1) if len(word) >= n and word[:n] in ids), 1)
+        found.append(ids.get(word[:size]) or 1 + ord(word[0]) % scoring.RARE)
+        word = word[size:]
+    return found
+
+
+def test_many_texts_are_cut_like_words_one_by_one(monkeypatch):
+    rnd = random.Random(1)
+    units = ["".join(rnd.choice(LETTERS) for _ in range(rnd.randint(1, 6))) for _ in range(400)]
+    for ids in (Vocabulary([*units, " " + "a" * 32, "a" * 32, "ж" * 20]), Vocabulary([])):
+        for k in range(200):
+            monkeypatch.setattr(scoring, "_GROUP", rnd.choice([1, 30, 1 << 18]))
+            texts = some_texts(rnd)
+            want = [[t for w in scoring.WORD.findall(text) for t in cut_plainly(ids.ids, w)] for text in texts]
+            assert [np.frombuffer(x, "<u2").tolist() for x in ids.packed(texts)] == want
+
+
+@pytest.mark.parametrize("hashes", [None, lambda codes, begin, end: (end - begin).astype(np.uint64) % np.uint64(3)])
+def test_words_are_counted_whatever_their_hashes(monkeypatch, hashes):
+    if hashes:
+        monkeypatch.setattr(scoring, "_hashes", hashes)
+    rnd = random.Random(2)
+    for _ in range(200):
+        texts = some_texts(rnd) or [""]
+        assert scoring._counted(texts) == Counter(w for text in texts for w in scoring.WORD.findall(text))
+
+
+def test_parts_are_counted(monkeypatch):
+    rnd = random.Random(3)
+    words = list({w for _ in range(60) for text in some_texts(rnd) for w in scoring.WORD.findall(text)})
+    n = np.array([rnd.choice([1, 7]) for _ in words])
+    want = Counter()
+    for word, times in zip(words, n.tolist(), strict=True):
+        for size in range(1, scoring.PART + 1):
+            for at in range(len(word) - size + 1):
+                want[word[at : at + size]] += times
+    found = Counter()
+    for unit, times in scoring._parts(words, n):
+        found.update(dict(zip(unit, times, strict=True)))
+    assert found == want
+
+
+def test_far_scores_and_arrays_used_again(monkeypatch):
+    network, rnd = Network(), np.random.default_rng(7)
+    run = [np.concatenate([[0, 0], rnd.integers(1, TOKENS, n), [0, 0]]).astype(np.uint16) for n in (40, 9, 60)]
+    want = [Network().log_probability(r) for r in run]
+    for r, logs in zip(run * 2, want * 2, strict=True):
+        assert network.log_probability(r).tolist() == logs.tolist()
+        assert network.gradient(r)[0] == pytest.approx(-logs.sum())
+    network.values["u1"][:, :, -1] += 300  # the same for all ways, so no probability changes
+    assert network.log_probability(run[0]) == pytest.approx(want[0], abs=1e-3)
+    assert np.isfinite(network.gradient(run[0])[2]).all()
+
+
 def test_vocabulary_is_counted_over_all_documents(monkeypatch, spark):
     monkeypatch.setattr(scoring, "_KEYS", 3)
     texts = ["жизнь жизнь", "Жизнь 漢字漢字", None, "", "été 7"] * 6 + ["once"]
